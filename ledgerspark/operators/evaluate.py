@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.operators.ordered import RANGE, with_range
+from ledgerspark.sources.scratch import materialize
 
 METRICS = ("accuracy", "precision", "recall", "f1_score", "auc_roc")
 
@@ -93,7 +94,8 @@ def auc_from_probability(df: DataFrame, label: str, probability: str) -> DataFra
     y = F.col(f"`{label}`")
     values = df.groupBy(F.col(f"`{probability}`").alias("p")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
-    ranged = with_range(values, ["p"])
+    # Read several times below, and costly if the scores are not stored yet.
+    ranged = with_range(materialize(values, "scores"), ["p"])
     sizes = ranged.groupBy(RANGE).agg(F.sum("neg").alias("size"))
     earlier = Window.partitionBy(F.lit(0)).orderBy(RANGE).rowsBetween(
         Window.unboundedPreceding, -1)

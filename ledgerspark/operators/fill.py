@@ -56,14 +56,12 @@ def _fill(df: DataFrame, cols, order_by, partition_by, ranges, *, forward: bool,
         return df
     ranged = with_range(nan_to_null(df, cols), parts + order, ranges)
     carried = _carried(ranged, cols, order, parts, forward, backward)
-    same = F.lit(True)
-    for c in (RANGE, *parts):
-        same = same & ranged[c].eqNullSafe(carried[c])
-    joined = ranged.join(F.broadcast(carried), same, "left").select(
-        *[ranged[f"`{c}`"] for c in (*names, RANGE)],
-        *[carried[c] for c in carried.columns if c not in (RANGE, *parts)],
-    )
-    within = Window.partitionBy(RANGE, *parts)
+    keys = [RANGE, *parts]
+    same = F.col(RANGE).eqNullSafe(F.col("_key0"))
+    for i, c in enumerate(parts, 1):
+        same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"_key{i}"))
+    joined = ranged.join(F.broadcast(carried), same, "left")
+    within = Window.partitionBy(*keys)
     along = within.orderBy(*order)
     against = within.orderBy(*[F.col(f"`{c}`").desc() for c in order])
     filled: dict[str, Column] = {}
@@ -115,7 +113,8 @@ def _carried(ranged: DataFrame, cols, order, parts, forward, backward) -> DataFr
             out.append(F.last(f"_last{i}", True).over(before).alias(f"_before{i}"))
         if backward:
             out.append(F.last(f"_first{i}", True).over(after).alias(f"_after{i}"))
-    table = table.select(RANGE, *parts, *out)
+    keys = [F.col(f"`{c}`").alias(f"_key{i}") for i, c in enumerate((RANGE, *parts))]
+    table = table.select(*keys, *out)
     got = [F.col(c) for c in table.columns if c.startswith(("_before", "_after"))]
     return table.where(_any(got))
 

@@ -87,10 +87,13 @@ def _checks(df: DataFrame, rules: list[dict[str, Any]], text: bool) -> list[_Che
             out.append(_Check(order, rule, "allowed",
                               ~_is_allowed(df, name, value, rule["allowed_values"]), True))
         if rule.get("min") is not None:
-            numeric = is_numeric(stored) or (text and dtype in ("int", "float"))
-            if not numeric:
+            if is_numeric(stored) or (text and dtype in ("int", "float")):
+                low = value < F.lit(rule["min"])
+            elif dtype in ("int", "float"):
+                low = F.lit(False)  # the type check above has failed already
+            else:
                 raise TypeError(f"Column '{name}' is no number, so it has no minimum")
-            out.append(_Check(order, rule, "minimum", value < F.lit(rule["min"]), True))
+            out.append(_Check(order, rule, "minimum", low, True))
     return out
 
 
