@@ -1,140 +1,115 @@
 """Distance on the WGS-84 ellipsoid as native column expressions.
 
 The inverse formula is T. Vincenty's (Survey Review XXIII, 1975), unrolled to a
-fixed number of rounds.  Each round is its own projection, because the next
-round reads its result several times; Catalyst then keeps the chain instead of
-copying ever larger trees, and evaluates shared sub-expressions once.  Successive
-guesses shrink their error by a constant factor, so before the last round they
-are extrapolated to their limit (A. C. Aitken's process), which saves two rounds.
-
-The fixed-point rounds converge slowly only when the points are close to
-opposite.  Those rows take a second way: the azimuth at the first point is found
-by bisection (the longitude difference grows with it once the pair is put in
-canonical order, C. F. F. Karney, J. Geodesy 87, 2013, section 4).  The branch
-sits behind a condition, so ordinary rows never run it.  No Python worker is
-involved.
+fixed number of rounds.  The steps are SQL texts in which each one reads the
+results of earlier ones; Spark turns such a list into a chain of projections, so
+shared values are computed once and no tree grows large.  Successive guesses of
+the longitude shrink their error by a constant factor, so before the last round
+they are extrapolated to their limit (A. C. Aitken's process), which saves two
+rounds.
+
+The rounds converge slowly only when the points are close to opposite.  Those
+rows take a second way: the azimuth at the first point is found by bisection (the
+longitude difference grows with it once the pair is put in canonical order,
+C. F. F. Karney, J. Geodesy 87, 2013, section 4).  It sits behind a condition, so
+ordinary rows never run it.  No Python worker is involved.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # The WGS-84 ellipsoid.
 EQUATOR_RADIUS_KM = 6378.137
 FLATTENING = 1 / 298.257223563
 POLE_RADIUS_KM = EQUATOR_RADIUS_KM * (1 - FLATTENING)
-_E2_SECOND = (EQUATOR_RADIUS_KM / POLE_RADIUS_KM) ** 2 - 1
 
-ROUNDS = 4  # the last one starts from an extrapolated guess; error below 2e-7 km
+ROUNDS = 4  # the last starts from an extrapolated guess; error below 2e-7 km
 NEAR_OPPOSITE = 2.9  # radians of arc beyond which bisection takes over
 BISECTIONS = 40
-_TINY = 1e-300
-_TMP = "_geo_"
+_P = "_geo_"  # prefix of working columns
 
 
-def _d(x: float) -> Column:
-    return F.lit(float(x))
+def _n(x: float) -> str:
+    """A double literal; a bare decimal number would be a DECIMAL in SQL."""
+    return f"{float(x)!r}D" if math.isfinite(x) else f"double('{x}')"
 
 
-def _longitude_bend(sin_a: Column, arc: Column, sin_s: Column, cos_s: Column,
-                    cos_2m: Column) -> Column:
-    """How much the ellipsoid's longitude lags the auxiliary sphere's."""
-    cos2_a = 1 - sin_a * sin_a
-    c = FLATTENING / 16 * cos2_a * (4 + FLATTENING * (4 - 3 * cos2_a))
-    return (1 - c) * FLATTENING * sin_a * (
-        arc + c * sin_s * (cos_2m + c * cos_s * (2 * cos_2m * cos_2m - 1))
-    )
+def _over(top: str, bottom: str) -> str:
+    """A quotient that is never NULL, so that no later step has to test for it."""
+    return f"coalesce(({top}) / ({bottom}), 0D)"
 
 
-def _length_km(cos2_a: Column, arc: Column, sin_s: Column, cos_s: Column,
-               cos_2m: Column) -> Column:
-    """Length of an arc of the auxiliary sphere, measured on the ellipsoid."""
-    u2 = cos2_a * _E2_SECOND
-    big_a = 1 + u2 / 16384 * (4096 + u2 * (-768 + u2 * (320 - 175 * u2)))
-    big_b = u2 / 1024 * (256 + u2 * (-128 + u2 * (74 - 47 * u2)))
-    m2 = cos_2m * cos_2m
-    shift = big_b * sin_s * (
-        cos_2m
-        + big_b / 4 * (
-            cos_s * (2 * m2 - 1)
-            - big_b / 6 * cos_2m * (4 * sin_s * sin_s - 3) * (4 * m2 - 3)
-        )
-    )
-    return POLE_RADIUS_KM * big_a * (arc - shift)
+def _bend_factor(q: str) -> str:
+    f = FLATTENING
+    return f"({q} * ({_n(f / 4)} + {_n(f * f / 16)} * (4D - 3D * {q})))"
+
+
+def _bend(c: str, sin_a: str, arc: str, ss: str, cs: str, m: str) -> str:
+    """How much the ellipsoid's longitude lags the auxiliary sphere's."""
+    return (f"((1D - {c}) * {_n(FLATTENING)} * {sin_a} * ({arc} + {c} * {ss} * "
+            f"({m} + {c} * {cs} * (2D * {m} * {m} - 1D))))")
 
 
-def _coordinate(name: str) -> Column:
-    return F.col(f"`{name}`").try_cast("double")
+def _length_factors(u: str) -> tuple[str, str]:
+    big_a = f"(1D + {u} / 16384D * (4096D + {u} * ({u} * (320D - 175D * {u}) - 768D)))"
+    big_b = f"({u} / 1024D * (256D + {u} * ({u} * (74D - 47D * {u}) - 128D)))"
+    return f"coalesce({big_a}, 0D)", f"coalesce({big_b}, 0D)"
 
 
-def _usable(c: Column) -> Column:
-    return c.isNotNull() & ~F.isnan(c) & (F.abs(c) < _d(math.inf))
+def _length(big_a: str, big_b: str, arc: str, ss: str, cs: str, m: str) -> str:
+    """Length of an arc of the auxiliary sphere, measured on the ellipsoid."""
+    return (f"{_n(POLE_RADIUS_KM)} * {big_a} * ({arc} - {big_b} * {ss} * ({m} + {big_b} * 0.25D * "
+            f"({cs} * (2D * {m} * {m} - 1D) - {big_b} * {_n(1 / 6)} * {m} * "
+            f"(4D * {ss} * {ss} - 3D) * (4D * {m} * {m} - 3D))))")
 
 
-def _wrap(degrees: Column) -> Column:
-    """Any longitude difference brought to -180..180."""
-    turn = degrees - 360 * F.floor((degrees + 180) / 360).cast("double")
-    return F.when(F.abs(degrees) <= 180, degrees).otherwise(turn)
+_U = _n((EQUATOR_RADIUS_KM / POLE_RADIUS_KM) ** 2 - 1)
 
 
-def _col(name: str) -> Column:
-    return F.col(_TMP + name)
+def _arc_at(azimuth: str) -> dict[str, str]:
+    """The auxiliary-sphere arc that leaves point 1 of ``s`` at an azimuth."""
+    sa, ca = f"sin({azimuth})", f"cos({azimuth})"
+    sin_a = f"({sa} * s.cb1)"
+    lean = f"greatest({ca} * {ca} * s.cb1 * s.cb1 + (s.sb1 - s.sb2) * (s.sb1 + s.sb2), 0D)"
+    ca2 = f"(sqrt({lean}) / s.cb2)"
+    start = f"atan2(s.sb1, {ca} * s.cb1)"
+    end = f"atan2(s.sb2, {ca2} * s.cb2)"
+    turn1 = f"atan2({sin_a} * s.sb1, {ca} * s.cb1)"
+    turn2 = f"atan2({sin_a} * s.sb2, {ca2} * s.cb2)"
+    arc = f"({end} - {start})"
+    return {"sin_a": sin_a, "arc": arc, "m": f"cos({start} + {end})", "ss": f"sin({arc})",
+            "cs": f"cos({arc})", "turn": f"({turn2} - {turn1})",
+            "q": f"(1D - {sin_a} * {sin_a})"}
 
 
-def _opposite_km() -> Column:
+def _opposite_km(s1: str, s2: str, dl: str) -> str:
     """Bisection on the starting azimuth, for pairs close to opposite.
 
-    Reads reduced-latitude sines and the absolute longitude difference.  The
-    canonical order puts the point farther from the equator first and in the
-    south.
+    Takes the sines of the reduced latitudes and the longitude difference.  The
+    canonical order puts the point farther from the equator first, in the south.
     """
-    # Farther point first; mirrored so that its latitude is negative.
-    swap = F.abs(_col("s1")) < F.abs(_col("s2"))
-    far = F.when(swap, _col("s2")).otherwise(_col("s1"))
-    near = F.when(swap, _col("s1")).otherwise(_col("s2"))
-    flip = F.when(far > 0, _d(-1)).otherwise(_d(1))
-    base = F.struct(
-        F.least(far * flip, _d(-1e-150)).alias("sb1"),
-        F.greatest(F.sqrt(1 - far * far), _d(1e-150)).alias("cb1"),
-        (near * flip).alias("sb2"),
-        F.greatest(F.sqrt(1 - near * near), _d(1e-150)).alias("cb2"),
-        F.abs(_col("dl")).alias("dl"),
-        _d(0).alias("lo"),
-        _d(math.pi).alias("hi"),
-    )
-
-    def arc_parts(s: Column, azimuth: Column):
-        """Auxiliary-sphere arc that leaves point 1 at this azimuth."""
-        sa, ca = F.sin(azimuth), F.cos(azimuth)
-        sin_a = sa * s.cb1
-        lean = ca * ca * s.cb1 * s.cb1 + (s.sb1 - s.sb2) * (s.sb1 + s.sb2)
-        ca2 = F.sqrt(F.greatest(lean, _d(0))) / s.cb2
-        start = F.atan2(s.sb1, ca * s.cb1)
-        end = F.atan2(s.sb2, ca2 * s.cb2)
-        turn1 = F.atan2(sin_a * s.sb1, ca * s.cb1)
-        turn2 = F.atan2(sin_a * s.sb2, ca2 * s.cb2)
-        return sin_a, end - start, F.cos(start + end), turn2 - turn1
-
-    def halve(s: Column, _: Column) -> Column:
-        mid = (s.lo + s.hi) / 2
-        sin_a, arc, cos_2m, turn = arc_parts(s, mid)
-        reach = turn - _longitude_bend(sin_a, arc, F.sin(arc), F.cos(arc), cos_2m)
-        keep = [s[k].alias(k) for k in ("sb1", "cb1", "sb2", "cb2", "dl")]
-        short = reach < s.dl
-        return F.struct(
-            *keep,
-            F.when(short, mid).otherwise(s.lo).alias("lo"),
-            F.when(short, s.hi).otherwise(mid).alias("hi"),
-        )
-
-    def measure(s: Column) -> Column:
-        sin_a, arc, cos_2m, _ = arc_parts(s, (s.lo + s.hi) / 2)
-        return _length_km(1 - sin_a * sin_a, arc, F.sin(arc), F.cos(arc), cos_2m)
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(BISECTIONS)), base, halve, measure)
+    far = f"if(abs({s1}) < abs({s2}), {s2}, {s1})"
+    near = f"if(abs({s1}) < abs({s2}), {s1}, {s2})"
+    flip = f"if({far} > 0D, -1D, 1D)"
+    base = (f"named_struct('sb1', least({far} * {flip}, -1e-150D), "
+            f"'cb1', greatest(sqrt(1D - {far} * {far}), 1e-150D), "
+            f"'sb2', {near} * {flip}, "
+            f"'cb2', greatest(sqrt(1D - {near} * {near}), 1e-150D), "
+            f"'dl', abs({dl}), 'lo', 0D, 'hi', {_n(math.pi)})")
+    half = "((s.lo + s.hi) * 0.5D)"
+    p = _arc_at(half)
+    reach = f"{p['turn']} - " + _bend(
+        _bend_factor(p["q"]), p["sin_a"], p["arc"], p["ss"], p["cs"], p["m"])
+    kept = "'sb1', s.sb1, 'cb1', s.cb1, 'sb2', s.sb2, 'cb2', s.cb2, 'dl', s.dl"
+    step = (f"(s, i) -> if({reach} < s.dl, named_struct({kept}, 'lo', {half}, 'hi', s.hi), "
+            f"named_struct({kept}, 'lo', s.lo, 'hi', {half}))")
+    a, b = _length_factors(f"({p['q']} * {_U})")
+    done = f"s -> {_length(a, b, p['arc'], p['ss'], p['cs'], p['m'])}"
+    return f"aggregate(sequence(1, {BISECTIONS}), {base}, {step}, {done})"
 
 
 def with_geodesic_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str,
@@ -145,80 +120,59 @@ def with_geodesic_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str,
     beyond 90 degrees.  Longitudes may lie outside -180..180.
     """
     kept = [F.col(f"`{n}`") for n in df.columns if n != out]
-    names = ("lat1", "lon1", "lat2", "lon2")
-    raw = [_col(n) for n in names]
-    df = df.select(
-        *kept,
-        *[_coordinate(c).alias(_TMP + n)
-          for n, c in zip(names, (lat1, lon1, lat2, lon2))],
-    )
-    ok = _usable(_col("lat1")) & _usable(_col("lat2"))
-    ok = ok & _usable(_col("lon1")) & _usable(_col("lon2"))
-    ok = ok & (F.abs(_col("lat1")) <= 90) & (F.abs(_col("lat2")) <= 90)
-    df = df.select(*kept, *raw, ok.alias(_TMP + "ok"))
-
-    def checked(c: Column) -> Column:
-        return F.when(_col("ok"), c).otherwise(_d(0))
-
-    df = df.select(
-        *kept, _col("ok"),
-        *[((1 - FLATTENING) * F.tan(F.radians(checked(_col(f"lat{i}")))))
-          .alias(_TMP + f"t{i}") for i in (1, 2)],
-        checked(_col("lon2") - _col("lon1")).alias(_TMP + "dl"),
-    )
-    cos_u = [1 / F.sqrt(1 + _col(f"t{i}") * _col(f"t{i}")) for i in (1, 2)]
-    df = df.select(
-        *kept, _col("ok"),
-        F.radians(_wrap(_col("dl"))).alias(_TMP + "dl"),
-        (_col("t1") * cos_u[0]).alias(_TMP + "s1"),
-        (_col("t2") * cos_u[1]).alias(_TMP + "s2"),
-        cos_u[0].alias(_TMP + "c1"),
-        cos_u[1].alias(_TMP + "c2"),
-    )
-    fixed = [_col(n) for n in ("ok", "dl", "s1", "s2", "c1", "c2")]
-    guess, guesses = _col("dl"), []
-    for turn in range(ROUNDS):
-        held = [*fixed, *guesses]
-        df = df.select(
-            *kept, *held, F.sin(guess).alias(_TMP + "sl"), F.cos(guess).alias(_TMP + "cl")
-        )
-        cross = _col("c1") * _col("s2") - _col("s1") * _col("c2") * _col("cl")
-        side = _col("c2") * _col("sl")
-        df = df.select(
-            *kept, *held, _col("sl"),
-            F.sqrt(side * side + cross * cross).alias(_TMP + "ss"),
-            (_col("s1") * _col("s2") + _col("c1") * _col("c2") * _col("cl"))
-            .alias(_TMP + "cs"),
-        )
-        sin_a = _col("c1") * _col("c2") * _col("sl") / F.greatest(_col("ss"), _d(_TINY))
-        on_arc = [_col(n) for n in ("ss", "cs", "arc", "sa", "m")]
-        df = df.select(
-            *kept, *held, *on_arc[:2],
-            F.atan2(_col("ss"), _col("cs")).alias(_TMP + "arc"),
-            sin_a.alias(_TMP + "sa"),
-        )
-        cos2_a = F.greatest(1 - _col("sa") * _col("sa"), _d(_TINY))
-        df = df.select(
-            *kept, *held, *on_arc[:4],
-            (_col("cs") - 2 * _col("s1") * _col("s2") / cos2_a).alias(_TMP + "m"),
-        )
-        if turn == ROUNDS - 1:
+    steps: list[str] = []
+
+    def let(name: str, expression: str) -> str:
+        steps.append(f"{expression} AS {_P}{name}")
+        return _P + name
+
+    # NaN stands for no number; Spark orders it above every number, so it fails
+    # each of the comparisons.
+    a1, o1, a2, o2 = (
+        let(name, f"coalesce(try_cast(`{column}` AS DOUBLE), double('NaN'))")
+        for name, column in (("a1", lat1), ("o1", lon1), ("a2", lat2), ("o2", lon2)))
+    ok = let("ok", f"abs({a1}) <= 90D AND abs({a2}) <= 90D AND abs({o1}) < double('Infinity') "
+                   f"AND abs({o2}) < double('Infinity')")
+    t1, t2 = (let(f"t{i}", f"{_n(1 - FLATTENING)} * tan(radians(if({ok}, {a}, 0D)))")
+              for i, a in ((1, a1), (2, a2)))
+    turn = let("turn", f"if({ok}, {o2} - {o1}, 0D)")
+    dl = let("dl", f"radians(if(abs({turn}) <= 180D, {turn}, "
+                   f"{turn} - 360D * double(floor(({turn} + 180D) / 360D))))")
+    c1, c2 = (let(f"c{i}", _over("1D", f"sqrt(1D + {t} * {t})")) for i, t in ((1, t1), (2, t2)))
+    s1, s2 = let("s1", f"{t1} * {c1}"), let("s2", f"{t2} * {c2}")
+    ss12, cc12 = let("ss12", f"{s1} * {s2}"), let("cc12", f"{c1} * {c2}")
+    cs12, sc12 = let("cs12", f"{c1} * {s2}"), let("sc12", f"{s1} * {c2}")
+    fixed = [ok, dl, c2, ss12, cc12, cs12, sc12]
+    guesses = [dl]
+    for k in range(ROUNDS):
+        guess = guesses[-1]
+        if k == ROUNDS - 1:  # extrapolate the three guesses behind
+            first, second, third = guesses[-3:]
+            step = let("step", f"{third} - {second}")
+            prior = let("prior", f"{second} - {first} - 1e-300D")
+            guess = let("limit", f"{third} - " + _over(f"{step} * {step}", f"{step} - {prior}"))
+        sl, cl = let(f"sl{k}", f"sin({guess})"), let(f"cl{k}", f"cos({guess})")
+        side, cross = let(f"si{k}", f"{c2} * {sl}"), let(f"cr{k}", f"{cs12} - {sc12} * {cl}")
+        ss = let(f"ss{k}", f"sqrt({side} * {side} + {cross} * {cross})")
+        cs = let(f"cs{k}", f"{ss12} + {cc12} * {cl}")
+        arc = let(f"arc{k}", f"atan2({ss}, {cs})")
+        sa = let(f"sa{k}", _over(f"{cc12} * {sl}", f"greatest({ss}, 1e-300D)"))
+        q = let(f"q{k}", f"1D - {sa} * {sa}")
+        m = let(f"m{k}", f"{cs} - " + _over(f"2D * {ss12}", f"greatest({q}, 1e-300D)"))
+        if k == ROUNDS - 1:
             break
-        bend = _longitude_bend(*(_col(n) for n in ("sa", "arc", "ss", "cs", "m")))
-        df = df.select(*kept, *held, (_col("dl") + bend).alias(_TMP + f"g{turn}"))
-        guess = _col(f"g{turn}")
-        guesses = [*guesses, guess][-3:]
-        if turn == ROUNDS - 2:
-            first, second, third = guesses
-            step = third - second
-            curve = step - (second - first) + _d(_TINY)
-            df = df.select(*kept, *fixed, (third - step * step / curve).alias(_TMP + "g"))
-            guess, guesses = _col("g"), []
-    plain = _length_km(1 - _col("sa") * _col("sa"), _col("arc"), _col("ss"),
-                       _col("cs"), _col("m"))
-    distance = (
-        F.when(~_col("ok"), _d(0))
-        .when(_col("arc") > NEAR_OPPOSITE, _opposite_km())
-        .otherwise(plain)
-    )
-    return df.select(*kept, distance.alias(out))
+        c = let(f"c_{k}", _bend_factor(q))
+        guesses.append(let(f"g{k}", f"{dl} + " + _bend(c, sa, arc, ss, cs, m)))
+        if k == 1:
+            # The arc is known well enough to tell which pairs need the other way.
+            # Standing here, this also parts the chain into two compiled methods,
+            # each short enough for the JVM to optimise.
+            far = let("far", f"if({ok} AND {arc} > {_n(NEAR_OPPOSITE)}, "
+                             f"{_opposite_km(s1, s2, dl)}, NULL)")
+            df = df.select("*", *map(F.expr, steps)).select(
+                *kept, *fixed, *guesses[1:], far)
+            steps.clear()
+    u = let("u", f"{q} * {_U}")
+    big_a, big_b = (let(n, e) for n, e in zip(("ka", "kb"), _length_factors(u)))
+    km = let("km", f"if({ok}, coalesce({far}, {_length(big_a, big_b, arc, ss, cs, m)}), 0D)")
+    return df.select("*", *map(F.expr, steps)).select(*kept, F.col(km).alias(out))

@@ -57,7 +57,9 @@ def add_distance(df: DataFrame) -> DataFrame:
 def add_features(df: DataFrame, on_error: str = "raise") -> DataFrame:
     """Every engineered column; one stage, no shuffle, no Python worker."""
     _require(df, (TIME, BIRTH, *PLACE))
-    return add_distance(add_age(add_time_features(df, on_error=on_error), on_error=on_error))
+    # The distance first: its steps and those below then compile to two methods,
+    # each short enough for the JVM to optimise.
+    return add_age(add_time_features(add_distance(df), on_error=on_error), on_error=on_error)
 
 
 def add_features_to_splits(*frames: DataFrame | None, on_error: str = "raise"):
