@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local: dict[str, str] = {}  # by application, for local sessions without the setting
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -22,9 +23,10 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"Set {_SETTING} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="ledgerspark-")
-    spark.conf.set(_SETTING, root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _local:
+        _local[app] = tempfile.mkdtemp(prefix="ledgerspark-")
+    return _local[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
