@@ -76,27 +76,28 @@ def _codes(df: DataFrame, col: str, local_limit: int,
 
 def _encode(df: DataFrame, col: str, local_limit: int, ranges: int | None) -> DataFrame:
     codes, few = _codes(df, col, local_limit, ranges)
-    others = [F.col(f"`{c}`") if c != col else F.col("code").alias(col)
+    others = [F.col(f"`{c}`") if c != col else F.col("_code").alias(col)
               for c in df.columns]
-    keyed = df.withColumn("value", present(df, col))
+    keyed = df.withColumn("_value", present(df, col))
+    codes = codes.withColumnsRenamed({"value": "_value", "code": "_code"})
     if few:
-        return keyed.join(F.broadcast(codes.select("value", "code")), "value", "left") \
-            .select(*others)
+        few_codes = F.broadcast(codes.select("_value", "_code"))
+        return keyed.join(few_codes, "_value", "left").select(*others)
     # A frequent value would send its rows to one task of a shuffled join.
     # No more than 1 / HOT_SHARE values can be that frequent, so those few are
     # broadcast, and only rows of the other values are shuffled.
     codes = materialize(codes, "codes")
     total = codes.agg(F.sum("n_rows")).first()[0]
-    hot = codes.where(F.col("n_rows") > total * HOT_SHARE).select("value", "code")
-    cold = codes.where(F.col("n_rows") <= total * HOT_SHARE).select("value", "code")
-    is_hot = F.broadcast(hot.select("value"))
-    missing = keyed.where(F.col("value").isNull()).withColumn("code", F.lit(None).cast("long"))
+    is_hot = F.col("n_rows") > total * HOT_SHARE
+    hot = codes.where(is_hot).select("_value", "_code")
+    cold = codes.where(~is_hot).select("_value", "_code")
+    rest = keyed.where(F.col("_value").isNotNull()).join(
+        F.broadcast(hot.select("_value")), "_value", "left_anti")
+    gaps = keyed.where(F.col("_value").isNull())
     return (
-        keyed.join(F.broadcast(hot), "value").select(*others)
-        .unionByName(
-            keyed.where(F.col("value").isNotNull())
-            .join(is_hot, "value", "left_anti").join(cold, "value").select(*others))
-        .unionByName(missing.select(*others))
+        keyed.join(F.broadcast(hot), "_value").select(*others)
+        .unionByName(rest.join(cold, "_value").select(*others))
+        .unionByName(gaps.withColumn("_code", F.lit(None).cast("long")).select(*others))
     )
 
 

@@ -7,6 +7,7 @@ that a bad value is counted instead of changing the type of its column.
 
 from __future__ import annotations
 
+import codecs
 import os
 from typing import Any
 
@@ -25,6 +26,18 @@ MISSING_TEXT = [
 ]
 
 
+# Names of encodings, as files are usually labelled and as the JVM
+# wants them.
+_CHARSETS = {
+    "utf-8": "UTF-8", "utf-8-sig": "UTF-8", "ascii": "US-ASCII", "iso8859-1": "ISO-8859-1",
+    "utf-16": "UTF-16", "utf-16-le": "UTF-16LE", "utf-16-be": "UTF-16BE", "utf-32": "UTF-32",
+}
+
+
+def _charset(encoding: str) -> str:
+    return _CHARSETS.get(codecs.lookup(encoding).name, encoding)
+
+
 def check_path(spark: SparkSession, path: Any) -> str:
     if not path or not isinstance(path, str):
         raise ValueError("No valid data path specified in configuration.")
@@ -45,7 +58,7 @@ def read_text_table(spark: SparkSession, path: str, delimiter: str = ",", header
         raise ValueError(f"Only the first line can be the heading, not line {header}")
     df = (
         spark.read.option("header", True).option("inferSchema", False)
-        .option("sep", delimiter).option("encoding", encoding)
+        .option("sep", delimiter).option("encoding", _charset(encoding))
         .option("quote", '"').option("escape", '"')
         .option("multiLine", multi_line).option("mode", "PERMISSIVE")
         .csv(path)
