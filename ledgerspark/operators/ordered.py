@@ -79,7 +79,7 @@ def _position(cuts: Column, n: int, keys: list[str]) -> Column:
 # --------------------------------------------------------------------------
 # The row at a given rank inside each class, in the order of a uniform hash.
 
-PREFIX_BITS = 60
+KEY_DIGITS = 32  # hex digits of a key
 _SLOTS = 4096
 _FETCH = 20_000
 
@@ -90,17 +90,39 @@ def hash_key(seed: int, ids: list[str]) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *text))
 
 
-def _prefix(key: Column) -> Column:
-    return F.conv(F.substring(key, 1, PREFIX_BITS // 4), 16, 10).cast("long")
-
-
 @dataclass
-class _Target:
+class _Band:
+    """Where the key of one wanted rank must lie: between two prefixes."""
+
     slot: int  # position in the list of wanted ranks
     label: object
-    rank: int  # 1-based among the rows at or above ``lo``
-    lo: int
-    hi: int  # inclusive
+    rank: int  # counted from 1; within the band once it is ``anchored``
+    lo: str
+    hi: str
+    anchored: bool = False
+
+    @classmethod
+    def around(cls, slot: int, label, rank: int, n: int) -> _Band:
+        """A uniform hash puts rank r of n near r/n of the key range."""
+        share = rank / n
+        slack = 8 * math.sqrt(share * (1 - share) / n) + 16 / n
+        low, high = max(0.0, share - slack), min(1.0, share + slack)
+        digits = 3
+        while digits < 12 and (high - low) * 16 ** (digits + 1) <= _SLOTS:
+            digits += 1
+        top = 16**digits
+        return cls(slot, label, rank, f"{int(low * top):0{digits}x}",
+                   f"{min(top - 1, int(high * top)):0{digits}x}")
+
+    def widen(self) -> None:
+        self.lo, self.hi = "000", "fff"
+
+    def enter(self, prefix: str, before: int) -> None:
+        """Go on among the keys of one prefix, ``before`` of the band precede it."""
+        more = min(3, KEY_DIGITS - len(prefix))
+        self.rank -= before
+        self.lo, self.hi = prefix + "0" * more, prefix + "f" * more
+        self.anchored = True
 
 
 def keys_at_ranks(df: DataFrame, label: str, key: Column,
@@ -108,93 +130,74 @@ def keys_at_ranks(df: DataFrame, label: str, key: Column,
     """The hash key of the ``rank``-th row of a class, for each wanted rank.
 
     ``wanted`` holds (label value, rank counted from 1, rows of that class).
-    A uniform hash puts rank r of n near r/n of its range, so one pass counts
-    the rows below a narrow band and histograms the band; a second pass fetches
-    the few keys of one histogram slot.  Both passes read two columns and
-    shuffle only counters.  A band that misses is widened to the whole range, so
-    the result is exact for any input.
+    One pass counts the rows below a narrow band around the expected place and
+    histograms the band by key prefix; a second pass fetches the few keys of one
+    prefix.  Both read label and id only and shuffle only counters.  A band that
+    misses is widened to the whole range, so the result is exact for any input.
     """
-    top = 1 << PREFIX_BITS
-    todo = []
-    for slot, (value, rank, n) in enumerate(wanted):
-        share = rank / n
-        slack = 8 * math.sqrt(share * (1 - share) / n) + 16 / n
-        lo = int(max(0.0, share - slack) * top)
-        hi = min(top - 1, int(min(1.0, share + slack) * top))
-        todo.append(_Target(slot, value, rank, lo, hi))
+    todo = [_Band.around(i, value, rank, n) for i, (value, rank, n) in enumerate(wanted)]
+    rows = df.select(F.col(f"`{label}`").cast("string").alias("label"), key.alias("key"))
     found: dict[int, str] = {}
-    rows = df.select(F.col(f"`{label}`").alias("label"), key.alias("key"))
-    rows = rows.withColumn("at", _prefix(F.col("key")))
-    anchored = set()  # targets whose rank is already relative to ``lo``
     while todo:
-        counts = _histogram(df, rows, todo)
-        small = []
-        for t in list(todo):
-            mine = counts.get(t.slot, {})
-            below = 0 if t.slot in anchored else mine.get(-1, 0)
-            width = _width(t)
-            inside = [(s, c) for s, c in sorted(mine.items()) if s >= 0]
-            if not below < t.rank <= below + sum(c for _, c in inside):
-                if t.slot in anchored:
+        counts = _histogram(rows, todo)
+        few = []
+        for band in todo:
+            mine = counts.get(band.slot, {})
+            below = 0 if band.anchored else mine.get("", 0)
+            inside = sorted((p, c) for p, c in mine.items() if p)
+            if not below < band.rank <= below + sum(c for _, c in inside):
+                if band.anchored:
                     raise ValueError("The input changed between two passes")
-                t.lo, t.hi = 0, top - 1
+                band.widen()
                 continue
             seen = below
-            for s, c in inside:
-                if seen + c >= t.rank:
-                    t.rank -= seen
-                    t.lo, t.hi = t.lo + s * width, min(t.hi, t.lo + (s + 1) * width - 1)
-                    anchored.add(t.slot)
+            for prefix, c in inside:
+                if seen + c >= band.rank:
                     break
                 seen += c
             if c <= _FETCH:
-                small.append(t)
-            elif t.lo == t.hi:
+                few.append((band, prefix, band.rank - seen))
+            elif len(prefix) == KEY_DIGITS:
                 raise ValueError("The id columns do not tell the rows apart")
-        if small:
-            for slot, hex_key in _fetch(df, rows, small).items():
-                found[slot] = hex_key
-            todo = [t for t in todo if t.slot not in found]
+            band.enter(prefix, seen)
+        if few:
+            found.update(_fetch(rows, few))
+            todo = [band for band in todo if band.slot not in found]
     return [found[i] for i in range(len(wanted))]
 
 
-def _width(t: _Target) -> int:
-    return (t.hi - t.lo) // _SLOTS + 1
+def _small(rows: DataFrame, table: list[tuple], schema: str) -> DataFrame:
+    """A table with one row per wanted rank, so it is safe to broadcast."""
+    return F.broadcast(rows.sparkSession.createDataFrame(table, schema))
 
 
-def _bands(df: DataFrame, targets: list[_Target]) -> DataFrame:
-    """The targets as a table: one row each, so it is safe to broadcast."""
-    kind = df.sparkSession.createDataFrame(
-        [(t.slot, str(t.label), t.lo, t.hi, _width(t)) for t in targets],
-        "slot int, label_text string, lo long, hi long, width long",
-    )
-    return F.broadcast(kind)
-
-
-def _histogram(df: DataFrame, rows: DataFrame, targets: list[_Target]):
-    hits = (
-        rows.withColumn("label_text", F.col("label").cast("string"))
-        .join(_bands(df, targets), "label_text")
-        .where(F.col("at") <= F.col("hi"))
-    )
-    place = F.when(F.col("at") < F.col("lo"), F.lit(-1).cast("long")).otherwise(
-        F.expr("(at - lo) div width")
+def _histogram(rows: DataFrame, bands: list[_Band]) -> dict[int, dict[str, int]]:
+    """Rows per band and prefix; those below the band under an empty prefix."""
+    table = _small(
+        rows, [(b.slot, str(b.label), b.lo, b.hi, len(b.lo)) for b in bands],
+        "slot int, label string, lo string, hi string, digits int")
+    prefix = F.substring(F.col("key"), F.lit(1), F.col("digits"))
+    place = F.when(F.col("prefix") >= F.col("lo"), F.col("prefix")).otherwise(F.lit(""))
+    counted = (
+        rows.join(table, "label").withColumn("prefix", prefix)
+        .where(F.col("prefix") <= F.col("hi"))
+        .groupBy("slot", place.alias("place")).count()
     )
-    out: dict[int, dict[int, int]] = {}
-    for r in hits.groupBy("slot", place.alias("place")).count().collect():
+    out: dict[int, dict[str, int]] = {}
+    for r in counted.collect():
         out.setdefault(r["slot"], {})[r["place"]] = r["count"]
     return out
 
 
-def _fetch(df: DataFrame, rows: DataFrame, targets: list[_Target]) -> dict[int, str]:
+def _fetch(rows: DataFrame, few: list[tuple[_Band, str, int]]) -> dict[int, str]:
+    table = _small(rows, [(b.slot, str(b.label), prefix) for b, prefix, _ in few],
+                   "slot int, label string, prefix string")
     hits = (
-        rows.withColumn("label_text", F.col("label").cast("string"))
-        .join(_bands(df, targets), "label_text")
-        .where(F.col("at").between(F.col("lo"), F.col("hi")))
-        .groupBy("slot")
-        .agg(F.array_sort(F.collect_list("key")).alias("keys"))
+        rows.join(table, "label")
+        .where(F.col("key").startswith(F.col("prefix")))
+        .groupBy("slot").agg(F.array_sort(F.collect_list("key")).alias("keys"))
     )
-    rank = {t.slot: t.rank for t in targets}
+    rank = {b.slot: r for b, _, r in few}
     out = {}
     for r in hits.collect():
         keys, at = r["keys"], rank[r["slot"]]

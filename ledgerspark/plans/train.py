@@ -47,7 +47,8 @@ def train(df: DataFrame, conf: dict[str, Any], id_col, featurised: bool = False,
     """
     target, model_conf = conf["target"], conf["model"]
     kind, params = model_conf["name"], dict(model_conf.get("params", {}))
-    marked = split_by_conf(df if featurised else add_features(df), conf, id_col)
+    marked = split_by_conf(df, conf, id_col)
+    marked = marked if featurised else add_features(marked)
     splits = stored(marked, conf, "engineered_splits", [SPLIT])
     fit_rows = splits.where(F.col(SPLIT) == "train")
     prep = TabularPrep.from_conf(conf).fit(fit_rows)

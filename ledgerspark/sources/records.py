@@ -19,33 +19,36 @@ class RecordError(ValueError):
     """A record does not have the declared fields."""
 
 
-def _field(name: str, dtype: str) -> tuple[Column, Column]:
-    """(typed value, reason it is unusable or NULL) of a field of ``_doc``."""
-    item = F.col("_doc")[name]
-    kind, text = F.schema_of_variant(item), F.try_variant_get(item, "$", "string")
-    number = kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+def _typed(name: str, dtype: str) -> Column:
+    """The value of a field from its variant kind and its text; NULL if unusable."""
+    kind, text = F.col(f"_kind_{name}"), F.col(f"_text_{name}")
     if dtype == "str":
-        value = F.when(kind == "STRING", text)
+        return F.when(kind == "STRING", text)
+    if dtype == "int":
+        target = "long"
+        whole = F.when(text.rlike(_WHOLE), F.regexp_replace(text, r"\.0*\s*$", ""))
+        plain = F.coalesce(text.try_cast(target), whole.try_cast(target))
     else:
-        if dtype == "int":
-            whole = F.when(text.rlike(_WHOLE), F.regexp_replace(text, r"\.0*\s*$", ""))
-            plain, target = whole.try_cast("long"), "long"
-        else:
-            plain, target = text.try_cast("double"), "double"
-        flag = text.try_cast("boolean").cast("int").cast(target)
-        value = F.when(kind == "BOOLEAN", flag).when(number | (kind == "STRING"), plain)
-    absent = item.isNull() | (kind == "VOID")
-    reason = F.when(absent, F.lit(f"{name}: missing")).when(
-        value.isNull(), F.lit(f"{name}: not {dtype}"))
-    return value, reason
+        target = "double"
+        plain = text.try_cast(target)
+    flag = text.try_cast("boolean").cast("int").cast(target)
+    number = F.substring(kind, 1, 3).isin("BIG", "DEC", "DOU", "FLO", "STR")
+    return F.when(number, plain).when(kind == "BOOLEAN", flag)
+
+
+def _reason(name: str, dtype: str) -> Column:
+    kind = F.col(f"_kind_{name}")
+    return F.when(kind.isNull() | (kind == "VOID"), F.lit(f"{name}: missing")).when(
+        F.col(f"_value_{name}").isNull(), F.lit(f"{name}: not {dtype}"))
 
 
 def parse_records(lines: DataFrame, column: str = "value") -> DataFrame:
     """Typed fields plus ``reason``: NULL if good, else all that is wrong.
 
-    Row by row, so it serves tables and streams alike.  The line is parsed once.
-    The results leave through a generator of one row, which keeps a later filter
-    on ``reason`` from being rewritten into the fourteen field checks.
+    Row by row, so it serves tables and streams alike.  Each line is parsed once
+    and each field taken out once.  The results leave through a generator of one
+    row, which keeps a later filter on ``reason`` from being rewritten into the
+    fourteen field checks.
     """
     others = [f"`{c}`" for c in lines.columns]
     shape = ", ".join(f"{name} variant" for name, _ in RECORD_FIELDS)
@@ -53,13 +56,22 @@ def parse_records(lines: DataFrame, column: str = "value") -> DataFrame:
         *others,
         F.from_json(F.col(column), f"{shape}, _broken string",
                     {"columnNameOfCorruptRecord": "_broken"}).alias("_doc"))
-    pairs = [(name, *_field(name, dtype)) for name, dtype in RECORD_FIELDS]
-    wrong = F.concat_ws("; ", *[reason for _, _, reason in pairs])
     broken = F.col("_doc").isNull() | F.col("_doc._broken").isNotNull()
-    row = F.struct(
-        *[value.alias(name) for name, value, _ in pairs],
-        F.when(broken, F.lit("not a JSON object")).when(wrong != "", wrong).alias("reason"))
-    return doc.select(*others, F.inline(F.array(row)))
+    taken = [broken.alias("_is_broken")]
+    for name, _ in RECORD_FIELDS:
+        item = F.col("_doc")[name]
+        taken += [F.schema_of_variant(item).alias(f"_kind_{name}"),
+                  F.try_variant_get(item, "$", "string").alias(f"_text_{name}")]
+    kinds = [f"_kind_{name}" for name, _ in RECORD_FIELDS]
+    typed = doc.select(*others, *taken).select(
+        *others, "_is_broken", *kinds,
+        *[_typed(name, dtype).alias(f"_value_{name}") for name, dtype in RECORD_FIELDS])
+    wrong = F.concat_ws("; ", *[_reason(name, dtype) for name, dtype in RECORD_FIELDS])
+    reason = F.when(F.col("_is_broken"), F.lit("not a JSON object")).otherwise(
+        F.nullif(wrong, F.lit("")))
+    row = F.struct(*[F.col(f"_value_{name}").alias(name) for name, _ in RECORD_FIELDS],
+                   reason.alias("reason"))
+    return typed.select(*others, F.inline(F.array(row)))
 
 
 def good_records(parsed: DataFrame, column: str = "value") -> DataFrame:
