@@ -14,22 +14,29 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLES_PER_RANGE = 8
+from ledgerspark.sources.small import small_table
+
+RANGES_PER_TASK = 4
+SAMPLES_PER_RANGE = 4
 RANGE = "_range"
 
 
 def range_count(df: DataFrame, ranges: int | None = None) -> int:
-    """How many key ranges to cut: as many as the session has shuffle tasks."""
+    """How many key ranges to cut: a few for each shuffle task of the session.
+
+    Ranges go to tasks by hash; several small ones per task even out its load.
+    """
     if ranges is None:
-        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = RANGES_PER_TASK * tasks
     return max(1, ranges)
 
 
 def with_range(df: DataFrame, keys: list[str], ranges: int | None = None) -> DataFrame:
     """Append ``_range``: 0, 1, 2... ascending with the key order, NULLs first.
 
-    The cut points come from a sample of about ``8 * ranges`` keys, so what the
-    driver holds grows with the number of tasks, not with the table.
+    The cut points come from a sample of a few keys per range, so what the driver
+    holds grows with the number of tasks, not with the table.
     """
     ranges = range_count(df, ranges)
     if ranges == 1:
@@ -168,7 +175,7 @@ def keys_at_ranks(df: DataFrame, label: str, key: Column,
 
 def _small(rows: DataFrame, table: list[tuple], schema: str) -> DataFrame:
     """A table with one row per wanted rank, so it is safe to broadcast."""
-    return F.broadcast(rows.sparkSession.createDataFrame(table, schema))
+    return F.broadcast(small_table(rows.sparkSession, table, schema))
 
 
 def _histogram(rows: DataFrame, bands: list[_Band]) -> dict[int, dict[str, int]]:

@@ -19,6 +19,7 @@ from ledgerspark.functions.missing import present
 from ledgerspark.operators.ordered import RANGE, with_range
 from ledgerspark.operators.project import input_features
 from ledgerspark.sources.scratch import materialize
+from ledgerspark.sources.small import small_table
 
 # Above this many distinct values the codes of a column stay a table.
 LOCAL_CODES = 100_000
@@ -57,8 +58,8 @@ def _codes(df: DataFrame, col: str, local_limit: int,
         head.sort(key=lambda r: r["value"])
         rows = [(r["value"], i, r["n_rows"]) for i, r in enumerate(head)]
         kind = counts.schema["value"].dataType.simpleString()
-        codes = df.sparkSession.createDataFrame(
-            rows, f"value {kind}, code long, n_rows long")
+        codes = small_table(
+            df.sparkSession, rows, f"value {kind}, code long, n_rows long")
         return codes, True
     # Too many for the driver: number the values range by range.  They are
     # written once, since finding the ranges and numbering them reads them again.

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ledgerspark.functions.missing import nan_to_null, present
 from ledgerspark.schema import is_float
+from ledgerspark.sources.small import small_table
 
 # Up to this many distinct values Spark's exact percentile keeps a small buffer.
 BUFFERED_VALUES = 100_000
@@ -115,19 +116,19 @@ def describe(df: DataFrame, exact: bool = True) -> DataFrame:
     numbers = {r[0]: r for r in _number_rows(df, numeric_columns(df), exact)}
     texts = {r[0]: r for r in _text_rows(df, text_columns(df))}
     rows = [numbers.get(c) or texts.get(c) for c in df.columns]
-    return df.sparkSession.createDataFrame([r for r in rows if r], _KINDS)
+    return small_table(df.sparkSession, [r for r in rows if r], _KINDS)
 
 
 def describe_numeric(df: DataFrame, cols: list[str] | None = None,
                      exact: bool = True) -> DataFrame:
     cols = numeric_columns(df) if cols is None else cols
-    return df.sparkSession.createDataFrame(_number_rows(df, cols, exact), _KINDS).drop(
+    return small_table(df.sparkSession, _number_rows(df, cols, exact), _KINDS).drop(
         "n_unique", "top", "freq")
 
 
 def describe_text(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     cols = text_columns(df) if cols is None else cols
-    return df.sparkSession.createDataFrame(_text_rows(df, cols), _KINDS).select(
+    return small_table(df.sparkSession, _text_rows(df, cols), _KINDS).select(
         "column", "n", "n_unique", "top", "freq")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.operators.ordered import hash_key, keys_at_ranks
+from ledgerspark.sources.small import small_table
 
 MAX_CLASSES = 10_000
 SPLIT = "split"
@@ -96,8 +97,7 @@ def assign_split(df: DataFrame, label: str, id_col, *, test_size: float = 0.2,
         for k, (test, valid) in plan.items()
     ]
     # One row per class, at most MAX_CLASSES: safe to broadcast.
-    table = df.sparkSession.createDataFrame(
-        cuts, "_label string, _test string, _valid string")
+    table = small_table(df.sparkSession, cuts, "_label string, _test string, _valid string")
     return (
         df.withColumns({"_label": F.col(f"`{label}`").cast("string"), "_key": key})
         .join(F.broadcast(table), "_label")

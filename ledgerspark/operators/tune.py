@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 
 from ledgerspark.operators.evaluate import evaluate
 from ledgerspark.operators.models import predict, train_model
+from ledgerspark.sources.small import small_table
 
 # Parameters that are whole numbers.
 WHOLE_PARAMETERS = ("max_depth", "n_estimators", "min_samples_split", "min_samples_leaf")
@@ -58,7 +59,8 @@ def random_search(train: DataFrame, valid: DataFrame, kind: str, base: dict[str,
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         recalls = list(pool.map(run, trials))
     best = max(range(n), key=lambda i: (recalls[i], -i))
-    table = spark.createDataFrame(
+    table = small_table(
+        spark,
         [(i, json.dumps(t, sort_keys=True), r)
          for i, (t, r) in enumerate(zip(trials, recalls))],
         "trial long, params string, recall double")
