@@ -37,6 +37,7 @@ from ledgerspark.plans import train as training
 from ledgerspark.schema import RECORD_SCHEMA
 from ledgerspark.sources import artifacts, datasets, exports, records, tables
 from ledgerspark.sources.scratch import scratch_path
+from ledgerspark.sources.small import small_table
 from ledgerspark.streaming import scoring as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -662,14 +663,27 @@ def lineitem_describe(spark, d):
 
 @query
 def lineitem_quartiles_narrowed(spark, d):
-    """Quartiles of a column with too many values to buffer (here above 1000)."""
+    """Quartiles of a column with too many values to hold or count (here above 1000)."""
     t = lineitem(spark, d).select(F.col("l_extendedprice").alias("c0"))
     n = t.count()
-    q = profile.percentiles(t, profile.QUARTILES, {"c0": n}, {}, buffered=1000)["c0"]
-    return spark.createDataFrame([(n, *q)], "n long, p25 double, p50 double, p75 double").select(
+    q = profile.percentiles(t, profile.QUARTILES, {"c0": n}, {}, buffered_rows=1000,
+                            counted_values=1000, sampled_rows=5000)["c0"]
+    return small_table(spark, [(n, *q)], "n long, p25 double, p50 double, p75 double").select(
         "n", r("p25"), r("p50"), r("p75"))
 
 
+@query
+def lineitem_quartiles_counted(spark, d):
+    """Quartiles of columns with few distinct values, counted by value."""
+    t = lineitem(spark, d).select(F.col("l_quantity").alias("c0"), F.col("l_tax").alias("c1"))
+    n = t.count()
+    q = profile.percentiles(t, profile.QUARTILES, {"c0": n, "c1": n}, {"c0": 50, "c1": 9},
+                            buffered_rows=1000)
+    return small_table(spark, [("l_quantity", *q["c0"]), ("l_tax", *q["c1"])],
+                       "column string, p25 double, p50 double, p75 double").select(
+        "column", r("p25"), r("p50"), r("p75"))
+
+
 @query
 def lineitem_duplicates(spark, d):
     return profile.duplicates(lineitem(spark, d).select("l_orderkey", "l_linenumber"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -12,8 +14,10 @@ from ledgerspark.functions.missing import nan_to_null, present
 from ledgerspark.schema import is_float
 from ledgerspark.sources.small import small_table
 
-# Up to this many distinct values Spark's exact percentile keeps a small buffer.
-BUFFERED_VALUES = 100_000
+BUFFERED_ROWS = 1_000_000  # rows whose values one task may hold
+COUNTED_VALUES = 20_000  # distinct values the driver may hold, per column
+FETCHED_VALUES = 100_000  # values of one bracket that a task may sort
+SAMPLED_ROWS = 1_000_000  # rows that bracket a rank
 QUARTILES = (0.25, 0.5, 0.75)
 
 
@@ -146,7 +150,7 @@ def _number_rows(df: DataFrame, cols: list[str], exact: bool) -> list[tuple]:
         if exact:
             aggs.append(F.approx_count_distinct(v).alias(f"d{i}"))
         else:
-            aggs.append(F.percentile_approx(v, list(QUARTILES), 10_000).alias(f"q{i}"))
+            aggs.append(F.percentile_approx(v, list(QUARTILES), 1_000).alias(f"q{i}"))
     row = df.agg(*aggs).first()
     if exact:
         counts = {f"c{i}": row[f"n{i}"] for i in range(len(cols))}
@@ -163,32 +167,55 @@ def _number_rows(df: DataFrame, cols: list[str], exact: bool) -> list[tuple]:
 
 
 def percentiles(df: DataFrame, probs, counts: dict[str, int], distinct: dict[str, int],
-                buffered: int = BUFFERED_VALUES) -> dict[str, list]:
+                buffered_rows: int = BUFFERED_ROWS, counted_values: int = COUNTED_VALUES,
+                sampled_rows: int = SAMPLED_ROWS) -> dict[str, list]:
     """Exact percentiles (linear interpolation) of double columns.
 
-    Spark's own ``percentile`` counts every distinct value in one buffer.  That is
-    right for columns with few of them; the others are narrowed down instead:
-    approximate percentiles bracket the wanted rank, exact counts confirm the
-    bracket, and the search goes on inside it.  Each round reads the column
-    and shuffles only counters; the values fetched at the end are few.
+    Spark's own ``percentile`` sends every task's distinct values to one task, so
+    it serves small tables only.  A column with few distinct values is counted by
+    value.  Any other is narrowed down: a sample brackets the wanted rank, exact
+    counts tell which side of the bracket it is on, and the search goes on there.
+    Those passes shuffle counters only, and few values are fetched at the end.
     """
     out: dict[str, list] = {c: [None] * len(probs) for c, n in counts.items() if n == 0}
-    held = [c for c, n in counts.items()
-            if n and (n <= buffered or distinct.get(c, n) <= buffered)]
+    held = [c for c, n in counts.items() if 0 < n <= buffered_rows]
     if held:
         row = df.agg(*[F.percentile(c, list(probs)).alias(c) for c in held]).first()
         out.update({c: list(row[c]) for c in held})
-    wide = [c for c in counts if c not in out]
-    if wide:
-        ranks = {(c, int(f(p * (counts[c] - 1)))) for c in wide for p in probs
-                 for f in (math.floor, math.ceil)}
-        at = _values_at_ranks(df, sorted(ranks), counts, buffered)
-        for c in wide:
-            out[c] = []
-            for p in probs:
-                pos = p * (counts[c] - 1)
-                low, high = at[c, math.floor(pos)], at[c, math.ceil(pos)]
-                out[c].append(low + (high - low) * (pos - math.floor(pos)))
+    left = [c for c in counts if c not in out]
+    if not left:
+        return out
+    ranks = sorted({(c, f(p * (counts[c] - 1))) for c in left for p in probs
+                    for f in (math.floor, math.ceil)})
+    by_value = [c for c in left if distinct.get(c, counts[c]) <= counted_values]
+    at = _ranks_by_value(df, [t for t in ranks if t[0] in by_value])
+    at.update(_ranks_by_narrowing(
+        df, [t for t in ranks if t[0] not in by_value], counts, buffered_rows, sampled_rows))
+    for c in left:
+        places = [p * (counts[c] - 1) for p in probs]
+        ends = [(at[c, math.floor(x)], at[c, math.ceil(x)]) for x in places]
+        out[c] = [lo + (hi - lo) * (x - math.floor(x)) for x, (lo, hi) in zip(places, ends)]
+    return out
+
+
+def _ranks_by_value(df: DataFrame, wanted: list[tuple[str, int]]) -> dict:
+    """The value at each (column, rank from 0) of columns with few distinct values."""
+    cols = sorted({c for c, _ in wanted})
+    if not cols:
+        return {}
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v"))
+                                for c in cols]))
+    rows = (
+        df.select(pairs.alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull())
+        .groupBy("c", "v").count().collect()
+    )
+    out = {}
+    for c in cols:
+        mine = sorted((r["v"], r["count"]) for r in rows if r["c"] == c)
+        ends = list(itertools.accumulate(n for _, n in mine))
+        for name, rank in wanted:
+            if name == c:
+                out[c, rank] = mine[bisect.bisect_right(ends, rank)][0]
     return out
 
 
@@ -198,6 +225,7 @@ class _Bracket:
     def __init__(self, col: str, rank: int, size: int):
         self.col, self.rank, self.size = col, rank, size
         self.low = self.high = None
+        self.unseen = False  # the last sample held nothing of it
 
     def inside(self) -> Column:
         c = F.col(self.col)
@@ -209,60 +237,69 @@ class _Bracket:
         return test
 
 
-def _values_at_ranks(df: DataFrame, wanted, counts, buffered) -> dict:
-    """The value at each (column, rank); see ``percentiles``."""
+def _ranks_by_narrowing(df: DataFrame, wanted, counts, fetched: int, sampled: int) -> dict:
+    """The value at each (column, rank from 0); see ``percentiles``."""
     found: dict[tuple[str, int], float] = {}
     todo = {(c, r): _Bracket(c, r, counts[c]) for c, r in wanted}
     while todo:
-        small = {k: b for k, b in todo.items() if b.size <= buffered}
-        large = {k: b for k, b in todo.items() if b.size > buffered}
+        small = {k: b for k, b in todo.items() if b.size <= min(fetched, FETCHED_VALUES)}
+        large = {k: b for k, b in todo.items() if k not in small}
         if small:
             row = df.agg(*[
                 F.array_sort(F.collect_list(F.when(b.inside(), F.col(b.col))))[b.rank]
                 .alias(f"v{i}") for i, b in enumerate(small.values())]).first()
             found.update({k: row[f"v{i}"] for i, k in enumerate(small)})
         if large:
-            found.update(_narrow(df, large))
+            most = max(b.size for b in large.values())
+            near = {k: b for k, b in large.items() if b.size * 100 >= most}
+            found.update(_narrow(df, near, sampled))
         todo = {k: b for k, b in large.items() if k not in found}
     return found
 
 
-def _narrow(df: DataFrame, brackets: dict) -> dict:
+def _narrow(df: DataFrame, brackets: dict, sampled: int) -> dict:
     """Tighten every bracket; returns the ranks that fell on an end."""
-    guess = df.agg(*[
-        F.percentile_approx(
-            F.when(b.inside(), F.col(b.col)),
-            [max(0.0, (b.rank + 0.5) / b.size - 2e-4), min(1.0, (b.rank + 0.5) / b.size + 2e-4)],
-            10_000).alias(f"g{i}")
-        for i, b in enumerate(brackets.values())]).first()
+    share = min(1.0, sampled / min(b.size for b in brackets.values()))
+    if any(b.unseen for b in brackets.values()):
+        share = 1.0
+    looked_at = df.sample(fraction=share, seed=29) if share < 1 else df
+    aims = []
+    for b in brackets.values():
+        p, m = (b.rank + 0.5) / b.size, b.size * share
+        slack = max(6 * math.sqrt(p * (1 - p) / m) + 3 / m, 2e-4)
+        aims.append([max(0.0, p - slack), min(1.0, p + slack)])
+    guess = looked_at.agg(*[
+        F.percentile_approx(F.when(b.inside(), F.col(b.col)), aim, 10_000).alias(f"g{i}")
+        for i, (b, aim) in enumerate(zip(brackets.values(), aims))]).first()
+    seen = {}
+    for i, (key, b) in enumerate(brackets.items()):
+        b.unseen = guess[f"g{i}"] is None
+        if not b.unseen:
+            seen[key] = (b, *guess[f"g{i}"])
     aggs = []
-    for i, b in enumerate(brackets.values()):
-        c, (lo, hi) = F.col(b.col), guess[f"g{i}"]
+    for i, (b, lo, hi) in enumerate(seen.values()):
+        c, within = F.col(b.col), b.inside()
         aggs += [
-            F.count_if(b.inside() & (c < lo)).alias(f"below{i}"),
-            F.count_if(b.inside() & (c == lo)).alias(f"at_lo{i}"),
-            F.count_if(b.inside() & (c > lo) & (c < hi)).alias(f"mid{i}"),
-            F.count_if(b.inside() & (c == hi) & F.lit(hi > lo)).alias(f"at_hi{i}"),
+            F.count_if(within & (c < lo)).alias(f"below{i}"),
+            F.count_if(within & (c == lo)).alias(f"lo{i}"),
+            F.count_if(within & (c > lo) & (c < hi)).alias(f"mid{i}"),
+            F.count_if(within & (c == hi) & F.lit(hi > lo)).alias(f"hi{i}"),
         ]
-    row = df.agg(*aggs).first()
+    row = df.agg(*aggs).first() if aggs else None
     found = {}
-    for i, (key, b) in enumerate(brackets.items()):
-        lo, hi = guess[f"g{i}"]
-        below, at_lo = row[f"below{i}"], row[f"at_lo{i}"]
-        mid, at_hi = row[f"mid{i}"], row[f"at_hi{i}"]
-        if b.rank < below:
-            b.high, b.size = lo, below
-        elif b.rank < below + at_lo:
+    for i, (key, (b, lo, hi)) in enumerate(seen.items()):
+        steps = list(itertools.accumulate(row[f"{k}{i}"] for k in ("below", "lo", "mid", "hi")))
+        if b.rank < steps[0]:
+            b.high, b.size = lo, steps[0]
+        elif b.rank < steps[1]:
             found[key] = lo
-        elif b.rank < below + at_lo + mid:
-            b.low, b.high, b.size = lo, hi, mid
-            b.rank -= below + at_lo
-        elif b.rank < below + at_lo + mid + at_hi:
+        elif b.rank < steps[2]:
+            b.low, b.high, b.size = lo, hi, steps[2] - steps[1]
+            b.rank -= steps[1]
+        elif b.rank < steps[3]:
             found[key] = hi
         else:
-            passed = below + at_lo + mid + at_hi
-            b.low, b.size = hi, b.size - passed
-            b.rank -= passed
+            b.low, b.size, b.rank = hi, b.size - steps[3], b.rank - steps[3]
     return found
 
 

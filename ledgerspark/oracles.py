@@ -439,6 +439,10 @@ def oracle_sql() -> dict[str, str]:
     o["lineitem_quartiles_narrowed"] = "SELECT count(*) AS n, " + ", ".join(
         f"round(quantile_cont(l_extendedprice, {p}), 4) AS p{int(p * 100)}"
         for p in (0.25, 0.5, 0.75)) + " FROM lineitem"
+    o["lineitem_quartiles_counted"] = _union([
+        f"""SELECT '{c}' AS "column", """ + ", ".join(
+            f"round(quantile_cont({c}, {p}), 4) AS p{int(p * 100)}" for p in (0.25, 0.5, 0.75))
+        + " FROM lineitem" for c in ("l_quantity", "l_tax")])
     o["lineitem_duplicates"] = """SELECT count(*) AS n_rows, count(*) - (SELECT count(*) FROM
   (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS n_duplicates FROM lineitem"""
     o["lineitem_fingerprint"] = "WITH " + _fingerprint(

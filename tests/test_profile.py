@@ -66,8 +66,13 @@ def test_narrowed_percentiles_are_exact(spark, shape):
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(7)
     probs = (0.0, 0.1, 0.25, 0.3333, 0.5, 0.75, 0.999, 1.0)
     expected = df.agg(F.percentile("x", list(probs))).first()[0]
-    got = profile.percentiles(df, probs, {"x": 3001}, {}, buffered=20)["x"]
-    assert got == pytest.approx(expected, rel=1e-12)
+    for sampled in (100, 10_000):
+        got = profile.percentiles(df, probs, {"x": 3001}, {}, buffered_rows=20,
+                                  counted_values=0, sampled_rows=sampled)["x"]
+        assert got == pytest.approx(expected, rel=1e-12)
+    by_value = profile.percentiles(df, probs, {"x": 3001}, {}, buffered_rows=20,
+                                   counted_values=5000)["x"]
+    assert by_value == pytest.approx(expected, rel=1e-12)
 
 
 def test_fingerprint_ignores_order_only(spark):
