@@ -125,6 +125,23 @@ def feat_all(spark, d):
     return t.select("row_id", "amt", *map(big, TIME_COLUMNS), big("age"), r("geo_distance"))
 
 
+@query
+def feat_splits(spark, d):
+    """The same features derived for each split on its own."""
+    parts = split.split_tables(testbed.txn(spark, d), "is_fraud", "row_id")
+    done = features.add_features_to_splits(*parts)
+    t = done[0].unionByName(done[1]).unionByName(done[2])
+    return t.select("row_id", "amt", *map(big, TIME_COLUMNS), big("age"), r("geo_distance"))
+
+
+@query
+def featurize_table(spark, d):
+    """The stored table of the feature step."""
+    out = stages.featurize(testbed.records(spark, d), default_conf(), "row_id")
+    return out.data.select("row_id", "amt", *map(big, TIME_COLUMNS), big("age"),
+                           r("geo_distance"))
+
+
 @query
 def parse_layouts(spark, d):
     """Year-first, month-first, month-first without a time, and text that is no time."""
@@ -497,6 +514,39 @@ def versioned_dataset(spark, d):
     return datasets.read_version(spark, root, "raw_data").select("row_id", "category", "job")
 
 
+def _csv_conf(spark, d) -> dict:
+    """A configuration whose raw table is the records as delimited text."""
+    path = scratch_path(spark, "raw")
+    tables.write_table(testbed.records(spark, d), path, "csv")
+    conf = _small_tree()
+    conf["data_source"]["raw_path"] = path
+    conf["data_validation"]["schema"]["columns"] = [
+        {"name": "row_id", "dtype": "int", "required": True}, *RECORD_RULES,
+        {"name": "is_fraud", "dtype": "int", "required": True}]
+    return conf
+
+
+@query
+def load_and_profile(spark, d):
+    """The load step: a delimited file under declared types, described."""
+    return _described(stages.load_and_profile(spark, _csv_conf(spark, d))["describe"])
+
+
+@query
+def run_stages(spark, d):
+    """Load, validate and train from a delimited file: rows held out per split."""
+    result = stages.run(spark, _csv_conf(spark, d), "all", id_col="row_id")
+    return result.metrics.select("split", "n")
+
+
+@query
+def run_steps(spark, d):
+    """Load, validate, fill, train and score with stored tables in between."""
+    got = stages.run_steps(spark, _csv_conf(spark, d), "row_id", "row_id")
+    return got["predictions"].select("row_id", "amt", "job",
+                                     F.col("prediction").isin(0, 1).alias("has_class"))
+
+
 def _json_file(spark, d) -> str:
     path = scratch_path(spark, "records")
     testbed.json_lines(spark, d).select("value").write.text(path)

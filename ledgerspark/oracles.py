@@ -260,6 +260,9 @@ def oracle_sql() -> dict[str, str]:
   CASE WHEN {usable} THEN round(km, 4) ELSE 0.0::DOUBLE END AS geo_distance FROM geo"""
     o["feat_all"] = _with(_distance("txn")) + f"""SELECT txn.row_id, amt, {_TIME}, {_AGE},
   round(km, 4) AS geo_distance FROM txn JOIN geo ON geo.row_id = txn.row_id"""
+    o["feat_splits"] = o["feat_all"]
+    # Records carry whole seconds, which no feature but the time itself reads.
+    o["featurize_table"] = o["feat_all"]
     o["parse_layouts"] = _with() + """SELECT row_id, CASE row_id % 4
   WHEN 0 THEN strftime(trans_date_trans_time, '%Y-%m-%d %H:%M:%S')
   WHEN 1 THEN strftime(trans_date_trans_time, '%Y-%m-%d %H:%M:00')
@@ -416,6 +419,16 @@ def oracle_sql() -> dict[str, str]:
     o["stage_round_trip"] = _with() + "SELECT row_id, amt, job FROM txn"
     o["versioned_dataset"] = _with() + \
         "SELECT row_id, category, job FROM txn WHERE job IS NOT NULL"
+    numbers = ("row_id", "amt", "zip", "lat", "city_pop", "merch_lat", "merch_long", "is_fraud")
+    words = ("trans_date_trans_time", "category", "gender", "city", "state", "job", "dob")
+    o["load_and_profile"] = _with(RECORDS) + _union(
+        [_numbers("records", c, text=True) for c in numbers]
+        + [_numbers("records", '"long"', "long", text=True)]
+        + [_text("records", c, True) for c in words])
+    o["run_stages"] = _with(RECORDS, _split("records", "is_fraud", _ROW_KEY, 42, 0.2, 0.2)) + \
+        "SELECT split, count(*) AS n FROM parts WHERE split <> 'train' GROUP BY split"
+    o["run_steps"] = _with(RECORDS) + \
+        "SELECT row_id, amt, job, true AS has_class FROM records"
     good = "row_id % 13 <> 0 AND row_id % 17 <> 0"
     o["json_records"] = _with(RECORDS) + f"SELECT {_FIELDS} FROM records WHERE {good}"
     o["json_rejected"] = _with() + f"""SELECT row_id, concat_ws('; ',

@@ -19,7 +19,7 @@ from ledgerspark.operators.validate import (
     validate_schema,
     validation_report,
 )
-from ledgerspark.plans.score import score_path
+from ledgerspark.plans.score import score, score_path
 from ledgerspark.plans.train import TrainResult, stored, train
 from ledgerspark.sources.exports import sample_head, schema_dict, schema_export
 from ledgerspark.sources.tables import apply_types, read_dataset
@@ -30,12 +30,16 @@ STAGES = ("load", "validate", "pipeline", "infer", "all")
 
 
 def load_and_profile(spark: SparkSession, conf: dict[str, Any], base_dir: str | None = None,
-                     exact: bool = True) -> dict[str, DataFrame]:
-    """Read the raw table and profile it; the table itself is under ``data``."""
+                     exact: bool = True, order_by=None) -> dict[str, DataFrame]:
+    """Read the raw table and profile it; the table itself is under ``data``.
+
+    With ``order_by`` its first 100 rows are under ``sample``.
+    """
     df = read_dataset(spark, conf, "raw", base_dir)
     if df.isEmpty():
         logger.warning("Loaded dataframe is empty.")
-    return {"data": df, **profile(df, exact)}
+    sample = {"sample": sample_head(df, 100, order_by)} if order_by else {}
+    return {"data": df, **profile(df, exact), **sample}
 
 
 def validate_and_fill(df: DataFrame, rules: list[dict[str, Any]], order_by,
@@ -94,6 +98,26 @@ def run(spark: SparkSession, conf: dict[str, Any], stage: str = "all", *,
     return df
 
 
+def run_steps(spark: SparkSession, conf: dict[str, Any], id_col, order_by, *,
+              base_dir: str | None = None) -> dict[str, Any]:
+    """Load, validate and fill, train, score; each step stores what it hands on.
+
+    Tables go to named versions under the artifact root: raw_data, validated_data,
+    engineered_splits, preprocessed_data, inference_predictions.
+    """
+    text = read_dataset(spark, conf, "raw", base_dir, as_text=True)
+    raw = stored(text, conf, "raw_data")
+    filled = validate_and_fill(raw, rules_of(conf), order_by, text=True)
+    validated = stored(filled, conf, "validated_data")
+    result = train(validated, conf, id_col)
+    unseen = conf.get("inference", {}).get("input_path")
+    table = read_dataset(
+        spark, {**conf, "data_source": {**conf["data_source"], "raw_path": unseen}},
+        "raw", base_dir) if unseen else validated
+    predictions = stored(score(table, conf, result.model), conf, "inference_predictions")
+    return {"raw": raw, "validated": validated, "training": result, "predictions": predictions}
+
+
 def check(df: DataFrame, conf: dict[str, Any]) -> DataFrame | None:
     """Validate as configured: raise, or return the report and only warn."""
     cfg = conf.get("data_validation", {})
@@ -111,5 +135,5 @@ def check(df: DataFrame, conf: dict[str, Any]) -> DataFrame | None:
 
 __all__ = [
     "STAGES", "DataValidationError", "Outputs", "check", "featurize", "load_and_profile",
-    "preprocess", "run", "validate_and_fill",
+    "preprocess", "run", "run_steps", "validate_and_fill",
 ]

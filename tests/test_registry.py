@@ -5,7 +5,7 @@ import __spark_entry__ as entry
 import check_oracles
 
 SLOW = {"train_random_forest", "train_gradient_boosting", "tune_random_search", "score_stream",
-        "score_file", "score_table", "score_properties", "evaluate_saved_model"}
+        "score_file", "score_table", "run_stages", "run_steps", "score_properties", "evaluate_saved_model"}
 
 
 @pytest.fixture(scope="module")

@@ -145,6 +145,16 @@ def test_all_stages(spark, job_conf):
     assert back.columns[-2:] == ["prediction", "prediction_proba"] and back.count() == 60
 
 
+def test_steps_hand_on_stored_tables(spark, job_conf):
+    got = stages.run_steps(spark, job_conf, "trans_num", ["unix_time"])
+    assert got["predictions"].count() == 60 and "prediction" in got["predictions"].columns
+    assert got["validated"].schema["amt"].dataType.simpleString() == "double"
+    root = job_conf["artifacts"]["root"]
+    for name in ("raw_data", "validated_data", "engineered_splits", "preprocessed_data",
+                 "inference_predictions"):
+        assert datasets.versions(spark, root, name) == [1]
+
+
 def test_stage_names_and_failures(spark, job_conf):
     assert stages.run(spark, job_conf, "load").count() == 60
     assert stages.run(spark, job_conf, "validate").count() == 60
@@ -158,7 +168,8 @@ def test_stage_names_and_failures(spark, job_conf):
 
 
 def test_load_and_profile(spark, job_conf):
-    got = stages.load_and_profile(spark, job_conf)
+    got = stages.load_and_profile(spark, job_conf, order_by="unix_time")
+    assert got["sample"].first().trans_num == "t0"
     assert got["shape"].first().n_rows == 60 and got["duplicates"].first().n_duplicates == 0
     assert got["describe"].count() == 22
 
