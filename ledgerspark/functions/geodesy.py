@@ -70,20 +70,27 @@ def _length(big_a: str, big_b: str, arc: str, ss: str, cs: str, m: str) -> str:
 _U = _n((EQUATOR_RADIUS_KM / POLE_RADIUS_KM) ** 2 - 1)
 
 
-def _arc_at(azimuth: str) -> dict[str, str]:
-    """The auxiliary-sphere arc that leaves point 1 of ``s`` at an azimuth."""
-    sa, ca = f"sin({azimuth})", f"cos({azimuth})"
-    sin_a = f"({sa} * s.cb1)"
-    lean = f"greatest({ca} * {ca} * s.cb1 * s.cb1 + (s.sb1 - s.sb2) * (s.sb1 + s.sb2), 0D)"
-    ca2 = f"(sqrt({lean}) / s.cb2)"
-    start = f"atan2(s.sb1, {ca} * s.cb1)"
-    end = f"atan2(s.sb2, {ca2} * s.cb2)"
-    turn1 = f"atan2({sin_a} * s.sb1, {ca} * s.cb1)"
-    turn2 = f"atan2({sin_a} * s.sb2, {ca2} * s.cb2)"
-    arc = f"({end} - {start})"
-    return {"sin_a": sin_a, "arc": arc, "m": f"cos({start} + {end})", "ss": f"sin({arc})",
-            "cs": f"cos({arc})", "turn": f"({turn2} - {turn1})",
-            "q": f"(1D - {sin_a} * {sin_a})"}
+def _bind(name: str, value: str, body: str) -> str:
+    """``body`` with a name for a value, which is then computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _at_azimuth(azimuth: str, body: str) -> str:
+    """``body`` over ``c``: the auxiliary-sphere arc that leaves point 1 of ``s``.
+
+    Its fields are the arc, its sine and cosine, the longitude it turns, ``m`` (the
+    cosine of twice the middle), the sine of the azimuth at the equator and ``q``.
+    """
+    level = "sqrt(greatest(a.c1 * a.c1 + (s.sb1 - s.sb2) * (s.sb1 + s.sb2), 0D))"
+    ends = ("named_struct('from', atan2(s.sb1, a.c1), 'to', atan2(s.sb2, a.c2), "
+            "'turn', atan2(a.sa * s.sb2, a.c2) - atan2(a.sa * s.sb1, a.c1))")
+    arc = ("named_struct('arc', b.to - b.from, 'ss', sin(b.to - b.from), "
+           "'cs', cos(b.to - b.from), 'm', cos(b.from + b.to), 'turn', b.turn, "
+           "'sa', a.sa, 'q', 1D - a.sa * a.sa)")
+    inner = _bind("b", ends, _bind("c", arc, body))
+    with_level = _bind("a", f"named_struct('sa', a.sa, 'c1', a.c1, 'c2', {level})", inner)
+    return _bind("a", f"named_struct('sa', sin({azimuth}) * s.cb1, 'c1', cos({azimuth}) * s.cb1)",
+                 with_level)
 
 
 def _opposite_km(s1: str, s2: str, dl: str) -> str:
@@ -98,17 +105,18 @@ def _opposite_km(s1: str, s2: str, dl: str) -> str:
     base = (f"named_struct('sb1', least({far} * {flip}, -1e-150D), "
             f"'cb1', greatest(sqrt(1D - {far} * {far}), 1e-150D), "
             f"'sb2', {near} * {flip}, "
-            f"'cb2', greatest(sqrt(1D - {near} * {near}), 1e-150D), "
             f"'dl', abs({dl}), 'lo', 0D, 'hi', {_n(math.pi)})")
+    bend = _bind("k", _bend_factor("c.q"), _bend("k", "c.sa", "c.arc", "c.ss", "c.cs", "c.m"))
     half = "((s.lo + s.hi) * 0.5D)"
-    p = _arc_at(half)
-    reach = f"{p['turn']} - " + _bend(
-        _bend_factor(p["q"]), p["sin_a"], p["arc"], p["ss"], p["cs"], p["m"])
-    kept = "'sb1', s.sb1, 'cb1', s.cb1, 'sb2', s.sb2, 'cb2', s.cb2, 'dl', s.dl"
-    step = (f"(s, i) -> if({reach} < s.dl, named_struct({kept}, 'lo', {half}, 'hi', s.hi), "
-            f"named_struct({kept}, 'lo', s.lo, 'hi', {half}))")
-    a, b = _length_factors(f"({p['q']} * {_U})")
-    done = f"s -> {_length(a, b, p['arc'], p['ss'], p['cs'], p['m'])}"
+    step = "(s, i) -> " + _at_azimuth(half, (
+        "named_struct('sb1', s.sb1, 'cb1', s.cb1, 'sb2', s.sb2, 'dl', s.dl, "
+        f"'lo', if(c.turn - {bend} < s.dl, {half}, s.lo), "
+        f"'hi', if(c.turn - {bend} < s.dl, s.hi, {half}))"))
+    big_a, big_b = _length_factors("u")
+    length = _bind("u", f"c.q * {_U}", _bind(
+        "k", f"named_struct('a', {big_a}, 'b', {big_b})",
+        _length("k.a", "k.b", "c.arc", "c.ss", "c.cs", "c.m")))
+    done = "s -> " + _at_azimuth(half, length)
     return f"aggregate(sequence(1, {BISECTIONS}), {base}, {step}, {done})"
 
 

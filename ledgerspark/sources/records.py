@@ -6,40 +6,38 @@ only; other keys are ignored.  A record that breaks this is kept with the reason
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.config import RECORD_FIELDS
 from ledgerspark.sources.tables import check_path
 
-_WHOLE = r"^\s*[+-]?\d+(\.0*)?\s*$"
+_WHOLE = "^ *[+-]?[0-9]+([.]0*)? *$"
+_ZEROS = "[.]0* *$"
 
 
 class RecordError(ValueError):
     """A record does not have the declared fields."""
 
 
-def _typed(name: str, dtype: str) -> Column:
+def _typed(name: str, dtype: str) -> str:
     """The value of a field from its variant kind and its text; NULL if unusable."""
-    kind, text = F.col(f"_kind_{name}"), F.col(f"_text_{name}")
+    kind, text = f"_kind_{name}", f"_text_{name}"
     if dtype == "str":
-        return F.when(kind == "STRING", text)
+        return f"if({kind} = 'STRING', {text}, NULL)"
+    target = "BIGINT" if dtype == "int" else "DOUBLE"
+    plain = f"try_cast({text} AS {target})"
     if dtype == "int":
-        target = "long"
-        whole = F.when(text.rlike(_WHOLE), F.regexp_replace(text, r"\.0*\s*$", ""))
-        plain = F.coalesce(text.try_cast(target), whole.try_cast(target))
-    else:
-        target = "double"
-        plain = text.try_cast(target)
-    flag = text.try_cast("boolean").cast("int").cast(target)
-    number = F.substring(kind, 1, 3).isin("BIG", "DEC", "DOU", "FLO", "STR")
-    return F.when(number, plain).when(kind == "BOOLEAN", flag)
+        whole = f"if({text} RLIKE '{_WHOLE}', regexp_replace({text}, '{_ZEROS}', ''), NULL)"
+        plain = f"coalesce({plain}, try_cast({whole} AS {target}))"
+    return (f"CASE WHEN left({kind}, 3) IN ('BIG', 'DEC', 'DOU', 'FLO', 'STR') THEN {plain} "
+            f"WHEN {kind} = 'BOOLEAN' THEN CAST(if({text} = 'true', 1, 0) AS {target}) END")
 
 
-def _reason(name: str, dtype: str) -> Column:
-    kind = F.col(f"_kind_{name}")
-    return F.when(kind.isNull() | (kind == "VOID"), F.lit(f"{name}: missing")).when(
-        F.col(f"_value_{name}").isNull(), F.lit(f"{name}: not {dtype}"))
+def _reason(name: str, dtype: str) -> str:
+    kind = f"_kind_{name}"
+    return (f"CASE WHEN {kind} IS NULL OR {kind} = 'VOID' THEN '{name}: missing' "
+            f"WHEN _value_{name} IS NULL THEN '{name}: not {dtype}' END")
 
 
 def parse_records(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -51,27 +49,24 @@ def parse_records(lines: DataFrame, column: str = "value") -> DataFrame:
     fourteen field checks.
     """
     others = [f"`{c}`" for c in lines.columns]
-    shape = ", ".join(f"{name} variant" for name, _ in RECORD_FIELDS)
+    names = [name for name, _ in RECORD_FIELDS]
+    shape = ", ".join(f"{name} variant" for name in names)
     doc = lines.select(
         *others,
         F.from_json(F.col(column), f"{shape}, _broken string",
                     {"columnNameOfCorruptRecord": "_broken"}).alias("_doc"))
-    broken = F.col("_doc").isNull() | F.col("_doc._broken").isNotNull()
-    taken = [broken.alias("_is_broken")]
-    for name, _ in RECORD_FIELDS:
-        item = F.col("_doc")[name]
-        taken += [F.schema_of_variant(item).alias(f"_kind_{name}"),
-                  F.try_variant_get(item, "$", "string").alias(f"_text_{name}")]
-    kinds = [f"_kind_{name}" for name, _ in RECORD_FIELDS]
-    typed = doc.select(*others, *taken).select(
-        *others, "_is_broken", *kinds,
-        *[_typed(name, dtype).alias(f"_value_{name}") for name, dtype in RECORD_FIELDS])
-    wrong = F.concat_ws("; ", *[_reason(name, dtype) for name, dtype in RECORD_FIELDS])
-    reason = F.when(F.col("_is_broken"), F.lit("not a JSON object")).otherwise(
-        F.nullif(wrong, F.lit("")))
-    row = F.struct(*[F.col(f"_value_{name}").alias(name) for name, _ in RECORD_FIELDS],
-                   reason.alias("reason"))
-    return typed.select(*others, F.inline(F.array(row)))
+    taken = doc.selectExpr(
+        *others, "_doc IS NULL OR _doc._broken IS NOT NULL AS _is_broken",
+        *[f"schema_of_variant(_doc.`{n}`) AS _kind_{n}" for n in names],
+        *[f"try_variant_get(_doc.`{n}`, '$', 'string') AS _text_{n}" for n in names])
+    typed = taken.selectExpr(
+        *others, "_is_broken", *[f"_kind_{n}" for n in names],
+        *[f"{_typed(name, dtype)} AS _value_{name}" for name, dtype in RECORD_FIELDS])
+    wrong = ", ".join(_reason(name, dtype) for name, dtype in RECORD_FIELDS)
+    reason = f"if(_is_broken, 'not a JSON object', nullif(concat_ws('; ', {wrong}), ''))"
+    fields = ", ".join(f"'{n}', _value_{n}" for n in names)
+    return typed.selectExpr(
+        *others, f"inline(array(named_struct({fields}, 'reason', {reason})))")
 
 
 def good_records(parsed: DataFrame, column: str = "value") -> DataFrame:

@@ -14,29 +14,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e, u = F.col("event_id"), F.col("user_id")
+    def off(n: int) -> str:
+        return f"CAST((event_id * {n}) % 200 - 100 AS DOUBLE) / 100D"
 
-    def off(n: int):
-        return ((e * n) % 200 - 100).cast("double") / F.lit(100.0)
-
-    lat = 25 + ((u * 37) % 2400).cast("double") / F.lit(100.0)
-    lon = -120 + ((u * 53) % 5000).cast("double") / F.lit(100.0)
-    return table(spark, sf_dir, "events").select(
-        e.alias("row_id"),
-        u.alias("cc_num"),
-        F.col("event_type").alias("category"),
-        F.col("value").alias("amt"),
-        F.col("ts").cast("timestamp_ntz").alias("trans_date_trans_time"),
-        F.expr("date_add(date'1940-01-01', cast((user_id * 263) % 22000 as int))").alias("dob"),
-        F.when(u % 2 == 0, "F").otherwise("M").alias("gender"),
-        F.when(e % 7 != 0, F.concat(F.lit("job_"), (u % 11).cast("string"))).alias("job"),
-        F.when(e % 11 != 0, 100 + (u * 7919) % 1000000).alias("city_pop"),
-        lat.alias("lat"),
-        lon.alias("long"),
-        (lat + off(17)).alias("merch_lat"),
-        (lon + off(29)).alias("merch_long"),
-        (F.col("event_type").isin("purchase", "error") & (F.col("value") > 150))
-        .cast("int").alias("is_fraud"),
+    lat = "25 + CAST((user_id * 37) % 2400 AS DOUBLE) / 100D"
+    lon = "-120 + CAST((user_id * 53) % 5000 AS DOUBLE) / 100D"
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS row_id",
+        "user_id AS cc_num",
+        "event_type AS category",
+        "value AS amt",
+        "CAST(ts AS TIMESTAMP_NTZ) AS trans_date_trans_time",
+        "date_add(date'1940-01-01', CAST((user_id * 263) % 22000 AS INT)) AS dob",
+        "if(user_id % 2 = 0, 'F', 'M') AS gender",
+        "if(event_id % 7 <> 0, concat('job_', CAST(user_id % 11 AS STRING)), NULL) AS job",
+        "if(event_id % 11 <> 0, 100 + (user_id * 7919) % 1000000, NULL) AS city_pop",
+        f"{lat} AS lat",
+        f"{lon} AS long",
+        f"{lat} + {off(17)} AS merch_lat",
+        f"{lon} + {off(29)} AS merch_long",
+        "CAST(event_type IN ('purchase', 'error') AND value > 150 AS INT) AS is_fraud",
     )
 
 
