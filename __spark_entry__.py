@@ -145,16 +145,17 @@ def featurize_table(spark, d):
 @query
 def parse_layouts(spark, d):
     """Year-first, month-first, month-first without a time, and text that is no time."""
-    t, i = F.col("trans_date_trans_time"), F.col("row_id")
-    text = (
-        F.when(i % 4 == 0, F.date_format(t, "yyyy-MM-dd HH:mm:ss"))
-        .when(i % 4 == 1, F.date_format(t, "M/d/yyyy H:mm"))
-        .when(i % 4 == 2, F.date_format(t, "M/d/yyyy"))
-        .otherwise(F.lit("soon"))
-    )
-    df = testbed.txn(spark, d).select("row_id", text.alias("text"))
+    text = """CASE row_id % 4
+        WHEN 0 THEN left(CAST(trans_date_trans_time AS STRING), 19)
+        WHEN 1 THEN concat(month(trans_date_trans_time), '/', day(trans_date_trans_time), '/',
+            year(trans_date_trans_time), ' ', hour(trans_date_trans_time), ':',
+            lpad(CAST(minute(trans_date_trans_time) AS STRING), 2, '0'))
+        WHEN 2 THEN concat(month(trans_date_trans_time), '/', day(trans_date_trans_time), '/',
+            year(trans_date_trans_time))
+        ELSE 'soon' END AS text"""
+    df = testbed.txn(spark, d).selectExpr("row_id", text)
     parsed = df.withColumn("at", parse_time(df, "text", on_error="null"))
-    return parsed.select("row_id", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("at"))
+    return parsed.select("row_id", F.left(F.col("at").cast("string"), F.lit(19)).alias("at"))
 
 
 # ------------------------------------------------------------------- profile

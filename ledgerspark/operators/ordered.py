@@ -42,20 +42,17 @@ def with_range(df: DataFrame, keys: list[str], ranges: int | None = None) -> Dat
     if ranges == 1:
         return df.withColumn(RANGE, F.lit(0))
     wanted = SAMPLES_PER_RANGE * ranges
-    named = df.select(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)])
+    key = _order_key(keys)
+    named = df.select(key.alias("key"))
     total = named.count()
     if total > wanted:
         named = named.sample(fraction=min(1.0, 1.1 * wanted / total), seed=17)
-    key_type = F.struct(*named.columns)
     # Cut points travel as JSON text: it may round a fraction of a second, which
     # only moves a cut, never a result.
     packed = (
-        named.agg(F.array_sort(F.collect_set(key_type)).alias("ks"))
+        named.agg(F.array_sort(F.collect_set("key")).alias("ks"))
         .withColumn("step", F.greatest(F.lit(1), F.floor(F.size("ks") / F.lit(ranges))))
-        .select(
-            F.col("ks"),
-            F.expr("filter(ks, (k, i) -> i > 0 AND i % step = 0)").alias("cuts"),
-        )
+        .select(F.expr("filter(ks, (k, i) -> i > 0 AND i % step = 0)").alias("cuts"))
     )
     kind = packed.schema["cuts"].dataType
     row = packed.select(
@@ -65,22 +62,22 @@ def with_range(df: DataFrame, keys: list[str], ranges: int | None = None) -> Dat
     if row["n"] == 0:
         return df.withColumn(RANGE, F.lit(0))
     cuts = F.from_json(F.lit(row["text"]), f"cuts {kind.simpleString()}")["cuts"]
-    return df.withColumn(RANGE, _position(cuts, row["n"], keys))
-
-
-def _position(cuts: Column, n: int, keys: list[str]) -> Column:
-    """How many cut points are at or below the key, by halving."""
-    key = F.struct(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)])
-    start = F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi"))
-
-    def halve(s: Column, _: Column) -> Column:
-        mid = F.floor((s.lo + s.hi) / 2).cast("int")
-        passed = F.struct((mid + 1).alias("lo"), s.hi.alias("hi"))
-        short = F.struct(s.lo.alias("lo"), mid.alias("hi"))
-        return F.when(s.lo >= s.hi, s).when(F.get(cuts, mid) <= key, passed).otherwise(short)
-
-    rounds = F.sequence(F.lit(1), F.lit(n.bit_length() + 1))
-    return F.aggregate(rounds, start, halve, lambda s: s.lo)
+    # How many cut points are at or below the key, found by halving.  The steps are
+    # plain projections, so they compile into the stage that reads the rows; past
+    # the end of the cuts the comparison is NULL and adds nothing.
+    steps, at = [], "0"
+    for bit in reversed(range(row["n"].bit_length())):
+        steps.append(f"{at} + if(get(_cuts, {at} + {2**bit - 1}) <= _key, {2**bit}, 0) AS _at{bit}")
+        at = f"_at{bit}"
+    placed = df.select("*", cuts.alias("_cuts"), key.alias("_key")).select(
+        "*", *map(F.expr, steps))
+    return placed.select(*[f"`{c}`" for c in df.columns], F.col(at).alias(RANGE))
+
+
+def _order_key(keys: list[str]) -> Column:
+    """One comparable value per row; NULLs come first in a struct."""
+    named = [F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)]
+    return named[0] if len(keys) == 1 else F.struct(*named)
 
 
 # --------------------------------------------------------------------------

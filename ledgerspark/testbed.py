@@ -39,18 +39,17 @@ def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The transactions with all 14 fields of a scoring record, as text where due."""
-    return txn(spark, sf_dir).select(
+    return txn(spark, sf_dir).selectExpr(
         "row_id",
-        F.date_format("trans_date_trans_time", "yyyy-MM-dd HH:mm:ss")
-        .alias("trans_date_trans_time"),
+        "left(CAST(trans_date_trans_time AS STRING), 19) AS trans_date_trans_time",
         "category", "amt", "gender",
-        F.concat(F.lit("city_"), (F.col("cc_num") % 97).cast("string")).alias("city"),
-        F.concat(F.lit("S"), (F.col("cc_num") % 50).cast("string")).alias("state"),
-        (10000 + F.col("cc_num") % 90000).alias("zip"),
+        "concat('city_', CAST(cc_num % 97 AS STRING)) AS city",
+        "concat('S', CAST(cc_num % 50 AS STRING)) AS state",
+        "10000 + cc_num % 90000 AS zip",
         "lat", "long",
-        F.coalesce("city_pop", F.lit(0)).alias("city_pop"),
-        F.coalesce("job", F.lit("none")).alias("job"),
-        F.date_format("dob", "yyyy-MM-dd").alias("dob"),
+        "coalesce(city_pop, 0) AS city_pop",
+        "coalesce(job, 'none') AS job",
+        "CAST(dob AS STRING) AS dob",
         "merch_lat", "merch_long", "is_fraud",
     )
 
