@@ -54,7 +54,7 @@ _WHOLE = ("maxDepth", "minInstancesPerNode", "seed", "numTrees", "maxIter")
 def spark_params(kind: str, params: dict[str, Any]) -> dict[str, Any]:
     """Published parameters under Spark's names; those without one are logged."""
     if kind not in MODEL_REGISTRY:
-        raise ValueError(f"Unsupported model type: {kind}")
+        raise ValueError(f"No learner is called {kind!r}; there are {sorted(MODEL_REGISTRY)}")
     out: dict[str, Any] = {}
     for name, value in params.items():
         if name in _WEIGHTING:

@@ -20,7 +20,7 @@ def require_columns(df: DataFrame, names: list[str]) -> None:
     """Fail with the full list of columns that are not there."""
     missing = [c for c in names if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"Columns that are required but absent: {missing}")
 
 
 def select_raw_features(df: DataFrame, conf: dict, strict: bool = True) -> DataFrame:
@@ -45,7 +45,7 @@ def input_features(columns: list[str], conf: dict, *, among: list[str] | None =
     chosen = [c for c in engineered if c in offered]
     if chosen or (on_empty == "all"):
         return chosen or offered
-    raise ValueError("None of the engineered features are present after transform")
+    raise ValueError(f"No configured input feature is among the columns {offered}")
 
 
 def select_engineered(df: DataFrame, conf: dict, on_empty: str = "all") -> DataFrame:

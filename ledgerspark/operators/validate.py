@@ -40,9 +40,10 @@ class _Check:
 
     def message(self, n: int) -> str:
         name = self.column
+        # The wording that callers match on.
         return {
             "present": f"Missing required column: {name}" if self.fatal
-            else f"Column '{name}' not found in DataFrame, skipping.",
+            else f"Optional column '{name}' is absent",
             "missing": f"Column '{name}' has {n} missing values "
                        f"({'required' if self.fatal else 'optional'}).",
             "type": f"Column '{name}' has incorrect type. Expected {self.rule.get('dtype')}",

@@ -23,7 +23,7 @@ def model_path(conf: dict[str, Any]) -> str:
     if not path and cfg.get("root"):
         path = f"{cfg['root'].rstrip('/')}/model"
     if not path:
-        raise ValueError("No model path specified in configuration.")
+        raise ValueError("The configuration names neither a model path nor an artifact root")
     return path
 
 
@@ -36,9 +36,11 @@ def score(df: DataFrame, conf: dict[str, Any], model: ScoringModel | None = None
     model = model or load_model(df.sparkSession, model_path(conf))
     require_columns(df, conf.get("raw_features", []))
     raw = raw_feature_names(conf)
-    # Only what the features need travels beside the row as it came.
+    # Only what the features need travels beside the row as it came.  Results of an
+    # earlier scoring are replaced.
+    came = [c for c in df.columns if c not in ("prediction", "prediction_proba")]
     work = df.select(
-        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(_ROW),
+        F.struct(*[F.col(f"`{c}`") for c in came]).alias(_ROW),
         *[F.col(f"`{c}`") for c in raw])
     work = score_features(add_features(work), model).select(
         f"{_ROW}.*", "prediction",

@@ -37,7 +37,7 @@ def load_and_profile(spark: SparkSession, conf: dict[str, Any], base_dir: str |
     """
     df = read_dataset(spark, conf, "raw", base_dir)
     if df.isEmpty():
-        logger.warning("Loaded dataframe is empty.")
+        logger.warning("The raw table has no rows")
     sample = {"sample": sample_head(df, 100, order_by)} if order_by else {}
     return {"data": df, **profile(df, exact), **sample}
 

@@ -26,4 +26,4 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 
 def require(spark: SparkSession, path: str, label: str) -> None:
     if not exists(spark, path):
-        raise FileNotFoundError(f"{label} not found: {path}")
+        raise FileNotFoundError(f"There is no {label} at {path}")

@@ -40,9 +40,9 @@ def _charset(encoding: str) -> str:
 
 def check_path(spark: SparkSession, path: Any) -> str:
     if not path or not isinstance(path, str):
-        raise ValueError("No valid data path specified in configuration.")
+        raise ValueError(f"A table path must be a text that is not empty, got {path!r}")
     if not paths.exists(spark, path):
-        raise FileNotFoundError(f"Data file not found: {path}")
+        raise FileNotFoundError(f"There is no table at {path}")
     return path
 
 
@@ -104,11 +104,10 @@ def dataset_path(conf: dict[str, Any], stage: str, base_dir: str | None = None)
     source = conf.get("data_source", {})
     key = {"raw": "raw_path", "processed": "processed_path"}.get(stage)
     if key is None:
-        raise ValueError(f"Unknown data_stage: {stage}")
+        raise ValueError(f"There is no stage called {stage!r}")
     path = source.get(key)
     if not path or not isinstance(path, str):
-        raise ValueError(
-            f"No valid data path specified in configuration for data_stage='{stage}'.")
+        raise ValueError(f"The configuration has no path for the stage {stage!r}")
     if base_dir and "://" not in path and not os.path.isabs(path):
         path = os.path.normpath(os.path.join(base_dir, path))
     return path

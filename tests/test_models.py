@@ -34,7 +34,7 @@ def test_registry_holds_callables():
 
 
 def test_unknown_model(spark):
-    with pytest.raises(ValueError, match="Unsupported model type: svm"):
+    with pytest.raises(ValueError, match="No learner is called 'svm'"):
         models.train_model(spark.range(1), "svm", {}, label="id")
 
 
@@ -96,6 +96,11 @@ def test_score_keeps_the_input(trained, table):
     assert "Exchange" not in plan and "Python" not in plan
 
 
+def test_scoring_again_replaces_the_results(trained, table):
+    once = score(table, tree_conf(), trained.model)
+    assert score(once, tree_conf(), trained.model).columns == once.columns
+
+
 def test_score_without_probabilities(trained, table):
     class Plain:
         def hasParam(self, name):
@@ -110,7 +115,7 @@ def test_score_without_probabilities(trained, table):
 
 
 def test_score_names_missing_columns(trained, table):
-    with pytest.raises(ValueError, match=r"Missing required columns: \['zip'\]"):
+    with pytest.raises(ValueError, match=r"required but absent: \['zip'\]"):
         score(table.drop("zip"), tree_conf(), trained.model)
 
 
@@ -128,7 +133,7 @@ def test_save_and_load(spark, trained, table):
     trained.model.save(spark, path)
     a = score(table, conf, trained.model)
     assert a.exceptAll(score(table, conf)).isEmpty()
-    with pytest.raises(FileNotFoundError, match="preprocessing pipeline not found"):
+    with pytest.raises(FileNotFoundError, match="no preprocessing pipeline at"):
         artifacts.load_model(spark, path + "-absent")
     artifacts.save_prep(spark, trained.model.prep, path + "-prep")
     assert artifacts.load_prep(spark, path + "-prep") == trained.model.prep
