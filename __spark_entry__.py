@@ -765,9 +765,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return feat_all(spark, "/root/testdata/sf0.001")
 
 
+def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the subpackage ``llm`` and its pipeline, where they are installed."""
+    try:
+        import corpus_pipeline
+        from ledgerspark.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if e.name in ("corpus_pipeline", "ledgerspark.llm", "ledgerspark.llm.queries"):
+            return {}, {}
+        raise
+    sql = {**llm.ORACLES, "pipeline": corpus_pipeline.ORACLE_SQL}
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, {k: v for k, v in sql.items() if v}
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_training_data()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    return {**oracles.oracle_sql(), **_training_data()[1]}
