@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerspark.llm import bpe, langid, mixing, pfor, quality, secrets
+from ledgerspark.llm import bpe, langid, mixing, ngram_join, pfor, quality, secrets
 from ledgerspark.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op4_secret_scan(spark, d):
     return secrets.report(table(spark, d, "documents"))
 
 
+def op5_ngram_join(spark, d):
+    return ngram_join.components(table(spark, d, "documents").select("doc_id", "text"))
+
+
 def op7_line_quality(spark, d):
     return quality.predicted(table(spark, d, "documents"), table(spark, d, "labels"))
 
@@ -30,5 +34,5 @@ def op10_mix_sources(spark, d):
     return mixing.taken(table(spark, d, "documents").select("doc_id", "source", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op3_token_blocks, op4_secret_scan, op7_line_quality, op8_language, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op2_byte_bpe, op3_token_blocks, op4_secret_scan, op5_ngram_join, op7_line_quality, op8_language, op10_mix_sources)}
 ORACLES = {"op10_mix_sources": mixing.ORACLE_SQL}
