@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from ledgerspark.llm import bpe, langid, mixing, ngram_join, pfor, quality, secrets
+from ledgerspark.llm import ann, bpe, langid, mixing, near_vectors, ngram_join, pfor, quality, secrets
 from ledgerspark.llm.common import table
 
 
+def op1_multi_index_search(spark, d):
+    return ann.searched(table(spark, d, "embeddings"))
+
+
 def op2_byte_bpe(spark, d):
     return bpe.digests(table(spark, d, "documents"))
 
@@ -22,6 +26,10 @@ def op5_ngram_join(spark, d):
     return ngram_join.components(table(spark, d, "documents").select("doc_id", "text"))
 
 
+def op6_cap_filters(spark, d):
+    return near_vectors.near_duplicates(table(spark, d, "embeddings"))
+
+
 def op7_line_quality(spark, d):
     return quality.predicted(table(spark, d, "documents"), table(spark, d, "labels"))
 
@@ -34,5 +42,7 @@ def op10_mix_sources(spark, d):
     return mixing.taken(table(spark, d, "documents").select("doc_id", "source", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op3_token_blocks, op4_secret_scan, op5_ngram_join, op7_line_quality, op8_language, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (
+    op1_multi_index_search, op2_byte_bpe, op3_token_blocks, op4_secret_scan, op5_ngram_join,
+    op6_cap_filters, op7_line_quality, op8_language, op10_mix_sources)}
 ORACLES = {"op10_mix_sources": mixing.ORACLE_SQL}

@@ -87,9 +87,9 @@ def test_odd_rows(spark):
 
 
 def test_boundary_is_between_cheap_and_dear_subsets():
-    costs = [(10, 5, 100), (30, 10_000, 50)]
+    costs = [(10, 5, 100), (20, 5, 100), (60, 10_000, 50)]
     limit = ngram_join.boundary(costs)
-    assert ngram_join.SIZE_STEP ** 11 <= limit < ngram_join.SIZE_STEP ** 31
+    assert ngram_join.SIZE_STEP ** 11 <= limit < ngram_join.SIZE_STEP ** 61
     assert ngram_join.boundary([]) == 0
 
 
