@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerspark.llm import ann, bpe, langid, mixing, near_vectors, ngram_join, pfor, quality, secrets
+from ledgerspark.llm import ann, bpe, langid, lm, mixing, near_vectors, ngram_join, pfor, quality, secrets
 from ledgerspark.llm.common import table
 
 
@@ -38,11 +38,15 @@ def op8_language(spark, d):
     return langid.predicted(table(spark, d, "documents"))
 
 
+def op9_skip_maxent(spark, d):
+    return lm.scored(table(spark, d, "documents"))
+
+
 def op10_mix_sources(spark, d):
     return mixing.taken(table(spark, d, "documents").select("doc_id", "source", "text"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_multi_index_search, op2_byte_bpe, op3_token_blocks, op4_secret_scan, op5_ngram_join,
-    op6_cap_filters, op7_line_quality, op8_language, op10_mix_sources)}
+    op6_cap_filters, op7_line_quality, op8_language, op9_skip_maxent, op10_mix_sources)}
 ORACLES = {"op10_mix_sources": mixing.ORACLE_SQL}
