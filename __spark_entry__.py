@@ -7,12 +7,14 @@ tables; the SQL lives in ``ledgerspark/oracles.py``.
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Callable
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -194,6 +196,24 @@ def profile_describe_all(spark, d):
     return _described(profile.describe(t))
 
 
+@query
+def profile_describe_typed(spark, d):
+    """Every column of the table, whatever its type."""
+    t = testbed.txn(spark, d).withColumn("weekend", F.weekday("dob") >= 5)
+    return _described(profile.describe(t))
+
+
+@query
+def fingerprint_separators(spark, d):
+    """Texts that hold separators and the mark of a gap, cut in two ways."""
+    t = testbed.txn(spark, d)
+    job = F.when(F.col("row_id") % 5 == 0, "<null>").otherwise(F.col("job"))
+    one = t.select(F.concat_ws("|", "category", "gender").alias("a"), job.alias("b"))
+    two = t.select(F.col("category").alias("a"), F.concat_ws("|", F.col("gender"), job).alias("b"))
+    both = [profile.fingerprint(f).withColumn("cut", F.lit(i)) for i, f in enumerate((one, two))]
+    return both[0].unionByName(both[1])
+
+
 @query
 def profile_fingerprint(spark, d):
     t = testbed.txn(spark, d)
@@ -203,7 +223,7 @@ def profile_fingerprint(spark, d):
 
 @query
 def schema_export(spark, d):
-    return exports.schema_export(testbed.txn(spark, d))
+    return exports.schema_export(testbed.txn(spark, d), counts=True)
 
 
 @query
@@ -228,7 +248,7 @@ def validate_first_failure(spark, d):
 
 @query
 def validate_violations(spark, d):
-    rows = validate.violating_rows(testbed.txn(spark, d), RULES[:5])
+    rows = validate.violating_rows(testbed.txn(spark, d), RULES)
     return rows.select("row_id", "violations")
 
 
@@ -259,6 +279,20 @@ def validate_text(spark, d):
     return validate.validation_report(t, rules, text=True)
 
 
+@query
+def validate_text_allowed(spark, d):
+    """Allowed numbers, fractions and texts over unparsed text; a gap is a stranger."""
+    i = F.col("row_id")
+    t = testbed.txn(spark, d).select(
+        F.when(i % 10 == 0, None).otherwise(F.col("is_fraud").cast("string")).alias("is_fraud"),
+        F.when(i % 4 == 0, "0.5").when(i % 4 == 1, "1.50").otherwise("x").alias("share"),
+        "gender")
+    rules = [{"name": "is_fraud", "dtype": "int", "allowed_values": [0, 1]},
+             {"name": "share", "dtype": "float", "allowed_values": [0.5, 1.5]},
+             {"name": "gender", "dtype": "str", "allowed_values": ["F", 7]}]
+    return validate.validation_report(t, rules, text=True)
+
+
 # ---------------------------------------------------------------------- fill
 
 GAPS = ["job", "city_pop"]
@@ -317,8 +351,8 @@ def label_encode(spark, d):
 @query
 def label_encode_wide(spark, d):
     """The way for more values than the driver may hold, here above 20."""
-    t = testbed.txn(spark, d).select("row_id", "cc_num", "amt")
-    return prep.label_encode(t, ["cc_num", "amt"], local_limit=20)
+    t = testbed.txn(spark, d).select("row_id", "cc_num", "amt", "city_pop")
+    return prep.label_encode(t, ["cc_num", "amt", "city_pop"], local_limit=20)
 
 
 @query
@@ -346,6 +380,24 @@ def impute_mode(spark, d):
     return prep.impute_mode(testbed.txn(spark, d).select("row_id", "job"), ["job"])
 
 
+@query
+def impute_mode_wide(spark, d):
+    """The most frequent of many values, here texts made from the order number."""
+    t = lineitem(spark, d).select(*LINE_ID, F.when(
+        F.col("l_linenumber") != 2, F.concat(F.lit("o"), F.col("l_orderkey").cast("string"))).alias("order"))
+    return prep.impute_mode(t, ["order"])
+
+
+@query
+def onehot_sparse(spark, d):
+    """A place per value for any number of values: where the one of each row is."""
+    t = testbed.txn(spark, d).select("row_id", "job", F.col("cc_num").cast("string").alias("card"))
+    t = prep.onehot_sparse(t, ["job", "card"])
+    for c in ("job", "card"):
+        t = t.withColumn(f"{c}_at", F.array_position(vector_to_array(f"{c}_onehot"), 1.0) - 1)
+    return t.select("row_id", "job_at", "card_at")
+
+
 @query
 def onehot(spark, d):
     t = testbed.txn(spark, d)
@@ -437,6 +489,29 @@ def split_many_classes(spark, d):
     return t.select("row_id", "category", "split")
 
 
+@query
+def split_boolean_label(spark, d):
+    t = testbed.txn(spark, d).withColumn("fraud", F.col("is_fraud") == 1)
+    t = split.assign_split(t, "fraud", "row_id", test_size=0.2, valid_size=0.1)
+    return t.select("row_id", "fraud", "split")
+
+
+@query
+def split_double_label(spark, d):
+    """Labels whose text differs between engines."""
+    t = testbed.txn(spark, d).withColumn("label", F.col("is_fraud") * 1e7 + F.col("row_id") % 3 * 0.1)
+    t = split.assign_split(t, "label", "row_id", test_size=0.2, valid_size=0.1)
+    return t.select("row_id", "split")
+
+
+@query
+def split_wide_classes(spark, d):
+    """A class per order, each line twice: more classes than are planned on the driver."""
+    t = lineitem(spark, d).select(*LINE_ID, F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"))
+    t = split.assign_split(t, "l_orderkey", [*LINE_ID, "copy"], test_size=0.3, valid_size=0.0)
+    return t.select(*LINE_ID, "copy", "split")
+
+
 @query
 def class_weights(spark, d):
     w = models.class_weights(testbed.txn(spark, d), "is_fraud")
@@ -505,14 +580,42 @@ def stage_round_trip(spark, d):
     return tables.read_dataset(spark, conf, "processed")
 
 
+@query
+def csv_bad_rows(spark, d):
+    """A delimited file in which every seventh record has a field too many."""
+    path = scratch_path(spark, "bad")
+    i = F.col("row_id")
+    lines = testbed.txn(spark, d).select(i, F.concat_ws(
+        ",", i, "category", F.when(i % 7 == 0, "extra")).alias("value"))
+    heading = small_table(spark, [("row_id,category",)], "value string")
+    # Each part of a file set starts with the heading, so one file holds it all.
+    heading.union(lines.select("value")).coalesce(1).write.text(path)
+    good = tables.read_csv(spark, path, [{"name": "row_id", "dtype": "int"}], on_bad="skip")
+    bad = tables.rejected_rows(spark, path)
+    return good.select("row_id", "category", F.lit(None).cast("string").alias("record")).unionByName(
+        bad.select(F.lit(None).cast("long").alias("row_id"), F.lit(None).cast("string").alias("category"), "record"))
+
+
+@query
+def csv_line_breaks(spark, d):
+    """Texts with line breaks, quotes and blanks at their ends, by the configuration."""
+    path = scratch_path(spark, "breaks")
+    t = testbed.txn(spark, d).select("row_id", F.concat(F.lit(" "), "category", F.lit('\n"'), "gender", F.lit('" ')).alias("text"))
+    tables.write_table(t, path, "csv")
+    conf = default_conf(data_source={"raw_path": path, "multi_line": True})
+    conf["data_validation"]["schema"]["columns"] = [{"name": "row_id", "dtype": "int"}]
+    return tables.read_dataset(spark, conf)
+
+
 @query
 def versioned_dataset(spark, d):
-    """Two versions are written; the latest holds the rows with a job only."""
+    """Two versions; the latest is partitioned by a text that looks like a number, or is missing."""
     root = scratch_path(spark, "datasets")
-    t = testbed.txn(spark, d).select("row_id", "category", "job")
+    t = testbed.txn(spark, d).select("row_id", F.concat(F.lit("00"), F.col("cc_num") % 9).alias("code"), "job")
+    t = t.withColumn("code", F.when(F.col("row_id") % 6 != 0, F.col("code")))
     datasets.write_dataset(t, root, "raw_data")
-    datasets.write_dataset(t.where(F.col("job").isNotNull()), root, "raw_data", ["category"])
-    return datasets.read_version(spark, root, "raw_data").select("row_id", "category", "job")
+    datasets.write_dataset(t.where(F.col("job").isNotNull()), root, "raw_data", ["code"])
+    return datasets.read_version(spark, root, "raw_data")
 
 
 def _csv_conf(spark, d) -> dict:
@@ -523,7 +626,7 @@ def _csv_conf(spark, d) -> dict:
     conf["data_source"]["raw_path"] = path
     conf["data_validation"]["schema"]["columns"] = [
         {"name": "row_id", "dtype": "int", "required": True}, *RECORD_RULES,
-        {"name": "is_fraud", "dtype": "int", "required": True}]
+        {"name": "is_fraud", "dtype": "int", "required": True, "allowed_values": [0, 1]}]
     return conf
 
 
@@ -580,51 +683,88 @@ def _small_tree() -> dict:
                                    "class_weight": "balanced", "min_samples_leaf": 1})
 
 
-def _quality(result: training.TrainResult) -> DataFrame:
-    return result.metrics.select("split", "n", "tn", "fp", "fn", "tp", *[r(c) for c in _METRICS])
+def _quality(result: training.TrainResult, again: training.TrainResult | None = None) -> DataFrame:
+    """Per held-out split what must hold of any model: rows and frauds, counters that add up,
+    metrics that follow from the counters; with a second training, that it repeats."""
+    c = {k: F.col(k) for k in ("n", "tn", "fp", "fn", "tp")}
+
+    def ratio(a, b):
+        return F.when(b > 0, a / b).otherwise(0.0)
+
+    p, q = ratio(c["tp"], c["tp"] + c["fp"]), ratio(c["tp"], c["tp"] + c["fn"])
+    expected = {"accuracy": (c["tp"] + c["tn"]) / c["n"], "precision": p, "recall": q,
+                "f1_score": ratio(2 * p * q, p + q),
+                "auc_roc": (q + ratio(c["tn"], c["tn"] + c["fp"])) / 2}
+    follows = F.lit(True)
+    for k, v in expected.items():
+        follows = follows & (F.abs(F.col(k) - v) < 1e-9)
+    out = result.metrics
+    repeats = F.lit(True)
+    if again is not None:
+        out = out.join(again.metrics.select("split", F.struct("tn", "fp", "fn", "tp").alias("again")), "split")
+        repeats = F.struct("tn", "fp", "fn", "tp") == F.col("again")
+    return out.select(
+        "split", "n", (c["tp"] + c["fn"]).alias("n_frauds"),
+        (c["tn"] + c["fp"] + c["fn"] + c["tp"] == c["n"]).alias("adds_up"),
+        follows.alias("follows"), repeats.alias("repeats"))
 
 
 @query
 def train_decision_tree(spark, d):
-    return _quality(training.train(testbed.records(spark, d), _small_tree(), "row_id"))
+    t, conf = testbed.records(spark, d), _small_tree()
+    return _quality(training.train(t, conf, "row_id"), training.train(t, conf, "row_id"))
 
 
 @query
 def train_random_forest(spark, d):
-    conf = _conf("random_forest", {"n_estimators": 10, "max_depth": 5, "criterion": "entropy",
+    """The shipped number of trees."""
+    conf = _conf("random_forest", {"n_estimators": 100, "max_depth": 5, "criterion": "entropy",
                                    "class_weight": "balanced", "min_samples_leaf": 2})
     return _quality(training.train(testbed.records(spark, d), conf, "row_id"))
 
 
 @query
 def train_gradient_boosting(spark, d):
-    conf = _conf("xgboost", {"n_estimators": 5, "max_depth": 4, "learning_rate": 0.3,
-                             "subsample": 0.8, "colsample_bytree": 0.8, "gamma": 0,
-                             "scale_pos_weight": 10})
+    """The shipped parameters."""
+    conf = _conf("xgboost", default_conf()["model"]["params"])
     return _quality(training.train(testbed.records(spark, d), conf, "row_id"))
 
 
 @query
 def tune_random_search(spark, d):
+    """The shipped number of trials: what the search found is the best of what it tried."""
     t = features.add_features(testbed.records(spark, d))
     parts = split.assign_split(t, "is_fraud", "row_id", test_size=0.2, valid_size=0.2)
     fit_rows = parts.where("split = 'train'")
     model = prep.TabularPrep.from_conf(default_conf()).fit(fit_rows)
     vectors = model.append_vector(parts, "features").select(
         "features", "is_fraud", "split").cache()
-    search = {"init_points": 2, "n_iter": 2, "random_state": 42,
+    search = {"init_points": 5, "n_iter": 20, "random_state": 42,
               "search_space": {"max_depth": [2, 5], "min_samples_leaf": [1, 5]}}
     found = tune.random_search(
         vectors.where("split = 'train'"), vectors.where("split = 'valid'"), "decision_tree",
         {"class_weight": "balanced", "random_state": 42}, search, label="is_fraud")
+    sizes = vectors.where("split = 'valid'").agg(F.count(F.lit(1)).alias("n_valid"), F.sum("is_fraud").alias("n_frauds"))
+    best = json.dumps(found.best, sort_keys=True)
+    tried = found.trials.agg(
+        F.count(F.lit(1)).alias("n_trials"),
+        F.bool_and(F.col("recall").between(0, 1)).alias("in_range"),
+        (F.max("recall") == F.max_by("recall", F.when(F.col("params") == best, F.lit(1)).otherwise(0))).alias("best_is_highest"))
+    rows = [(*sizes.first(), *tried.first())]
     vectors.unpersist()
-    return found.trials
+    return small_table(spark, rows, "n_valid long, n_frauds long, n_trials long, in_range boolean, best_is_highest boolean")
+
+
+def _by_hour(spark, d) -> DataFrame:
+    """Records whose label is a rule that a tree finds exactly: the second half of the day."""
+    t = testbed.records(spark, d)
+    return t.withColumn("is_fraud", (F.substring("trans_date_trans_time", 12, 2).cast("int") >= 12).cast("int"))
 
 
 @query
 def score_table(spark, d):
     """Scored by a model that was saved and loaded again."""
-    t = testbed.records(spark, d)
+    t = _by_hour(spark, d)
     conf = _small_tree()
     path = scratch_path(spark, "model")
     training.train(t, conf, "row_id").model.save(spark, path)
@@ -632,6 +772,21 @@ def score_table(spark, d):
     return scored.select("row_id", "amt", "prediction", r("prediction_proba"))
 
 
+@query
+def score_threshold(spark, d):
+    """The class follows the configured threshold, whatever the model was fitted with."""
+    t = testbed.records(spark, d)
+    conf = _small_tree()
+    model = training.train(t, conf, "row_id").model
+    out = []
+    for threshold in (0.05, 0.5, 0.99):
+        scored = scoring.score(t, {**conf, "inference": {"threshold": threshold}}, model)
+        out.append(scored.agg(
+            F.lit(threshold).alias("threshold"), F.count(F.lit(1)).alias("n_rows"),
+            F.count_if((F.col("prediction_proba") > threshold) == (F.col("prediction") == 1)).alias("n_consistent")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 @query
 def score_properties(spark, d):
     """Scoring keeps every row and its input, gives a class and a probability each,
@@ -699,11 +854,25 @@ def score_file(spark, d):
 @query
 def evaluate_saved_model(spark, d):
     conf = _small_tree()
-    result = training.train(testbed.records(spark, d), conf, "row_id")
-    m = training.evaluate_saved(result.splits.where("split = 'test'"), result.model, conf)
+    result = training.train(_by_hour(spark, d), conf, "row_id")
+    path = scratch_path(spark, "model")
+    result.model.save(spark, path)
+    m = training.evaluate_saved(
+        result.splits.where("split = 'test'"), artifacts.load_model(spark, path), conf)
     return m.select("n", *[r(c) for c in (*_METRICS, "auc_roc_proba")])
 
 
+@query
+def preprocess_job(spark, d):
+    """The stored table of the preprocess step, split included."""
+    t = features.add_features(testbed.records(spark, d))
+    conf = default_conf(
+        preprocessing={"numeric": ["amt", "hour", "city_pop", "lat"], "categorical": [], "label_encode": ["category"]},
+        data_split={"test_size": 0.2, "valid_size": 0.2, "random_state": 42})
+    got = stages.preprocess(t, conf, "row_id")["data"]
+    return _rounded(got, ["row_id", "is_fraud", "split"])
+
+
 # ------------------------------------------------- the larger table, for scale
 
 @query

@@ -64,6 +64,11 @@ def _fill(df: DataFrame, cols, order_by, partition_by, ranges, *, forward: bool,
     within = Window.partitionBy(*keys)
     along = within.orderBy(*order)
     against = within.orderBy(*[F.col(f"`{c}`").desc() for c in order])
+    # Equal keys lie in one range, side by side; which of them a value comes from would
+    # be left to chance, so they are refused.
+    key = F.struct(*[F.col(f"`{c}`") for c in order])
+    tied = F.lag(key).over(along) == key
+    refuse = F.raise_error(F.lit(f"The order {order} does not tell the rows apart"))
     filled: dict[str, Column] = {}
     for i, c in enumerate(cols):
         value = F.col(f"`{c}`")
@@ -83,9 +88,10 @@ def _fill(df: DataFrame, cols, order_by, partition_by, ranges, *, forward: bool,
             so_far = against.rowsBetween(Window.unboundedPreceding, Window.currentRow)
             sources += [F.last(value, True).over(so_far), F.col(f"_after{i}")]
         filled[c] = F.coalesce(*sources)
-    return joined.select(
-        *[filled[c].alias(c) if c in filled else F.col(f"`{c}`") for c in names]
-    )
+    done = joined.select(
+        *[filled[c].alias(c) if c in filled else F.col(f"`{c}`") for c in names],
+        F.coalesce(tied, F.lit(False)).alias("_tied"))
+    return done.where(F.when(F.col("_tied"), refuse.cast("boolean")).otherwise(F.lit(True))).drop("_tied")
 
 
 def _carried(ranged: DataFrame, cols, order, parts, forward, backward) -> DataFrame:

@@ -11,40 +11,40 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerspark.sources.small import small_table
 
 RANGES_PER_TASK = 4
+ROWS_PER_RANGE = 2_000_000
 SAMPLES_PER_RANGE = 4
 RANGE = "_range"
 
 
-def range_count(df: DataFrame, ranges: int | None = None) -> int:
-    """How many key ranges to cut: a few for each shuffle task of the session.
+def range_count(df: DataFrame, total: int) -> int:
+    """How many key ranges to cut: a few per shuffle task, and none too long for one.
 
     Ranges go to tasks by hash; several small ones per task even out its load.
     """
-    if ranges is None:
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ranges = RANGES_PER_TASK * tasks
-    return max(1, ranges)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, RANGES_PER_TASK * tasks, -(-total // ROWS_PER_RANGE))
 
 
 def with_range(df: DataFrame, keys: list[str], ranges: int | None = None) -> DataFrame:
     """Append ``_range``: 0, 1, 2... ascending with the key order, NULLs first.
 
-    The cut points come from a sample of a few keys per range, so what the driver
-    holds grows with the number of tasks, not with the table.
+    The cut points come from a sample of a few keys per range; a range holds some
+    ``ROWS_PER_RANGE`` rows at most, so their number follows the table.
     """
-    ranges = range_count(df, ranges)
     if ranges == 1:
         return df.withColumn(RANGE, F.lit(0))
-    wanted = SAMPLES_PER_RANGE * ranges
     key = _order_key(keys)
     named = df.select(key.alias("key"))
     total = named.count()
+    ranges = ranges or range_count(df, total)
+    wanted = SAMPLES_PER_RANGE * ranges
     if total > wanted:
         named = named.sample(fraction=min(1.0, 1.1 * wanted / total), seed=17)
     # Cut points travel as JSON text: it may round a fraction of a second, which
@@ -80,18 +80,38 @@ def _order_key(keys: list[str]) -> Column:
     return named[0] if len(keys) == 1 else F.struct(*named)
 
 
+def with_rank(df: DataFrame, keys: list[str], out: str, ranges: int | None = None) -> DataFrame:
+    """Append the row's place, from 0, in the order of keys that tell the rows apart.
+
+    ``df`` is read three times, so it should be a stored table.
+    """
+    ranged = with_range(df, keys, ranges)
+    sizes = ranged.groupBy(RANGE).agg(F.count(F.lit(1)).alias("_size"))  # one row per range
+    earlier = Window.partitionBy(F.lit(0)).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    start = sizes.select(RANGE, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy(RANGE).orderBy(*keys))
+    return ranged.join(F.broadcast(start), RANGE).select(
+        *[f"`{c}`" for c in df.columns], (F.col("_start") + place - 1).cast("long").alias(out))
+
+
 # --------------------------------------------------------------------------
 # The row at a given rank inside each class, in the order of a uniform hash.
 
 KEY_DIGITS = 32  # hex digits of a key
-_SLOTS = 4096
-_FETCH = 20_000
+_SLOTS = 256
+_FETCH = 4_000
 
 
 def hash_key(seed: int, ids: list[str]) -> Column:
-    """A reproducible pseudo-random order: hex text, equal in any engine."""
-    text = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in ids]
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *text))
+    """A reproducible pseudo-random order: hex text, equal in any engine.
+
+    Lengths and gaps are marked, so no two ids give the same text.
+    """
+    parts = []
+    for c in ids:
+        text = F.col(f"`{c}`").cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.md5(F.concat(F.lit(f"{seed}|"), *parts))
 
 
 @dataclass
@@ -104,6 +124,7 @@ class _Band:
     lo: str
     hi: str
     anchored: bool = False
+    whole: bool = False  # the band is the whole range of keys
 
     @classmethod
     def around(cls, slot: int, label, rank: int, n: int) -> _Band:
@@ -111,7 +132,7 @@ class _Band:
         share = rank / n
         slack = 8 * math.sqrt(share * (1 - share) / n) + 16 / n
         low, high = max(0.0, share - slack), min(1.0, share + slack)
-        digits = 3
+        digits = 2
         while digits < 12 and (high - low) * 16 ** (digits + 1) <= _SLOTS:
             digits += 1
         top = 16**digits
@@ -119,11 +140,11 @@ class _Band:
                    f"{min(top - 1, int(high * top)):0{digits}x}")
 
     def widen(self) -> None:
-        self.lo, self.hi = "000", "fff"
+        self.lo, self.hi, self.whole = "00", "ff", True
 
     def enter(self, prefix: str, before: int) -> None:
         """Go on among the keys of one prefix, ``before`` of the band precede it."""
-        more = min(3, KEY_DIGITS - len(prefix))
+        more = min(2, KEY_DIGITS - len(prefix))
         self.rank -= before
         self.lo, self.hi = prefix + "0" * more, prefix + "f" * more
         self.anchored = True
@@ -140,7 +161,7 @@ def keys_at_ranks(df: DataFrame, label: str, key: Column,
     misses is widened to the whole range, so the result is exact for any input.
     """
     todo = [_Band.around(i, value, rank, n) for i, (value, rank, n) in enumerate(wanted)]
-    rows = df.select(F.col(f"`{label}`").cast("string").alias("label"), key.alias("key"))
+    rows = df.select(F.col(f"`{label}`").alias("label"), key.alias("key"))
     found: dict[int, str] = {}
     while todo:
         counts = _histogram(rows, todo)
@@ -152,6 +173,8 @@ def keys_at_ranks(df: DataFrame, label: str, key: Column,
             if not below < band.rank <= below + sum(c for _, c in inside):
                 if band.anchored:
                     raise ValueError("The input changed between two passes")
+                if band.whole:
+                    raise ValueError(f"Class {band.label!r} has fewer rows than were counted")
                 band.widen()
                 continue
             seen = below
@@ -170,16 +193,21 @@ def keys_at_ranks(df: DataFrame, label: str, key: Column,
     return [found[i] for i in range(len(wanted))]
 
 
-def _small(rows: DataFrame, table: list[tuple], schema: str) -> DataFrame:
-    """A table with one row per wanted rank, so it is safe to broadcast."""
+def _small(rows: DataFrame, table: list[tuple], names: str) -> DataFrame:
+    """A table with one row per wanted rank, so it is safe to broadcast.
+
+    Labels keep their type, so they are compared as values.
+    """
+    kinds = {"label": rows.schema["label"].dataType, "slot": T.IntegerType(), "digits": T.IntegerType()}
+    schema = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names.split()])
     return F.broadcast(small_table(rows.sparkSession, table, schema))
 
 
 def _histogram(rows: DataFrame, bands: list[_Band]) -> dict[int, dict[str, int]]:
     """Rows per band and prefix; those below the band under an empty prefix."""
     table = _small(
-        rows, [(b.slot, str(b.label), b.lo, b.hi, len(b.lo)) for b in bands],
-        "slot int, label string, lo string, hi string, digits int")
+        rows, [(b.slot, b.label, b.lo, b.hi, len(b.lo)) for b in bands],
+        "slot label lo hi digits")
     prefix = F.substring(F.col("key"), F.lit(1), F.col("digits"))
     place = F.when(F.col("prefix") >= F.col("lo"), F.col("prefix")).otherwise(F.lit(""))
     counted = (
@@ -194,8 +222,7 @@ def _histogram(rows: DataFrame, bands: list[_Band]) -> dict[int, dict[str, int]]
 
 
 def _fetch(rows: DataFrame, few: list[tuple[_Band, str, int]]) -> dict[int, str]:
-    table = _small(rows, [(b.slot, str(b.label), prefix) for b, prefix, _ in few],
-                   "slot int, label string, prefix string")
+    table = _small(rows, [(b.slot, b.label, prefix) for b, prefix, _ in few], "slot label prefix")
     hits = (
         rows.join(table, "label")
         .where(F.col("key").startswith(F.col("prefix")))

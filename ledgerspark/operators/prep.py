@@ -11,22 +11,24 @@ import json
 import math
 from dataclasses import asdict, dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.missing import present
-from ledgerspark.operators.ordered import RANGE, with_range
+from ledgerspark.operators.ordered import with_rank
 from ledgerspark.operators.project import input_features
 from ledgerspark.sources.scratch import materialize
-from ledgerspark.sources.small import small_table
 
-# Above this many distinct values the codes of a column stay a table.
+# A column's codes are broadcast up to this many values and this many bytes of them.
 LOCAL_CODES = 100_000
-# One-hot makes a column per category, so a column beyond this is refused.
-MAX_CATEGORIES = 5_000
+LOCAL_BYTES = 8_000_000
+# Named one-hot columns are for few categories; ``onehot_sparse`` takes any number.
+NAMED_CATEGORIES = 5_000
 # A value held by more than this share of rows is joined apart from the rest.
 HOT_SHARE = 1 / 200
+# Rows that a shuffled join has nothing to give to are spread over so many keys.
+SPREAD = 1_000
 
 
 # ------------------------------------------------------------ label encoding
@@ -35,71 +37,89 @@ def label_encode(df: DataFrame, cols: list[str], local_limit: int = LOCAL_CODES,
                  ranges: int | None = None) -> DataFrame:
     """Replace each column by the position of its value among the sorted values.
 
-    Listed columns that do not exist are skipped; NULL stays NULL.
+    Listed columns that do not exist are skipped; NULL stays NULL.  The values of all
+    columns are counted in one pass over the frame, and the result reads it once more.
     """
-    for c in [c for c in cols if c in df.columns]:
-        df = _encode(df, c, local_limit, ranges)
-    return df
+    cols = [c for c in dict.fromkeys(cols) if c in df.columns]
+    if not cols:
+        return df
+    codes = _codes(df, cols, ranges)
+    sizes = _sizes(codes, df, cols)
+    out = df
+    for i, c in enumerate(cols):
+        before = sum(r["n"] for k, r in sizes.items() if k < i)
+        out = _with_codes(out, c, i, _of(codes, df, cols, i, before), sizes.get(i), local_limit)
+    done = {c: F.col(f"_code{i}").alias(c) for i, c in enumerate(cols)}
+    return out.select(*[done.get(c, F.col(f"`{c}`")) for c in df.columns])
 
 
 def label_codes(df: DataFrame, col: str, local_limit: int = LOCAL_CODES,
                 ranges: int | None = None) -> DataFrame:
     """The codes of a column as a table (value, code, n_rows), 0 for the smallest."""
-    return _codes(df, col, local_limit, ranges)[0]
-
-
-def _codes(df: DataFrame, col: str, local_limit: int,
-           ranges: int | None) -> tuple[DataFrame, bool]:
-    """The codes, and whether there are few enough to broadcast."""
-    counts = df.select(present(df, col).alias("value")).where(F.col("value").isNotNull())
-    counts = counts.groupBy("value").agg(F.count(F.lit(1)).alias("n_rows"))
-    head = counts.limit(local_limit + 1).collect()
-    if len(head) <= local_limit:
-        head.sort(key=lambda r: r["value"])
-        rows = [(r["value"], i, r["n_rows"]) for i, r in enumerate(head)]
-        kind = counts.schema["value"].dataType.simpleString()
-        codes = small_table(
-            df.sparkSession, rows, f"value {kind}, code long, n_rows long")
-        return codes, True
-    # Too many for the driver: number the values range by range.  They are
-    # written once, since finding the ranges and numbering them reads them again.
-    ranged = with_range(materialize(counts, "codes"), ["value"], ranges)
-    sizes = ranged.groupBy(RANGE).agg(F.count(F.lit(1)).alias("size"))
-    earlier = Window.partitionBy(F.lit(0)).orderBy(RANGE).rowsBetween(
-        Window.unboundedPreceding, -1)
-    start = sizes.select(
-        RANGE, F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("start"))
-    place = F.row_number().over(Window.partitionBy(RANGE).orderBy("value"))
-    codes = ranged.join(F.broadcast(start), RANGE).select(
-        "value", (F.col("start") + place - 1).cast("long").alias("code"), "n_rows")
-    return codes, False
-
-
-def _encode(df: DataFrame, col: str, local_limit: int, ranges: int | None) -> DataFrame:
-    codes, few = _codes(df, col, local_limit, ranges)
-    others = [F.col(f"`{c}`") if c != col else F.col("_code").alias(col)
-              for c in df.columns]
-    keyed = df.withColumn("_value", present(df, col))
-    codes = codes.withColumnsRenamed({"value": "_value", "code": "_code"})
-    if few:
-        few_codes = F.broadcast(codes.select("_value", "_code"))
-        return keyed.join(few_codes, "_value", "left").select(*others)
-    # A frequent value would send its rows to one task of a shuffled join.
-    # No more than 1 / HOT_SHARE values can be that frequent, so those few are
-    # broadcast, and only rows of the other values are shuffled.
-    codes = materialize(codes, "codes")
-    total = codes.agg(F.sum("n_rows")).first()[0]
-    is_hot = F.col("n_rows") > total * HOT_SHARE
-    hot = codes.where(is_hot).select("_value", "_code")
-    cold = codes.where(~is_hot).select("_value", "_code")
-    rest = keyed.where(F.col("_value").isNotNull()).join(
-        F.broadcast(hot.select("_value")), "_value", "left_anti")
-    gaps = keyed.where(F.col("_value").isNull())
-    return (
-        keyed.join(F.broadcast(hot), "_value").select(*others)
-        .unionByName(rest.join(cold, "_value").select(*others))
-        .unionByName(gaps.withColumn("_code", F.lit(None).cast("long")).select(*others))
+    return _of(_codes(df, [col], ranges), df, [col], 0, 0)
+
+
+def _kinds(df: DataFrame, cols: list[str]) -> list[str]:
+    """The types of the columns, each once; values of one type share a field."""
+    return list(dict.fromkeys(df.schema[c].dataType.simpleString() for c in cols))
+
+
+def _codes(df: DataFrame, cols: list[str], ranges: int | None) -> DataFrame:
+    """Stored: column number, value (in the field of its type), n_rows, place in the order."""
+    kinds = _kinds(df, cols)
+    entries = []
+    for i, c in enumerate(cols):
+        own = df.schema[c].dataType.simpleString()
+        fields = [(present(df, c) if k == own else F.lit(None).cast(k)).alias(f"_v{n}")
+                  for n, k in enumerate(kinds)]
+        entries.append(F.struct(F.lit(i).alias("_i"), *fields))
+    fields = [f"_v{n}" for n in range(len(kinds))]
+    counts = (
+        df.select(F.explode(F.array(*entries)).alias("p")).select("p.*")
+        .where(" OR ".join(f"{f} IS NOT NULL" for f in fields))
+        .groupBy("_i", *fields).agg(F.count(F.lit(1)).alias("n_rows"))
     )
+    return materialize(with_rank(materialize(counts, "values"), ["_i", *fields], "_place", ranges), "codes")
+
+
+def _of(codes: DataFrame, df: DataFrame, cols: list[str], i: int, before: int) -> DataFrame:
+    """value, code, n_rows of one column; ``before`` values of earlier columns precede it."""
+    field = f"_v{_kinds(df, cols).index(df.schema[cols[i]].dataType.simpleString())}"
+    return codes.where(F.col("_i") == i).select(
+        F.col(field).alias("value"), (F.col("_place") - F.lit(before)).alias("code"), "n_rows")
+
+
+def _sizes(codes: DataFrame, df: DataFrame, cols: list[str]) -> dict:
+    """Per column: how many values, rows that have one, and bytes of the values as text."""
+    size = sum(F.coalesce(F.length(F.col(f"_v{n}").cast("string")), F.lit(0))
+               for n in range(len(_kinds(df, cols))))
+    rows = codes.groupBy("_i").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_rows").alias("rows"), F.sum(size).alias("size"))
+    return {r["_i"]: r for r in rows.collect()}
+
+
+def _with_codes(df: DataFrame, col: str, i: int, codes: DataFrame, size, local_limit: int) -> DataFrame:
+    """The frame with ``_code<i>``; it appears once in the plan."""
+    out, key = f"_code{i}", f"_value{i}"
+    if size is None:  # no value at all
+        return df.withColumn(out, F.lit(None).cast("long"))
+    codes = codes.withColumnsRenamed({"value": key, "code": out})
+    keyed = df.withColumn(key, present(df, col))
+    if size["n"] <= local_limit and size["size"] <= LOCAL_BYTES:
+        return keyed.join(F.broadcast(codes.select(key, out)), key, "left").drop(key)
+    # A frequent value would send its rows to one task of a shuffled join.  At most
+    # 1 / HOT_SHARE values can be that frequent, so those few are broadcast.  Their rows,
+    # and rows without a value, then take part under keys that nothing matches.
+    hot = F.col("n_rows") > F.lit(size["rows"] * HOT_SHARE)
+    frequent = codes.where(hot).select(key, F.col(out).alias("_hot"))
+    others = codes.where(~hot).select(key, F.lit(0).alias("_spread"), out)
+    served = keyed.join(F.broadcast(frequent), key, "left")
+    rest = F.col("_hot").isNull() & F.col(key).isNotNull()
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if not c.startswith("_")]), F.lit(SPREAD)) + 1
+    served = served.withColumns({
+        key: F.when(rest, F.col(key)), "_spread": F.when(rest, F.lit(0)).otherwise(spread.cast("int"))})
+    return served.join(others, [key, "_spread"], "left").withColumn(
+        out, F.coalesce("_hot", out)).drop(key, "_spread", "_hot")
 
 
 # ------------------------------------------------------- impute, scale, one-hot
@@ -128,18 +148,29 @@ class TabularPrepModel:
 
     @property
     def output_names(self) -> list[str]:
-        """Numeric names in configured order, then ``column_value``."""
-        hot = [f"{c}_{v}" for c, s in self.categorical.items() for v in s.values]
-        return [*self.numeric, *hot]
+        """Numeric names in configured order, then ``column_value``.
+
+        Names that differ by case only could not be told apart later: from the second on
+        they end in a number.
+        """
+        out: list[str] = []
+        taken: set[str] = set()
+        for name in [*self.numeric, *(f"{c}_{v}" for c, s in self.categorical.items() for v in s.values)]:
+            own, k = name, 1
+            while own.lower() in taken:
+                k += 1
+                own = f"{name}_{k}"
+            taken.add(own.lower())
+            out.append(own)
+        return out
 
     def columns(self, df: DataFrame) -> list[Column]:
         """The output columns as expressions over ``df``."""
-        out = [self._scaled(df, c).alias(c) for c in self.numeric]
+        out = [self._scaled(df, c) for c in self.numeric]
         for c, stats in self.categorical.items():
             value = F.coalesce(F.col(f"`{c}`"), F.lit(stats.mode))
-            out += [(value == F.lit(v)).cast("double").alias(f"{c}_{v}")
-                    for v in stats.values]
-        return out
+            out += [(value == F.lit(v)).cast("double") for v in stats.values]
+        return [c.alias(n) for c, n in zip(out, self.output_names)]
 
     def _scaled(self, df: DataFrame, c: str) -> Column:
         s = self.numeric[c]
@@ -244,14 +275,18 @@ class TabularPrep:
             .where(F.col("v").isNotNull())
             .groupBy("i", "v").count()
         )
-        most = MAX_CATEGORIES * len(self.categorical)
-        rows = counts.limit(most + 1).collect()
+        # One more category than allowed tells that a column has too many; it is refused
+        # by name, and no other column pays for it.
+        place = F.row_number().over(Window.partitionBy("i").orderBy("v"))
+        rows = counts.withColumn("place", place).where(
+            F.col("place") <= NAMED_CATEGORIES + 1).collect()
         out = {}
         for i, c in enumerate(self.categorical):
             mine = {r["v"]: r["count"] for r in rows if r["i"] == i}
-            if len(mine) > MAX_CATEGORIES or len(rows) > most:
+            if len(mine) > NAMED_CATEGORIES:
                 raise ValueError(
-                    f"Column '{c}' has too many categories for one-hot; label-encode it")
+                    f"Column '{c}' has too many categories for named one-hot columns; "
+                    "label-encode it or use onehot_sparse")
             if not mine:
                 raise ValueError(f"Column '{c}' has no value to fit on")
             mode = min(mine, key=lambda v: (-mine[v], v))
@@ -259,6 +294,35 @@ class TabularPrep:
         return out
 
 
+def modes(df: DataFrame, cols: list[str]) -> dict[str, str]:
+    """The most frequent value of each column as text, the smallest on ties.
+
+    Values are counted before and after one shuffle; only the winners reach the driver.
+    """
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("string").alias("v"))
+        for i, c in enumerate(cols)]))
+    counts = df.select(pairs.alias("p")).select("p.i", "p.v").where("v IS NOT NULL").groupBy("i", "v").count()
+    best = counts.groupBy("i").agg(F.min(F.struct((-F.col("count")).alias("n"), F.col("v").alias("v"))).alias("b"))
+    found = {r["i"]: r["b"]["v"] for r in best.collect()}
+    for i, c in enumerate(cols):
+        if i not in found:
+            raise ValueError(f"Column '{c}' has no value to fit on")
+    return {c: found[i] for i, c in enumerate(cols)}
+
+
+def onehot_sparse(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Append ``<column>_onehot``: a sparse vector with a place per value, in their order.
+
+    For columns with any number of categories; a gap takes the most frequent value.
+    """
+    filled = impute_mode(df, cols)
+    codes = [f"{c}_code" for c in cols]
+    coded = label_encode(filled.withColumns({k: F.col(f"`{c}`") for k, c in zip(codes, cols)}), codes)
+    hot = OneHotEncoder(inputCols=codes, outputCols=[f"{c}_onehot" for c in cols], dropLast=False)
+    return hot.fit(coded).transform(coded).drop(*codes)
+
+
 def fit_apply(train: DataFrame, others: list[DataFrame | None], conf: dict,
               keep: list[str] | None = None):
     """Fit on ``train`` and transform it and the others; None passes through."""
@@ -275,9 +339,9 @@ def impute_mean(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def impute_mode(df: DataFrame, cols: list[str]) -> DataFrame:
     """Each gap takes the column's most frequent value, the smallest on ties."""
-    model = TabularPrep(categorical=cols).fit(df)
-    return df.withColumns(
-        {c: F.coalesce(F.col(f"`{c}`"), F.lit(model.categorical[c].mode)) for c in cols})
+    found = modes(df, cols)
+    return df.withColumns({
+        c: F.coalesce(F.col(f"`{c}`"), F.lit(v).cast(df.schema[c].dataType)) for c, v in found.items()})
 
 
 def scale(df: DataFrame, cols: list[str], how: str = "standard") -> DataFrame:

@@ -16,7 +16,7 @@ from ledgerspark.sources.small import small_table
 
 BUFFERED_ROWS = 1_000_000  # rows whose values one task may hold
 COUNTED_VALUES = 20_000  # distinct values the driver may hold, per column
-FETCHED_VALUES = 100_000  # values of one bracket that a task may sort
+FETCHED_VALUES = 20_000  # values of one bracket that a task may sort
 SAMPLED_ROWS = 1_000_000  # rows that bracket a rank
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -66,27 +66,24 @@ def duplicates(df: DataFrame) -> DataFrame:
 def fingerprint(df: DataFrame) -> DataFrame:
     """One row: n_rows and a hash that is equal for equal data in any row order.
 
-    Each row gives the first eight hex digits of its MD5; their count, sum and
-    exclusive-or are hashed.  Gaps are marked, columns are joined in order.
+    Each row gives its SHA-256, with lengths and gaps marked.  The digest is read as
+    five whole numbers; the count of rows and each number's sum and exclusive-or are
+    hashed.
     """
-    parts = [F.coalesce(_as_text(df, c), F.lit("<null>")) for c in df.columns]
-    digits = F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8)
-    h = F.conv(digits, 16, 10).cast("long")
-    return (
-        df.select(h.alias("h"))
-        .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            # Decimal, since the sum passes a bigint from two billion rows on.
-            F.coalesce(F.sum(F.col("h").cast("decimal(20,0)")), F.lit(0)).alias("s"),
-            F.coalesce(F.bit_xor("h"), F.lit(0)).alias("x"),
-        )
-        .select(
-            "n_rows",
-            F.sha2(F.concat_ws("|", F.col("n_rows").cast("string"),
-                               F.col("s").cast("string"), F.col("x").cast("string")), 256)
-            .alias("fingerprint"),
-        )
-    )
+    digits = F.lower(F.hex(row_digest(df)))
+    words = df.select(*[
+        F.conv(F.substring(digits, 1 + 13 * i, 13), 16, 10).cast("long").alias(f"w{i}")
+        for i in range(5)])
+    totals = [F.count(F.lit(1)).alias("n_rows")]
+    for i in range(5):
+        # Decimal, since a sum of 52-bit numbers passes a bigint from 2,048 rows on.
+        totals += [F.coalesce(F.sum(F.col(f"w{i}").cast("decimal(38,0)")), F.lit(0)).alias(f"s{i}"),
+                   F.coalesce(F.bit_xor(f"w{i}"), F.lit(0)).alias(f"x{i}")]
+    parts = [f"{k}{i}" for i in range(5) for k in "sx"]
+    return words.agg(*totals).select(
+        "n_rows",
+        F.sha2(F.concat_ws("|", F.lit(str(len(df.columns))), F.col("n_rows").cast("string"),
+                           *[F.col(c).cast("string") for c in parts]), 256).alias("fingerprint"))
 
 
 # ----------------------------------------------------------------- describe
@@ -102,6 +99,13 @@ _KINDS = T.StructType([
 ])
 
 
+_TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def temporal_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if isinstance(f.dataType, _TEMPORAL)]
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
@@ -111,16 +115,40 @@ def text_columns(df: DataFrame) -> list[str]:
 
 
 def describe(df: DataFrame, exact: bool = True) -> DataFrame:
-    """One row per numeric or text column, in column order.
+    """One row per column, in column order.
 
-    Text: n, n_unique, top, freq (ties to the smallest).  Numbers: n, mean,
-    sample std, min, quartiles with linear interpolation, max.  With
-    ``exact=False`` the quartiles are approximate and found in one pass.
+    Numbers: n, mean, sample std, min, quartiles with linear interpolation, max.
+    Dates and timestamps: the same, in seconds since 1970 (of the value as it is
+    written, where it has no zone).  Everything else: n, n_unique, top, freq (ties to
+    the smallest), of its text.  With ``exact=False`` the quartiles are approximate
+    and found in one pass.
     """
-    numbers = {r[0]: r for r in _number_rows(df, numeric_columns(df), exact)}
-    texts = {r[0]: r for r in _text_rows(df, text_columns(df))}
+    measured = [*numeric_columns(df), *temporal_columns(df)]
+    others = [c for c in df.columns if c not in measured]
+    numbers = {r[0]: r for r in _number_rows(df, measured, exact)}
+    texts = {r[0]: r for r in _text_rows(df, others)}
     rows = [numbers.get(c) or texts.get(c) for c in df.columns]
-    return small_table(df.sparkSession, [r for r in rows if r], _KINDS)
+    return small_table(df.sparkSession, rows, _KINDS)
+
+
+def _number(df: DataFrame, name: str) -> Column:
+    """A number, date or timestamp as a double; missing is NULL."""
+    kind, c = df.schema[name].dataType, F.col(f"`{name}`")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("double") * 86400
+    if isinstance(kind, T.TimestampNTZType):
+        whole = F.unix_micros(F.convert_timezone(F.lit("UTC"), F.current_timezone(), c).cast("timestamp"))
+        return whole / F.lit(1e6)
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c) / F.lit(1e6)
+    return present(df, name).cast("double")
+
+
+def _plain_text(df: DataFrame, name: str) -> Column:
+    kind, c = df.schema[name].dataType, F.col(f"`{name}`")
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.to_json(c)
+    return F.base64(c) if isinstance(kind, T.BinaryType) else c.cast("string")
 
 
 def describe_numeric(df: DataFrame, cols: list[str] | None = None,
@@ -139,8 +167,7 @@ def describe_text(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def _number_rows(df: DataFrame, cols: list[str], exact: bool) -> list[tuple]:
     if not cols:
         return []
-    df = df.select(*[present(df, c).cast("double").alias(f"c{i}")
-                     for i, c in enumerate(cols)])
+    df = df.select(*[_number(df, c).alias(f"c{i}") for i, c in enumerate(cols)])
     aggs = []
     for i in range(len(cols)):
         v = F.col(f"c{i}")
@@ -245,10 +272,18 @@ def _ranks_by_narrowing(df: DataFrame, wanted, counts, fetched: int, sampled: in
         small = {k: b for k, b in todo.items() if b.size <= min(fetched, FETCHED_VALUES)}
         large = {k: b for k, b in todo.items() if k not in small}
         if small:
-            row = df.agg(*[
-                F.array_sort(F.collect_list(F.when(b.inside(), F.col(b.col))))[b.rank]
-                .alias(f"v{i}") for i, b in enumerate(small.values())]).first()
-            found.update({k: row[f"v{i}"] for i, k in enumerate(small)})
+            # The values of one rank are sorted in one task, those of another elsewhere.
+            inside = F.array_compact(F.array(*[
+                F.when(b.inside(), F.struct(F.lit(i).alias("i"), F.lit(b.rank).alias("rank"),
+                                            F.col(b.col).alias("v")))
+                for i, b in enumerate(small.values())]))
+            rows = (
+                df.select(F.explode(inside).alias("p")).select("p.*").groupBy("i", "rank")
+                .agg(F.array_sort(F.collect_list("v")).alias("vs"))
+                .select("i", F.col("vs")[F.col("rank")].alias("v")).collect()
+            )
+            keys = list(small)
+            found.update({keys[r["i"]]: r["v"] for r in rows})
         if large:
             most = max(b.size for b in large.values())
             near = {k: b for k, b in large.items() if b.size * 100 >= most}
@@ -308,7 +343,7 @@ def _text_rows(df: DataFrame, cols: list[str]) -> list[tuple]:
     if not cols:
         return []
     pairs = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").alias("v"))
+        F.struct(F.lit(i).alias("i"), _plain_text(df, c).alias("v"))
         for i, c in enumerate(cols)]))
     counts = (
         df.select(pairs.alias("p")).select("p.i", "p.v")

@@ -11,26 +11,39 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerspark.operators.ordered import hash_key, keys_at_ranks
+from ledgerspark.operators.ordered import hash_key, keys_at_ranks, with_rank
+from ledgerspark.sources.scratch import materialize
 from ledgerspark.sources.small import small_table
 
-MAX_CLASSES = 10_000
+# Quotas of up to so many classes are planned on the driver, of more in a table.
+LOCAL_CLASSES = 10_000
 SPLIT = "split"
 
 
+def class_table(df: DataFrame, label: str) -> DataFrame:
+    """Stored rows per class (label, n); missing labels are refused."""
+    counts = materialize(df.groupBy(F.col(f"`{label}`").alias("label")).agg(
+        F.count(F.lit(1)).alias("n")), "classes")
+    gap = F.col("label").isNull()
+    if isinstance(counts.schema["label"].dataType, (T.FloatType, T.DoubleType)):
+        gap = gap | F.isnan("label")
+    missing = counts.where(gap).agg(F.sum("n")).first()[0]
+    if missing:
+        raise ValueError(f"'{label}' has {missing} missing values")
+    return counts
+
+
 def class_counts(df: DataFrame, label: str) -> dict:
-    """Rows per class.  A label with very many values is refused, not cut."""
-    rows = df.groupBy(F.col(f"`{label}`").alias("label")).count()
-    rows = rows.limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"'{label}' has more than {MAX_CLASSES} classes")
-    counts = {r["label"]: r["count"] for r in rows}
-    if None in counts:
-        raise ValueError(f"'{label}' has {counts[None]} missing values")
-    return dict(sorted(counts.items()))
+    """Rows per class, for labels whose classes a model can tell apart."""
+    return _local(class_table(df, label))
+
+
+def _local(classes: DataFrame) -> dict:
+    return dict(sorted((r["label"], r["n"]) for r in classes.collect()))
 
 
 def quotas(counts: dict, size: int) -> dict:
@@ -50,23 +63,31 @@ def quotas(counts: dict, size: int) -> dict:
 
 def _held_out(counts: dict, share: float) -> dict:
     """Quota per class of a held-out part; the same refusals as the original."""
-    total, classes = sum(counts.values()), len(counts)
+    size = _held_size(sum(counts.values()), len(counts), min(counts.values(), default=0), share)
+    return quotas(counts, size)
+
+
+def _held_size(total: int, classes: int, least: int, share: float) -> int:
     size = math.ceil(share * total)
-    if min(counts.values(), default=0) < 2:
+    if least < 2:
         raise ValueError("The least populated class has fewer than 2 members")
     if size < classes or total - size < classes:
         raise ValueError(
             f"A split into {total - size} and {size} rows cannot hold {classes} classes"
         )
-    return quotas(counts, size)
+    return size
 
 
-def plan_split(counts: dict, test_size: float, valid_size: float) -> dict:
-    """Per class: (test rows, validation rows).  The rest is for training."""
+def _check_sizes(test_size: float, valid_size: float) -> None:
     if test_size <= 0 or valid_size < 0 or test_size + valid_size >= 1:
         raise ValueError(
             f"Unusable split sizes: test {test_size}, validation {valid_size}"
         )
+
+
+def plan_split(counts: dict, test_size: float, valid_size: float) -> dict:
+    """Per class: (test rows, validation rows).  The rest is for training."""
+    _check_sizes(test_size, valid_size)
     if valid_size == 0:
         return {k: (n, 0) for k, n in _held_out(counts, test_size).items()}
     held = _held_out(counts, test_size + valid_size)
@@ -75,40 +96,100 @@ def plan_split(counts: dict, test_size: float, valid_size: float) -> dict:
 
 
 def assign_split(df: DataFrame, label: str, id_col, *, test_size: float = 0.2,
-                 valid_size: float = 0.2, seed: int = 42) -> DataFrame:
+                 valid_size: float = 0.2, seed: int = 42,
+                 local_classes: int = LOCAL_CLASSES) -> DataFrame:
     """Append ``split``: train, valid or test.
 
-    ``id_col`` is one column or a list that tells the rows apart.
+    ``id_col`` is one column or a list that tells the rows apart.  Any number of classes;
+    ``local_classes`` only says from how many on quotas are planned in tables.
     """
     ids = [id_col] if isinstance(id_col, str) else list(id_col)
-    counts = class_counts(df, label)
-    plan = plan_split(counts, test_size, valid_size)
-    key = hash_key(seed, ids)
-    wanted = []
-    for k, (test, valid) in plan.items():
-        for rank in (test, test + valid):
-            if rank:
-                wanted.append((k, rank, counts[k]))
-    distinct = list(dict.fromkeys(wanted))
-    keys = dict(zip(distinct, keys_at_ranks(df, label, key, distinct)))
-    cuts = [
-        (str(k), keys.get((k, test, counts[k]), ""),
-         keys.get((k, test + valid, counts[k]), ""))
-        for k, (test, valid) in plan.items()
-    ]
-    # One row per class, at most MAX_CLASSES: safe to broadcast.
-    table = small_table(df.sparkSession, cuts, "_label string, _test string, _valid string")
-    return (
-        df.withColumns({"_label": F.col(f"`{label}`").cast("string"), "_key": key})
-        .join(F.broadcast(table), "_label")
-        .withColumn(
-            SPLIT,
-            F.when(F.col("_key") <= F.col("_test"), "test")
-            .when(F.col("_key") <= F.col("_valid"), "valid")
-            .otherwise("train"),
-        )
-        .select(*[f"`{c}`" for c in df.columns if c != SPLIT], SPLIT)
-    )
+    classes, key = class_table(df, label), hash_key(seed, ids)
+    if classes.count() > local_classes:
+        return _assign_many(df, label, classes, key, test_size, valid_size, local_classes)
+    counts = _local(classes)
+    cuts = _cuts(df, label, key, counts, plan_split(counts, test_size, valid_size))
+    table = small_table(df.sparkSession, cuts, _cut_schema(df, label))
+    marked = df.withColumns({"_label": F.col(f"`{label}`"), "_key": key}).join(
+        F.broadcast(table), "_label", "left")  # one row per class
+    # A label without a cut cannot occur unless the input changed meanwhile.
+    known = F.when(F.col("_test").isNull(), F.raise_error(F.lit("A class was not counted")))
+    return marked.withColumn(
+        SPLIT,
+        F.when(F.col("_test").isNull(), known.cast("string"))
+        .when(F.col("_key") <= F.col("_test"), "test")
+        .when(F.col("_key") <= F.col("_valid"), "valid")
+        .otherwise("train"),
+    ).select(*[f"`{c}`" for c in df.columns if c != SPLIT], SPLIT)
+
+
+def _cut_schema(df: DataFrame, label: str) -> T.StructType:
+    return T.StructType([T.StructField("_label", df.schema[label].dataType),
+                         T.StructField("_test", T.StringType()), T.StructField("_valid", T.StringType())])
+
+
+def _cuts(df: DataFrame, label: str, key, counts: dict, plan: dict) -> list[tuple]:
+    """Per class the last key of the test part and the last key held out."""
+    wanted = list(dict.fromkeys(
+        (k, rank, counts[k]) for k, (test, valid) in plan.items()
+        for rank in (test, test + valid) if rank))
+    keys = dict(zip(wanted, keys_at_ranks(df, label, key, wanted)))
+    return [(k, keys.get((k, test, counts[k]), ""), keys.get((k, test + valid, counts[k]), ""))
+            for k, (test, valid) in plan.items()]
+
+
+def _quota_table(classes: DataFrame, size: int, total: int, out: str) -> DataFrame:
+    """``quotas`` for a table of classes (label, n): one more column, stored."""
+    big = "decimal(38,0)"
+    parts = classes.withColumn("_product", F.col("n").cast(big) * F.lit(size).cast(big)).withColumns({
+        "_floor": F.expr(f"CAST(_product div {total} AS BIGINT)"),
+        "_rest": F.expr(f"CAST(_product % {total} AS BIGINT)")})
+    parts = materialize(parts.withColumn("_turn", -F.col("_rest")).drop("_product"), "quotas")
+    left = size - parts.agg(F.sum("_floor")).first()[0]
+    ranked = with_rank(parts, ["_turn", "label"], "_place")
+    return materialize(ranked.withColumn(
+        out, F.col("_floor") + F.when(F.col("_place") < left, 1).otherwise(0)).select(*classes.columns, out), "quotas")
+
+
+def _assign_many(df: DataFrame, label: str, classes: DataFrame, key, test_size: float,
+                 valid_size: float, big_classes: int) -> DataFrame:
+    """``assign_split`` for any number of classes: quotas and places in tables.
+
+    Classes with more than 1 / ``big_classes`` of the rows, fewer than that many, are cut by
+    keys as usual; the rows of a smaller class fit one task and are numbered there.
+    """
+    _check_sizes(test_size, valid_size)
+    row = classes.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).first()
+    share = test_size + valid_size
+    size = _held_size(row["n"], row["k"], row["least"], share)
+    held = _quota_table(classes, size, row["n"], "held")
+    if valid_size:
+        inner = held.select("label", F.col("held").alias("n"))
+        row = inner.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).first()
+        size = _held_size(row["n"], row["k"], row["least"], test_size / share)
+        tested = _quota_table(inner, size, row["n"], "test").select("label", "test")
+        plan = materialize(held.join(tested, "label"), "plan")
+    else:
+        plan = held.withColumn("test", F.col("held"))
+    total = plan.agg(F.sum("n")).first()[0]
+    is_big = F.col("n") * F.lit(big_classes) > F.lit(total)
+    large = {r["label"]: r for r in plan.where(is_big).collect()}
+    cuts = _cuts(df, label, key, {k: r["n"] for k, r in large.items()},
+                 {k: (r["test"], r["held"] - r["test"]) for k, r in large.items()})
+    names = [c for c in df.columns if c != SPLIT]
+    keyed = df.withColumns({"_label": F.col(f"`{label}`"), "_key": key})
+    table = F.broadcast(small_table(df.sparkSession, cuts, _cut_schema(df, label)))
+    few = keyed.join(table, "_label").withColumn(
+        SPLIT, F.when(F.col("_key") <= F.col("_test"), "test")
+        .when(F.col("_key") <= F.col("_valid"), "valid").otherwise("train"))
+    place = F.row_number().over(Window.partitionBy("_label").orderBy("_key"))
+    small = keyed.join(table.select("_label"), "_label", "left_anti").withColumn("_place", place).join(
+        plan.where(~is_big).select(F.col("label").alias("_label"), "test", "held"), "_label")
+    small = small.withColumn(
+        SPLIT, F.when(F.col("_place") <= F.col("test"), "test")
+        .when(F.col("_place") <= F.col("held"), "valid").otherwise("train"))
+    shown = [F.col(f"`{c}`") for c in names]
+    return few.select(*shown, SPLIT).unionByName(small.select(*shown, SPLIT))
 
 
 def split_tables(df: DataFrame, label: str, id_col, *, test_size: float = 0.2,

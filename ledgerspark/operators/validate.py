@@ -86,7 +86,7 @@ def _checks(df: DataFrame, rules: list[dict[str, Any]], text: bool) -> list[_Che
             out.append(_Check(order, rule, "type", wrong, True))
         if rule.get("allowed_values"):
             out.append(_Check(order, rule, "allowed",
-                              ~_is_allowed(df, name, value, rule["allowed_values"]), True))
+                              ~_is_allowed(df, name, value, rule["allowed_values"], dtype, text), True))
         if rule.get("min") is not None:
             if is_numeric(stored) or (text and dtype in ("int", "float")):
                 low = value < F.lit(rule["min"])
@@ -98,9 +98,16 @@ def _checks(df: DataFrame, rules: list[dict[str, Any]], text: bool) -> list[_Che
     return out
 
 
-def _is_allowed(df: DataFrame, name: str, value: Column, allowed: list) -> Column:
-    """Membership where a missing value is outside, like any other stranger."""
+def _is_allowed(df: DataFrame, name: str, value: Column, allowed: list, dtype: str | None,
+                text: bool) -> Column:
+    """Membership where a missing value is outside, like any other stranger.
+
+    The values that can be members are those of the column's kind: as declared where text
+    is still to be read, else as stored.
+    """
     textual = isinstance(df.schema[name].dataType, T.StringType)
+    if textual and text and dtype in ("int", "float"):
+        textual = False
     same_kind = [v for v in allowed if v is not None and isinstance(v, str) == textual]
     if not same_kind:
         return F.lit(False)

@@ -106,12 +106,19 @@ def _union(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(f"SELECT * FROM ({p})" for p in parts)
 
 
+def _marked(cols: list[str]) -> str:
+    """Columns as one text in which lengths and gaps are marked."""
+    return " || ".join(
+        f"coalesce(CAST(length(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')" for c in cols)
+
+
 def _fingerprint(source: str, cols: list[str]) -> str:
-    text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '<null>')" for c in cols)
-    return f"""h AS (SELECT CAST('0x' || substr(md5(concat_ws('|', {text})), 1, 8) AS BIGINT) AS h
-  FROM {source})
-SELECT count(*) AS n_rows, sha256(concat_ws('|', CAST(count(*) AS VARCHAR),
-  CAST(sum(h) AS VARCHAR), CAST(bit_xor(h) AS VARCHAR))) AS fingerprint FROM h"""
+    words = ", ".join(f"CAST('0x' || substr(d, {1 + 13 * i}, 13) AS BIGINT) AS w{i}" for i in range(5))
+    parts = ", ".join(f"CAST(sum(w{i}) AS VARCHAR), CAST(bit_xor(w{i}) AS VARCHAR)" for i in range(5))
+    return f"""d AS (SELECT sha256({_marked(cols)}) AS d FROM {source}),
+h AS (SELECT {words} FROM d)
+SELECT count(*) AS n_rows, sha256(concat_ws('|', '{len(cols)}', CAST(count(*) AS VARCHAR),
+  {parts})) AS fingerprint FROM h"""
 
 
 def _report(source: str, checks: list[tuple]) -> str:
@@ -208,7 +215,7 @@ def _split(source: str, label: str, key: str, seed: int, test: float, valid: flo
   SELECT s.* EXCLUDE (place), CASE WHEN place <= tested.q THEN 'test'
     WHEN place <= held.q THEN 'valid' ELSE 'train' END AS split
   FROM (SELECT *, row_number() OVER (PARTITION BY {label}
-          ORDER BY md5(concat_ws('|', '{seed}', {key}))) AS place FROM {source}) s
+          ORDER BY md5('{seed}' || '|' || {key})) AS place FROM {source}) s
   JOIN held ON held.label = s.{label} JOIN tested ON tested.label = s.{label})""")
     return ",\n".join(steps)
 
@@ -235,8 +242,8 @@ SELECT {f'{by}, ' if by else ''}{shown}, round((tp + tn) / n, 4) AS accuracy,
 
 
 _LINE_ID = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
-_LINE_KEY = ", ".join(f"CAST({c} AS VARCHAR)" for c in _LINE_ID)
-_ROW_KEY = "CAST(row_id AS VARCHAR)"
+_LINE_KEY = _marked(_LINE_ID)
+_ROW_KEY = _marked(["row_id"])
 _FIELDS = ('trans_date_trans_time, category, amt, gender, city, state, zip, lat, "long", '
            "city_pop, job, dob, merch_lat, merch_long")
 _SCHEMA = [
@@ -283,8 +290,25 @@ def oracle_sql() -> dict[str, str]:
     o["profile_describe_all"] = _with() + _union([
         _numbers("txn", "amt", text=True), _text("txn", "category", True),
         _numbers("txn", "city_pop", text=True), _text("txn", "job", True)])
+    def seconds(col: str) -> str:
+        return f"(epoch_us(CAST({col} AS TIMESTAMP)) / 1000000.0::DOUBLE)"
+
+    typed = "typed AS (SELECT *, isodow(dob) >= 6 AS weekend FROM txn)"
+    day = "CAST(weekend AS VARCHAR)"
+    o["profile_describe_typed"] = _with(typed) + _union(
+        [_numbers("typed", c, text=True) for c in ("row_id", "cc_num", "amt", "city_pop", "lat", "merch_lat", "merch_long", "is_fraud")]
+        + [_numbers("typed", '"long"', "long", text=True)]
+        + [_numbers("typed", seconds(c), c, text=True) for c in ("trans_date_trans_time", "dob")]
+        + [_text("typed", c, True) for c in ("category", "gender", "job")]
+        + [_text("typed", day, True).replace(f"'{day}'", "'weekend'")])
     o["profile_fingerprint"] = _with(_fingerprint("txn", [
         "row_id", "cc_num", "category", "gender", "job", "city_pop", "is_fraud"]))
+    mark = "CASE WHEN row_id % 5 = 0 THEN '<null>' ELSE job END"
+    cuts = [("concat_ws('|', category, gender)", mark), ("category", f"concat_ws('|', gender, {mark})")]
+    o["fingerprint_separators"] = _union([
+        _with(f"c AS (SELECT {a} AS a, {b} AS b FROM txn)", _fingerprint("c", ["a", "b"])).replace(
+            ")) AS fingerprint FROM h", f")) AS fingerprint, {i} AS cut FROM h")
+        for i, (a, b) in enumerate(cuts)])
     o["schema_export"] = _with() + _union([
         f"""SELECT CAST({i} AS BIGINT) AS position, '{n}' AS "column", '{t}' AS dtype,
   count("{n}") AS n_values FROM txn""" for i, (n, t) in enumerate(_SCHEMA)])
@@ -298,7 +322,7 @@ def oracle_sql() -> dict[str, str]:
         " WHERE violations > 0 AND bad = 'error' ORDER BY check_order LIMIT 1"
     broken = ", ".join(
         f"CASE WHEN {cond} THEN '{col}:{check}' END"
-        for _, col, check, cond, fatal in _CHECKS[:15] if fatal and cond != "false")
+        for _, col, check, cond, fatal in _CHECKS if fatal and cond not in ("false", None))
     o["validate_violations"] = _with() + f"""SELECT * FROM (
   SELECT row_id, concat_ws(',', {broken}) AS violations FROM txn) WHERE violations <> ''"""
     o["validate_allowed_nulls"] = _with(_report("txn", [
@@ -318,6 +342,17 @@ def oracle_sql() -> dict[str, str]:
         (2, "gender", "missing", "false", True),
         (2, "gender", "type", "false", True)]))
 
+    o["validate_text_allowed"] = _with(_report("txn", [
+        (0, "is_fraud", "missing", "row_id % 10 = 0", False),
+        (0, "is_fraud", "type", "false", True),
+        (0, "is_fraud", "allowed", "row_id % 10 = 0", True),
+        (1, "share", "missing", "false", False),
+        (1, "share", "type", "row_id % 4 > 1", True),
+        (1, "share", "allowed", "row_id % 4 > 1", True),
+        (2, "gender", "missing", "false", False),
+        (2, "gender", "type", "false", True),
+        (2, "gender", "allowed", "gender <> 'F'", True)]))
+
     # fill
     o["fill_ffill"] = _with() + \
         f"SELECT row_id, {_fill('', 'row_id', how='forward')} FROM txn"
@@ -339,7 +374,13 @@ def oracle_sql() -> dict[str, str]:
     o["label_encode"] = _with() + "SELECT row_id, " + ", ".join(
         code.format(c=c) for c in ("category", "job", "gender")) + " FROM txn"
     o["label_encode_wide"] = _with() + "SELECT row_id, " + ", ".join(
-        code.format(c=c) for c in ("cc_num", "amt")) + " FROM txn"
+        code.format(c=c) for c in ("cc_num", "amt", "city_pop")) + " FROM txn"
+    lines = """o AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+  CASE WHEN l_linenumber <> 2 THEN concat('o', CAST(l_orderkey AS VARCHAR)) END AS "order" FROM lineitem)"""
+    o["impute_mode_wide"] = f"""WITH {lines} SELECT * REPLACE (coalesce("order", {_mode('"order"', 'o')}) AS "order") FROM o"""
+    filled = f"f AS (SELECT row_id, coalesce(job, {_mode('job', 'txn')}) AS job, CAST(cc_num AS VARCHAR) AS card FROM txn)"
+    o["onehot_sparse"] = _with(filled) + """SELECT row_id, dense_rank() OVER (ORDER BY job) - 1 AS job_at,
+  dense_rank() OVER (ORDER BY card) - 1 AS card_at FROM f"""
     o["impute_mean"] = _with() + """SELECT row_id,
   round(coalesce(city_pop, (SELECT avg(city_pop) FROM txn)), 4) AS city_pop FROM txn"""
     o["scale_standard"] = _with() + f"""SELECT row_id, {_scaled('amt', 'txn')} AS amt,
@@ -390,6 +431,15 @@ def oracle_sql() -> dict[str, str]:
         "SELECT row_id, is_fraud, split FROM parts"
     o["split_many_classes"] = _with(_split("txn", "category", _ROW_KEY, 42, 0.15, 0.25)) + \
         "SELECT row_id, category, split FROM parts"
+    labelled = "labelled AS (SELECT *, is_fraud = 1 AS fraud, is_fraud * 1e7::DOUBLE + row_id % 3 * 0.1::DOUBLE AS label_ FROM txn)"
+    o["split_boolean_label"] = _with(labelled, _split("labelled", "fraud", _ROW_KEY, 42, 0.2, 0.1)) + \
+        "SELECT row_id, fraud, split FROM parts"
+    o["split_double_label"] = _with(labelled, _split("labelled", "label_", _ROW_KEY, 42, 0.2, 0.1)) + \
+        "SELECT row_id, split FROM parts"
+    twice = f"twice AS (SELECT {', '.join(_LINE_ID)}, copy FROM lineitem, (VALUES (0), (1)) AS v(copy))"
+    o["split_wide_classes"] = f"WITH {twice},\n" + _split(
+        "twice", "l_orderkey", _marked([*_LINE_ID, "copy"]), 42, 0.3, 0.0) + \
+        f"\nSELECT {', '.join(_LINE_ID)}, copy, split FROM parts"
     o["class_weights"] = _with() + """SELECT is_fraud AS label, count(*) AS n_rows,
   round((SELECT count(*) FROM txn) / ((SELECT count(DISTINCT is_fraud) FROM txn) * count(*)), 4)
   AS weight FROM txn GROUP BY is_fraud"""
@@ -417,8 +467,13 @@ def oracle_sql() -> dict[str, str]:
     o["csv_round_trip"] = _with(RECORDS) + f"""SELECT row_id, {plain},
   CASE WHEN row_id % 7 <> 0 THEN concat(job, ', "q"') END AS job FROM records"""
     o["stage_round_trip"] = _with() + "SELECT row_id, amt, job FROM txn"
-    o["versioned_dataset"] = _with() + \
-        "SELECT row_id, category, job FROM txn WHERE job IS NOT NULL"
+    o["csv_bad_rows"] = _with() + """SELECT CASE WHEN row_id % 7 <> 0 THEN row_id END AS row_id,
+  CASE WHEN row_id % 7 <> 0 THEN category END AS category,
+  CASE WHEN row_id % 7 = 0 THEN concat(row_id, ',', category, ',extra') END AS record FROM txn"""
+    o["csv_line_breaks"] = _with() + \
+        """SELECT row_id, concat(' ', category, chr(10), '"', gender, '" ') AS text FROM txn"""
+    o["versioned_dataset"] = _with() + """SELECT row_id, job,
+  CASE WHEN row_id % 6 <> 0 THEN concat('00', cc_num % 9) END AS code FROM txn WHERE job IS NOT NULL"""
     numbers = ("row_id", "amt", "zip", "lat", "city_pop", "merch_lat", "merch_long", "is_fraud")
     words = ("trans_date_trans_time", "category", "gender", "city", "state", "job", "dob")
     o["load_and_profile"] = _with(RECORDS) + _union(
@@ -436,6 +491,30 @@ def oracle_sql() -> dict[str, str]:
   CASE WHEN row_id % 13 = 0 THEN 'zip: missing' END) AS reason
   FROM txn WHERE NOT ({good})"""
 
+    # models: what must hold of any, and a rule that a tree finds exactly
+    held = _with(RECORDS, _split("records", "is_fraud", _ROW_KEY, 42, 0.2, 0.2))
+    for kind in ("train_decision_tree", "train_random_forest", "train_gradient_boosting"):
+        o[kind] = held + """SELECT split, count(*) AS n, CAST(sum(is_fraud) AS BIGINT) AS n_frauds,
+  true AS adds_up, true AS follows, true AS repeats FROM parts WHERE split <> 'train' GROUP BY split"""
+    o["tune_random_search"] = held + """SELECT count(*) AS n_valid, CAST(sum(is_fraud) AS BIGINT) AS n_frauds,
+  CAST(25 AS BIGINT) AS n_trials, true AS in_range, true AS best_is_highest FROM parts WHERE split = 'valid'"""
+    late = "CAST(substr(trans_date_trans_time, 12, 2) AS INT) >= 12"
+    o["score_table"] = _with(RECORDS) + f"""SELECT row_id, amt, CASE WHEN {late} THEN 1 ELSE 0 END AS prediction,
+  CASE WHEN {late} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction_proba FROM records"""
+    o["score_threshold"] = _with() + _union([
+        f"SELECT {t}::DOUBLE AS threshold, count(*) AS n_rows, count(*) AS n_consistent FROM txn"
+        for t in ("0.05", "0.5", "0.99")])
+    by_hour = f"hours AS (SELECT * REPLACE (CASE WHEN {late} THEN 1 ELSE 0 END AS is_fraud) FROM records)"
+    o["evaluate_saved_model"] = _with(RECORDS, by_hour, _split("hours", "is_fraud", _ROW_KEY, 42, 0.2, 0.2)) + \
+        "SELECT count(*) AS n, " + ", ".join(
+            f"1.0::DOUBLE AS {c}" for c in ("accuracy", "precision", "recall", "f1_score", "auc_roc", "auc_roc_proba")) + \
+        " FROM parts WHERE split = 'test'"
+    stored = """coded AS (SELECT row_id, is_fraud, amt, city_pop, lat,
+  CAST(substr(trans_date_trans_time, 12, 2) AS INT) AS hour FROM records)"""
+    o["preprocess_job"] = _with(RECORDS, stored, _split("coded", "is_fraud", _ROW_KEY, 42, 0.2, 0.2)) + \
+        "SELECT row_id, is_fraud, split, " + ", ".join(
+            f"{_scaled(c, 'coded')} AS {c}" for c in ("amt", "city_pop", "hour")) + " FROM parts"
+
     # scoring, as far as SQL can state it
     o["score_properties"] = _with() + """SELECT count(*) AS n_rows, round(sum(amt), 2) AS sum_amt,
   count(*) AS n_consistent, count(*) AS n_repeated FROM txn"""

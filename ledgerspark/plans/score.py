@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from ledgerspark.config import rules_of
 from ledgerspark.operators.features import add_features
 from ledgerspark.operators.models import predict
-from ledgerspark.operators.project import raw_feature_names, require_columns
+from ledgerspark.operators.project import input_features, raw_feature_names, require_columns
 from ledgerspark.sources.artifacts import ScoringModel, load_model
-from ledgerspark.sources.tables import read_csv, write_table
+from ledgerspark.sources.tables import read_csv, text_options, write_table
 
 _ROW = "_input"
 
@@ -31,10 +31,12 @@ def score(df: DataFrame, conf: dict[str, Any], model: ScoringModel | None = None
     """The input row, untouched, with ``prediction`` and ``prediction_proba``.
 
     Lazy and row-local: one stage, no shuffle.  The model is loaded from the
-    configured path unless it is given.
+    configured path unless it is given.  A configured threshold decides the class by the
+    probability, whatever the model was fitted with.
     """
     model = model or load_model(df.sparkSession, model_path(conf))
     require_columns(df, conf.get("raw_features", []))
+    _require_features(conf, model)
     raw = raw_feature_names(conf)
     # Only what the features need travels beside the row as it came.  Results of an
     # earlier scoring are replaced.
@@ -42,10 +44,19 @@ def score(df: DataFrame, conf: dict[str, Any], model: ScoringModel | None = None
     work = df.select(
         F.struct(*[F.col(f"`{c}`") for c in came]).alias(_ROW),
         *[F.col(f"`{c}`") for c in raw])
-    work = score_features(add_features(work), model).select(
-        f"{_ROW}.*", "prediction",
-        *(["prediction_proba"] if "probability" in _outputs(model) else []))
-    return work
+    probable = "probability" in _outputs(model)
+    threshold = conf.get("inference", {}).get("threshold")
+    done = score_features(add_features(work), model)
+    if probable and threshold is not None:
+        done = done.withColumn("prediction", (F.col("prediction_proba") > F.lit(float(threshold))).cast("int"))
+    return done.select(f"{_ROW}.*", "prediction", *(["prediction_proba"] if probable else []))
+
+
+def _require_features(conf: dict[str, Any], model: ScoringModel) -> None:
+    """Fail if engineered features are configured and the model was trained on none of them."""
+    if conf.get("features", {}).get("engineered"):
+        known = [*model.prep.numeric, *model.prep.categorical, *model.features]
+        input_features(known, conf, on_empty="error")
 
 
 def _outputs(model: ScoringModel) -> tuple[str, ...]:
@@ -61,12 +72,10 @@ def score_features(df: DataFrame, model: ScoringModel) -> DataFrame:
 def score_path(spark: SparkSession, input_path: str, output_path: str, conf: dict[str, Any],
                model: ScoringModel | None = None, format: str = "csv") -> DataFrame:
     """Score a delimited file (or Parquet table) and write input plus predictions."""
-    source = conf.get("data_source", {})
     if input_path and input_path.rstrip("/").endswith(".parquet"):
         df = spark.read.parquet(input_path)
     else:
-        df = read_csv(spark, input_path, rules_of(conf), source.get("delimiter", ","),
-                      source.get("header", 0), source.get("encoding", "utf-8"))
+        df = read_csv(spark, input_path, rules_of(conf), **text_options(conf))
     out = score(df, conf, model)
     write_table(out, output_path, format)
     return out

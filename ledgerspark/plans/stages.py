@@ -22,6 +22,7 @@ from ledgerspark.operators.validate import (
 from ledgerspark.plans.score import score, score_path
 from ledgerspark.plans.train import TrainResult, stored, train
 from ledgerspark.sources.exports import sample_head, schema_dict, schema_export
+from ledgerspark.sources.scratch import materialize
 from ledgerspark.sources.tables import apply_types, read_dataset
 
 logger = logging.getLogger(__name__)
@@ -33,9 +34,10 @@ def load_and_profile(spark: SparkSession, conf: dict[str, Any], base_dir: str |
                      exact: bool = True, order_by=None) -> dict[str, DataFrame]:
     """Read the raw table and profile it; the table itself is under ``data``.
 
-    With ``order_by`` its first 100 rows are under ``sample``.
+    Text is parsed once, into a stored table that the profiles read.  With ``order_by`` its
+    first 100 rows are under ``sample``.
     """
-    df = read_dataset(spark, conf, "raw", base_dir)
+    df = materialize(read_dataset(spark, conf, "raw", base_dir), "raw")
     if df.isEmpty():
         logger.warning("The raw table has no rows")
     sample = {"sample": sample_head(df, 100, order_by)} if order_by else {}
@@ -82,7 +84,12 @@ def preprocess(df: DataFrame, conf: dict[str, Any], id_col) -> dict[str, Any]:
 
 def run(spark: SparkSession, conf: dict[str, Any], stage: str = "all", *,
         id_col="trans_num", base_dir: str | None = None) -> TrainResult | DataFrame | None:
-    """One stage, or ``all``: load, validate, train (scoring is its own stage)."""
+    """One stage, or ``all``: load, validate, train (scoring is its own stage).
+
+    Where validation only warns, its report is written to the configured
+    ``report_path`` and handed on: as the result of ``validate``, and as ``report`` of
+    the training result.
+    """
     if stage not in STAGES:
         raise ValueError(f"Unknown stage: {stage}")
     if stage == "infer":
@@ -90,12 +97,13 @@ def run(spark: SparkSession, conf: dict[str, Any], stage: str = "all", *,
         return score_path(spark, paths["input_path"], paths["output_path"], conf)
     rules = rules_of(conf)
     text = read_dataset(spark, conf, "raw", base_dir, as_text=True)
-    if stage in ("validate", "all"):
-        check(text, conf)
+    report = check(text, conf) if stage in ("validate", "all") else None
     df = apply_types(text, rules)
     if stage in ("pipeline", "all"):
-        return train(df, conf, id_col)
-    return df
+        result = train(df, conf, id_col)
+        result.report = report
+        return result
+    return df if report is None else report
 
 
 def run_steps(spark: SparkSession, conf: dict[str, Any], id_col, order_by, *,
@@ -126,7 +134,9 @@ def check(df: DataFrame, conf: dict[str, Any]) -> DataFrame | None:
     if cfg.get("action_on_error", "raise") == "raise":
         validate_schema(df, rules_of(conf), text=True)
         return None
-    report = validation_report(df, rules_of(conf), text=True)
+    report = materialize(validation_report(df, rules_of(conf), text=True), "report")
+    if cfg.get("report_path"):
+        report.coalesce(1).write.mode("overwrite").json(cfg["report_path"])  # a row per check
     for r in report.where("status = 'error'").collect():
         logger.warning("Column '%s' breaks its %s rule: %d", r["column"], r["check"],
                        r["violations"])

@@ -17,7 +17,7 @@ from ledgerspark.operators.split import SPLIT, split_by_conf
 from ledgerspark.operators.tune import random_search
 from ledgerspark.plans.score import score_features
 from ledgerspark.sources.artifacts import ScoringModel
-from ledgerspark.sources.datasets import write_dataset
+from ledgerspark.sources.datasets import read_version, write_dataset
 from ledgerspark.sources.scratch import scratch_path
 
 
@@ -27,15 +27,16 @@ class TrainResult:
     splits: DataFrame  # featurised rows with their split
     metrics: DataFrame  # one row per held-out split
     trials: DataFrame | None  # parameter search, if it ran
+    report: DataFrame | None = None  # validation, if it only warned
 
 
 def stored(df: DataFrame, conf: dict[str, Any], name: str,
            partition_by: list[str] | None = None) -> DataFrame:
     """Write under the artifact root, or to scratch if there is none; read back."""
-    root = conf.get("artifacts", {}).get("root")
     spark = df.sparkSession
-    path = write_dataset(df, root or scratch_path(spark, "train"), name, partition_by)
-    return spark.read.parquet(path)
+    root = conf.get("artifacts", {}).get("root") or scratch_path(spark, "train")
+    path = write_dataset(df, root, name, partition_by)
+    return read_version(spark, root, name, int(path.rsplit("=", 1)[-1]))
 
 
 def train(df: DataFrame, conf: dict[str, Any], id_col, featurised: bool = False,

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerspark.sources import paths
 
@@ -29,6 +32,9 @@ def write_dataset(df: DataFrame, root: str, name: str,
     folder = f"{root.rstrip('/')}/{name}"
     taken = [int(m.group(1)) for m in map(_VERSION.match, paths.child_names(spark, folder)) if m]
     path = f"{folder}/v={max(taken, default=0) + 1}"
+    schema = f"{folder}/_schema-v={path.rsplit('=', 1)[-1]}"
+    # Folder names hold partition values as text; the declared types go beside them.
+    spark.range(1, numPartitions=1).select(F.lit(df.schema.json()).alias("value")).write.mode("overwrite").text(schema)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -38,10 +44,16 @@ def write_dataset(df: DataFrame, root: str, name: str,
 
 def read_version(spark: SparkSession, root: str, name: str,
                  version: int | str = "latest") -> DataFrame:
-    """A version by number, or the latest."""
+    """A version by number, or the latest, with the types and column order it was written in."""
     done = versions(spark, root, name)
     if version == "latest":
         version = done[-1] if done else None
     if version not in done:
         raise FileNotFoundError(f"Dataset not found: {name} under {root}")
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}/v={version}")
+    folder = f"{root.rstrip('/')}/{name}"
+    declared = f"{folder}/_schema-v={version}"
+    if not paths.exists(spark, declared):
+        return spark.read.parquet(f"{folder}/v={version}")
+    schema = T.StructType.fromJson(json.loads(spark.read.text(declared).first()["value"]))
+    table = spark.read.schema(schema).parquet(f"{folder}/v={version}")
+    return table.select(*[f"`{c}`" for c in schema.names])

@@ -7,26 +7,19 @@ pass sees exactly the rows the first one saw.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_local: dict[str, str] = {}  # by application, for local sessions without the setting
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder; a private one only in a local session without any."""
+    """The folder that all executors share, as the session names it."""
     root = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not root:
         raise ValueError(f"Set {_SETTING} to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local:
-        _local[app] = tempfile.mkdtemp(prefix="ledgerspark-")
-    return _local[app]
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

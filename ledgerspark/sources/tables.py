@@ -21,7 +21,7 @@ from ledgerspark.sources import paths
 
 # Spellings that a text table uses for a missing value.
 MISSING_TEXT = [
-    "", " ", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
@@ -46,31 +46,74 @@ def check_path(spark: SparkSession, path: Any) -> str:
     return path
 
 
-def read_text_table(spark: SparkSession, path: str, delimiter: str = ",", header: int = 0,
-                    encoding: str = "utf-8", multi_line: bool = False) -> DataFrame:
-    """A delimited file with a heading line; all columns text, gaps NULL.
+_RAW = "_raw_record"
 
-    Files are split over tasks.  ``multi_line`` allows line breaks inside quotes,
-    at the price of one task per file.
-    """
+
+def _read(spark: SparkSession, path: str, delimiter: str, header: int, encoding: str,
+          multi_line: bool) -> tuple[DataFrame, list[str], Column]:
+    """All columns as text beside the raw record, the names, and what marks a bad record."""
     check_path(spark, path)
     if header != 0:
         raise ValueError(f"Only the first line can be the heading, not line {header}")
+
+    def options(reader):
+        return (
+            reader.option("header", True).option("inferSchema", False)
+            .option("sep", delimiter).option("encoding", _charset(encoding))
+            .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+        )
+
+    names = options(spark.read).csv(path).columns
+    fields = [T.StructField(f"_f{i}", T.StringType()) for i in range(len(names))]
     df = (
-        spark.read.option("header", True).option("inferSchema", False)
-        .option("sep", delimiter).option("encoding", _charset(encoding))
-        .option("quote", '"').option("escape", '"')
-        .option("multiLine", multi_line).option("mode", "PERMISSIVE")
-        .csv(path)
+        options(spark.read).option("mode", "PERMISSIVE").option("enforceSchema", True)
+        .option("columnNameOfCorruptRecord", _RAW).option("columnPruning", False)
+        .schema(T.StructType([*fields, T.StructField(_RAW, T.StringType())])).csv(path)
     )
-    blank = {c: f"Unnamed: {i}" for i, c in enumerate(df.columns) if c == f"_c{i}"}
-    df = df.withColumnsRenamed(blank)
+    names = [f"Unnamed: {i}" if n == f"_c{i}" else n for i, n in enumerate(names)]
+    # A record that is too short has gaps at its end.  One that is too long, or ends inside
+    # quotes, does not fit.
+    # (A query may not read the raw record alone, so a field goes along.)
+    raw = F.coalesce(F.col(_RAW), F.when(F.col(_RAW).isNotNull(), F.col("_f0")))
+    bare = F.regexp_replace(raw, '"([^"]|"")*"', "")
+    count = F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit("")))
+    too_long = count > len(delimiter) * (len(names) - 1)
+    bad = F.coalesce(raw.isNotNull() & (too_long | bare.contains('"')), F.lit(False))
+    return df, names, bad
+
+
+def read_text_table(spark: SparkSession, path: str, delimiter: str = ",", header: int = 0,
+                    encoding: str = "utf-8", multi_line: bool = False,
+                    on_bad: str = "raise") -> DataFrame:
+    """A delimited file with a heading line; all columns text, gaps NULL.
+
+    Files are split over tasks.  ``multi_line`` allows line breaks inside quotes,
+    at the price of one task per file.  A record with more fields than the heading, or
+    with a quote that does not end, raises when it is read; with ``on_bad="skip"`` it is
+    left out, and ``rejected_rows`` has it.
+    """
+    if on_bad not in ("raise", "skip"):
+        raise ValueError(f"Unknown way with bad records: {on_bad!r}")
+    df, names, bad = _read(spark, path, delimiter, header, encoding, multi_line)
+    if on_bad == "skip":
+        df = df.where(~bad)
+    else:
+        say = F.concat(F.lit("A record does not fit the heading (a line break in quotes needs "
+                             "multi_line): "), F.left(F.col(_RAW), F.lit(200)))
+        df = df.where(F.when(bad, F.raise_error(say).cast("boolean")).otherwise(F.lit(True)))
     return df.select(*[
-        F.when(~F.col(f"`{c}`").isin(MISSING_TEXT), F.col(f"`{c}`")).alias(c)
-        for c in df.columns
+        F.when(~F.col(f"_f{i}").isin(MISSING_TEXT), F.col(f"_f{i}")).alias(c)
+        for i, c in enumerate(names)
     ])
 
 
+def rejected_rows(spark: SparkSession, path: str, delimiter: str = ",", header: int = 0,
+                  encoding: str = "utf-8", multi_line: bool = False) -> DataFrame:
+    """The records of a delimited file that do not fit its heading, as they stand: ``record``."""
+    df, _, bad = _read(spark, path, delimiter, header, encoding, multi_line)
+    return df.where(bad).select(F.col(_RAW).alias("record"))
+
+
 def _declared(name: str, dtype: str | None) -> Column:
     c = F.col(f"`{name}`")
     if dtype == "int":
@@ -93,12 +136,21 @@ def apply_types(df: DataFrame, rules: list[dict[str, Any]]) -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str, rules: list[dict[str, Any]] | None = None,
              delimiter: str = ",", header: int = 0, encoding: str = "utf-8",
-             multi_line: bool = False) -> DataFrame:
+             multi_line: bool = False, on_bad: str = "raise") -> DataFrame:
     """A delimited file under declared types."""
-    text = read_text_table(spark, path, delimiter, header, encoding, multi_line)
+    text = read_text_table(spark, path, delimiter, header, encoding, multi_line, on_bad)
     return apply_types(text, rules or [])
 
 
+def text_options(conf: dict[str, Any]) -> dict[str, Any]:
+    """How the configuration says delimited text is to be read."""
+    source = conf.get("data_source", {})
+    return {"delimiter": source.get("delimiter", ","), "header": source.get("header", 0),
+            "encoding": source.get("encoding", "utf-8"),
+            "multi_line": bool(source.get("multi_line", False)),
+            "on_bad": source.get("on_bad_lines", "raise")}
+
+
 def dataset_path(conf: dict[str, Any], stage: str, base_dir: str | None = None) -> str:
     """Where the configuration keeps a stage; relative paths start at ``base_dir``."""
     source = conf.get("data_source", {})
@@ -120,10 +172,7 @@ def read_dataset(spark: SparkSession, conf: dict[str, Any], stage: str = "raw",
     check_path(spark, path)
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.parquet(path)
-    source = conf.get("data_source", {})
-    text = read_text_table(
-        spark, path, source.get("delimiter", ","), source.get("header", 0),
-        source.get("encoding", "utf-8"))
+    text = read_text_table(spark, path, **text_options(conf))
     return text if as_text else apply_types(text, rules_of(conf))
 
 
@@ -137,6 +186,8 @@ def write_table(df: DataFrame, path: str, format: str = "parquet",
             else F.col(f"`{f.name}`") for f in df.schema])
         writer = df.write.mode(mode).option("header", True).option("escape", '"')
         writer = writer.option("nullValue", "").option("emptyValue", "")
+        writer = writer.option("ignoreLeadingWhiteSpace", False)
+        writer = writer.option("ignoreTrailingWhiteSpace", False)
     elif format == "parquet":
         writer = df.write.mode(mode)
     else:

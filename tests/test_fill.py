@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerspark.operators import fill
+from ledgerspark.operators import fill, ordered
 from ledgerspark.operators.ordered import RANGE, keys_at_ranks, hash_key, with_range
 
 
@@ -91,3 +91,15 @@ def test_keys_at_ranks_without_a_uniform_hash(spark):
     key = F.lpad(F.hex("id"), 32, "0")  # all within a sliver of the range
     got = keys_at_ranks(df, "y", key, [(1, 1000, 3000)])
     assert int(got[0], 16) == 999
+
+
+def test_ties_in_the_order_raise(spark):
+    df = spark.createDataFrame([(1, "a"), (1, None), (2, None)], "k long, v string")
+    with pytest.raises(Exception, match="does not tell the rows apart"):
+        fill.fill_missing(df, ["v"], order_by="k").collect()
+
+
+@pytest.mark.parametrize("total", [10**6, 10**12])
+def test_ranges_follow_the_table(spark, total):
+    n = ordered.range_count(spark.range(1), total)
+    assert total / n <= ordered.ROWS_PER_RANGE

@@ -131,3 +131,35 @@ def test_column_choices(toy):
     assert "zip" not in project.select_raw_features(toy.drop("zip"), conf, strict=False).columns
     renamed = project.rename_columns(toy, {"preprocessing": {"rename_columns": {"dob": "born"}}})
     assert "born" in renamed.columns
+
+
+def test_encoded_frame_reads_its_source_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(500).selectExpr("id", "id % 90 AS a", "cast(id % 70 AS string) AS b", "id / 7.0D AS c").write.parquet(path)
+    t = spark.read.parquet(path)
+    out = prep.label_encode(t, ["a", "b", "c"], local_limit=10)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("parquet" in line and "id#" in line for line in plan.splitlines()) == 1
+    for r in out.join(t.select("id", F.col("a").alias("x"), F.col("b").alias("y")), "id").collect():
+        assert r.a == r.x and r.b == sorted(map(str, range(70))).index(r.y) and r.c == r.id
+
+
+def test_mode_of_many_values(spark):
+    t = spark.range(12_000).selectExpr("if(id < 2, 'zz', concat('v', id)) AS v").union(spark.range(3).selectExpr("cast(null AS string)"))
+    assert prep.impute_mode(t, ["v"]).where("v = 'zz'").count() == 5
+
+
+def test_too_many_named_categories_blame_their_column(spark):
+    t = spark.range(6_000).selectExpr("'x' AS a", "cast(id AS string) AS b")
+    with pytest.raises(ValueError, match="'b'"):
+        prep.TabularPrep(categorical=["a", "b"]).fit(t)
+    hot = prep.onehot_sparse(t, ["b"]).first()["b_onehot"]
+    assert hot.size == 6_000 and hot.values.tolist() == [1.0]
+
+
+def test_names_that_differ_by_case(spark):
+    t = spark.createDataFrame([("x", 0), ("X", 1), ("x", 1)], "g string, y int")
+    conf = {"target": "y", "preprocessing": {"categorical": ["g"]}, "features": {"engineered": []}}
+    table, model = prep.preprocess(t, conf)
+    assert model.output_names == ["g_X", "g_x_2"]
+    assert sorted(map(tuple, table.collect())) == [(0, 0.0, 1.0), (1, 0.0, 1.0), (1, 1.0, 0.0)]

@@ -89,3 +89,17 @@ def test_fingerprint_ignores_order_only(spark):
 def test_profile_has_every_part(spark):
     got = profile.profile(spark.createDataFrame([(1, "x")], "a int, b string"))
     assert set(got) == {"shape", "duplicates", "describe", "fingerprint"}
+
+
+def test_fingerprint_tells_separators_apart(spark):
+    a = spark.createDataFrame([("a|b", "c"), (None, "q")], "x string, y string")
+    b = spark.createDataFrame([("a", "b|c"), ("<null>", "q")], "x string, y string")
+    assert profile.fingerprint(a).first() != profile.fingerprint(b).first()
+    assert profile.fingerprint(a).first() == profile.fingerprint(a.orderBy("y")).first()
+
+
+def test_every_kind_of_column_is_described(spark):
+    t = spark.sql("SELECT true AS b, date'1970-01-03' AS d, timestamp_ntz'1970-01-01 00:00:05' AS t, array(1) AS a, X'00' AS x, 1.5 AS n")
+    rows = {r["column"]: r for r in profile.describe(t).collect()}
+    assert list(rows) == t.columns
+    assert (rows["b"].top, rows["d"].mean, rows["t"].max, rows["a"].n, rows["x"].freq, rows["n"].p50) == ("true", 172800.0, 5.0, 1, 1, 1.5)

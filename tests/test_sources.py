@@ -73,7 +73,7 @@ def test_versions(spark):
 def test_schema_and_sample(spark):
     df = spark.createDataFrame([(3, "c", None), (1, "a", 1.5), (2, "b", 2.5)],
                                "k int, s string, x float")
-    rows = exports.schema_export(df).collect()
+    rows = exports.schema_export(df, counts=True).collect()
     assert [(r.column, r.dtype, r.n_values) for r in rows] == [
         ("k", "int", 3), ("s", "str", 3), ("x", "float", 2)]
     assert exports.schema_dict(df) == {"k": "int", "s": "str", "x": "float"}
@@ -164,7 +164,11 @@ def test_stage_names_and_failures(spark, job_conf):
     with pytest.raises(DataValidationError, match="below minimum"):
         stages.run(spark, job_conf, "all")
     job_conf["data_validation"]["action_on_error"] = "warn"
-    assert stages.run(spark, job_conf, "validate").count() == 60
+    job_conf["data_validation"]["report_path"] = scratch_path(spark, "report")
+    report = stages.run(spark, job_conf, "validate")
+    broken = report.where("status = 'error'").collect()
+    assert [(r["column"], r["check"]) for r in broken] == [("amt", "minimum")]
+    assert spark.read.json(job_conf["data_validation"]["report_path"]).count() == report.count()
 
 
 def test_load_and_profile(spark, job_conf):
@@ -194,3 +198,37 @@ def test_featurize_and_preprocess(spark, job_conf):
     sizes = {r["split"]: r["count"] for r in got["data"].groupBy("split").count().collect()}
     assert sizes == {"train": 36, "valid": 12, "test": 12}
     assert got["data"].columns[:2] == ["trans_num", "is_fraud"]
+
+
+def test_records_that_do_not_fit(spark, tmp_path):
+    path = write(tmp_path, "t.csv", 'a,b\n1,2\n3,4,5\n6\n7,"x,""y"""\n')
+    with pytest.raises(Exception, match="does not fit"):
+        tables.read_csv(spark, path).collect()
+    with pytest.raises(Exception, match="does not fit"):
+        tables.read_csv(spark, path).count()
+    good = tables.read_csv(spark, path, on_bad="skip")
+    assert [tuple(r) for r in good.collect()] == [("1", "2"), ("6", None), ("7", 'x,"y"')] and good.count() == 3
+    assert [r.record for r in tables.rejected_rows(spark, path).collect()] == ["3,4,5"]
+    with pytest.raises(ValueError, match="bad records"):
+        tables.read_csv(spark, path, on_bad="guess")
+
+
+def test_line_breaks_in_quotes(spark, tmp_path):
+    path = write(tmp_path, "t.csv", 'a,b\n1,"x\ny"\n2, \n')
+    with pytest.raises(Exception, match="does not fit"):
+        tables.read_csv(spark, path).collect()
+    rows = tables.read_csv(spark, path, multi_line=True).collect()
+    assert [tuple(r) for r in rows] == [("1", "x\ny"), ("2", " ")]
+
+
+def test_versions_keep_types(spark, tmp_path):
+    t = spark.createDataFrame([("007", 1), ("08", 2), (None, 3)], "code string, n int")
+    datasets.write_dataset(t, str(tmp_path / "d"), "x", ["code"])
+    back = datasets.read_version(spark, str(tmp_path / "d"), "x")
+    assert back.schema == t.schema and sorted(back.collect(), key=str) == sorted(t.collect(), key=str)
+
+
+def test_profile_parses_text_once(spark, job_conf):
+    data = stages.load_and_profile(spark, job_conf)["data"]
+    plan = data._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" in plan and "csv" not in plan

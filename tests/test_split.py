@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerspark.operators import split
+from ledgerspark.operators import ordered, split
 
 
 def test_toy_split(toy):
@@ -75,3 +75,28 @@ def test_refusals(spark, toy):
 def test_ids_must_tell_rows_apart(toy):
     with pytest.raises(ValueError, match="do not tell the rows apart"):
         split.assign_split(toy, "is_fraud", "city")
+
+
+def test_many_classes_equal_few(spark):
+    df = spark.range(4_000).selectExpr("id", "if(id % 3 = 0, -1, id % 97) AS y")
+    few = split.assign_split(df, "y", "id", test_size=0.2, valid_size=0.1)
+    many = split.assign_split(df, "y", "id", test_size=0.2, valid_size=0.1, local_classes=5)
+    assert sorted(few.collect()) == sorted(many.collect())
+
+
+def test_typed_labels(spark):
+    df = spark.range(400).selectExpr("id", "id % 4 = 0 AS b", "if(id % 4 = 0, 1e7D, 0.1D) AS d", "date_add(date'2020-01-01', cast(id % 2 AS int)) AS t")
+    for label in ("b", "d", "t"):
+        got = split.assign_split(df, label, "id", test_size=0.25, valid_size=0.0)
+        assert got.where("split = 'test'").count() == 100
+
+
+def test_a_class_that_is_not_there_raises(spark):
+    df = spark.range(100).selectExpr("id", "id % 2 AS y")
+    with pytest.raises(ValueError, match="fewer rows"):
+        ordered.keys_at_ranks(df, "y", ordered.hash_key(1, ["id"]), [(7, 3, 50)])
+
+
+def test_ids_are_told_apart(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), (None, ""), ("", None)], "p string, q string")
+    assert df.select(ordered.hash_key(1, ["p", "q"])).distinct().count() == 4
