@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 _PRIME = 2**31 - 1
 DECODED_IDS = 500_000  # decoded at a time
 
@@ -149,6 +149,9 @@ class Codec:
             self.cut = regex.compile(blanks_spelled_out(self.pattern))
             self.ranks = {v: i for i, v in enumerate(self.vocabulary)}
             self.after_space = Remembered(lambda part: self._word(" " + part), self.remembered)
+            self.sizes = [len(v) for v in self.vocabulary]
+            self.longest = max(self.sizes, default=0)
+            self.pairs = [self.ranks.get(bytes((a, b))) for a in range(256) for b in range(256)]
             self.lengths = np.array([len(v) for v in self.vocabulary], np.int64)
             self.begins = np.cumsum(self.lengths) - self.lengths
             self.bytes = np.frombuffer(b"".join(self.vocabulary), np.uint8)
@@ -158,34 +161,38 @@ class Codec:
         return tuple(itertools.chain.from_iterable(self.pre_token(m.encode()) for m in self.cut.findall(text)))
 
     def pre_token(self, token: bytes) -> tuple[int, ...]:
-        i = self.hash.index(token)
-        return (i,) if self.vocabulary[i] == token else self.merged(token)
+        if len(token) <= self.longest:
+            i = self.hash.index(token)
+            if self.vocabulary[i] == token:
+                return (i,)
+        return self.merged(token)
 
     def merged(self, token: bytes) -> tuple[int, ...]:
         """Merge by rank: a heap of pairs over linked parts."""
         n = len(token)
         ends = list(range(1, n + 1))  # where the part that begins here ends; 0: no longer a part
         before = list(range(-1, n - 1))
-        rank_of = self.ranks.get
-        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank_of(token[i:i + 2])) is not None]
+        rank_of, pairs, push, pop = self.ranks.get, self.pairs, heapq.heappush, heapq.heappop
+        heap = [(r, i) for i, (a, b) in enumerate(zip(token, token[1:])) if (r := pairs[a << 8 | b]) is not None]
         heapq.heapify(heap)
+        size = self.sizes
         while heap:
-            _, i, end = heapq.heappop(heap)
-            middle = ends[i]
-            if not middle or middle >= n or ends[middle] != end or middle >= end:
+            rank, i = pop(heap)
+            middle, end = ends[i], i + size[rank]
+            if not middle or middle >= end or ends[middle] != end:
                 continue  # one of the two parts has changed
             ends[middle], ends[i] = 0, end
             if end < n:
                 before[end] = i
-                far = ends[end]
-                if (r := rank_of(token[i:far])) is not None:
-                    heapq.heappush(heap, (r, i, far))
+                if (r := rank_of(token[i:ends[end]])) is not None:
+                    push(heap, (r, i))
             if (p := before[i]) >= 0 and (r := rank_of(token[p:end])) is not None:
-                heapq.heappush(heap, (r, p, end))
-        out, i = [], 0
+                push(heap, (r, p))
+        ranks, out, i = self.ranks, [], 0
         while i < n:
-            out.append(self.ranks[token[i:ends[i]]])
-            i = ends[i]
+            end = ends[i]
+            out.append(ranks[token[i:end]])
+            i = end
         return tuple(out)
 
     def encode(self, text: str) -> np.ndarray:
@@ -207,44 +214,52 @@ class Codec:
         return self.bytes[at].tobytes()
 
 
-def _with_column(df: DataFrame, name: str, kind, compute) -> DataFrame:
-    """The frame with one more column, made from each Arrow batch."""
-    df = df.drop(name)
-    schema = T.StructType([*df.schema.fields, T.StructField(name, kind)])
+def _encoded(codec: Codec, texts: pa.Array) -> pa.ListArray:
+    rows = [codec.encode(s) if s else np.zeros(0, np.int32) for s in texts.to_pylist()]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*rows, np.zeros(0, np.int32)])))
+
+
+def _decoded(codec: Codec, ids: pa.ListArray) -> pa.Array:
+    result = []
+    for row in ids:
+        v = np.zeros(0, np.int32) if row.values is None else row.values.to_numpy(zero_copy_only=False)
+        result.append(b"".join(codec.decode(v[i:i + DECODED_IDS]) for i in range(0, len(v), DECODED_IDS)))
+    return pa.array(result, pa.binary())
+
+
+_IDS, _BYTES = T.ArrayType(T.IntegerType()), T.BinaryType()
+
+
+def _with_columns(df: DataFrame, codec: Codec, added) -> DataFrame:
+    """The frame with columns made by the codec, one after the other: (name, type, from, how)."""
+    shared = df.sparkSession.sparkContext.broadcast(codec)
+    df = df.drop(*(name for name, *_ in added))
+    schema = T.StructType([*df.schema.fields, *(T.StructField(name, kind) for name, kind, _, _ in added)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, compute(batch)], [*batch.schema.names, name])
+            columns = dict(zip(batch.schema.names, batch.columns))
+            for name, _, source, how in added:
+                columns[name] = how(shared.value.ready(), columns[source])
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return df.mapInArrow(run, schema)
 
 
 def encode(df: DataFrame, codec: Codec, text: str = "text", out: str = "ids") -> DataFrame:
     """The frame with the ids of each whole text, as an array of int."""
-    shared = df.sparkSession.sparkContext.broadcast(codec)
-
-    def compute(batch: pa.RecordBatch) -> pa.Array:
-        own = shared.value.ready()
-        rows = [own.encode(s) if s else np.zeros(0, np.int32) for s in batch.column(text).to_pylist()]
-        offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
-        return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*rows, np.zeros(0, np.int32)])))
-
-    return _with_column(df, out, T.ArrayType(T.IntegerType()), compute)
+    return _with_columns(df, codec, [(out, _IDS, text, _encoded)])
 
 
 def decode(df: DataFrame, codec: Codec, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """The frame with the bytes that each array of ids stands for; null ids give no bytes."""
-    shared = df.sparkSession.sparkContext.broadcast(codec)
+    return _with_columns(df, codec, [(out, _BYTES, ids, _decoded)])
 
-    def compute(batch: pa.RecordBatch) -> pa.Array:
-        own = shared.value.ready()
-        result = []
-        for row in batch.column(ids):
-            v = np.zeros(0, np.int32) if row.values is None else row.values.to_numpy(zero_copy_only=False)
-            result.append(b"".join(own.decode(v[i:i + DECODED_IDS]) for i in range(0, len(v), DECODED_IDS)))
-        return pa.array(result, pa.binary())
 
-    return _with_column(df, out, T.BinaryType(), compute)
+def encode_decode(df: DataFrame, codec: Codec, text: str = "text") -> DataFrame:
+    """The frame with ``ids`` of each whole text, and ``decoded`` made from these ids."""
+    return _with_columns(df, codec, [("ids", _IDS, text, _encoded), ("decoded", _BYTES, "ids", _decoded)])
 
 
 def default_codec(path: str | None = None) -> Codec:
@@ -256,7 +271,7 @@ def default_codec(path: str | None = None) -> Codec:
 def digests(docs: DataFrame, codec: Codec | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every whole text."""
     codec = codec or default_codec()
-    both = decode(encode(docs.select("doc_id", "text"), codec).drop("text"), codec)
+    both = encode_decode(docs.select("doc_id", "text"), codec)
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
