@@ -29,9 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerspark.llm.common import by_word, in_groups
+
 REMEMBERED = 400_000
 _PRIME = 2**31 - 1
 DECODED_IDS = 500_000  # decoded at a time
+GROUP_CHARACTERS = 4_000_000  # encoded at a time
 
 # Fixed value: the characters of the White_Space property, as the pattern's \s means them.
 _BLANK = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -148,15 +151,21 @@ class Codec:
         if not hasattr(self, "cut"):
             self.cut = regex.compile(blanks_spelled_out(self.pattern))
             self.ranks = {v: i for i, v in enumerate(self.vocabulary)}
-            self.after_space = Remembered(lambda part: self._word(" " + part), self.remembered)
             self.sizes = [len(v) for v in self.vocabulary]
             self.longest = max(self.sizes, default=0)
             self.pairs = [self.ranks.get(bytes((a, b))) for a in range(256) for b in range(256)]
+            self.after_space = Remembered(self._after_space, self.remembered)
+            self.marks = {m: self.pre_token(m.encode()) for m in ",."}
             self.lengths = np.array([len(v) for v in self.vocabulary], np.int64)
             self.begins = np.cumsum(self.lengths) - self.lengths
             self.bytes = np.frombuffer(b"".join(self.vocabulary), np.uint8)
         return self
 
+    def _after_space(self, part: str) -> tuple[int, ...]:
+        if part[-1:] in self.marks and part[-2:-1].isalnum():  # the pattern cuts before the mark
+            return self.after_space[part[:-1]] + self.marks[part[-1]]
+        return self._word(" " + part)
+
     def _word(self, text: str) -> tuple[int, ...]:
         return tuple(itertools.chain.from_iterable(self.pre_token(m.encode()) for m in self.cut.findall(text)))
 
@@ -196,17 +205,18 @@ class Codec:
         return tuple(out)
 
     def encode(self, text: str) -> np.ndarray:
-        """The ids of a whole text.
+        """The ids of a whole text."""
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all whole texts in order, and how many each has.
 
         Where a space stands before a non-blank a pre-token begins, so words are looked up
         one by one; a text with a longer run of blanks is cut by the pattern as a whole.
         """
-        if _SPLIT_LATER.search(text):
-            parts = map(self.pre_token, (m.encode() for m in self.cut.findall(text)))
-        else:
-            first, *rest = text.split(" ")
-            parts = itertools.chain([self._word(first)], map(self.after_space.__getitem__, rest))
-        return np.fromiter(itertools.chain.from_iterable(parts), np.int32)
+        whole = [_SPLIT_LATER.search(t) is not None for t in texts]
+        known = self.after_space
+        return by_word(texts, whole, lambda own: map(self._word, own), lambda words: [known[w] for w in words])
 
     def decode(self, ids: np.ndarray) -> bytes:
         lengths = self.lengths[ids]
@@ -215,9 +225,13 @@ class Codec:
 
 
 def _encoded(codec: Codec, texts: pa.Array) -> pa.ListArray:
-    rows = [codec.encode(s) if s else np.zeros(0, np.int32) for s in texts.to_pylist()]
-    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
-    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*rows, np.zeros(0, np.int32)])))
+    ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for group in in_groups([t or "" for t in texts.to_pylist()], GROUP_CHARACTERS):
+        i, n = codec.encode_all(group)
+        ids.append(i.astype(np.int32))
+        counts.append(n)
+    offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids)))
 
 
 def _decoded(codec: Codec, ids: pa.ListArray) -> pa.Array:

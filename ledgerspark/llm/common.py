@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +61,42 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - counts), counts)
 
 
+def by_word(texts: list[str], whole: list[bool], firsts: Callable, words: Callable) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers for texts cut at spaces: all of them in order, and how many each text has.
+
+    ``words`` gives a tuple for each distinct word after a space, ``firsts`` one for each
+    text's beginning before its first space, or for all of a text marked ``whole``.
+    """
+    rows = pc.split_pattern(pa.array(["" if w else t for t, w in zip(texts, whole)], pa.string()), " ")
+    sizes = np.diff(rows.offsets.to_numpy())
+    coded = rows.flatten().dictionary_encode()
+    index = coded.indices.to_numpy().astype(np.int64)
+    begins = np.cumsum(sizes) - sizes
+    distinct = coded.dictionary.to_pylist()
+    own = [t if w else distinct[i] for t, w, i in zip(texts, whole, index[begins].tolist())]
+    index[begins] = len(distinct) + np.arange(len(texts))
+    parts = [*words(distinct), *firsts(own)]
+    lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+    flat = np.fromiter(itertools.chain.from_iterable(parts), np.int64, int(lengths.sum()))
+    starts = np.cumsum(lengths) - lengths
+    counts = lengths[index]
+    return flat[ranges(starts[index], counts)], np.add.reduceat(counts, begins)
+
+
+def in_groups(texts: list[str], size: int) -> Iterator[list[str]]:
+    """The texts in order, in lists that end once they hold ``size`` characters."""
+    held: list[str] = []
+    n = 0
+    for t in texts:
+        held.append(t)
+        n += len(t)
+        if n >= size:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
 def blobs(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     """Consecutive runs of ``values`` as one binary each."""
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64) * values.itemsize

@@ -38,13 +38,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.bpe import _SPLIT_LATER, REMEMBERED
-from ledgerspark.llm.common import join_small, keep
+from ledgerspark.llm.common import by_word, in_groups, join_small, keep
 from ledgerspark.sources.scratch import scratch_path
 
 BLOCK = 1024
 SEGMENT_IDS = 65_536
 PERCENTILE = 95
 END_ID = 0
+GROUP_CHARACTERS = 4_000_000  # encoded at a time
 NO_DOC = -(2**63)  # stands for a null doc_id
 
 _SCHEMA = "shard int, segment int, first long, doc_ids binary, counts binary, n long, data binary"
@@ -118,36 +119,44 @@ class Encoder:
 
             self.tokenizer = Tokenizer.from_str(self.content)
             self.tokenizer.encode_special_tokens = True
-            self.known: dict[str, np.ndarray] = {}
+            self.marks = dict(zip(",.", self._tuples([",", "."])))
+            self.known: dict[str, tuple[int, ...]] = {}
+            self.older: dict[str, tuple[int, ...]] = {}
         return self
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each whole text.
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all whole texts in order, and how many each has.
 
-        The byte-level cut begins a piece at every space before a non-blank, so such words
+        The byte-level cut begins a piece at every space before a non-blank, so distinct words
         are encoded once each; texts with longer runs of blanks are encoded whole.
         """
-        out: list = [None] * len(texts)
-        whole = [i for i, t in enumerate(texts) if _SPLIT_LATER.search(t)]
-        for i, e in zip(whole, self._ids([texts[i] for i in whole])):
-            out[i] = e
-        for i, t in enumerate(texts):
-            if out[i] is None:
-                first, *rest = t.split(" ")
-                known = self.known
-                missing = [w for w in set(rest) if w not in known]
-                if missing:
-                    if len(known) + len(missing) > self.remembered:
-                        known.clear()
-                        missing = list(set(rest))
-                    known.update(zip(missing, self._ids([" " + w for w in missing])))
-                parts = [self._ids([first])[0]] if first else []
-                parts += map(known.__getitem__, rest)
-                out[i] = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-        return out
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        whole = [_SPLIT_LATER.search(t) is not None for t in texts]
+        return by_word(texts, whole, self._tuples, self._known)
+
+    def _tuples(self, texts: list[str]) -> list[tuple[int, ...]]:
+        return [tuple(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _known(self, words: list[str]) -> list[tuple[int, ...]]:
+        """Ids of words after a space; the words met longest ago are forgotten first."""
+        new = [w for w in words if w not in self.known]
+        if len(self.known) + len(new) > self.remembered:
+            self.older, self.known, new = self.known, {}, words
+        older, known, unseen, marked = self.older, self.known, [], []
+        for w in new:
+            ids = older.get(w)
+            if ids is not None:
+                known[w] = ids
+            elif w[-1:] in self.marks and w[-2:-1].isalnum():
+                marked.append(w)  # the cut is before the mark: a word and a mark, apart
+            else:
+                unseen.append(w)
+        stems = {w[:-1] for w in marked}.difference(known, unseen)
+        unseen += [w for w in stems if w not in older]
+        known.update((w, older[w]) for w in stems if w in older)
+        known.update(zip(unseen, self._tuples([" " + w for w in unseen])))
+        for w in marked:
+            known[w] = known[w[:-1]] + self.marks[w[-1]]
+        return [known[w] for w in words]
 
 
 def write(docs: DataFrame, folder: str, content: str, end_id: int = END_ID) -> None:
@@ -179,10 +188,10 @@ def write(docs: DataFrame, folder: str, content: str, end_id: int = END_ID) -> N
             if not batch.num_rows:
                 continue
             state["shard"] = batch.column("shard")[0].as_py()
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                for d, x in zip(part.column("doc_id").to_pylist(), own.encode(texts)):
+            docs = iter(batch.column("doc_id").to_pylist())
+            for texts in in_groups([t or "" for t in batch.column("text").to_pylist()], GROUP_CHARACTERS):
+                coded, counts = own.encode(texts)
+                for x, d in zip(np.split(coded.astype(np.uint32), np.cumsum(counts)[:-1]), docs):
                     ids.append(np.concatenate([x, end]))
                     who.append(NO_DOC if d is None else d)
                     held += len(ids[-1])
