@@ -13,8 +13,8 @@ class, named by a hash of the set, and never compared with each other.
 3. Size-aware heavy-light join.  A small (light) set enumerates the 2-subsets of its prefix
    for c = 2; a large (heavy) one is listed under each shingle of its prefix for c = 1, and
    so are light ones close enough in size to be linked to a heavy one.  The boundary is the
-   size at which subsets written plus inverted-list entries scanned are fewest, from a
-   histogram over all sets.
+   size at which subsets written plus inverted-list entries written and scanned are fewest,
+   from a histogram over all sets.
 4. Links are needed to find components, so lists are first compared star-wise: each set with
    one leader, then with members of other components; sets that are already connected need
    no comparison.  What remains, every pair in one list that lies in different components,
@@ -42,13 +42,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import blobs, join_small, keep, mixed, whole_groups
+from ledgerspark.llm.common import blobs, join_small, keep, mixed, ranges, whole_groups
 from ledgerspark.llm.components import connected
 
 WORDS = 5
 STRETCH = 1 << 20
 BUCKET_ENTRIES = 4_000_000
 DEALT_ENTRIES = 2_000_000  # packed at a time
+MIN_BUCKETS = 16
 ROUNDS = 2  # of comparisons with members of other components
 SIZE_STEP = 1.06  # width of a size class in the histogram
 
@@ -198,13 +199,31 @@ def _with_support(docs: DataFrame, buckets: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for names, sizes, _, often in _buckets(batches, np.uint32):
             k = np.add.reduceat((often > 1).astype(np.int64), np.cumsum(sizes, dtype=np.int64) - sizes)
-            some = k > 0
-            yield pa.RecordBatch.from_arrays([pa.array(names[some]), pa.array(k[some])], ["name", "k"])
+            part, order, cuts = _by_part(names[k > 0], parts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part, pa.int32()), blobs(names[k > 0][order], cuts), blobs(k[k > 0][order], cuts)], ["part", "names", "k"])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, ["part"], 1):
+            own, back = np.unique(_joined(t.column("names"), np.int64), return_inverse=True)
+            k = np.bincount(back, _joined(t.column("k"), np.int64), len(own)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(k)], ["name", "k"])
 
+    parts = buckets
     packed = docs.select("text").mapInArrow(deal, _DEALT)
-    counts = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(count, "name long, k long")
+    counts = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(
+        count, "part int, names binary, k binary")
     # A name comes once from each map batch and bucket, and copies elsewhere add their own.
-    return counts.groupBy("name").agg(F.sum("k").alias("k"))
+    return counts.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(total, "name long, k long")
+
+
+def _by_part(names: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The parts that the names belong to, an order by part, and how many each part has."""
+    part = (mixed(names.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    n = np.bincount(part, minlength=parts)
+    own = np.flatnonzero(n)
+    return own, order, n[own]
 
 
 def _sets_of(docs: DataFrame, names: DataFrame) -> DataFrame:
@@ -239,35 +258,47 @@ def _prefixes(sets: DataFrame, buckets: int) -> DataFrame:
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for names, sizes, h, often in _buckets(batches, np.uint64):
-            two = often > 1
-            k = np.add.reduceat(two.astype(np.int64), np.cumsum(sizes, dtype=np.int64) - sizes)
-            some = k > 0
+            part, order, cuts = _by_part(names, buckets)
+            begin = np.cumsum(sizes, dtype=np.int64) - sizes
+            at = ranges(begin[order], sizes[order].astype(np.int64))
+            ends = np.cumsum(cuts)
+            entries = np.add.reduceat(sizes[order].astype(np.int64), ends - cuts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names[some]), blobs(h[two], k[some]), blobs(often[two], k[some])], ["name", "h", "f"])
+                [pa.array(part, pa.int32()), blobs(names[order], cuts), blobs(sizes[order], cuts),
+                 blobs(h[at], entries), blobs(often[at], entries)], ["part", "names", "sizes", "h", "f"])
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for name, n, hs, fs in zip(*(c.to_pylist() for c in batch.columns)):
-                h, f = np.frombuffer(b"".join(hs), np.uint64), np.frombuffer(b"".join(fs), np.uint32)
-                if 4 * len(h) < 3 * n:
-                    continue
-                length = max(0, n - -(-3 * n // 4) + 2 - (n - len(h)))  # single shingles come first
-                order = np.lexsort((h, f))[:length]
-                out.append((name, n, len(h), h[order].tobytes(), f[order].tobytes()))
-            if out:
-                columns = list(zip(*out))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (
-                    pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))], ["name", "n", "k", "h", "f"])
+        for t in whole_groups(batches, ["part"], 1):
+            p = t.column("part").to_numpy()
+            cuts = [*np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]])), len(p)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                yield from _ordered(t.slice(lo, hi - lo))
 
     packed = sets.select("name", "hashes").mapInArrow(deal, _DEALT)
     parts = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(
-        shared, "name long, h binary, f binary")
-    whole = parts.groupBy("name").agg(F.collect_list("h").alias("hs"), F.collect_list("f").alias("fs"))  # one set's own
-    return whole.join(sets.select("name", "n"), "name").select("name", "n", "hs", "fs").mapInArrow(
+        shared, "part int, names binary, sizes binary, h binary, f binary")
+    return parts.repartition(buckets, "part").sortWithinPartitions("part").mapInArrow(
         prefix, "name long, n long, k long, h binary, f binary")
 
 
+def _ordered(t: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The kept prefix of every set of one part."""
+    names = np.repeat(_joined(t.column("names"), np.int64), _joined(t.column("sizes"), np.uint32))
+    h, f = _joined(t.column("h"), np.uint64), _joined(t.column("f"), np.uint32)
+    order = np.lexsort((h, f, names))
+    names, h, f = names[order], h[order], f[order]
+    starts = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
+    n = np.diff(np.append(starts, len(names)))
+    k = np.add.reduceat((f > 1).astype(np.int64), starts)
+    # Single shingles come first; of the others as many are kept as the longer prefix has room for.
+    length = np.clip(n - -(-3 * n // 4) + 2 - (n - k), 0, k)
+    live = 4 * k >= 3 * n
+    at = ranges((starts + n - k)[live], length[live])
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(names[starts][live]), pa.array(n[live]), pa.array(k[live]), blobs(h[at], length[live]), blobs(f[at], length[live])],
+        ["name", "n", "k", "h", "f"])
+
+
 # --------------------------------------------------------- heavy and light sets
 
 def _short(n: int, k: int, length: int) -> int:
@@ -276,15 +307,17 @@ def _short(n: int, k: int, length: int) -> int:
 
 
 def _costs(prefixes: DataFrame) -> DataFrame:
-    """size class, 2-subsets a set would write, list entries it would meet."""
+    """size class, 2-subsets that sets would write, list entries they would write and scan.
+
+    Lists are compared star-wise, so an entry is scanned against one leader.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for n, k, f in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                f = np.frombuffer(f, np.uint32)
-                rows.append((int(math.log(n) / math.log(SIZE_STEP)), len(f) * (len(f) - 1) // 2,
-                             int(f[:_short(n, k, len(f))].sum(dtype=np.int64))))
+                f = len(f) // 4
+                rows.append((int(math.log(n) / math.log(SIZE_STEP)), f * (f - 1) // 2, 2 * _short(n, k, f)))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)] if rows else
                                              [pa.array([], pa.int64())] * 3, ["size", "light", "heavy"])
 
@@ -354,10 +387,7 @@ def links(docs: DataFrame, classes: DataFrame, total: int, rounds: int = ROUNDS,
 
     ``classes``: name, n and the smallest doc_id; ``total``: shingles of all documents.
     """
-    spark = docs.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(tasks, -(-total // BUCKET_ENTRIES))
-    support = _with_support(docs, buckets).where("k > 0")
+    support = _with_support(docs, max(MIN_BUCKETS, -(-total // BUCKET_ENTRIES)))
     live = keep(classes.join(support, "name").where("4 * k >= 3 * n").select("doc_id", "name", "n"), "supported")
     if live.isEmpty():
         return None
@@ -365,7 +395,7 @@ def links(docs: DataFrame, classes: DataFrame, total: int, rounds: int = ROUNDS,
     if sets.count() > live.count():  # rows repeat with their ids
         sets = keep(sets.dropDuplicates(["name"]), "sets")
     left = sets.agg(F.sum("n")).first()[0] or 0
-    prefixes = keep(_prefixes(sets, max(tasks, -(-left // BUCKET_ENTRIES))), "prefixes")
+    prefixes = keep(_prefixes(sets, max(MIN_BUCKETS, -(-left // BUCKET_ENTRIES))), "prefixes")
     if limit is None:
         limit = boundary([tuple(r) for r in _costs(prefixes).collect()])  # one row per size class
     lists = _lists(prefixes, limit)
