@@ -26,9 +26,9 @@ def sf_dir():
 def toy(spark):
     """Ten transactions in two classes, as text where a file would have text."""
     rows = [
-        ("1/1/2019 0:00", "grocery_pos" if i % 2 == 0 else "shopping_net", 100 + i,
-         "F" if i < 5 else "M", "City", "ST", "Job", 12345, 1000,
-         40.0, -75.0, 39.9, -75.1, "1/1/1980", i % 2, i)
+        (f"{3 + i % 2}/1{i % 9}/2020 7:3{i % 10}", "fuel" if i % 2 == 0 else "books", 40 + 3 * i,
+         "M" if i < 5 else "F", "Ghent", "VL", "Tailor", 9000, 2600,
+         51.05, 3.72, 51.2, 3.2, "6/15/1975", i % 2, i)
         for i in range(10)
     ]
     return spark.createDataFrame(

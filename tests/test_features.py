@@ -24,8 +24,8 @@ def test_one_row(spark):
 
 def test_month_first_layout(toy):
     row = features.add_features(toy).first()
-    assert (row.hour, row.day, row.month, row.age) == (0, 1, 1, 39)
-    assert row.geo_distance == pytest.approx(14.0111, abs=1e-4)
+    assert (row.hour, row.day, row.month, row.age) == (7, 10, 3, 44)
+    assert row.geo_distance == pytest.approx(40.0109, abs=0.05)
 
 
 def test_input_is_untouched(spark):

@@ -9,9 +9,9 @@ from ledgerspark.operators.validate import (
 )
 from ledgerspark.schema import TXN_SCHEMA, struct_of
 
-ROW = ("2020-06-01", 1234567890, "amazon", "grocery_pos", 120.0, "John", "Doe", "M",
-       "123 Main St", "San Francisco", "CA", 94105, 37.7749, -122.4194, 870000, "Engineer",
-       "1985-01-01", "abcd1234", 1371922345, 37.8, -122.4, 0)
+ROW = ("2021-03-09", 9876501234, "corner shop", "food", 17.5, "Ada", "Moreau", "F",
+       "7 Mill Lane", "Bristol", "BS", 40211, 51.45, -2.59, 463000, "Surveyor",
+       "1969-08-21", "tx-0007", 1615248000, 51.5, -2.6, 0)
 
 
 def changed(spark, **values):
