@@ -1,29 +1,51 @@
 """From raw documents to token ids: a pipeline of five stages.
 
-Each stage takes the documents that the one before kept and returns documents again;
-the last one returns their ids.  Stages are written to the shared scratch folder and
-read back, so a lost executor repeats at most one of them.
+Each stage takes the documents that the one before kept and returns documents again (same
+columns); the last one returns their ids.  Stages are written to the shared scratch folder
+and read back, so a lost executor repeats at most one of them.
+
+1. ``language``: documents without a recognisable language (no letters) go.
+2. ``near_duplicates``: of each group of linked documents the one with the smallest id stays.
+3. ``secrets``: found secrets are replaced in the texts; every document stays.
+4. ``mix_sources``: each document as often as its source's rate says.
+5. ``byte_bpe``: the ids of every text, checked by decoding them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerspark.llm import bpe, mixing
+from ledgerspark.llm import bpe, langid, mixing, ngram_join, secrets
 from ledgerspark.llm.common import keep, table
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's rate says."""
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return langid.with_language(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.representatives(docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    clean = secrets.redact(docs)
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return clean
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixture(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, n_tokens and ids of each document left."""
+    """doc_id, source, n_tokens, ids, and whether the ids decode to the text."""
     return bpe.token_ids(docs)
 
 
-STAGES = [("mix_sources", mix), ("byte_bpe", encode)]
+STAGES = [("language", language), ("near_duplicates", near_duplicates), ("secrets", redact_secrets),
+          ("mix_sources", mix_sources), ("byte_bpe", encode)]
 
 #: Language identification is learned, which SQL cannot say.
 ORACLE_SQL = None
