@@ -532,6 +532,14 @@ def eval_confusion(spark, d):
     return evaluate.confusion(_guessed(spark, d), "is_fraud").drop("not_a_class")
 
 
+@query
+def eval_not_a_class(spark, d):
+    """Predictions that are no class are counted apart, and refused by the metrics."""
+    t = testbed.txn(spark, d).withColumn("prediction", F.when(F.col("row_id") % 9 == 0, 0.3).otherwise(
+        (F.col("amt") > 100).cast("double")))
+    return evaluate.confusion(t, "is_fraud").select("n", "not_a_class")
+
+
 @query
 def eval_metrics(spark, d):
     m = evaluate.metrics(_guessed(spark, d), "is_fraud")

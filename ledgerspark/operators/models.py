@@ -21,6 +21,7 @@ logger = logging.getLogger(__name__)
 
 WEIGHT = "_weight"
 MAX_BINS = 128
+CHECKPOINT_ROUNDS = 10
 
 MODEL_REGISTRY = {
     "decision_tree": DecisionTreeClassifier,
@@ -74,6 +75,11 @@ def spark_params(kind: str, params: dict[str, Any]) -> dict[str, Any]:
     return out
 
 
+def has_effect(kind: str, name: str) -> bool:
+    """Whether a published parameter changes anything for a learner here."""
+    return name in _WEIGHTING or name in _PARAMETERS[kind]
+
+
 def balanced_weights(counts: dict) -> dict:
     """Rows / (classes * rows of the class)."""
     total = sum(counts.values())
@@ -115,8 +121,11 @@ def train_model(df: DataFrame, kind: str, params: dict[str, Any], *, label: str,
     if weight is not None:
         columns.append(weight.alias(WEIGHT))
         settings["weightCol"] = WEIGHT
+    # Boosting adds a tree per round: node ids are kept per row and written to the checkpoint
+    # folder every few rounds, so the lineage of a late tree does not reach back to the first.
     learner = MODEL_REGISTRY[kind](
-        featuresCol=features, labelCol="_label", maxBins=MAX_BINS, **settings)
+        featuresCol=features, labelCol="_label", maxBins=MAX_BINS, cacheNodeIds=True,
+        checkpointInterval=CHECKPOINT_ROUNDS, **settings)
     if threshold is not None and threshold != 0.5:
         learner = learner.setThresholds([1 - threshold, threshold])
     return learner.fit(df.select(*columns))

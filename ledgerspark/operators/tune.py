@@ -16,7 +16,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from ledgerspark.operators.evaluate import evaluate
-from ledgerspark.operators.models import predict, train_model
+from ledgerspark.operators.models import has_effect, predict, train_model
 from ledgerspark.sources.small import small_table
 
 # Parameters that are whole numbers.
@@ -47,7 +47,9 @@ def random_search(train: DataFrame, valid: DataFrame, kind: str, base: dict[str,
     Trials start from the base parameters, so weights and seed apply to them.
     """
     n = int(search.get("init_points", 5)) + int(search.get("n_iter", 20))
-    trials = draw_trials(search["search_space"], n, search.get("random_state", 42))
+    # Parameters that change nothing for this learner are not part of a trial.
+    space = {k: v for k, v in search["search_space"].items() if has_effect(kind, k)}
+    trials = draw_trials(space, n, search.get("random_state", 42))
     spark = train.sparkSession
 
     @inheritable_thread_target(spark)

@@ -450,6 +450,8 @@ def oracle_sql() -> dict[str, str]:
   count(*) FILTER (is_fraud = 0 AND prediction = 1) AS fp,
   count(*) FILTER (is_fraud = 1 AND prediction = 0) AS fn,
   count(*) FILTER (is_fraud = 1 AND prediction = 1) AS tp FROM guess"""
+    o["eval_not_a_class"] = _with() + \
+        "SELECT count(*) AS n, count(*) FILTER (row_id % 9 = 0) AS not_a_class FROM txn"
     o["eval_metrics"] = _with(_GUESS, _metrics("guess", counts=True))
     o["eval_by_split"] = _with(
         _GUESS, _split("guess", "is_fraud", _ROW_KEY, 42, 0.2, 0.2), _metrics("parts", "split"))
