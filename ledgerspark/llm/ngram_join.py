@@ -17,9 +17,9 @@ class, named by a hash of the set, and never compared with each other.
    from a histogram over all sets.
 4. Links are needed to find components, so lists are first compared star-wise: each set with
    one leader, then with members of other components; sets that are already connected need
-   no comparison.  What remains, every pair in one list that lies in different components,
-   has not been compared, and whose sizes and frequent shingles allow the overlap, is
-   compared without exception.  Every comparison intersects the two sets.
+   no comparison.  What remains, sets that share a list and lie in different components, is
+   compared without exception, in units of two chunks of sets, of which only connecting
+   links leave.  Every comparison intersects the two sets.
 
 Hot groups: equal texts are one class; a group of near copies costs a few comparisons per
 member; a passage that many documents share lies at the end of the order.
@@ -43,13 +43,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.common import blobs, join_small, keep, mixed, ranges, whole_groups
-from ledgerspark.llm.components import connected
+from ledgerspark.llm.components import connected, forest
+from ledgerspark.operators.ordered import with_rank
 
 WORDS = 5
 STRETCH = 1 << 20
 BUCKET_ENTRIES = 4_000_000
 DEALT_ENTRIES = 2_000_000  # packed at a time
 MIN_BUCKETS = 16
+CHUNK_SETS = 256  # sets compared with as many in one unit of work
 ROUNDS = 2  # of comparisons with members of other components
 SIZE_STEP = 1.06  # width of a size class in the histogram
 
@@ -402,44 +404,108 @@ def links(docs: DataFrame, classes: DataFrame, total: int, rounds: int = ROUNDS,
     alone = lists.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     lists = keep(lists.join(alone, "key"), "lists")
 
-    compared = found = None
-    roots = None
-    for turn in range(rounds + 2):
-        here = lists.withColumn("root", F.col("name")) if roots is None else lists.join(
-            roots.withColumnRenamed("id", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
-        ends = here.groupBy("key").agg(
-            F.min(F.struct("root", "name", "n", "k")).alias("lo"), F.max(F.struct("root", "name", "n", "k")).alias("hi"))
-        ends = ends.where("lo.root <> hi.root")  # lists whose members are not all connected yet
-        if turn <= rounds:
-            other = F.when(F.col("root") == F.col("lo.root"), F.col("hi")).otherwise(F.col("lo"))
-            pairs = here.join(ends, "key").withColumn("o", other)
-            if turn == 0:
-                # One leader for each set: the one it shares most lists with.
-                pairs = (pairs.where(_may_link(F.col("n"), F.col("k"), F.col("o.n"), F.col("o.k")))
-                         .groupBy("name", F.col("o.name").alias("leader")).count()
-                         .groupBy("name").agg(F.max(F.struct("count", "leader")).alias("m"))
-                         .select("name", F.col("m.leader").alias("leader")))
-            else:
-                pairs = pairs.where(_may_link(F.col("n"), F.col("k"), F.col("o.n"), F.col("o.k"))).select(
-                    "name", F.col("o.name").alias("leader"))
+    compared = found = roots = None
+    for turn in range(rounds + 1):
+        here, ends = _still_open(lists, roots)
+        other = F.when(F.col("root") == F.col("lo.root"), F.col("hi")).otherwise(F.col("lo"))
+        pairs = here.join(ends, "key").withColumn("o", other)
+        pairs = pairs.where(_may_link(F.col("n"), F.col("k"), F.col("o.n"), F.col("o.k")))
+        if turn == 0:
+            # One leader for each set: the one it shares most lists with.
+            pairs = pairs.groupBy("name", F.col("o.name").alias("leader")).count()
+            pairs = pairs.groupBy("name").agg(F.max(F.struct("count", "leader")).alias("m")).select("name", "m.leader")
         else:
-            open_ = keep(here.join(ends.select("key"), "key"), "open")
-            x, y = open_.alias("x"), open_.alias("y")
-            pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.name") < F.col("y.name"))
-                           & (F.col("x.root") != F.col("y.root"))
-                           & _may_link(F.col("x.n"), F.col("x.k"), F.col("y.n"), F.col("y.k"))).select(
-                F.col("x.name").alias("name"), F.col("y.name").alias("leader"))
+            pairs = pairs.select("name", F.col("o.name").alias("leader"))
         pairs = pairs.select(F.least("name", "leader").alias("a"), F.greatest("name", "leader").alias("b")).where("a <> b").distinct()
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
         pairs = keep(pairs, "pairs")
-        if pairs.isEmpty():
-            continue
-        compared = pairs if compared is None else compared.union(pairs)
-        good = keep(_verified(pairs, sets), "verified")
-        found = good if found is None else found.union(good)
-        roots = connected(found)
-    return roots
+        if not pairs.isEmpty():
+            compared = pairs if compared is None else compared.union(pairs)
+            good = keep(_verified(pairs, sets), "verified")
+            found = good if found is None else found.union(good)
+            roots = connected(found)
+    here, ends = _still_open(lists, roots)
+    rest = _in_chunks(here.join(ends.select("key", F.col("lo.name").alias("near")), "key"), sets)
+    if rest is not None:
+        found = rest if found is None else found.union(rest)
+    return None if found is None else connected(found)
+
+
+def _still_open(lists: DataFrame, roots: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The lists with each set's component, and for lists that hold several the two outermost."""
+    if roots is None:
+        here = lists.withColumn("root", F.col("name"))
+    else:
+        here = lists.join(roots.withColumnRenamed("id", "name"), "name", "left").withColumn(
+            "root", F.coalesce("root", "name"))
+    member = F.struct("root", "name", "n", "k")
+    ends = here.groupBy("key").agg(F.min(member).alias("lo"), F.max(member).alias("hi"))
+    return here, ends.where("lo.root <> hi.root")
+
+
+def _in_chunks(open_: DataFrame, sets: DataFrame, chunk: int = CHUNK_SETS) -> DataFrame | None:
+    """Links between components, from comparing everything that still shares a list.
+
+    ``open_``: key, name, root, near.  Sets that share lists are put side by side and cut
+    into chunks; every two chunks that meet in a list, and are not all of one component, are
+    one unit of work.  Links leave it as a spanning forest, so no pair is ever a row.
+    """
+    open_ = keep(open_.select("key", "name", "root", "near"), "open")
+    if open_.isEmpty():
+        return None
+    order = keep(open_.groupBy("name", "root").agg(F.min("near").alias("near")), "order")
+    placed = with_rank(order, ["near", "root", "name"], "place")
+    placed = keep(placed.select("name", "root", F.floor(F.col("place") / chunk).cast("long").alias("chunk")), "placed")
+    met = keep(open_.select("key", "name").join(placed, "name").groupBy("key", "chunk").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi")), "met")
+    x, y = met.alias("x"), met.alias("y")
+    several = F.least("x.lo", "y.lo") < F.greatest("x.hi", "y.hi")
+    units = keep(x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.chunk") <= F.col("y.chunk")) & several).select(
+        F.col("x.chunk").alias("a"), F.col("y.chunk").alias("b")).distinct(), "units")
+    rows = sets.join(placed, "name").select("chunk", "name", "root", "hashes")
+    left = units.join(rows, F.col("a") == F.col("chunk")).withColumn("side", F.lit(0))
+    right = units.where("a < b").join(rows, F.col("b") == F.col("chunk")).withColumn("side", F.lit(1))
+    dealt = left.union(right).select("a", "b", "side", "name", "root", "hashes")
+    tasks = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, ["a", "b"], 1):
+            a, b = t.column("a").to_numpy(), t.column("b").to_numpy()
+            cuts = [*np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])), t.num_rows]
+            for lo, hi in zip(cuts, cuts[1:]):
+                part = t.slice(lo, hi - lo)
+                names, root = part.column("name").to_numpy(), part.column("root").to_numpy()
+                side = part.column("side").to_numpy()
+                linked = _linked([np.frombuffer(h, np.uint64) for h in part.column("hashes").to_pylist()])
+                linked &= (root[:, None] != root[None]) & (np.arange(len(names))[:, None] < np.arange(len(names)))
+                if side.any():
+                    linked &= side[:, None] != side[None]
+                i, j = np.nonzero(linked)
+                edges = [(x, y) for x, y in forest(zip(names[i].tolist(), names[j].tolist())).items() if x != y]
+                if edges:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*edges)], ["a", "b"])
+
+    return keep(dealt.repartition(tasks, "a", "b").sortWithinPartitions("a", "b").mapInArrow(run, "a long, b long"), "rest")
+
+
+def _linked(sets: list[np.ndarray]) -> np.ndarray:
+    """For each two sets, whether they overlap enough."""
+    n = np.array([len(s) for s in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1
+    renamed = np.cumsum(shared) - 1
+    row, use = np.repeat(np.arange(len(sets)), n), shared[column]
+    row, column = row[use], renamed[column[use]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for at in range(0, int(shared.sum()), 4096):
+        lo, hi = np.searchsorted(column, (at, at + 4096))
+        has = np.zeros((len(sets), 4096), np.float32)
+        has[row[lo:hi], column[lo:hi] - at] = 1
+        common += has @ has.T  # whole numbers below 2^24 are exact
+    return 100 * common.astype(np.int64) >= 75 * (n[:, None] + n[None] - common.astype(np.int64))
 
 
 def components(docs: DataFrame, rounds: int = ROUNDS, limit: float | None = None) -> DataFrame:
