@@ -15,8 +15,8 @@ targets, whose number is that of the sources, are joined back.
 
 Defined cases: a null or empty text has size 0; a null source is a source; rows with the
 same doc_id draw alike; a source of size 0 has target 0 and keeps each document once; an
-empty table gives an empty one.  Other columns are carried along; columns named like the
-results are replaced.
+empty table gives an empty one.  ``mixture`` keeps every column as it is, whatever its name;
+``mix`` replaces columns named like its results.
 """
 
 from __future__ import annotations
@@ -76,10 +76,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", seed: str = SEED, weights=WEIGH
 
 def mixture(docs: DataFrame, seed: str = SEED, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     """The mixed corpus: each document as often as its rate says, in the columns of ``docs``."""
-    sized = docs.drop("size").withColumn("size", word_counts())
+    own = [f"_c{i}" for i in range(len(docs.columns))]  # whatever the documents' columns are called
+    renamed = docs.toDF(*own)
+    place = dict(zip(docs.columns, own))
+    sized = renamed.withColumns({"doc_id": F.col(place["doc_id"]), "source": F.col(place["source"]),
+                                 "size": word_counts(place["text"])})
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
     out = mix(sized, seed=seed, weights=weights, most=most).where("copies > 0")
-    return out.withColumn("_copy", times).select(*docs.columns)
+    return out.withColumn("_copy", times).select(*own).toDF(*docs.columns)
 
 
 def taken(docs: DataFrame) -> DataFrame:

@@ -61,7 +61,7 @@ def test_odd_rows(spark):
     got = mixing.taken(docs).collect()
     assert sorted(r["size"] for r in got) == sorted(len(re.findall(r"[^\x20\x09-\x0d]+", t or "")) for _, t, _ in ODD)
     mixed = mixing.mixture(docs)
-    assert mixed.columns == docs.columns
+    assert mixed.columns == docs.columns and {r["size"] for r in mixed.collect()} == {"clash"}
     assert mixing.mixture(docs.limit(0)).count() == 0 and mixing.taken(docs.limit(0)).count() == 0
 
 
