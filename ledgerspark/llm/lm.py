@@ -47,6 +47,7 @@ RATE = 0.08
 GROUP_CHARACTERS = 1 << 20
 CHUNK_ROWS = 1024
 SUMMED_TASKS = 64
+TASK_TOKENS = 3_000_000
 FOLDS, HELD_OUT = 7, 2
 
 END = int(mixed(np.array([0x656E64], np.uint64))[0])
@@ -131,9 +132,10 @@ def _row(x: np.ndarray, table: int) -> np.ndarray:
 
 
 def softmax(weights: np.ndarray, bias: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    z = weights[rows[0]] + bias
+    z = weights.take(rows[0], 0)
+    z += bias
     for r in rows[1:]:
-        z += weights[r]
+        z += weights.take(r, 0)
     z -= z.max(1, keepdims=True)
     np.exp(z, out=z)
     z /= z.sum(1, keepdims=True)
@@ -182,7 +184,7 @@ class Climber:
             s = r[order]
             first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
             at = s[first]
-            g = np.add.reduceat(p[order], first, axis=0)
+            g = np.add.reduceat(p.take(order, 0), first, axis=0)
             squares = self.squares[at] + g * g
             self.squares[at] = squares
             self.weights[at] -= RATE * g / np.sqrt(squares)
@@ -200,7 +202,7 @@ def _summed(parts: DataFrame, *keys: str) -> DataFrame:
     """Blobs of equal length added up per key."""
 
     def run(t: pa.Table) -> pa.Table:
-        change = sum(np.frombuffer(b, np.float64) for b in t.column("change").to_pylist())
+        change = sum(np.frombuffer(b, np.float32) for b in t.column("change").to_pylist())
         n = sum(np.frombuffer(b, np.int64) for b in t.column("n").to_pylist())
         first = t.slice(0, 1).select(["chunk", "part"])
         return pa.table({"chunk": first.column(0), "part": first.column(1), "change": pa.array([change.tobytes()], pa.binary()),
@@ -209,8 +211,8 @@ def _summed(parts: DataFrame, *keys: str) -> DataFrame:
     return parts.groupBy(*keys).applyInArrow(run, "chunk int, part int, change binary, n binary")
 
 
-def one_round(docs: DataFrame, words: Vocabulary, weights: np.ndarray) -> np.ndarray:
-    """The weights after every document of the frame has been read once."""
+def one_round(docs: DataFrame, words: Vocabulary, weights: np.ndarray, rounds: int = 1) -> np.ndarray:
+    """The weights after every document of the frame, a part in ``rounds``, has been read once."""
     shared = docs.sparkSession.sparkContext.broadcast((words, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,19 +228,21 @@ def one_round(docs: DataFrame, words: Vocabulary, weights: np.ndarray) -> np.nda
             return
         for chunk, at in enumerate(range(0, len(begin), CHUNK_ROWS)):
             n = own.touched[at:at + CHUNK_ROWS]
-            change = (own.weights[at:at + CHUNK_ROWS] - begin[at:at + CHUNK_ROWS]).astype(np.float64) * n[:, None]
+            change = (own.weights[at:at + CHUNK_ROWS] - begin[at:at + CHUNK_ROWS]) * n[:, None].astype(np.float32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([chunk], pa.int32()), pa.array([part], pa.int32()), pa.array([change.tobytes()], pa.binary()),
                  pa.array([n.tobytes()], pa.binary())], ["chunk", "part", "change", "n"])
 
-    parts = docs.select("text", (F.spark_partition_id() / SUMMED_TASKS).cast("int").alias("part")).mapInArrow(
+    # A task hands on weights, so it should read much more than these take.
+    tasks = max(1, round(words.total / rounds / TASK_TOKENS))
+    parts = docs.coalesce(tasks).select("text", (F.spark_partition_id() / SUMMED_TASKS).cast("int").alias("part")).mapInArrow(
         run, "chunk int, part int, change binary, n binary")
     sums = _summed(_summed(parts, "chunk", "part"), "chunk")
     weights = weights.copy()
     for r in sums.collect():  # the weights' size
         n = np.maximum(np.frombuffer(r.n, np.int64), 1)[:, None]
         at = r.chunk * CHUNK_ROWS
-        weights[at:at + CHUNK_ROWS] += (np.frombuffer(r.change, np.float64).reshape(len(n), -1) / n).astype(np.float32)
+        weights[at:at + CHUNK_ROWS] += np.frombuffer(r.change, np.float32).reshape(len(n), -1) / n.astype(np.float32)
     return weights
 
 
@@ -247,7 +251,7 @@ def learn(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> np.ndarra
     weights = np.zeros((_TABLES * ROWS, max(CLASSES + 1, MEMBERS)), np.float32)
     turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds))
     for k in range(rounds if words.total else 0):
-        weights = one_round(docs.where(turn == k), words, weights)
+        weights = one_round(docs.where(turn == k), words, weights, rounds)
     return weights
 
 

@@ -56,7 +56,7 @@ ROUNDS = 2  # of comparisons with members of other components
 SIZE_STEP = 1.06  # width of a size class in the histogram
 
 _PLACES = 64
-_spell = mixed(np.arange(1, _PLACES * 256 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(_PLACES, 256)
+_spell = np.append(mixed(np.arange(1, _PLACES * 256 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)), np.uint64(0))
 _turn = mixed(np.arange(1000, 1000 + WORDS, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -74,10 +74,14 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if not len(at):
         return np.zeros(0, np.uint64), words
     ends = np.flatnonzero(blank[1:] & ~blank[:-1]) + 1
-    place = np.arange(len(data)) - np.repeat(np.concatenate([[0], at]), np.diff(np.concatenate([[0], at, [len(data)]])))
+    begins = np.concatenate([[0], at]).astype(np.int32)
+    place = np.arange(len(data), dtype=np.int32) - np.repeat(begins, np.diff(np.append(begins, len(data))))
+    spelled = (place & (_PLACES - 1)) << 8 | data
+    spelled[blank] = _PLACES * 256  # nothing
+    value = _spell.take(spelled)
     with np.errstate(over="ignore"):
-        value = _spell[place % _PLACES, data] * (2 * (place // _PLACES) + 1).astype(np.uint64)
-        value[blank] = 0
+        if (ends - at).max() > _PLACES:
+            value *= (2 * (place // _PLACES) + 1).astype(np.uint64)
         return mixed(np.add.reduceat(value, at) + (ends - at).astype(np.uint64)), words
 
 
