@@ -45,6 +45,7 @@ NEAREST = 20
 EVERY = 20  # rows whose id this divides are queries
 BITS, SUBSTRING = 256, 16
 PARTS = BITS // SUBSTRING
+DIRECT = 2  # up to so many differing bits, values are looked up one by one
 CANDIDATES = 384
 TRAIN_ROWS = 4096
 ROUNDS = 15
@@ -102,35 +103,56 @@ class SubstringIndex:
     """Tables from each substring's values to rows."""
 
     def __init__(self, codes: np.ndarray):
-        self.codes = codes  # (rows, PARTS) uint16
-        self.words = np.ascontiguousarray(codes).view(np.uint64)
-        keys = codes.astype(np.int64) + (np.arange(PARTS) << SUBSTRING)
-        self.rows = (np.argsort(keys.ravel(), kind="stable") // PARTS).astype(np.int32)
-        self.starts = np.concatenate([[0], np.cumsum(np.bincount(keys.ravel(), minlength=PARTS << SUBSTRING))]).astype(np.int32)
+        self.words = np.ascontiguousarray(np.ascontiguousarray(codes).view(np.uint64).T)  # codes: (rows, PARTS) uint16
+        keys = (codes.astype(np.int64) + (np.arange(PARTS) << SUBSTRING)).ravel()
+        order = np.argsort(keys, kind="stable")
+        self.rows = (order // PARTS).astype(np.int32)
+        held, first = np.unique(keys[order], return_index=True)
+        # The values that occur, each with its rows; where to find a value, and a row's values.
+        self.each, self.value = np.bincount(held >> SUBSTRING, minlength=PARTS), (held & 0xFFFF).astype(np.uint16)
+        self.first = first
+        self.count = np.diff(np.append(first, len(keys)))
+        self.place = np.full(PARTS << SUBSTRING, -1, np.int32)
+        self.place[held] = np.arange(len(held))
+        self.held = np.ascontiguousarray(self.place[keys].reshape(codes.shape).T)
+
+    def _near_rows(self, code: np.ndarray, s: int, fewest: list) -> np.ndarray:
+        """All rows with a substring that differs from the code's own in at most s bits.
+
+        Few values are looked up one by one.  Once there are more to look up than values
+        occur, the occurring values are compared instead, once for all s.
+        """
+        if s <= DIRECT:
+            base = code.astype(np.int64) + (np.arange(PARTS) << SUBSTRING)
+            at = self.place[np.concatenate([base[:, None] ^ _masks(b)[None] for b in range(s + 1)], 1).ravel()]
+            at = at[at >= 0]
+            return np.unique(self.rows[ranges(self.first[at], self.count[at])])
+        if not fewest:
+            bits = np.bitwise_count(self.value ^ np.repeat(code, self.each))
+            least = bits[self.held[0]]
+            for held in self.held[1:]:
+                np.minimum(least, bits[held], out=least)
+            fewest.append(least)
+        return np.flatnonzero(fewest[0] <= s)
 
     def within(self, code: np.ndarray, wanted: int) -> np.ndarray:
         """All rows within the smallest distance that holds ``wanted`` of them (all rows, if fewer)."""
-        n = len(self.codes)
-        if n <= wanted:
-            return np.arange(n)
-        base = code.astype(np.int64) + (np.arange(PARTS) << SUBSTRING)
+        if self.words.shape[1] <= wanted:
+            return np.arange(self.words.shape[1])
         word = np.ascontiguousarray(code).view(np.uint64)
-        seen = np.zeros(n, bool)
-        distance = np.full(n, BITS + 1, np.int16)
-        for s in range(SUBSTRING + 1):
-            key = (base[:, None] ^ _masks(s)[None]).ravel()
-            lo = self.starts[key]
-            count = self.starts[key + 1] - lo
-            some = count > 0
-            rows = self.rows[ranges(lo[some].astype(np.int64), count[some].astype(np.int64))]
-            rows = np.unique(rows[~seen[rows]])
-            seen[rows] = True
-            distance[rows] = np.bitwise_count(self.words[rows] ^ word).sum(1)
-            covered = PARTS * (s + 1) - 1  # no code as near as this is still unseen
-            reached = np.cumsum(np.bincount(np.minimum(distance, BITS + 1), minlength=BITS + 2))
+        fewest: list = []
+        for s in (0, *range(DIRECT, SUBSTRING + 4, 4)):
+            rows = self._near_rows(code, s, fewest)
+            if len(rows) < wanted:
+                continue
+            distance = np.zeros(len(rows), np.int16)
+            for own, w in zip(self.words, word):
+                distance += np.bitwise_count(own[rows] ^ w)
+            covered = PARTS * (s + 1) - 1  # every code as near as this has been found
+            reached = np.cumsum(np.bincount(distance, minlength=BITS + 1))
             if reached[min(covered, BITS)] >= wanted:
-                return np.flatnonzero(distance <= np.searchsorted(reached, wanted))
-        return np.arange(n)
+                return rows[distance <= np.searchsorted(reached, wanted)]
+        raise AssertionError("Probing all values finds all rows")
 
 
 def search_block(codes: RotatedCodes, ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray,
@@ -151,9 +173,9 @@ def search_block(codes: RotatedCodes, ids: np.ndarray, x: np.ndarray, query_ids:
 
 def learn(rows: DataFrame, length: int, limit: int = TRAIN_ROWS) -> RotatedCodes:
     """Codes for the vectors of one length, from a bounded sample of them."""
-    own = rows.where(F.size("embedding") == length).select(F.col("embedding").cast("array<double>").alias("embedding"))
+    own = rows.where(F.size("embedding") == length).select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
     longest = own.select(F.max(F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, v: s + v * v)))).first()[0]
-    sample = own.orderBy(F.xxhash64("embedding")).limit(limit).collect()
+    sample = own.orderBy(F.xxhash64("vec_id"), "vec_id").limit(limit).collect()
     return RotatedCodes(np.array([r.embedding for r in sample]), longest)
 
 
