@@ -499,7 +499,7 @@ def split_boolean_label(spark, d):
 @query
 def split_double_label(spark, d):
     """Labels whose text differs between engines."""
-    t = testbed.txn(spark, d).withColumn("label", F.col("is_fraud") * 1e7 + F.col("row_id") % 3 * 0.1)
+    t = testbed.txn(spark, d).withColumn("label", F.col("row_id") % 3 * 1e7 + 0.1)
     t = split.assign_split(t, "label", "row_id", test_size=0.2, valid_size=0.1)
     return t.select("row_id", "split")
 

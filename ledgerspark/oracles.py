@@ -431,7 +431,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT row_id, is_fraud, split FROM parts"
     o["split_many_classes"] = _with(_split("txn", "category", _ROW_KEY, 42, 0.15, 0.25)) + \
         "SELECT row_id, category, split FROM parts"
-    labelled = "labelled AS (SELECT *, is_fraud = 1 AS fraud, is_fraud * 1e7::DOUBLE + row_id % 3 * 0.1::DOUBLE AS label_ FROM txn)"
+    labelled = "labelled AS (SELECT *, is_fraud = 1 AS fraud, row_id % 3 * 1e7::DOUBLE + 0.1::DOUBLE AS label_ FROM txn)"
     o["split_boolean_label"] = _with(labelled, _split("labelled", "fraud", _ROW_KEY, 42, 0.2, 0.1)) + \
         "SELECT row_id, fraud, split FROM parts"
     o["split_double_label"] = _with(labelled, _split("labelled", "label_", _ROW_KEY, 42, 0.2, 0.1)) + \
