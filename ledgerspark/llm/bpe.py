@@ -6,8 +6,8 @@ rank of every neighbouring pair, the parts are linked, and the lowest rank (left
 ties) is merged until no pair is a vocabulary entry.
 
 The vocabulary is read once on the driver and broadcast (its size is the file's, some
-50,000 entries).  Each worker remembers the ids of the words it met in two generations of
-at most ``REMEMBERED`` words, so its memory is bounded whatever the corpus holds.
+50,000 entries).  Each worker remembers the ids of at most ``REMEMBERED`` words that it met,
+so its memory is bounded whatever the corpus holds.
 
 Defined cases: a null text is an empty one and has no ids; a text of any length is
 encoded whole; extra columns are carried along, columns named like the results are
@@ -29,12 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerspark.llm.common import by_word, in_groups
+from ledgerspark.llm.common import WordPool, in_groups, released
 
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 _PRIME = 2**31 - 1
 DECODED_IDS = 500_000  # decoded at a time
-GROUP_CHARACTERS = 4_000_000  # encoded at a time
+GROUP_CHARACTERS = 2_000_000  # encoded at a time
+PIECE_ROWS = 600  # of a batch, handled at a time
 
 # Fixed value: the characters of the White_Space property, as the pattern's \s means them.
 _BLANK = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -115,22 +116,7 @@ class PerfectHash:
         return self.slots[-d - 1 if d < 0 else (first + d * step) % _PRIME % self.n]
 
 
-class Remembered(dict):
-    """Computed values by key: two generations of at most ``most`` entries."""
-
-    def __init__(self, compute, most: int):
-        super().__init__()
-        self.compute, self.most, self.old = compute, most, {}
-
-    def __missing__(self, key):
-        value = self.old.get(key)
-        if value is None:
-            value = self.compute(key)
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
+_held: dict[str, Codec] = {}
 
 
 class Codec:
@@ -139,33 +125,35 @@ class Codec:
     def __init__(self, vocabulary: list[bytes], pattern: str, remembered: int = REMEMBERED):
         self.vocabulary, self.pattern, self.remembered = vocabulary, pattern, remembered
         self.hash = PerfectHash(vocabulary)
+        self.key = xxhash.xxh3_128_hexdigest(repr((pattern, remembered, vocabulary)).encode())
 
     def __getstate__(self):
-        return self.vocabulary, self.pattern, self.remembered, self.hash
+        return self.vocabulary, self.pattern, self.remembered, self.hash, self.key
 
     def __setstate__(self, state):
-        self.vocabulary, self.pattern, self.remembered, self.hash = state
+        self.vocabulary, self.pattern, self.remembered, self.hash, self.key = state
 
     def ready(self) -> Codec:
-        """Compile and set up memory, once per worker."""
+        """This codec, compiled and with memory: one in a worker, however many jobs it serves."""
+        held = _held.get("codec")
+        if held is None or held.key != self.key:
+            _held["codec"] = held = self
+        return held._set_up()
+
+    def _set_up(self) -> Codec:
         if not hasattr(self, "cut"):
             self.cut = regex.compile(blanks_spelled_out(self.pattern))
             self.ranks = {v: i for i, v in enumerate(self.vocabulary)}
             self.sizes = [len(v) for v in self.vocabulary]
             self.longest = max(self.sizes, default=0)
             self.pairs = [self.ranks.get(bytes((a, b))) for a in range(256) for b in range(256)]
-            self.after_space = Remembered(self._after_space, self.remembered)
-            self.marks = {m: self.pre_token(m.encode()) for m in ",."}
+            marks = {m: self.pre_token(m.encode())[0] for m in ",." if len(self.pre_token(m.encode())) == 1}
+            self.words = WordPool(lambda words: [self._word(" " + w) for w in words], marks, self.remembered)
             self.lengths = np.array([len(v) for v in self.vocabulary], np.int64)
             self.begins = np.cumsum(self.lengths) - self.lengths
             self.bytes = np.frombuffer(b"".join(self.vocabulary), np.uint8)
         return self
 
-    def _after_space(self, part: str) -> tuple[int, ...]:
-        if part[-1:] in self.marks and part[-2:-1].isalnum():  # the pattern cuts before the mark
-            return self.after_space[part[:-1]] + self.marks[part[-1]]
-        return self._word(" " + part)
-
     def _word(self, text: str) -> tuple[int, ...]:
         return tuple(itertools.chain.from_iterable(self.pre_token(m.encode()) for m in self.cut.findall(text)))
 
@@ -215,8 +203,7 @@ class Codec:
         one by one; a text with a longer run of blanks is cut by the pattern as a whole.
         """
         whole = [_SPLIT_LATER.search(t) is not None for t in texts]
-        known = self.after_space
-        return by_word(texts, whole, lambda own: map(self._word, own), lambda words: [known[w] for w in words])
+        return self.words.of_texts(texts, whole, lambda own: map(self._word, own))
 
     def decode(self, ids: np.ndarray) -> bytes:
         lengths = self.lengths[ids]
@@ -252,11 +239,13 @@ def _with_columns(df: DataFrame, codec: Codec, added) -> DataFrame:
     schema = T.StructType([*df.schema.fields, *(T.StructField(name, kind) for name, kind, _, _ in added)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = dict(zip(batch.schema.names, batch.columns))
-            for name, _, source, how in added:
-                columns[name] = how(shared.value.ready(), columns[source])
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+        for batch in released(batches):
+            for at in range(0, batch.num_rows, PIECE_ROWS):
+                part = batch.slice(at, PIECE_ROWS)
+                columns = dict(zip(part.schema.names, part.columns))
+                for name, _, source, how in added:
+                    columns[name] = how(shared.value.ready(), columns[source])
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return df.mapInArrow(run, schema)
 
@@ -293,6 +282,8 @@ def digests(docs: DataFrame, codec: Codec | None = None) -> DataFrame:
 
 
 def token_ids(docs: DataFrame, codec: Codec | None = None) -> DataFrame:
-    """doc_id, source, n_tokens and ids of every whole text."""
-    coded = encode(docs.select("doc_id", "source", "text"), codec or default_codec())
-    return coded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """doc_id, source, n_tokens, ids of every whole text, and whether they decode to it."""
+    own = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
+    coded = encode_decode(own, codec or default_codec())
+    same = F.col("decoded") == F.col("text").cast("binary")
+    return coded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))

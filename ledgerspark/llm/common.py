@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import itertools
 from collections.abc import Callable, Iterator
 
@@ -61,26 +62,88 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - counts), counts)
 
 
-def by_word(texts: list[str], whole: list[bool], firsts: Callable, words: Callable) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers for texts cut at spaces: all of them in order, and how many each text has.
+class WordPool:
+    """Numbers of words after a space, each made once: at most ``most`` words are remembered.
 
-    ``words`` gives a tuple for each distinct word after a space, ``firsts`` one for each
-    text's beginning before its first space, or for all of a text marked ``whole``.
+    ``encode`` gives the numbers of each of a list of words.  A word that ends in one of
+    ``marks`` after a letter or digit is its stem's numbers and the mark's one.
     """
-    rows = pc.split_pattern(pa.array(["" if w else t for t, w in zip(texts, whole)], pa.string()), " ")
-    sizes = np.diff(rows.offsets.to_numpy())
-    coded = rows.flatten().dictionary_encode()
-    index = coded.indices.to_numpy().astype(np.int64)
-    begins = np.cumsum(sizes) - sizes
-    distinct = coded.dictionary.to_pylist()
-    own = [t if w else distinct[i] for t, w, i in zip(texts, whole, index[begins].tolist())]
-    index[begins] = len(distinct) + np.arange(len(texts))
-    parts = [*words(distinct), *firsts(own)]
-    lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-    flat = np.fromiter(itertools.chain.from_iterable(parts), np.int64, int(lengths.sum()))
-    starts = np.cumsum(lengths) - lengths
-    counts = lengths[index]
-    return flat[ranges(starts[index], counts)], np.add.reduceat(counts, begins)
+
+    def __init__(self, encode: Callable, marks: dict[str, int], most: int):
+        self.encode, self.marks, self.most = encode, marks, most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.n = self.end = 0
+        self.flat, self.starts, self.lengths = np.empty(1 << 16, np.int32), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+
+    def _append(self, flat: np.ndarray, lengths: np.ndarray) -> int:
+        """Add entries; returns the place of the first one."""
+        n, end = self.n + len(lengths), self.end + len(flat)
+        while n > len(self.starts):
+            self.starts, self.lengths = (np.concatenate([a, np.empty_like(a)]) for a in (self.starts, self.lengths))
+        while end > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        first = self.n
+        self.flat[self.end:end], self.lengths[first:n] = flat, lengths
+        self.starts[first:n] = self.end + np.cumsum(lengths) - lengths
+        self.n, self.end = n, end
+        return first
+
+    def _add(self, rows: list) -> int:
+        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+        return self._append(np.fromiter(itertools.chain.from_iterable(rows), np.int32, int(lengths.sum())), lengths)
+
+    def _meet(self, words: list[str]) -> None:
+        known, marks = self.known, self.marks
+        marked = [w for w in words if w[-1:] in marks and w[-2:-1].isalnum()]
+        plain = {w for w in words if not (w[-1:] in marks and w[-2:-1].isalnum())}
+        plain.update(w[:-1] for w in marked if w[:-1] not in known)
+        unseen = list(plain)
+        first = self._add(self.encode(unseen))
+        known.update(zip(unseen, range(first, self.n)))
+        if marked:
+            stem = np.fromiter((known[w[:-1]] for w in marked), np.int64, len(marked))
+            size = self.lengths[stem]
+            begin = np.cumsum(size + 1) - (size + 1)
+            flat = np.empty(int((size + 1).sum()), np.int32)
+            flat[ranges(begin, size)] = self.flat[ranges(self.starts[stem], size)]
+            flat[begin + size] = [marks[w[-1]] for w in marked]
+            first = self._append(flat, size + 1)
+            known.update(zip(marked, range(first, self.n)))
+
+    def places(self, words: list[str]) -> np.ndarray:
+        found = np.fromiter(map(self.known.get, words, itertools.repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            if len(self.known) + len(missing) > self.most:
+                self._clear()
+                missing = range(len(words))
+            self._meet([words[i] for i in missing])
+            found = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        return found
+
+    def of_texts(self, texts: list[str], whole: list[bool], firsts: Callable) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all texts in order, and how many each text has.
+
+        Texts are cut at spaces; ``firsts`` gives the numbers of each text's beginning before
+        its first space, or of all of a text marked ``whole``.
+        """
+        rows = pc.split_pattern(pa.array(["" if w else t for t, w in zip(texts, whole)], pa.string()), " ")
+        sizes = np.diff(rows.offsets.to_numpy())
+        coded = rows.flatten().dictionary_encode()
+        index = coded.indices.to_numpy()
+        begins = np.cumsum(sizes) - sizes
+        distinct = coded.dictionary.to_pylist()
+        own = [t if w else distinct[i] for t, w, i in zip(texts, whole, index[begins].tolist())]
+        place = self.places(distinct)[index]
+        n, end = self.n, self.end
+        place[begins] = self._add(list(firsts(own))) + np.arange(len(texts))
+        counts = self.lengths[place]
+        out = self.flat[ranges(self.starts[place], counts)]
+        self.n, self.end = n, end  # beginnings are not remembered
+        return out, np.add.reduceat(counts, begins)
 
 
 def in_groups(texts: list[str], size: int) -> Iterator[list[str]]:
@@ -97,6 +160,28 @@ def in_groups(texts: list[str], size: int) -> Iterator[list[str]]:
         yield held
 
 
+def _trim() -> Callable | None:
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # another C library
+        return None
+
+
+_give_back = _trim()
+
+
+def released(batches: Iterator) -> Iterator:
+    """The items in turn; after each, memory that was freed goes back to the system.
+
+    Workers outlive their tasks, so what one keeps for later is missing for others.
+    """
+    for batch in batches:
+        yield batch
+        pa.default_memory_pool().release_unused()
+        if _give_back:
+            _give_back(0)
+
+
 def blobs(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     """Consecutive runs of ``values`` as one binary each."""
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64) * values.itemsize
@@ -108,7 +193,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int =
     """Tables that hold only whole groups, from batches in which equal keys are neighbours."""
     held: list[pa.Table] = []
     n = 0
-    for batch in batches:
+    for batch in released(batches):
         if not batch.num_rows:
             continue
         held.append(pa.Table.from_batches([batch]))

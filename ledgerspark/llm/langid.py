@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerspark.llm.common import fold, mixed
+from ledgerspark.llm.common import fold, mixed, released
 
 SHARE = 5e-5
 HASHES = 4
@@ -89,7 +89,7 @@ def counted(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFram
     """lang, gram, n over all texts with a language; summed per batch before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             by = defaultdict(list)
             for t, g in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 by[g].append(t)
@@ -178,7 +178,7 @@ def identify(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame
     place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             names, sure = shared.value.predict(batch.column(place).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(sure)],
                                              [*batch.schema.names, "lang_pred", "score"])

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import fold, in_groups, keep, mixed
+from ledgerspark.llm.common import fold, in_groups, keep, mixed, released
 from ledgerspark.llm.ngram_join import word_hashes
 
 SHARE = 2.5e-7
@@ -71,7 +71,7 @@ def counted(docs: DataFrame) -> DataFrame:
     """h, c: how often each token occurs; summed per batch before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             parts = [np.unique(h, return_counts=True) for h, _ in groups(batch.column(0))]
             if parts:
                 h, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
@@ -219,7 +219,7 @@ def one_round(docs: DataFrame, words: Vocabulary, weights: np.ndarray, rounds: i
         vocabulary, begin = shared.value
         own = Climber(begin)
         part = 0
-        for batch in batches:
+        for batch in released(batches):
             if batch.num_rows:
                 part = batch.column("part")[0].as_py()
             for h, sizes in groups(batch.column("text")):
@@ -275,7 +275,7 @@ def scored(docs: DataFrame, share: float = SHARE) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, w = shared.value
-        for batch in batches:
+        for batch in released(batches):
             out: list[list] = [[], [], [], [], []]
             for h, sizes in groups(batch.column("text")):
                 c, place = vocabulary.look_up(h)

@@ -42,15 +42,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import blobs, join_small, keep, mixed, ranges, whole_groups
+from ledgerspark.llm.common import blobs, join_small, keep, mixed, ranges, released, whole_groups
 from ledgerspark.llm.components import connected, forest
 from ledgerspark.operators.ordered import with_rank
 
 WORDS = 5
 STRETCH = 1 << 20
-BUCKET_ENTRIES = 4_000_000
-DEALT_ENTRIES = 2_000_000  # packed at a time
+BUCKET_ENTRIES = 2_000_000
+DEALT_ENTRIES = 1_000_000  # packed at a time
 MIN_BUCKETS = 16
+NARROW_ROWS = 1_000_000  # ids that are broadcast, after counting, to spare the texts a shuffle
 CHUNK_SETS = 256  # sets compared with as many in one unit of work
 ROUNDS = 2  # of comparisons with members of other components
 SIZE_STEP = 1.06  # width of a size class in the histogram
@@ -125,7 +126,7 @@ def named(docs: DataFrame) -> DataFrame:
     """doc_id, n, name of every row's set; the name is null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             rows = [(len(s), set_name(s) if len(s) else None) for s in shingle_sets(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())],
@@ -187,7 +188,7 @@ def _with_support(docs: DataFrame, buckets: int) -> DataFrame:
     where names are equal: copies in other tasks count as another set)."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             seen: set[int] = set()
             own: dict[int, np.ndarray] = {}
             size = 0
@@ -236,7 +237,7 @@ def _sets_of(docs: DataFrame, names: DataFrame) -> DataFrame:
     """name, n, hashes (uint64) of the named classes, read again from their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             wanted = batch.column(1).to_pylist()
             own = [(w, s) for w, s in zip(wanted, shingle_sets(batch.column(0).to_pylist())) if len(s) and set_name(s) == w]
             if own:
@@ -247,7 +248,7 @@ def _sets_of(docs: DataFrame, names: DataFrame) -> DataFrame:
 
     chosen = names.select(F.col("doc_id").alias("_doc"), "name")
     rows = join_small(docs.select(F.col("doc_id").cast("long").alias("_id"), "text"), chosen,
-                      F.col("_id").eqNullSafe(F.col("_doc")), "inner", 1_000_000)
+                      F.col("_id").eqNullSafe(F.col("_doc")), "inner", NARROW_ROWS)
     return rows.select("text", "name").mapInArrow(run, "name long, n long, hashes binary")
 
 
@@ -258,7 +259,7 @@ def _prefixes(sets: DataFrame, buckets: int) -> DataFrame:
     """
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             names = batch.column(0).to_pylist()
             yield from _dealt(names, [np.frombuffer(b, np.uint64) for b in batch.column(1).to_pylist()], buckets, np.uint64)
 
@@ -319,7 +320,7 @@ def _costs(prefixes: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             rows = []
             for n, k, f in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 f = len(f) // 4
@@ -344,7 +345,7 @@ def _lists(prefixes: DataFrame, limit: float) -> DataFrame:
     """key, name, n, k: every set under its 2-subsets or its prefix shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for name, n, k, h in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 h = np.frombuffer(h, np.uint64)
                 keys = [np.zeros(0, np.uint64)]
@@ -372,7 +373,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those pairs a, b whose sets overlap enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             good = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -546,8 +547,11 @@ def representatives(docs: DataFrame) -> DataFrame:
     rows = docs.toDF(*own)
     place = docs.columns.index
     key = F.col(own[place("doc_id")])
-    marked = rows.join(stay, key == F.col("_stay"), "left").where(F.col("_stay").isNotNull() | key.isNull())
+    marked = join_small(rows, stay, key == F.col("_stay"), "left", NARROW_ROWS)
+    marked = marked.where(F.col("_stay").isNotNull() | key.isNull())
     once = marked.where("_rows is null or _rows = 1").select(*own)
+    if stay.where("_rows > 1").isEmpty():
+        return once.toDF(*docs.columns)
     text = F.coalesce(F.col(own[place("text")]), F.lit(""))
     several = marked.where("_rows > 1").groupBy("_stay").agg(F.min_by(F.struct(*own), text).alias("r")).select("r.*")
     return once.union(several).toDF(*docs.columns)

@@ -27,6 +27,7 @@ table has no segments.  A null doc_id comes first.
 
 from __future__ import annotations
 
+import itertools
 import os
 import zlib
 from collections.abc import Iterator
@@ -38,14 +39,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.bpe import _SPLIT_LATER, REMEMBERED
-from ledgerspark.llm.common import by_word, in_groups, join_small, keep
+from ledgerspark.llm.common import WordPool, in_groups, join_small, keep, released
 from ledgerspark.sources.scratch import scratch_path
 
 BLOCK = 1024
 SEGMENT_IDS = 65_536
 PERCENTILE = 95
 END_ID = 0
-GROUP_CHARACTERS = 4_000_000  # encoded at a time
+GROUP_CHARACTERS = 2_000_000  # encoded at a time
+PIECE_ROWS = 600  # of a batch, handled at a time
+ENCODED_AT_ONCE = 10_000
 NO_DOC = -(2**63)  # stands for a null doc_id
 
 _SCHEMA = "shard int, segment int, first long, doc_ids binary, counts binary, n long, data binary"
@@ -100,6 +103,9 @@ def unpack(data: bytes, first: int = 0, last: int | None = None, block: int = BL
     return whole[first - first // block * block:][:last - first]
 
 
+_held: dict[str, Encoder] = {}
+
+
 class Encoder:
     """Words to ids with a tokenizer file's content; words met are remembered up to a bound."""
 
@@ -113,15 +119,21 @@ class Encoder:
         self.content, self.remembered = state
 
     def ready(self) -> Encoder:
-        if not hasattr(self, "known"):
+        """This encoder with its memory: one in a worker, however many jobs it serves."""
+        held = _held.get("encoder")
+        if held is None or held.__getstate__() != self.__getstate__():
+            _held["encoder"] = held = self
+        return held._set_up()
+
+    def _set_up(self) -> Encoder:
+        if not hasattr(self, "words"):
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
 
             self.tokenizer = Tokenizer.from_str(self.content)
             self.tokenizer.encode_special_tokens = True
-            self.marks = dict(zip(",.", self._tuples([",", "."])))
-            self.known: dict[str, tuple[int, ...]] = {}
-            self.older: dict[str, tuple[int, ...]] = {}
+            self.words = WordPool(lambda words: self._ids([" " + w for w in words]),
+                                  {m: i for m, (i,) in zip(",.", self._ids([",", "."]))}, self.remembered)
         return self
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -131,32 +143,14 @@ class Encoder:
         are encoded once each; texts with longer runs of blanks are encoded whole.
         """
         whole = [_SPLIT_LATER.search(t) is not None for t in texts]
-        return by_word(texts, whole, self._tuples, self._known)
-
-    def _tuples(self, texts: list[str]) -> list[tuple[int, ...]]:
-        return [tuple(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _known(self, words: list[str]) -> list[tuple[int, ...]]:
-        """Ids of words after a space; the words met longest ago are forgotten first."""
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > self.remembered:
-            self.older, self.known, new = self.known, {}, words
-        older, known, unseen, marked = self.older, self.known, [], []
-        for w in new:
-            ids = older.get(w)
-            if ids is not None:
-                known[w] = ids
-            elif w[-1:] in self.marks and w[-2:-1].isalnum():
-                marked.append(w)  # the cut is before the mark: a word and a mark, apart
-            else:
-                unseen.append(w)
-        stems = {w[:-1] for w in marked}.difference(known, unseen)
-        unseen += [w for w in stems if w not in older]
-        known.update((w, older[w]) for w in stems if w in older)
-        known.update(zip(unseen, self._tuples([" " + w for w in unseen])))
-        for w in marked:
-            known[w] = known[w[:-1]] + self.marks[w[-1]]
-        return [known[w] for w in words]
+        return self.words.of_texts(texts, whole, self._ids)
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        out: list[list[int]] = []
+        for at in range(0, len(texts), ENCODED_AT_ONCE):  # what the library returns is much larger than the ids
+            part = texts[at:at + ENCODED_AT_ONCE]
+            out += [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+        return out
 
 
 def write(docs: DataFrame, folder: str, content: str, end_id: int = END_ID) -> None:
@@ -164,6 +158,15 @@ def write(docs: DataFrame, folder: str, content: str, end_id: int = END_ID) -> N
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(Encoder(content))
 
+    def coded(own: Encoder, batch: pa.RecordBatch) -> Iterator[tuple[int | None, np.ndarray]]:
+        for at in range(0, batch.num_rows, PIECE_ROWS):
+            part = batch.slice(at, PIECE_ROWS)
+            docs = iter(part.column("doc_id").to_pylist())
+            for texts in in_groups([t or "" for t in part.column("text").to_pylist()], GROUP_CHARACTERS):
+                all_ids, counts = own.encode(texts)
+                parts = np.split(all_ids.astype(np.uint32), np.cumsum(counts)[:-1])
+                yield from zip(itertools.islice(docs, len(parts)), parts)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value.ready()
         end = np.array([end_id], np.uint32)
@@ -184,20 +187,17 @@ def write(docs: DataFrame, folder: str, content: str, end_id: int = END_ID) -> N
                 ["shard", "segment", "first", "doc_ids", "counts", "n", "data"])
 
         held = 0
-        for batch in batches:
+        for batch in released(batches):
             if not batch.num_rows:
                 continue
             state["shard"] = batch.column("shard")[0].as_py()
-            docs = iter(batch.column("doc_id").to_pylist())
-            for texts in in_groups([t or "" for t in batch.column("text").to_pylist()], GROUP_CHARACTERS):
-                coded, counts = own.encode(texts)
-                for x, d in zip(np.split(coded.astype(np.uint32), np.cumsum(counts)[:-1]), docs):
-                    ids.append(np.concatenate([x, end]))
-                    who.append(NO_DOC if d is None else d)
-                    held += len(ids[-1])
-                    if held >= SEGMENT_IDS:
-                        yield close()
-                        held = 0
+            for d, x in coded(own, batch):
+                ids.append(np.concatenate([x, end]))
+                who.append(NO_DOC if d is None else d)
+                held += len(ids[-1])
+                if held >= SEGMENT_IDS:
+                    yield close()
+                    held = 0
         if ids:
             yield close()
 
@@ -230,7 +230,7 @@ def documents(segments: DataFrame) -> DataFrame:
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]):
-    for batch in batches:
+    for batch in released(batches):
         for row in batch.to_pylist():
             d = np.frombuffer(row["doc_ids"], "<i8")
             counts = np.frombuffer(row["counts"], "<i8")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerspark.llm.common import fold, mixed
+from ledgerspark.llm.common import fold, mixed, released
 
 TRAIN_DOCS = 4000
 TRAIN_LINES = 48
@@ -246,7 +246,7 @@ def learn(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS, window: i
     """A chain fitted to doc_id, text and doc_id, quality."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for text, quality, h in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 x, _, lines = line_features([text])
                 room = max(0, int(lines[0]) - window)
@@ -274,7 +274,7 @@ def score(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
     place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             values = shared.value.scores(batch.column(place).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values)], [*batch.schema.names, "score"])
 

@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerspark.llm.common import released
+
 KINDS = ("assign", "access", "hex", "entropy")
 WINDOW = 20
 #: Bits per character that a window must reach; 20 characters can hold 4.32.
@@ -134,7 +136,7 @@ def find(docs: DataFrame, text: str = "text", allowed: frozenset[str] = frozense
     docs = docs.drop("spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             found = [[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in spans(t.as_py(), allowed)]
                      for t in batch.column(text)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, _ARROW)], [*batch.schema.names, "spans"])
@@ -147,7 +149,7 @@ def redact(docs: DataFrame, text: str = "text", mask: str = MASK, allowed: froze
     place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             clean = [None if (t := v.as_py()) is None else masked(t, found, mask) if (found := spans(t, allowed)) else t
                      for v in batch.column(place)]
             columns = list(batch.columns)

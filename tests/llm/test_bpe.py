@@ -6,6 +6,7 @@ import pytest
 import tiktoken
 
 from ledgerspark.llm import bpe
+from ledgerspark.llm.common import WordPool
 
 TEXTS = ["", " ", "a", "Hello  world", "a \n b\t\tc   d ", "don't stop!! 123 4567", "naïve Ωmega 日本語 🙂🙂",
          "x" * 3000, "  leading", "tab\tand nbsp  em", "\x1c\x1d odd \x85 blanks", " ".join("word%d" % i for i in range(300)),
@@ -43,11 +44,17 @@ def test_ids_and_bytes(codec, reference, text):
     assert codec.decode(ids) == text.encode()
 
 
-def test_remembered_stays_bounded():
-    seen = bpe.Remembered(lambda k: (k,), 10)
-    for i in range(100):
-        assert seen[i % 37] == (i % 37,)
-        assert len(seen) <= 10 and len(seen.old) <= 10
+def test_pool_stays_bounded_and_right():
+    seen = []
+    pool = WordPool(lambda words: [seen.extend(words) or tuple(map(ord, w)) for w in words], {".": 46}, 10)
+    for i in range(60):
+        words = [f"w{(i * k) % 37}" + "." * (k % 2) for k in range(1, 5)]
+        texts = [" ".join(["x", *words]), "whole  text", "", "y"]
+        out, counts = pool.of_texts(texts, [False, True, False, False], lambda own: [tuple(map(ord, w)) for w in own])
+        want = [("x" + "".join(words)), "whole  text", "", "y"]
+        assert "".join(map(chr, out)) == "".join(want) and counts.tolist() == list(map(len, want))
+        assert len(pool.known) <= 16
+    assert not any(w.endswith(".") for w in seen)
 
 
 def test_digests(spark, sf_dir, codec, reference):
