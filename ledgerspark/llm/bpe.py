@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from ledgerspark.llm.common import WordPool, in_groups, released
 
-REMEMBERED = 300_000
+REMEMBERED = 700_000
 _PRIME = 2**31 - 1
 DECODED_IDS = 500_000  # decoded at a time
 GROUP_CHARACTERS = 2_000_000  # encoded at a time
