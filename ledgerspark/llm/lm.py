@@ -8,18 +8,21 @@ least ``SHARE`` of the tokens are broadcast (at most 1 / SHARE entries of 16 byt
 others' counts are joined, and only tokens that are not among the broadcast ones are
 shuffled for it.
 
-Model.  The ``CLASSES`` x ``MEMBERS`` most frequent words have their own probability, all
-others share one more class, in which a word has (c + 1) / (all + different + 1) by counts.
-P(word | context) = P(class | context) * P(word | class, context); both factors are
-softmaxes of a bias (the logarithm of the frequency) plus weights of the context's
-features: the word before, the two before (n-grams) and the one before that (skip).
-Features are hashed into tables of ``ROWS`` rows.
+Model.  Classes within classes: a tree whose nodes have at most ``WIDTH`` children and whose
+leaves are all broadcast words, by frequency (Huffman's code, so frequent words lie near the
+root).  The words outside the broadcast part and those never met are dealt by hash to leaves
+of some ``LEAF_WORDS`` words each, in which a word has (c + 1) / (all + different + 1) by
+counts.  P(word | context) is the product over the nodes on its way of P(child | node,
+context): a softmax of a bias (the logarithm of the frequency) plus weights of the context's
+features: the word before, the two before (n-grams) and the one before that (skip); below
+the root, the word before and the one before that, each with the node.  Features are hashed
+into tables of rows that rise with the root of the training tokens (``rows_for``).
 
 Training reads every training document once, in ``ROUNDS`` rounds of disjoint documents.
 In a round each task climbs from the shared weights by AdaGrad steps on batches of
 tokens; its change to each row is averaged with other tasks' by the number of tokens that
 touched the row, in two levels of sums, and the next round begins from the result.  The
-weights are 5 x ROWS x 32 numbers, whatever the corpus holds.
+weights, 5 x rows x WIDTH numbers, and the tree are broadcast.
 
 Defined cases: a null text is an empty one: one end token; without training documents all
 counts are 0 and both scores are 0; rows are scored one by one, repeated rows alike; a long
@@ -39,8 +42,9 @@ from ledgerspark.llm.common import fold, in_groups, keep, mixed, released
 from ledgerspark.llm.ngram_join import word_hashes
 
 SHARE = 2.5e-7
-CLASSES, MEMBERS = 31, 32  # and one class for all other words
-ROWS = 1 << 13
+WIDTH = 32  # children of a node
+LEAF_WORDS = 16  # of words outside the broadcast part
+ROWS, ROWS_TOKENS = 1 << 13, 4_000_000  # rows a table for so many training tokens, and at least
 ROUNDS = 3
 BATCH = 16_384
 RATE = 0.08
@@ -81,54 +85,93 @@ def counted(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
+def rows_for(tokens: int) -> int:
+    """Rows of a feature table: a power of two that rises with the root of the training tokens."""
+    return ROWS << max(0, round(np.log2(max(1, tokens) / ROWS_TOKENS) / 2))
+
+
 class Vocabulary:
-    """Counts of the frequent words, and the class and place of the most frequent ones."""
+    """Counts of the frequent words, and the tree of all words.
+
+    ``rare``: per leaf of other words the sum of their c + 1; one leaf for all, if not given.
+    """
 
-    def __init__(self, h: np.ndarray, c: np.ndarray, total: int, different: int):
+    def __init__(self, h: np.ndarray, c: np.ndarray, total: int, different: int, rare: np.ndarray | None = None):
         order = np.argsort(h)
         self.h, self.c, self.total, self.different = h[order], c[order], total, different
-        top = np.lexsort((self.h, -self.c))[:CLASSES * MEMBERS]
-        self.place = np.full(len(h), -1, np.int32)
-        self.place[top] = np.arange(len(top))  # class = place // MEMBERS: neighbours in frequency
-        rest = total - int(self.c[top].sum())
-        self.others = float(rest + different - len(top) + 1)
-        own = np.zeros((CLASSES, MEMBERS))
-        own.ravel()[:len(top)] = self.c[top]
-        mass = np.append(own.sum(1), rest + 1.0)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            self.class_bias = np.maximum(np.log(mass / mass.sum()), -1e4).astype(np.float32)
-            self.word_bias = np.maximum(np.log(own / np.maximum(mass[:CLASSES, None], 1)), -1e4).astype(np.float32)
+        if rare is None:
+            rare = np.array([total - int(c.sum()) + different - len(h)])
+        self.others = rare + 1.0  # and one word that was never met
+        self._plant(np.concatenate([self.c + 1.0, self.others]))
+
+    def _plant(self, mass: np.ndarray) -> None:
+        """Parent, and place under it, of each leaf and node (a node's number follows the leaves'); biases by node."""
+        leaves = len(mass)
+        nodes = max(1, -(-(leaves - 1) // (WIDTH - 1)))
+        order = np.argsort(mass, kind="stable")
+        left, made = mass[order].tolist(), []
+        self.leaves, self.root = leaves, nodes - 1
+        self.parent, self.slot = np.full(leaves + nodes, -1, np.int32), np.zeros(leaves + nodes, np.int8)
+        self.bias = np.full((nodes, WIDTH), -1e4, np.float32)
+        i = j = 0
+        for node in range(nodes):  # the smallest of what is left, leaves and nodes each in rising order
+            a, b = i, j
+            for _ in range(WIDTH if node else leaves - (nodes - 1) * (WIDTH - 1)):
+                if j == len(made) or i < leaves and left[i] <= made[j]:
+                    i += 1
+                else:
+                    j += 1
+            children = np.concatenate([order[a:i], np.arange(leaves + b, leaves + j)])
+            sizes = np.array(left[a:i] + made[b:j])
+            self.parent[children], self.slot[children] = node, np.arange(len(children))
+            self.bias[node, :len(children)] = np.log(sizes / sizes.sum())
+            made.append(float(sizes.sum()))
+
+    def way(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Each token's child of the root; and for all nodes below on its way: token, node, child."""
+        at, token = np.where(place >= 0, place, len(self.h) - 1 - place), np.arange(len(place))
+        top, parts = np.zeros(len(place), np.int64), []
+        while len(at):
+            node, spot = self.parent[at].astype(np.int64), self.slot[at].astype(np.int64)
+            done = node == self.root
+            top[token[done]] = spot[done]
+            token, node, spot = token[~done], node[~done], spot[~done]
+            parts.append((token, node, spot))
+            at = node + self.leaves
+        return top, *(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (list(zip(*parts)) or [(), (), ()]))
 
     def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The count (0: not a frequent word) and the place (-1: another word) of each token."""
+        """The count (0: not a frequent word) and the place (-1 - leaf: another word) of each token."""
+        leaf = -1 - h.view(np.int64) % len(self.others)
         if not len(self.h):
-            return np.zeros(len(h), np.int64), np.full(len(h), -1, np.int32)
+            return np.zeros(len(h), np.int64), leaf
         own, back = np.unique(h, return_inverse=True)
         at = np.minimum(np.searchsorted(self.h, own), len(self.h) - 1)
         known = self.h[at] == own
-        return np.where(known, self.c[at], 0)[back], np.where(known, self.place[at], -1)[back]
+        return np.where(known, self.c[at], 0)[back], np.where(known[back], at[back], leaf)
 
 
-def features(h: np.ndarray, sizes: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Rows of the class features of each token, and the two words before it."""
+def features(h: np.ndarray, sizes: np.ndarray, rows: int = ROWS) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Rows of the root's features of each token, and the two words before it."""
     start = np.cumsum(sizes) - sizes
     one, two = np.empty_like(h), np.empty_like(h)
     one[1:], two[2:] = h[:-1], h[:-2]
     one[start] = two[start] = START
     two[start[sizes > 1] + 1] = START
     with np.errstate(over="ignore"):
-        return [_row(one * _turn[0], 0), _row(one * _turn[1] + mixed(two * _turn[2]), 1), _row(two * _turn[3], 2)], one, two
+        return [_row(one * _turn[0], 0, rows), _row(one * _turn[1] + mixed(two * _turn[2]), 1, rows),
+                _row(two * _turn[3], 2, rows)], one, two
 
 
-def member_features(one: np.ndarray, two: np.ndarray, group: np.ndarray) -> list[np.ndarray]:
-    """Rows of the features of a word within its class."""
-    g = (group.astype(np.uint64) + np.uint64(1))
+def member_features(one: np.ndarray, two: np.ndarray, node: np.ndarray, rows: int = ROWS) -> list[np.ndarray]:
+    """Rows of the features of a child of a node."""
+    g = (node.astype(np.uint64) + np.uint64(1))
     with np.errstate(over="ignore"):
-        return [_row(one * _turn[4] + mixed(g), 3), _row(two * _turn[5] + mixed(g * _turn[6]), 4)]
+        return [_row(one * _turn[4] + mixed(g), 3, rows), _row(two * _turn[5] + mixed(g * _turn[6]), 4, rows)]
 
 
-def _row(x: np.ndarray, table: int) -> np.ndarray:
-    return (mixed(x) & np.uint64(ROWS - 1)).astype(np.int64) + table * ROWS
+def _row(x: np.ndarray, table: int, rows: int) -> np.ndarray:
+    return (mixed(x) & np.uint64(rows - 1)).astype(np.int64) + table * rows
 
 
 def softmax(weights: np.ndarray, bias: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
@@ -144,19 +187,18 @@ def softmax(weights: np.ndarray, bias: np.ndarray, rows: list[np.ndarray]) -> np
 
 def log_probabilities(weights: np.ndarray, words: Vocabulary, h: np.ndarray, sizes: np.ndarray,
                       place: np.ndarray) -> np.ndarray:
-    """Per token the model's log10 probability; of another word, that of its class alone."""
-    rows, one, two = features(h, sizes)
+    """Per token the model's log10 probability; of another word, that of its leaf alone."""
+    size = len(weights) // _TABLES
+    rows, one, two = features(h, sizes, size)
     out = np.empty(len(h))
     for at in range(0, len(h), BATCH):
         b = slice(at, at + BATCH)
-        group = np.where(place[b] >= 0, place[b] // MEMBERS, CLASSES)
-        p = softmax(weights, words.class_bias, [r[b] for r in rows])
-        out[b] = p[np.arange(len(group)), group]
-        own = np.flatnonzero(group < CLASSES)
-        g = group[own]
-        p = softmax(weights, words.word_bias[g], member_features(one[b][own], two[b][own], g))
-        out[at + own] *= p[np.arange(len(own)), place[b][own] % MEMBERS]
-    return np.log10(np.maximum(out, 1e-300))
+        top, token, node, child = words.way(place[b])
+        p = softmax(weights, words.bias[words.root], [r[b] for r in rows])[np.arange(len(top)), top]
+        out[b] = np.log10(np.maximum(p, 1e-300))
+        p = softmax(weights, words.bias[node], member_features(one[b][token], two[b][token], node, size))[np.arange(len(node)), child]
+        out[b] += np.bincount(token, np.log10(np.maximum(p, 1e-300)), len(top))
+    return out
 
 
 class Climber:
@@ -166,21 +208,20 @@ class Climber:
         self.weights = weights.copy()
         self.squares = np.full_like(weights, 1.0)
         self.touched = np.zeros(len(weights), np.int64)
+        self.rows = len(weights) // _TABLES
 
     def step(self, words: Vocabulary, rows: list[np.ndarray], one: np.ndarray, two: np.ndarray, place: np.ndarray) -> None:
-        group = np.where(place >= 0, place // MEMBERS, CLASSES)
-        self._move(rows, softmax(self.weights, words.class_bias, rows), group)
-        own = np.flatnonzero(group < CLASSES)
-        if len(own):
-            g = group[own]
-            rows = member_features(one[own], two[own], g)
-            self._move(rows, softmax(self.weights, words.word_bias[g], rows), place[own] % MEMBERS)
+        top, token, node, child = words.way(place)
+        self._move(rows, softmax(self.weights, words.bias[words.root], rows), top)
+        if len(node):
+            rows = member_features(one[token], two[token], node, self.rows)
+            self._move(rows, softmax(self.weights, words.bias[node], rows), child)
 
     def _move(self, rows: list[np.ndarray], p: np.ndarray, truth: np.ndarray) -> None:
         p[np.arange(len(truth)), truth] -= 1
         for r in rows:
-            base = int(r[0]) // ROWS * ROWS
-            order = np.argsort((r - base).astype(np.uint16), kind="stable")
+            base = int(r[0]) // self.rows * self.rows
+            order = np.argsort((r - base).astype(np.uint16 if self.rows <= 1 << 16 else np.uint32), kind="stable")
             s = r[order]
             first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
             at = s[first]
@@ -192,7 +233,7 @@ class Climber:
 
     def learn(self, words: Vocabulary, h: np.ndarray, sizes: np.ndarray) -> None:
         _, place = words.look_up(h)
-        rows, one, two = features(h, sizes)
+        rows, one, two = features(h, sizes, self.rows)
         for at in range(0, len(h), BATCH):
             b = slice(at, at + BATCH)
             self.step(words, [r[b] for r in rows], one[b], two[b], place[b])
@@ -228,13 +269,15 @@ def one_round(docs: DataFrame, words: Vocabulary, weights: np.ndarray, rounds: i
             return
         for chunk, at in enumerate(range(0, len(begin), CHUNK_ROWS)):
             n = own.touched[at:at + CHUNK_ROWS]
+            if not n.any():
+                continue
             change = (own.weights[at:at + CHUNK_ROWS] - begin[at:at + CHUNK_ROWS]) * n[:, None].astype(np.float32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([chunk], pa.int32()), pa.array([part], pa.int32()), pa.array([change.tobytes()], pa.binary()),
                  pa.array([n.tobytes()], pa.binary())], ["chunk", "part", "change", "n"])
 
     # A task hands on weights, so it should read much more than these take.
-    tasks = max(1, round(words.total / rounds / TASK_TOKENS))
+    tasks = max(1, round(words.total / rounds / TASK_TOKENS / (len(weights) / _TABLES / ROWS) ** 0.5))
     parts = docs.coalesce(tasks).select("text", (F.spark_partition_id() / SUMMED_TASKS).cast("int").alias("part")).mapInArrow(
         run, "chunk int, part int, change binary, n binary")
     sums = _summed(_summed(parts, "chunk", "part"), "chunk")
@@ -248,7 +291,7 @@ def one_round(docs: DataFrame, words: Vocabulary, weights: np.ndarray, rounds: i
 
 def learn(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
     """The weights after all documents of the frame have been read once."""
-    weights = np.zeros((_TABLES * ROWS, max(CLASSES + 1, MEMBERS)), np.float32)
+    weights = np.zeros((_TABLES * rows_for(words.total), WIDTH), np.float32)
     turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds))
     for k in range(rounds if words.total else 0):
         weights = one_round(docs.where(turn == k), words, weights, rounds)
@@ -261,7 +304,12 @@ def vocabulary(counts: DataFrame, share: float = SHARE) -> tuple[Vocabulary, Dat
     total = total or 0
     frequent = counts.where(F.col("c") >= share * total).toArrow()  # at most 1 / share rows
     h = frequent.column("h").to_numpy().astype(np.int64).view(np.uint64)
-    return Vocabulary(h, frequent.column("c").to_numpy().astype(np.int64), total, different), counts.where(F.col("c") < share * total)
+    rare = counts.where(F.col("c") < share * total)
+    leaves = max(1, (different - len(h)) // LEAF_WORDS)
+    dealt = rare.groupBy(F.pmod("h", F.lit(leaves)).alias("leaf")).agg(F.sum(F.col("c") + 1).alias("mass")).toArrow()  # leaves rows
+    mass = np.zeros(leaves)
+    mass[dealt.column("leaf").to_numpy()] = dealt.column("mass").to_numpy()
+    return Vocabulary(h, frequent.column("c").to_numpy().astype(np.int64), total, different, mass), rare
 
 
 def scored(docs: DataFrame, share: float = SHARE) -> DataFrame:
@@ -282,7 +330,7 @@ def scored(docs: DataFrame, share: float = SHARE) -> DataFrame:
                 start = np.cumsum(sizes) - sizes
                 seen = np.log10(c + 1.0)
                 model = log_probabilities(w, vocabulary, h, sizes, place)
-                model += np.where(place >= 0, 0, seen - np.log10(vocabulary.others))
+                model += np.where(place >= 0, 0, seen - np.log10(vocabulary.others)[np.maximum(-1 - place, 0)])
                 unmet = c == 0
                 out[0] += sizes.tolist()
                 out[1] += (sizes - np.add.reduceat(unmet.astype(np.int64), start)).tolist()

@@ -87,3 +87,36 @@ def test_odd_rows(spark):
     assert lm.scored(docs.limit(0)).count() == 0
     only = lm.scored(docs.where("doc_id = 10")).collect() if zlib.crc32(b"10") % 7 == 2 else []
     assert all(r.base_score == 0 and r.score == 0 for r in only)
+
+
+def test_every_word_is_scored_in_context():
+    """Words far beyond the most frequent, and those dealt to a leaf by hash, follow the word before."""
+    n = 5000
+    h = lm.mixed(np.arange(1, n + 1, dtype=np.uint64))
+    words = lm.Vocabulary(h[:3000], np.arange(n, n - 3000, -1), 3 * n * n, n, np.full(125, 4 * n))
+    text = np.stack([h[:100], h[2900:3000], np.roll(h[:100], 1), h[4900:]], 1).ravel()  # frequent, listed, frequent, unlisted
+    sizes, place = np.full(100, 4), words.look_up(text)[1]
+    assert (place[1::4] >= 0).all() and (place[3::4] < 0).all() and len(set(place[3::4].tolist())) > 1
+    climber = lm.Climber(np.zeros((5 * lm.ROWS, lm.WIDTH), np.float32))
+    before = lm.log_probabilities(climber.weights, words, text, sizes, place)
+    for _ in range(40):
+        climber.learn(words, text, sizes)
+    own = lm.log_probabilities(climber.weights, words, text, sizes, place)
+    for k in (1, 3):
+        mixed_up = text.copy()
+        mixed_up[k - 1::4] = np.roll(text[k - 1::4], 7)
+        mixed_up[max(0, k - 2)::4] = np.roll(text[max(0, k - 2)::4], 7) if k == 3 else mixed_up[0::4]
+        other = lm.log_probabilities(climber.weights, words, mixed_up, sizes, place)
+        assert own[k::4].mean() > before[k::4].mean() + 0.3
+        assert own[k::4].mean() > other[k::4].mean() + 0.1
+
+
+def test_the_model_grows_with_the_corpus(spark):
+    assert lm.rows_for(0) == lm.ROWS and lm.rows_for(5 * 10**9) >= 32 * lm.ROWS
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    counts = lm.counted(docs).cache()
+    for share in (lm.SHARE, 1e-4):  # all words listed, or most dealt by hash
+        words, rare = lm.vocabulary(counts, share)
+        assert words.leaves >= counts.count() / lm.LEAF_WORDS and len(words.h) + rare.count() == words.different
+        assert words.others.sum() == pytest.approx(sum(r.c + 1 for r in rare.collect()) + len(words.others))
+    counts.unpersist()
