@@ -4,12 +4,11 @@ Three base patterns give ``assign``, ``access`` and ``hex`` spans.  The method a
 ``entropy`` spans: a candidate is a run of at least ``WINDOW`` characters of base64 text;
 a window of ``WINDOW`` characters slides over it while counts per character, and with
 them the sum of c * log2(c), are kept up to date by one step each.  A window counts as
-secret when its entropy reaches the bound of the candidate's character class (``BOUNDS``)
-and letters and digits change often enough; neighbouring windows make one span.
+secret when its entropy reaches the bound of the candidate's character class (``BOUNDS``);
+one such window makes the whole candidate a span.
 
-Suppressed by the allow list: candidates without a digit or without a letter, UUIDs,
-file paths and names of words with a number at their ends, and every string that the
-caller allows.  A span that lies within a base span is left out; base spans always stay.
+Suppressed by the allow list: candidates without a letter, UUIDs, file paths and names of
+words with numbers at their ends (``of_words``), and every string that the caller allows.  A span that lies within a base span is left out; base spans always stay.
 
 Positions are code points, ends exclusive.  Spans are ordered by start, then by kind in
 the order of ``KINDS``.
@@ -37,7 +36,6 @@ KINDS = ("assign", "access", "hex", "entropy")
 WINDOW = 20
 #: Bits per character that a window must reach; 20 characters can hold 4.32.
 BOUNDS = {"hex": 2.8, "one_case": 3.2, "mixed": 3.4}
-CHANGES = 4  # changes between letter and digit within a window
 MASK = "[secret]"
 
 # The base patterns.
@@ -48,10 +46,18 @@ ASSIGNED, ACCESS_LENGTH = 6, 20
 
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{%d,}" % WINDOW)
 ALLOWED = re.compile(
-    r"[^0-9]*"  # no digit
-    r"|[^A-Za-z]*"  # no letter
-    r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"  # UUID
-    r"|(?:[0-9]{0,6}[A-Za-z]{3,}[0-9]{0,6}|[0-9]{1,8}|[A-Za-z]{1,2})(?:[-_/=+]+(?:[0-9]{0,6}[A-Za-z]{3,}[0-9]{0,6}|[0-9]{1,8}|[A-Za-z]{1,2}))*[-_/=+]*")
+    r"[^A-Za-z]*"  # no letter
+    r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")  # UUID
+CUT = re.compile(r"[-_/=+]+")
+SEGMENT = re.compile(r"[0-9]{0,6}[A-Za-z]+(?:[0-9]{1,6}[A-Za-z]{3,})*[0-9]{0,6}|[0-9]{1,8}")
+CAMEL = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+#: Letters per thousand of running text (English, German and French together).
+LETTERS = dict(zip("abcdefghijklmnopqrstuvwxyz", (
+    75, 17, 30, 42, 150, 16, 22, 40, 75, 3, 9, 45, 28, 80, 55, 22, 5, 67, 70, 70, 47, 14, 14, 3, 10, 8)))
+LIKELY = {c: math.log2(26 * n / sum(LETTERS.values())) for c, n in LETTERS.items()}
+ONE_SOUND = re.compile("sch|[cpst]h|ck|ng|pf|tz|st")
+UNSPEAKABLE = re.compile("[^aeiouy]{6}|[aeiouy]{6}")
+IN_WORDS = 0.8  # share of letters that stand in pieces of three and more
 
 Span = tuple[int, int, int]  # start, place of the kind, end
 
@@ -71,7 +77,7 @@ def character_class(s: str) -> str:
 def entropy_windows(s: str, window: int = WINDOW) -> Iterator[tuple[int, float, int]]:
     """Start, entropy and letter-digit changes of every window, each from the one before."""
     counts: dict[str, int] = {}
-    log = [0.0, 0.0, *(c * math.log2(c) for c in range(2, window + 1))]
+    log = [0.0, 0.0, *(c * math.log2(c) for c in range(2, window + 2))]  # a step adds before it takes away
     digit = [c.isdigit() for c in s]
     turn = [i > 0 and s[i].isalnum() and s[i - 1].isalnum() and digit[i] != digit[i - 1] for i in range(len(s))]
     total, changes = 0.0, 0
@@ -90,21 +96,35 @@ def entropy_windows(s: str, window: int = WINDOW) -> Iterator[tuple[int, float,
             yield i - window + 1, math.log2(window) - total / window, changes
 
 
+def of_words(s: str) -> bool:
+    """Whether words, by their case, their letters and the runs of vowels and others, make up the string."""
+    letters, held, likely = 0, 0, 0.0
+    for segment in CUT.split(s):
+        if not segment:
+            continue
+        if not SEGMENT.fullmatch(segment):
+            return False
+        pieces = CAMEL.findall(segment)
+        n = sum(map(len, pieces))
+        letters += n
+        held += n if n <= 2 else sum(len(p) for p in pieces if len(p) > 2)
+        for p in pieces:
+            low = p.lower()
+            likely += sum(map(LIKELY.__getitem__, low))
+            if UNSPEAKABLE.search(ONE_SOUND.sub("t", low)):
+                return False
+    return held >= IN_WORDS * letters and likely > 0
+
+
 def entropy_spans(text: str, allowed: frozenset[str] = frozenset()) -> list[Span]:
     found = []
     for m in CANDIDATE.finditer(text):
         s = m.group()
-        if ALLOWED.fullmatch(s) or s in allowed:
+        if s in allowed or ALLOWED.fullmatch(s) or of_words(s):
             continue
-        bound, end = BOUNDS[character_class(s)], -1
-        for at, bits, changes in entropy_windows(s):
-            if bits < bound or changes < CHANGES:
-                continue
-            if at <= end:
-                found[-1] = (found[-1][0], 3, m.start() + at + WINDOW)
-            else:
-                found.append((m.start() + at, 3, m.start() + at + WINDOW))
-            end = at + WINDOW
+        bound = BOUNDS[character_class(s)]
+        if any(bits >= bound for _, bits, _ in entropy_windows(s)):
+            found.append((m.start(), 3, m.end()))
     return found
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 
@@ -71,3 +72,27 @@ def test_redact(spark):
     rows = {r.doc_id: r for r in secrets.redact(t).collect()}
     assert rows[1].text == 'a [secret]" b' and rows[2].text is None and rows[3].text == "clean" and rows[1].spans == "k"
     assert secrets.redact(t.limit(0)).count() == 0 and secrets.report(t.limit(0)).count() == 0
+
+
+UPPER, LOWER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+
+
+@pytest.mark.parametrize("letters", [UPPER + LOWER + DIGITS + "+/", UPPER + LOWER + DIGITS, UPPER + LOWER, LOWER + DIGITS, UPPER + DIGITS,
+                                     "0123456789abcdef", LOWER], ids=["base64", "alnum", "mixed_letters", "lower", "upper", "hex", "lower_letters"])
+@pytest.mark.parametrize("size", [20, 23, 32, 40, 64])
+def test_random_keys_of_every_class_are_found_whole(letters, size):
+    rng = random.Random(size)
+    keys = ["".join(rng.choices(letters, k=size)) for _ in range(400)]
+    whole = sum(any(a <= 2 and e >= 2 + size for a, _, e in secrets.spans(f"a {k}, b")) for k in keys)
+    assert whole >= 400 * {LOWER: 0.9, LOWER + DIGITS: 0.97, UPPER + DIGITS: 0.97}.get(letters, 0.99), whole / 400
+
+
+def test_a_key_with_few_digits_is_found_whole():
+    key = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+    assert secrets.spans(f"x {key} y") == [(2, 3, 2 + len(key))]
+
+
+@pytest.mark.parametrize("s", ["Geschwindigkeitsbegrenzung", "src/main/java/org/example/HttpServerFactoryBean", "developpement_informatique_2024",
+                               "AbstractSingletonProxyFactory", "python3-lib2-documentation", "SOME_CONSTANT_NAME_IN_CAPITALS"])
+def test_words_and_paths_are_left(s):
+    assert secrets.spans(f"Some words {s}, more") == []
