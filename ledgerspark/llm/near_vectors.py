@@ -8,7 +8,8 @@ are decoded from its best entries in each half, without looking at all pairs.  E
 is listed under all filters whose score reaches the cap of its own: the height that
 ``PASSES`` filters of a code exceed.  (With one height for all, vectors of uneven halves
 pass no filter at all: recall at the threshold was 0.59 to 0.91 in trials, with a height
-per vector 0.998 and more.)  ``CODES`` independent codes are used.
+per vector 0.998 and more.)  Independent codes
+are used, ``CODES`` and more.
 
 Vectors with equal labels that share a filter are verified by their cosine in double
 precision; a pair that shares several filters is counted in the first one only.
@@ -18,7 +19,8 @@ chunks, and each two chunks are one unit of work, so a list never meets in one t
 leave a unit as one sum per vector and a spanning forest, never as pairs.
 
 The number of directions follows the number of vectors (``directions``), so that lists
-stay short as the table grows.
+stay short as the table grows.  A filter's cap is smaller then, so one code finds fewer
+links; the number of codes rises with it (``codes_for``) and recall stays.
 
 Defined cases: vectors that are null, zero or hold null or non-finite components, rows with
 a null label or a null vec_id: linked with nothing, and kept; vectors of different length
@@ -53,14 +55,19 @@ def directions(vectors: int) -> int:
     return 2 ** min(12, max(5, round(math.log2(max(1, vectors) ** 0.5 / 2))))
 
 
+def codes_for(entries: int) -> int:
+    """Codes that keep recall at the threshold: one code misses some 3 % at 128 entries and 20 % at 4096."""
+    return max(CODES, math.ceil(math.log2(entries) / 2 - 1.5))
+
+
 class ProductCodes:
     """Random product codes for one vector length."""
 
-    def __init__(self, length: int, entries: int, codes: int = CODES, passes: int = PASSES):
+    def __init__(self, length: int, entries: int, codes: int | None = None, passes: int = PASSES):
         rng = np.random.default_rng([SEED, length])
         self.entries, self.passes, self.cut = entries, passes, max(1, length // 2)
         self.codes = []
-        for _ in range(codes):
+        for _ in range(codes or codes_for(entries)):
             turn = np.linalg.qr(rng.normal(size=(length, length)))[0]
             lists = []
             for n in (self.cut, length - self.cut):

@@ -82,3 +82,15 @@ def test_given_vectors_and_empty_table(spark):
     rows = [(r.vec_id, list(r.embedding), r.label) for r in t.collect()]
     assert sorted(map(tuple, near_vectors.near_duplicates(t).collect()), key=str) == brute(rows)
     assert near_vectors.near_duplicates(t.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("entries", [32, 64, 256, 512, 1024, 2048, 4096])
+def test_recall_at_the_threshold_stays_as_the_table_grows(entries):
+    rng = np.random.default_rng(8)
+    x = near_vectors.unit(rng.normal(size=(2000, 64)))
+    y = rng.normal(size=(2000, 64))
+    y = near_vectors.unit(y - (y * x).sum(1, keepdims=True) * x)
+    z = 0.931 * x + np.sqrt(1 - 0.931**2) * y
+    code = near_vectors.ProductCodes(64, entries)
+    share = [np.intersect1d(a, b).size > 0 for a, b in zip(code.decode(x), code.decode(z))]
+    assert np.mean(share) >= 0.998
