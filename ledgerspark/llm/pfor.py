@@ -107,16 +107,19 @@ _held: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """Words to ids with a tokenizer file's content; words met are remembered up to a bound."""
+    """Words to ids with a tokenizer file's content; words met are remembered up to a bound.
 
-    def __init__(self, content: str, remembered: int = REMEMBERED):
-        self.content, self.remembered = content, remembered
+    ``as_text``: a special token's literal in a text is plain text, and not that token.
+    """
+
+    def __init__(self, content: str, remembered: int = REMEMBERED, as_text: bool = True):
+        self.content, self.remembered, self.as_text = content, remembered, as_text
 
     def __getstate__(self):
-        return self.content, self.remembered
+        return self.content, self.remembered, self.as_text
 
     def __setstate__(self, state):
-        self.content, self.remembered = state
+        self.content, self.remembered, self.as_text = state
 
     def ready(self) -> Encoder:
         """This encoder with its memory: one in a worker, however many jobs it serves."""
@@ -131,7 +134,7 @@ class Encoder:
             from tokenizers import Tokenizer
 
             self.tokenizer = Tokenizer.from_str(self.content)
-            self.tokenizer.encode_special_tokens = True
+            self.tokenizer.encode_special_tokens = self.as_text
             self.words = WordPool(lambda words: self._ids([" " + w for w in words]),
                                   {m: i for m, (i,) in zip(",.", self._ids([",", "."]))}, self.remembered)
         return self
@@ -153,10 +156,10 @@ class Encoder:
         return out
 
 
-def write(docs: DataFrame, folder: str, content: str, end_id: int = END_ID) -> None:
+def write(docs: DataFrame, folder: str, content: str, end_id: int = END_ID, as_text: bool = True) -> None:
     """Encode ``doc_id``, ``text`` with a tokenizer file's content and write the segments."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(Encoder(content))
+    shared = spark.sparkContext.broadcast(Encoder(content, as_text=as_text))
 
     def coded(own: Encoder, batch: pa.RecordBatch) -> Iterator[tuple[int | None, np.ndarray]]:
         for at in range(0, batch.num_rows, PIECE_ROWS):
@@ -252,12 +255,12 @@ def checksums(segments: DataFrame) -> DataFrame:
         run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def written_and_read(docs: DataFrame, path: str | None = None, folder: str | None = None) -> DataFrame:
+def written_and_read(docs: DataFrame, path: str | None = None, folder: str | None = None, as_text: bool = True) -> DataFrame:
     import public_tokenizers
 
     with open(path or public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
         content = f.read()
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "tokens")
-    write(docs, folder, content)
+    write(docs, folder, content, as_text=as_text)
     return checksums(read(spark, folder))

@@ -15,7 +15,7 @@ def op2_byte_bpe(spark, d):
 
 
 def op3_token_blocks(spark, d):
-    return pfor.written_and_read(table(spark, d, "documents").select("doc_id", "text"))
+    return pfor.written_and_read(table(spark, d, "documents").select("doc_id", "text"), as_text=False)
 
 
 def op4_secret_scan(spark, d):

@@ -59,3 +59,16 @@ def test_documents_from_files(spark, tmp_path):
 
 def test_empty_table(spark):
     assert pfor.written_and_read(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_registered_query_equals_the_plain_library(spark, tmp_path):
+    from ledgerspark.llm.queries import op3_token_blocks
+
+    texts = ["end <|endoftext|> begin", "a<|endoftext|>b, c", "two  <|endoftext|>  x", "<|endoftext|>, <|endoftext|>", "plain, text", "\n<|endoftext|>\n a"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    tok, want, start = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), [], 0
+    for d, t in enumerate(texts):
+        ids = [*tok.encode(t, add_special_tokens=False).ids, pfor.END_ID]
+        want.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(tuple(r) for r in op3_token_blocks(spark, str(tmp_path)).collect()) == want
