@@ -4,7 +4,8 @@ Each stage takes the documents that the one before kept and returns documents ag
 columns); the last one returns their ids.  Stages are written to the shared scratch folder
 and read back, so a lost executor repeats at most one of them.
 
-1. ``language``: documents without a recognisable language (no letters) go.
+1. ``language``: documents without a letter go, and no others: one whose n-grams no language
+   holds stays (score 0).
 2. ``near_duplicates``: of each group of linked documents the one with the smallest id stays.
 3. ``secrets``: found secrets are replaced in the texts; every document stays.
 4. ``mix_sources``: each document as often as its source's rate says.

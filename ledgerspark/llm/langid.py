@@ -196,7 +196,10 @@ def predicted(docs: DataFrame) -> DataFrame:
 
 
 def with_language(docs: DataFrame) -> DataFrame:
-    """The documents in which a language is recognised, in their own columns."""
+    """The documents with a letter, in their own columns (all go when nothing could be learned).
+
+    A text whose n-grams no language holds has score 0 and stays.
+    """
     filters = learn(docs.where(~fold("doc_id", FOLDS, HELD_OUT)).select("text", "lang"))
     found = identify(docs.select(*[F.col(c).alias(f"_{c}") for c in docs.columns]), filters, "_text")
     return found.where(F.col("lang_pred") != UNKNOWN).select(*[F.col(f"_{c}").alias(c) for c in docs.columns])
