@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerspark.llm import ann, bpe, langid, lm, mixing, near_vectors, ngram_join, pfor, quality, secrets
+from ledgerspark.llm import (
+    ann, bpe, langid, lm, mixing, near_vectors, ngram_join, pfor, quality, rules, search, secrets, trie)
 from ledgerspark.llm.common import table
 
 
@@ -46,7 +47,21 @@ def op10_mix_sources(spark, d):
     return mixing.taken(table(spark, d, "documents").select("doc_id", "source", "text"))
 
 
+def op11_quality_rules(spark, d):
+    return rules.judged(table(spark, d, "documents"))
+
+
+def op12_prefix_trie(spark, d):
+    return trie.nodes(table(spark, d, "conversations"))
+
+
+def op13_ranked_search(spark, d):
+    return search.searched(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_multi_index_search, op2_byte_bpe, op3_token_blocks, op4_secret_scan, op5_ngram_join,
-    op6_cap_filters, op7_line_quality, op8_language, op9_skip_maxent, op10_mix_sources)}
-ORACLES = {"op10_mix_sources": mixing.ORACLE_SQL}
+    op6_cap_filters, op7_line_quality, op8_language, op9_skip_maxent, op10_mix_sources,
+    op11_quality_rules, op12_prefix_trie, op13_ranked_search)}
+ORACLES = {"op10_mix_sources": mixing.ORACLE_SQL, "op11_quality_rules": rules.ORACLE_SQL,
+           "op12_prefix_trie": trie.ORACLE_SQL, "op13_ranked_search": search.ORACLE_SQL}
