@@ -82,7 +82,8 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     value = _spell.take(spelled)
     with np.errstate(over="ignore"):
         if (ends - at).max() > _PLACES:
-            value *= (2 * (place // _PLACES) + 1).astype(np.uint64)
+            part = (place // _PLACES).astype(np.uint64)
+            value *= np.where(part > 0, mixed(part * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1), np.uint64(1))
         return mixed(np.add.reduceat(value, at) + (ends - at).astype(np.uint64)), words
 
 

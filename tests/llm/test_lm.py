@@ -120,3 +120,11 @@ def test_the_model_grows_with_the_corpus(spark):
         assert words.leaves >= counts.count() / lm.LEAF_WORDS and len(words.h) + rare.count() == words.different
         assert words.others.sum() == pytest.approx(sum(r.c + 1 for r in rare.collect()) + len(words.others))
     counts.unpersist()
+
+
+def test_long_words_are_counted_apart(spark):
+    a, b = "a" * 64, "b" * 64
+    texts = [a + b + b + a, b + a + a + b, (a + b + b + a) * 4, (b + a + a + b) * 4, "x" * 1999 + "y", "x" * 2000]
+    rows = [(d, f"{texts[d % 6]} word {texts[d * 7 % 6]}") for d in range(40)]
+    got = lm.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert short(got) == brute(rows)

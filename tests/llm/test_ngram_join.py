@@ -103,3 +103,26 @@ def test_components(spark, pairs):
     for x, t in components.forest(p for p in pairs if p[0] != p[1]).items():
         want.setdefault(t, set()).add(x)
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+LONG = ["a" * 64, "b" * 64, "c" * 63, "é" * 40]
+
+
+@pytest.mark.parametrize("words", [
+    [(0, 1, 1, 0), (1, 0, 0, 1)],  # the stretches' places add up alike
+    [(0, 1, 0), (0, 0, 1)], [(0,) * 20 + (1,), (1,) + (0,) * 20], [(3, 2, 3), (2, 3, 3)],
+    [(0, 1) * 15, (1, 0) * 15], [(0, 1, 1, 0) * 7, (1, 0, 0, 1) * 7]])
+def test_long_words_are_told_apart(spark, words):
+    one, two = ("".join(LONG[i] for i in w) for w in words)
+    rows = [(1, one), (2, two), (3, one.upper() if one.isascii() else one), (4, f"x {one} y z w v"), (5, f"x {two} y z w v"), (6, two)]
+    got = ngram_join.components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect())) == brute(rows)
+
+
+def test_hashes_of_words_of_any_length():
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choice("ab") * 32 for _ in range(n)) for n in range(1, 62) for _ in range(20)})
+    words += ["q" * n for n in range(65, 2001)]
+    h, n = ngram_join.word_hashes([w.encode() for w in words])
+    alone = [int(ngram_join.word_hashes([w.encode()])[0][0]) for w in words]
+    assert n.tolist() == [1] * len(words) and len(set(h.tolist())) == len(set(words)) and h.tolist() == alone
