@@ -177,17 +177,17 @@ def cutoffs(counts: DataFrame) -> DataFrame:
     by_lang = keep(merged(sketch, "lang"), "sketches")
     own = quantiles(sketch, "lang", "source")
     lang = quantiles(by_lang, "lang")
-    every = quantiles(merged(by_lang))
+    every = quantiles(merged(by_lang)).first()  # one row
     names = [c for c in own.columns if c not in ("lang", "source")]
     own = own.select("lang", "source", F.struct(*names).alias("own"))
     lang = lang.select(F.col("lang").alias("_lang"), F.struct(*names).alias("of_lang"))
-    every = every.select(F.struct(*names).alias("of_all"))
+    of_all = F.struct(*[F.lit(every[c] if every else None).cast("long").alias(c) for c in names])
     groups = counts.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("rows"))
     t = groups.join(own.withColumnsRenamed({"lang": "_l", "source": "_s"}),
                     F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left")
-    t = t.join(lang, F.col("lang").eqNullSafe(F.col("_lang")), "left").join(F.broadcast(every), how="left")
+    t = t.join(lang, F.col("lang").eqNullSafe(F.col("_lang")), "left")
     used = F.when(F.col("own.n_docs") >= LEAST, F.col("own")).when(
-        F.col("of_lang.n_docs") >= LEAST, F.col("of_lang")).otherwise(F.col("of_all"))
+        F.col("of_lang.n_docs") >= LEAST, F.col("of_lang")).otherwise(of_all)
     t = t.select("lang", "source", "rows", used.alias("q"))
     fences = []
     for m, (_, _, slack, below) in MEASURES.items():
