@@ -6,8 +6,9 @@ rank of every neighbouring pair, the parts are linked, and the lowest rank (left
 ties) is merged until no pair is a vocabulary entry.
 
 The vocabulary is read once on the driver and broadcast (its size is the file's, some
-50,000 entries).  Each worker remembers the ids of at most ``REMEMBERED`` words that it met,
-so its memory is bounded whatever the corpus holds.
+50,000 entries).  Each worker remembers the ids of words that it met, up to ``REMEMBERED`` bytes,
+so its memory is bounded whatever the corpus holds.  ``token_ids``, a stage among others, keeps
+``REMEMBERED_IN_STAGE`` bytes at most, and only until its task ends.
 
 Defined cases: a null text is an empty one and has no ids; a text of any length is
 encoded whole; extra columns are carried along, columns named like the results are
@@ -31,7 +32,8 @@ from pyspark.sql import types as T
 
 from ledgerspark.llm.common import WordPool, in_groups, released
 
-REMEMBERED = 700_000
+REMEMBERED = 128 << 20
+REMEMBERED_IN_STAGE = 24 << 20
 _PRIME = 2**31 - 1
 DECODED_IDS = 500_000  # decoded at a time
 GROUP_CHARACTERS = 2_000_000  # encoded at a time
@@ -232,8 +234,11 @@ def _decoded(codec: Codec, ids: pa.ListArray) -> pa.Array:
 _IDS, _BYTES = T.ArrayType(T.IntegerType()), T.BinaryType()
 
 
-def _with_columns(df: DataFrame, codec: Codec, added) -> DataFrame:
-    """The frame with columns made by the codec, one after the other: (name, type, from, how)."""
+def _with_columns(df: DataFrame, codec: Codec, added, forget: bool = False) -> DataFrame:
+    """The frame with columns made by the codec, one after the other: (name, type, from, how).
+
+    With ``forget`` a task leaves no remembered words in its worker.
+    """
     shared = df.sparkSession.sparkContext.broadcast(codec)
     df = df.drop(*(name for name, *_ in added))
     schema = T.StructType([*df.schema.fields, *(T.StructField(name, kind) for name, kind, _, _ in added)])
@@ -246,6 +251,8 @@ def _with_columns(df: DataFrame, codec: Codec, added) -> DataFrame:
                 for name, _, source, how in added:
                     columns[name] = how(shared.value.ready(), columns[source])
                 yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+        if forget:
+            shared.value.ready().words.clear()
 
     return df.mapInArrow(run, schema)
 
@@ -260,15 +267,16 @@ def decode(df: DataFrame, codec: Codec, ids: str = "ids", out: str = "decoded")
     return _with_columns(df, codec, [(out, _BYTES, ids, _decoded)])
 
 
-def encode_decode(df: DataFrame, codec: Codec, text: str = "text") -> DataFrame:
+def encode_decode(df: DataFrame, codec: Codec, text: str = "text", forget: bool = False) -> DataFrame:
     """The frame with ``ids`` of each whole text, and ``decoded`` made from these ids."""
-    return _with_columns(df, codec, [("ids", _IDS, text, _encoded), ("decoded", _BYTES, "ids", _decoded)])
+    return _with_columns(df, codec, [("ids", _IDS, text, _encoded), ("decoded", _BYTES, "ids", _decoded)], forget)
 
 
-def default_codec(path: str | None = None) -> Codec:
+def default_codec(path: str | None = None, remembered: int = REMEMBERED) -> Codec:
     import public_tokenizers
 
-    return Codec(read_ranks(path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN)
+    return Codec(read_ranks(path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN,
+                 remembered)
 
 
 def digests(docs: DataFrame, codec: Codec | None = None) -> DataFrame:
@@ -284,6 +292,6 @@ def digests(docs: DataFrame, codec: Codec | None = None) -> DataFrame:
 def token_ids(docs: DataFrame, codec: Codec | None = None) -> DataFrame:
     """doc_id, source, n_tokens, ids of every whole text, and whether they decode to it."""
     own = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
-    coded = encode_decode(own, codec or default_codec())
+    coded = encode_decode(own, codec or default_codec(remembered=REMEMBERED_IN_STAGE), forget=True)
     same = F.col("decoded") == F.col("text").cast("binary")
     return coded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))

@@ -62,8 +62,12 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - counts), counts)
 
 
+#: What a remembered word takes beside its characters: text, dictionary entry, number, ids.
+WORD_BYTES = 180
+
+
 class WordPool:
-    """Numbers of words after a space, each made once: at most ``most`` words are remembered.
+    """Numbers of words after a space, each made once: some ``most`` bytes of words are remembered.
 
     ``encode`` gives the numbers of each of a list of words.  A word that ends in one of
     ``marks`` after a letter or digit is its stem's numbers and the mark's one.
@@ -71,11 +75,11 @@ class WordPool:
 
     def __init__(self, encode: Callable, marks: dict[str, int], most: int):
         self.encode, self.marks, self.most = encode, marks, most
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.n = self.end = 0
+        self.n = self.end = self.held = 0
         self.flat, self.starts, self.lengths = np.empty(1 << 16, np.int32), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
 
     def _append(self, flat: np.ndarray, lengths: np.ndarray) -> int:
@@ -117,9 +121,12 @@ class WordPool:
         found = np.fromiter(map(self.known.get, words, itertools.repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(found < 0)
         if len(missing):
-            if len(self.known) + len(missing) > self.most:
-                self._clear()
+            size = sum(len(words[i]) for i in missing) + WORD_BYTES * len(missing)
+            if self.held + size > self.most:
+                self.clear()
                 missing = range(len(words))
+                size = sum(map(len, words)) + WORD_BYTES * len(words)
+            self.held += size
             self._meet([words[i] for i in missing])
             found = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         return found
