@@ -14,6 +14,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -588,6 +589,24 @@ def stage_round_trip(spark, d):
     return tables.read_dataset(spark, conf, "processed")
 
 
+def _under(lines: DataFrame, *first: str) -> DataFrame:
+    """Lines of text with the same beginning in every part that is written."""
+    def run(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(first)], ["value"])
+        yield from batches
+
+    return lines.select("value").mapInArrow(run, "value string")
+
+
+@query
+def csv_heading_line(spark, d):
+    """Files whose third line is the heading, after a note with a line break in quotes and a blank line."""
+    path = scratch_path(spark, "notes")
+    lines = testbed.txn(spark, d).select(F.concat_ws(",", "row_id", F.concat(F.lit('"'), "job", F.lit('"'))).alias("value"))
+    _under(lines, "a note", '"one more,', 'in two lines",x', "", "row_id,job").write.text(path)
+    return tables.read_csv(spark, path, [{"name": "row_id", "dtype": "int"}], header=2, multi_line=True)
+
+
 @query
 def csv_bad_rows(spark, d):
     """A delimited file in which every seventh record has a field too many."""
@@ -595,9 +614,7 @@ def csv_bad_rows(spark, d):
     i = F.col("row_id")
     lines = testbed.txn(spark, d).select(i, F.concat_ws(
         ",", i, "category", F.when(i % 7 == 0, "extra")).alias("value"))
-    heading = small_table(spark, [("row_id,category",)], "value string")
-    # Each part of a file set starts with the heading, so one file holds it all.
-    heading.union(lines.select("value")).coalesce(1).write.text(path)
+    _under(lines.select("value"), "row_id,category").write.text(path)
     good = tables.read_csv(spark, path, [{"name": "row_id", "dtype": "int"}], on_bad="skip")
     bad = tables.rejected_rows(spark, path)
     return good.select("row_id", "category", F.lit(None).cast("string").alias("record")).unionByName(

@@ -17,7 +17,9 @@ from pyspark.sql import types as T
 
 from ledgerspark.config import rules_of
 from ledgerspark.operators.validate import WHOLE_NUMBER
-from ledgerspark.sources import paths
+from ledgerspark.sources import lines, paths
+from ledgerspark.sources.scratch import scratch_path
+from ledgerspark.sources.small import small_table
 
 # Spellings that a text table uses for a missing value.
 MISSING_TEXT = [
@@ -53,23 +55,36 @@ def _read(spark: SparkSession, path: str, delimiter: str, header: int, encoding:
           multi_line: bool) -> tuple[DataFrame, list[str], Column]:
     """All columns as text beside the raw record, the names, and what marks a bad record."""
     check_path(spark, path)
-    if header != 0:
-        raise ValueError(f"Only the first line can be the heading, not line {header}")
-
-    def options(reader):
-        return (
-            reader.option("header", True).option("inferSchema", False)
-            .option("sep", delimiter).option("encoding", _charset(encoding))
-            .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+    if not isinstance(header, int) or header < 0:
+        raise ValueError(f"The heading is a line counted from 0, not {header!r}")
+    charset = _charset(encoding)
+    wide = charset.startswith(("UTF-16", "UTF-32"))
+    if wide and header:
+        raise ValueError(f"In {encoding} only the first line can be the heading, not line {header}")
+    dialect = {"sep": delimiter, "quote": '"', "escape": '"', "multiLine": str(multi_line).lower()}
+
+    def schema(names: list[str]) -> T.StructType:
+        fields = [T.StructField(f"_f{i}", T.StringType()) for i in range(len(names))]
+        return T.StructType([*fields, T.StructField(_RAW, T.StringType())])
+
+    def reader(encoding: str = charset):
+        return spark.read.options(**dialect, header="true", inferSchema="false", encoding=encoding)
+
+    if not wide and (multi_line or header):
+        rows = lines.records(spark, path, delimiter, encoding, multi_line)
+        names = _heading(spark, rows, header, lambda p: reader("UTF-8").csv(p).columns)
+        parsed = F.from_csv("text", schema(names).simpleString(), {
+            **dialect, "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _RAW})
+        df = rows.where(F.col("number") > header).select(parsed.alias("_r"), "text", "ends")
+        open_ = F.when(~F.col("ends"), F.col("text"))
+        df = df.select("_r.*", open_.alias("_open")).withColumn(_RAW, F.coalesce(_RAW, "_open")).drop("_open")
+    else:
+        names = reader().csv(path).columns
+        df = (
+            reader().option("mode", "PERMISSIVE").option("enforceSchema", True)
+            .option("columnNameOfCorruptRecord", _RAW).option("columnPruning", False)
+            .schema(schema(names)).csv(path)
         )
-
-    names = options(spark.read).csv(path).columns
-    fields = [T.StructField(f"_f{i}", T.StringType()) for i in range(len(names))]
-    df = (
-        options(spark.read).option("mode", "PERMISSIVE").option("enforceSchema", True)
-        .option("columnNameOfCorruptRecord", _RAW).option("columnPruning", False)
-        .schema(T.StructType([*fields, T.StructField(_RAW, T.StringType())])).csv(path)
-    )
     names = [f"Unnamed: {i}" if n == f"_c{i}" else n for i, n in enumerate(names)]
     # A record that is too short has gaps at its end.  One that is too long, or ends inside
     # quotes, does not fit.
@@ -82,15 +97,27 @@ def _read(spark: SparkSession, path: str, delimiter: str, header: int, encoding:
     return df, names, bad
 
 
+def _heading(spark: SparkSession, rows: DataFrame, header: int, columns) -> list[str]:
+    """The names in the heading record of the first file, as the reader of a file would have them."""
+    first = rows.where(F.col("number") == header).orderBy("place").select("text").first()
+    if first is None:
+        raise ValueError(f"There is no line {header} for a heading")
+    path = scratch_path(spark, "heading")
+    small_table(spark, [(first["text"],)], "value string").coalesce(1).write.text(path)
+    return columns(path)
+
+
 def read_text_table(spark: SparkSession, path: str, delimiter: str = ",", header: int = 0,
                     encoding: str = "utf-8", multi_line: bool = False,
                     on_bad: str = "raise") -> DataFrame:
     """A delimited file with a heading line; all columns text, gaps NULL.
 
-    Files are split over tasks.  ``multi_line`` allows line breaks inside quotes,
-    at the price of one task per file.  A record with more fields than the heading, or
-    with a quote that does not end, raises when it is read; with ``on_bad="skip"`` it is
-    left out, and ``rejected_rows`` has it.
+    Files are split over tasks.  ``multi_line`` allows line breaks inside quotes, and
+    ``header`` names a later line as the heading (those before it are dropped, in every
+    file); for either the records are cut by one more pass and stored first (see ``lines``;
+    in UTF-16 and UTF-32 a file with ``multi_line`` is one task).  A record with more fields
+    than the heading, or with a quote that does not end, raises when it is read; with
+    ``on_bad="skip"`` it is left out, and ``rejected_rows`` has it.
     """
     if on_bad not in ("raise", "skip"):
         raise ValueError(f"Unknown way with bad records: {on_bad!r}")
