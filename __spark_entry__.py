@@ -593,7 +593,8 @@ def _under(lines: DataFrame, *first: str) -> DataFrame:
     """Lines of text with the same beginning in every part that is written."""
     def run(batches):
         yield pa.RecordBatch.from_arrays([pa.array(first)], ["value"])
-        yield from batches
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(batch.columns, ["value"])
 
     return lines.select("value").mapInArrow(run, "value string")
 

@@ -472,7 +472,7 @@ def oracle_sql() -> dict[str, str]:
     o["csv_bad_rows"] = _with() + """SELECT CASE WHEN row_id % 7 <> 0 THEN row_id END AS row_id,
   CASE WHEN row_id % 7 <> 0 THEN category END AS category,
   CASE WHEN row_id % 7 = 0 THEN concat(row_id, ',', category, ',extra') END AS record FROM txn"""
-    o["csv_heading_line"] = _with() + "SELECT row_id, coalesce(job, '') AS job FROM txn"
+    o["csv_heading_line"] = _with() + "SELECT row_id, job FROM txn"
     o["csv_line_breaks"] = _with() + \
         """SELECT row_id, concat(' ', category, chr(10), '"', gender, '" ') AS text FROM txn"""
     o["versioned_dataset"] = _with() + """SELECT row_id, job,
