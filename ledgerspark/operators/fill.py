@@ -54,7 +54,9 @@ def _fill(df: DataFrame, cols, order_by, partition_by, ranges, *, forward: bool,
     cols = [c for c in names if c not in order + parts] if cols is None else list(cols)
     if not cols:
         return df
-    ranged = with_range(nan_to_null(df, cols), parts + order, ranges)
+    # Both passes below read these rows; where every column is filled or orders, the second
+    # one reads what the first one shuffled.
+    ranged = with_range(nan_to_null(df, cols), parts + order, ranges).repartition(RANGE, *[F.col(f"`{c}`") for c in parts])
     carried = _carried(ranged, cols, order, parts, forward, backward)
     keys = [RANGE, *parts]
     same = F.col(RANGE).eqNullSafe(F.col("_key0"))

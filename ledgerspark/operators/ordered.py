@@ -9,17 +9,26 @@ hot key cannot swell a range as long as the whole order key is unique.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerspark.sources.scratch import materialize
 from ledgerspark.sources.small import small_table
 
 RANGES_PER_TASK = 4
 ROWS_PER_RANGE = 2_000_000
-SAMPLES_PER_RANGE = 4
+SAMPLES_PER_RANGE = 8
+TASK_SAMPLES = 1_024
+#: Ranges that one row of the directory holds; the first level has a cut per such row.
+FINE = 256
+#: The directory is broadcast up to this size and joined by a shuffle beyond.
+DIRECTORY_BYTES = 32 << 20
 RANGE = "_range"
 
 
@@ -32,46 +41,94 @@ def range_count(df: DataFrame, total: int) -> int:
     return max(1, RANGES_PER_TASK * tasks, -(-total // ROWS_PER_RANGE))
 
 
+def _sampled(keys: DataFrame) -> DataFrame:
+    """Keys at even steps through each task's rows, beside the rows each stands for (``_rows``).
+
+    A task keeps ``TASK_SAMPLES`` to twice as many of them, so one pass gives the sample and the
+    number of rows, whatever the number of rows is.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, step, n = [], 0, 1, 0
+        for batch in batches:
+            part = batch.take(pa.array(np.arange(-n % step, batch.num_rows, step)))
+            n += batch.num_rows
+            held.append(part)
+            size += part.num_rows
+            if size > 2 * TASK_SAMPLES:
+                t = pa.Table.from_batches(held)
+                while t.num_rows > 2 * TASK_SAMPLES:
+                    t, step = t.take(pa.array(np.arange(0, t.num_rows, 2))), 2 * step
+                held, size = t.combine_chunks().to_batches(), t.num_rows
+        for part in held:
+            weight = pa.array(np.full(part.num_rows, step, np.int64))
+            yield pa.RecordBatch.from_arrays([*part.columns, weight], [*part.schema.names, "_rows"])
+
+    return keys.mapInArrow(run, T.StructType([*keys.schema.fields, T.StructField("_rows", T.LongType())]))
+
+
+def _found(cuts: str, key: str, most: int) -> tuple[list[str], str]:
+    """Projections that halve their way to the number of cuts at or below the key, and its name.
+
+    The steps compile into the stage that reads the rows; past the end of the cuts the
+    comparison is NULL and adds nothing.
+    """
+    steps, at = [], "0"
+    for bit in reversed(range(most.bit_length())):
+        steps.append(f"{at} + if(get({cuts}, {at} + {2**bit - 1}) <= {key}, {2**bit}, 0) AS {cuts}{bit}")
+        at = f"{cuts}{bit}"
+    return steps, at
+
+
+def _cuts(sample: DataFrame, parts: int, by: list[str]) -> DataFrame:
+    """cuts: at most ``parts - 1`` keys that cut each group of the sample into even parts, in order."""
+    group = Window.partitionBy(*(by or [F.lit(0)]))
+    before = F.sum("_rows").over(group.orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_rows")
+    part = F.floor(before * parts / F.sum("_rows").over(group)).alias("_part")
+    first = sample.select(*by, "_key", part).groupBy(*by, "_part").agg(F.min("_key").alias("_key"))
+    return first.groupBy(*by).agg(F.array_sort(F.collect_set(F.when(F.col("_part") > 0, F.col("_key")))).alias("cuts"))
+
+
+def _located(rows: DataFrame, top: DataFrame, parts: int) -> DataFrame:
+    """``_bucket`` of each row by its ``_key``; the cuts are one row, read as a subquery."""
+    steps, at = _found("_top", "_key", parts - 1)
+    found = rows.select("*", top.select("cuts").scalar().alias("_top")).select("*", *map(F.expr, steps))
+    return found.select(*[f"`{c}`" for c in rows.columns], F.col(at).cast("int").alias("_bucket"))
+
+
 def with_range(df: DataFrame, keys: list[str], ranges: int | None = None) -> DataFrame:
-    """Append ``_range``: 0, 1, 2... ascending with the key order, NULLs first.
+    """Append ``_range``: ascending with the key order, NULLs first.
 
-    The cut points come from a sample of a few keys per range; a range holds some
-    ``ROWS_PER_RANGE`` rows at most, so their number follows the table.
+    The cut points come from a sample that one pass over the keys takes; a range holds some
+    ``ROWS_PER_RANGE`` rows at most, so their number follows the table.  They are kept as a
+    stored directory of two levels: cuts between buckets, and ``FINE`` ranges in each bucket.
+    A row is located by both in turn.  The driver sees two counts, the plan none of the cuts,
+    and the cuts of a bucket are found in a task of its own.
     """
     if ranges == 1:
         return df.withColumn(RANGE, F.lit(0))
     key = _order_key(keys)
-    named = df.select(key.alias("key"))
-    total = named.count()
-    ranges = ranges or range_count(df, total)
-    wanted = SAMPLES_PER_RANGE * ranges
-    if total > wanted:
-        named = named.sample(fraction=min(1.0, 1.1 * wanted / total), seed=17)
-    # Cut points travel as JSON text: it may round a fraction of a second, which
-    # only moves a cut, never a result.
-    packed = (
-        named.agg(F.array_sort(F.collect_set("key")).alias("ks"))
-        .withColumn("step", F.greatest(F.lit(1), F.floor(F.size("ks") / F.lit(ranges))))
-        .select(F.expr("filter(ks, (k, i) -> i > 0 AND i % step = 0)").alias("cuts"))
-    )
-    kind = packed.schema["cuts"].dataType
-    row = packed.select(
-        F.size("cuts").alias("n"),
-        F.to_json(F.struct("cuts")).alias("text"),
-    ).first()
-    if row["n"] == 0:
+    sample = materialize(_sampled(df.select(key.alias("_key"))), "sample")
+    row = sample.agg(F.sum("_rows").alias("total"), F.count(F.lit(1)).alias("n")).first()
+    if not row["n"]:
         return df.withColumn(RANGE, F.lit(0))
-    cuts = F.from_json(F.lit(row["text"]), f"cuts {kind.simpleString()}")["cuts"]
-    # How many cut points are at or below the key, found by halving.  The steps are
-    # plain projections, so they compile into the stage that reads the rows; past
-    # the end of the cuts the comparison is NULL and adds nothing.
-    steps, at = [], "0"
-    for bit in reversed(range(row["n"].bit_length())):
-        steps.append(f"{at} + if(get(_cuts, {at} + {2**bit - 1}) <= _key, {2**bit}, 0) AS _at{bit}")
-        at = f"_at{bit}"
-    placed = df.select("*", cuts.alias("_cuts"), key.alias("_key")).select(
-        "*", *map(F.expr, steps))
-    return placed.select(*[f"`{c}`" for c in df.columns], F.col(at).alias(RANGE))
+    ranges = ranges or range_count(df, row["total"])
+    buckets = -(-ranges // FINE)
+
+    def thinned(wanted: int) -> DataFrame:
+        return sample if row["n"] <= wanted else sample.sample(fraction=min(1.0, 1.1 * wanted / row["n"]), seed=17)
+
+    placed = df.select("*", key.alias("_key"))
+    if buckets == 1:
+        top = _cuts(thinned(SAMPLES_PER_RANGE * ranges), ranges, [])  # a short list, from the stored sample
+        return _located(placed, top, ranges).drop("_key").withColumnRenamed("_bucket", RANGE)
+    top = materialize(_cuts(thinned(SAMPLES_PER_RANGE * FINE * buckets // 32), buckets, []), "ranges")
+    fine = _cuts(_located(thinned(SAMPLES_PER_RANGE * ranges), top, buckets), FINE, ["_bucket"])
+    fine = materialize(fine.withColumnRenamed("cuts", "_fine"), "ranges")
+    size = fine.agg(F.sum(F.length(F.to_json(F.struct("_fine"))))).first()[0] or 0
+    steps, at = _found("_fine", "_key", FINE - 1)
+    rows = _located(placed, top, buckets).join(
+        F.broadcast(fine) if size <= DIRECTORY_BYTES else fine, "_bucket", "left").select("*", *map(F.expr, steps))
+    return rows.select(*[f"`{c}`" for c in df.columns], (F.col("_bucket") * FINE + F.col(at)).alias(RANGE))
 
 
 def _order_key(keys: list[str]) -> Column:
@@ -83,7 +140,7 @@ def _order_key(keys: list[str]) -> Column:
 def with_rank(df: DataFrame, keys: list[str], out: str, ranges: int | None = None) -> DataFrame:
     """Append the row's place, from 0, in the order of keys that tell the rows apart.
 
-    ``df`` is read three times, so it should be a stored table.
+    ``df`` is read three times (keys, sizes, rows), so it should be a stored table.
     """
     ranged = with_range(df, keys, ranges)
     sizes = ranged.groupBy(RANGE).agg(F.count(F.lit(1)).alias("_size"))  # one row per range

@@ -103,3 +103,43 @@ def test_ties_in_the_order_raise(spark):
 def test_ranges_follow_the_table(spark, total):
     n = ordered.range_count(spark.range(1), total)
     assert total / n <= ordered.ROWS_PER_RANGE
+
+
+@pytest.mark.parametrize("keys", [["id"], ["card", "id"], ["often", "id"]])
+@pytest.mark.parametrize("ranges, size", [(3, None), (300, None), (1500, None), (1500, 0)])
+def test_directory_of_ranges(gaps, monkeypatch, keys, ranges, size):
+    """Ranges ascend with the key and are of like size, on one level or two, broadcast or not."""
+    if size is not None:
+        monkeypatch.setattr(ordered, "DIRECTORY_BYTES", size)
+    ranged = with_range(gaps, keys, ranges)
+    key = F.struct(*keys)
+    edges = ranged.groupBy(RANGE).agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("n"))
+    overlap = F.lag("hi").over(Window.partitionBy(F.lit(0)).orderBy(RANGE)) >= F.col("lo")
+    row = edges.withColumn("bad", F.coalesce(overlap, F.lit(False))).agg(
+        F.count_if("bad").alias("bad"), F.sum("n").alias("n"), F.max("n").alias("most"), F.count(F.lit(1)).alias("k")).first()
+    assert (row.bad, row.n) == (0, 3000) and row.most <= max(40, 4 * 3000 / ranges) and row.k <= ranges + 256
+
+
+def test_plan_does_not_grow_with_the_ranges(gaps):
+    """No cut point is in the plan, and the sample is bounded by the tasks."""
+    def plan(n):
+        return with_range(gaps, ["id"], n)._jdf.queryExecution().optimizedPlan().toString()
+
+    few, many, most = plan(600), plan(2400), plan(9600)  # one more step of halving each
+    assert len(many) - len(few) < 2_000 and len(most) - len(many) < 2_000
+
+
+def test_sample_of_a_task_is_bounded(spark):
+    sample = ordered._sampled(spark.range(0, 200_000, numPartitions=2).select(F.col("id").alias("_key")))
+    rows = sample.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), F.sum("_rows").alias("rows")).collect()
+    assert len(rows) == 2 and all(500 < r.n <= 2 * ordered.TASK_SAMPLES and abs(r.rows - 100_000) < 200 for r in rows)
+
+
+def test_input_is_read_twice(spark, tmp_path, gaps):
+    """The keys for the ranges, and the rows; the edges of the ranges come from what was shuffled."""
+    path = str(tmp_path / "gaps")
+    gaps.write.parquet(path)
+    done = fill.fill_missing(spark.read.parquet(path), order_by="id")
+    done.collect()
+    plan = done._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")
+    assert sum(p.count("ReusedExchange") for p in plan) == 1
