@@ -8,9 +8,7 @@ hot key cannot swell a range as long as the whole order key is unique.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -154,9 +152,9 @@ def with_rank(df: DataFrame, keys: list[str], out: str, ranges: int | None = Non
 # --------------------------------------------------------------------------
 # The row at a given rank inside each class, in the order of a uniform hash.
 
-KEY_DIGITS = 32  # hex digits of a key
-_SLOTS = 256
-_FETCH = 4_000
+#: Hex digits of a key that make its place, a number below 2**52.
+PLACE_DIGITS = 13
+_TOP = 16**PLACE_DIGITS
 
 
 def hash_key(seed: int, ids: list[str]) -> Column:
@@ -171,125 +169,70 @@ def hash_key(seed: int, ids: list[str]) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), *parts))
 
 
-@dataclass
-class _Band:
-    """Where the key of one wanted rank must lie: between two prefixes."""
-
-    slot: int  # position in the list of wanted ranks
-    label: object
-    rank: int  # counted from 1; within the band once it is ``anchored``
-    lo: str
-    hi: str
-    anchored: bool = False
-    whole: bool = False  # the band is the whole range of keys
-
-    @classmethod
-    def around(cls, slot: int, label, rank: int, n: int) -> _Band:
-        """A uniform hash puts rank r of n near r/n of the key range."""
-        share = rank / n
-        slack = 8 * math.sqrt(share * (1 - share) / n) + 16 / n
-        low, high = max(0.0, share - slack), min(1.0, share + slack)
-        digits = 2
-        while digits < 12 and (high - low) * 16 ** (digits + 1) <= _SLOTS:
-            digits += 1
-        top = 16**digits
-        return cls(slot, label, rank, f"{int(low * top):0{digits}x}",
-                   f"{min(top - 1, int(high * top)):0{digits}x}")
-
-    def widen(self) -> None:
-        self.lo, self.hi, self.whole = "00", "ff", True
-
-    def enter(self, prefix: str, before: int) -> None:
-        """Go on among the keys of one prefix, ``before`` of the band precede it."""
-        more = min(2, KEY_DIGITS - len(prefix))
-        self.rank -= before
-        self.lo, self.hi = prefix + "0" * more, prefix + "f" * more
-        self.anchored = True
+def cell(key: Column, share: float | Column) -> Column:
+    """Which of some 1,600 intervals a key's place is in; they get finer towards a share of the range.
+
+    Of n uniform keys the one at rank ``share * n`` lies about ``n**-0.5`` from there, where an
+    interval has some ``n**0.5 / 16`` keys.  So the counts of one pass, which merge by adding,
+    bracket this key closely whatever n is.  Cells ascend with the keys.
+    """
+    place = F.conv(F.substring(key, 1, PLACE_DIGITS), 16, 10).cast("long")
+    middle = F.floor(share * F.lit(float(_TOP))) if isinstance(share, Column) else F.lit(int(share * _TOP))
+    off = place - middle.cast("long")
+    size = F.when(off < 0, -1 - off).otherwise(off)
+    drop = F.greatest(F.lit(0), F.length(F.bin(size)) - 5)
+    step = (16 * drop + F.call_function("shiftright", size, drop)).cast("int")
+    return F.when(off < 0, -1 - step).otherwise(step)
+
+
+def cells_of_ranks(counts: DataFrame, ranks: DataFrame, by: list[str], cells: list[str]) -> DataFrame:
+    """The cell in which each wanted rank lies, and the rank within it (``rest``).
+
+    ``counts``: by, cells, n; ``ranks``: by, slot, rank (from 1).
+    """
+    along = Window.partitionBy(*by).orderBy(*cells).rowsBetween(Window.unboundedPreceding, 0)
+    upto = counts.withColumn("_upto", F.sum("n").over(along))
+    return upto.join(ranks, by).where(
+        (F.col("rank") <= F.col("_upto")) & (F.col("rank") > F.col("_upto") - F.col("n"))).select(
+        *dict.fromkeys([*by, "slot", *cells]), (F.col("rank") - F.col("_upto") + F.col("n")).alias("rest"))
+
+
+def keys_in_cells(rows: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    """slot, label and the key at the rank ``rest`` among the rows (label, key) of a wanted cell.
+
+    ``tied`` tells that the next row has the same key.
+    """
+    order = Window.partitionBy("label", "slot").orderBy("key")
+    hits = rows.join(wanted, on).withColumns({"_place": F.row_number().over(order), "_next": F.lead("key").over(order)})
+    tied = F.coalesce(F.col("_next") == F.col("key"), F.lit(False))
+    return hits.where(F.col("_place") == F.col("rest")).select("slot", "label", "key", tied.alias("tied"))
+
+
+def refuse_ties(tied: bool | None) -> None:
+    if tied:
+        raise ValueError("The id columns do not tell the rows apart")
 
 
 def keys_at_ranks(df: DataFrame, label: str, key: Column,
                   wanted: list[tuple[object, int, int]]) -> list[str]:
     """The hash key of the ``rank``-th row of a class, for each wanted rank.
 
-    ``wanted`` holds (label value, rank counted from 1, rows of that class).
-    One pass counts the rows below a narrow band around the expected place and
-    histograms the band by key prefix; a second pass fetches the few keys of one
-    prefix.  Both read label and id only and shuffle only counters.  A band that
-    misses is widened to the whole range, so the result is exact for any input.
+    ``wanted`` holds (label value, rank counted from 1, rows of that class).  One pass counts
+    cells around the expected places, a second one fetches the keys of one cell per rank.  Both
+    read label and id only and shuffle only counters and those keys.
     """
-    todo = [_Band.around(i, value, rank, n) for i, (value, rank, n) in enumerate(wanted)]
     rows = df.select(F.col(f"`{label}`").alias("label"), key.alias("key"))
-    found: dict[int, str] = {}
-    while todo:
-        counts = _histogram(rows, todo)
-        few = []
-        for band in todo:
-            mine = counts.get(band.slot, {})
-            below = 0 if band.anchored else mine.get("", 0)
-            inside = sorted((p, c) for p, c in mine.items() if p)
-            if not below < band.rank <= below + sum(c for _, c in inside):
-                if band.anchored:
-                    raise ValueError("The input changed between two passes")
-                if band.whole:
-                    raise ValueError(f"Class {band.label!r} has fewer rows than were counted")
-                band.widen()
-                continue
-            seen = below
-            for prefix, c in inside:
-                if seen + c >= band.rank:
-                    break
-                seen += c
-            if c <= _FETCH:
-                few.append((band, prefix, band.rank - seen))
-            elif len(prefix) == KEY_DIGITS:
-                raise ValueError("The id columns do not tell the rows apart")
-            band.enter(prefix, seen)
-        if few:
-            found.update(_fetch(rows, few))
-            todo = [band for band in todo if band.slot not in found]
-    return [found[i] for i in range(len(wanted))]
-
-
-def _small(rows: DataFrame, table: list[tuple], names: str) -> DataFrame:
-    """A table with one row per wanted rank, so it is safe to broadcast.
-
-    Labels keep their type, so they are compared as values.
-    """
-    kinds = {"label": rows.schema["label"].dataType, "slot": T.IntegerType(), "digits": T.IntegerType()}
-    schema = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names.split()])
-    return F.broadcast(small_table(rows.sparkSession, table, schema))
-
-
-def _histogram(rows: DataFrame, bands: list[_Band]) -> dict[int, dict[str, int]]:
-    """Rows per band and prefix; those below the band under an empty prefix."""
-    table = _small(
-        rows, [(b.slot, b.label, b.lo, b.hi, len(b.lo)) for b in bands],
-        "slot label lo hi digits")
-    prefix = F.substring(F.col("key"), F.lit(1), F.col("digits"))
-    place = F.when(F.col("prefix") >= F.col("lo"), F.col("prefix")).otherwise(F.lit(""))
-    counted = (
-        rows.join(table, "label").withColumn("prefix", prefix)
-        .where(F.col("prefix") <= F.col("hi"))
-        .groupBy("slot", place.alias("place")).count()
-    )
-    out: dict[int, dict[str, int]] = {}
-    for r in counted.collect():
-        out.setdefault(r["slot"], {})[r["place"]] = r["count"]
-    return out
-
-
-def _fetch(rows: DataFrame, few: list[tuple[_Band, str, int]]) -> dict[int, str]:
-    table = _small(rows, [(b.slot, b.label, prefix) for b, prefix, _ in few], "slot label prefix")
-    hits = (
-        rows.join(table, "label")
-        .where(F.col("key").startswith(F.col("prefix")))
-        .groupBy("slot").agg(F.array_sort(F.collect_list("key")).alias("keys"))
-    )
-    rank = {b.slot: r for b, _, r in few}
-    out = {}
-    for r in hits.collect():
-        keys, at = r["keys"], rank[r["slot"]]
-        if at < len(keys) and keys[at - 1] == keys[at]:
-            raise ValueError("The id columns do not tell the rows apart")
-        out[r["slot"]] = keys[at - 1]
-    return out
+    schema = T.StructType([T.StructField("slot", T.IntegerType()), T.StructField("label", rows.schema["label"].dataType),
+                           T.StructField("rank", T.LongType()), T.StructField("n_rows", T.LongType())])
+    table = F.broadcast(small_table(df.sparkSession, [(i, *w) for i, w in enumerate(wanted)], schema))  # a row per rank
+    found = rows.join(table, "label").select(
+        "slot", "label", "key", cell(F.col("key"), F.col("rank") / F.col("n_rows")).alias("cell"))
+    counts = found.groupBy("slot", "cell").agg(F.count(F.lit(1)).alias("n"))
+    cells = materialize(cells_of_ranks(counts, table.select("slot", "rank"), ["slot"], ["cell"]), "cells")
+    picked = keys_in_cells(found, F.broadcast(cells), ["slot", "cell"]).collect()  # a row per rank
+    refuse_ties(any(r["tied"] for r in picked))
+    keys = {r["slot"]: r["key"] for r in picked}
+    for i, (value, _, _) in enumerate(wanted):
+        if i not in keys:
+            raise ValueError(f"Class {value!r} has fewer rows than were counted")
+    return [keys[i] for i in range(len(wanted))]

@@ -2,20 +2,21 @@
 
 Class quotas are exact.  Which rows of a class go where is decided by a seeded
 hash of the row's id, so the choice does not depend on partitioning.  Rather
-than ranking all rows of a class, the hash key at the quota's rank is found (two
-passes over label and id); the split itself is then a comparison on the row,
-with no shuffle.
+than ranking all rows of a class, the hash key at the quota's rank is found: one
+pass counts the classes by cells that get finer towards the wanted shares, one
+fetches the keys of a cell per quota.  The split itself is then a comparison on the
+row, with no shuffle.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerspark.operators.ordered import hash_key, keys_at_ranks, with_rank
+from ledgerspark.operators.ordered import cell, cells_of_ranks, hash_key, keys_in_cells, refuse_ties, with_rank
 from ledgerspark.sources.scratch import materialize
 from ledgerspark.sources.small import small_table
 
@@ -26,8 +27,11 @@ SPLIT = "split"
 
 def class_table(df: DataFrame, label: str) -> DataFrame:
     """Stored rows per class (label, n); missing labels are refused."""
-    counts = materialize(df.groupBy(F.col(f"`{label}`").alias("label")).agg(
-        F.count(F.lit(1)).alias("n")), "classes")
+    return _checked(materialize(df.groupBy(F.col(f"`{label}`").alias("label")).agg(
+        F.count(F.lit(1)).alias("n")), "classes"), label)
+
+
+def _checked(counts: DataFrame, label: str) -> DataFrame:
     gap = F.col("label").isNull()
     if isinstance(counts.schema["label"].dataType, (T.FloatType, T.DoubleType)):
         gap = gap | F.isnan("label")
@@ -102,16 +106,53 @@ def assign_split(df: DataFrame, label: str, id_col, *, test_size: float = 0.2,
 
     ``id_col`` is one column or a list that tells the rows apart.  Any number of classes;
     ``local_classes`` only says from how many on quotas are planned in tables.
+
+    One pass over label and id counts each class by cells around the wanted shares, a
+    second one fetches the keys of one cell per quota; both give counters or keys per class,
+    and the driver sees at most a row per class.
     """
+    _check_sizes(test_size, valid_size)
     ids = [id_col] if isinstance(id_col, str) else list(id_col)
-    classes, key = class_table(df, label), hash_key(seed, ids)
-    if classes.count() > local_classes:
-        return _assign_many(df, label, classes, key, test_size, valid_size, local_classes)
-    counts = _local(classes)
-    cuts = _cuts(df, label, key, counts, plan_split(counts, test_size, valid_size))
-    table = small_table(df.sparkSession, cuts, _cut_schema(df, label))
-    marked = df.withColumns({"_label": F.col(f"`{label}`"), "_key": key}).join(
-        F.broadcast(table), "_label", "left")  # one row per class
+    shares = [test_size, test_size + valid_size] if valid_size else [test_size]
+    cells = [f"c{i}" for i in range(len(shares))]
+    key = hash_key(seed, ids)
+    keyed = df.select(F.col(f"`{label}`").alias("label"), key.alias("key"))
+    keyed = keyed.select("label", "key", *[cell(F.col("key"), s).alias(c) for s, c in zip(shares, cells)])
+    counts = materialize(keyed.groupBy("label", *cells).agg(F.count(F.lit(1)).alias("n")), "cells")
+    classes = _checked(materialize(counts.groupBy("label").agg(F.sum("n").alias("n")), "classes"), label)
+    n = classes.count()
+    if n <= local_classes:
+        plan = plan_split(_local(classes), test_size, valid_size)
+        schema = T.StructType([df.schema[label], *(T.StructField(c, T.LongType()) for c in ("test", "held"))])
+        quota = small_table(df.sparkSession, [(k, t, t + v) for k, (t, v) in plan.items()], schema)
+        quota = quota.withColumnRenamed(label, "label")
+    else:
+        quota = _plan_table(classes, test_size, valid_size).select("label", "test", "held")
+    ranks = quota.select("label", F.explode(F.array(
+        *[F.struct(F.lit(i).alias("slot"), F.col(c).alias("rank")) for i, c in enumerate(("test", "held")[:len(shares)])]
+    )).alias("r")).select("label", "r.slot", "r.rank")
+    wanted = materialize(cells_of_ranks(counts, ranks, ["label"], cells), "cells")
+    few = n <= local_classes
+    keys = keys_in_cells(keyed, F.broadcast(wanted) if few else wanted, ["label", *cells])
+    at = [F.max(F.when(F.col("slot") == i, F.col("key"))) for i in range(len(shares))]
+    cuts = materialize(classes.join(keys, "label", "left").groupBy("label").agg(
+        F.max("n").alias("_n"), F.bool_or("tied").alias("_tied"), F.coalesce(at[0], F.lit("")).alias("_test"),
+        F.coalesce(at[-1], F.lit("")).alias("_valid")).withColumnRenamed("label", "_label"), "cuts")
+    refuse_ties(cuts.agg(F.bool_or("_tied")).first()[0])
+    return _cut(df, label, key, cuts.drop("_tied"), few, local_classes)
+
+
+def _cut(df: DataFrame, label: str, key: Column, cuts: DataFrame, few: bool, big_classes: int) -> DataFrame:
+    """The rows with their split, by the last keys of their class; classes that are many are joined
+    by a shuffle, but for those with more than 1 / ``big_classes`` of the rows."""
+    keyed = df.withColumns({"_label": F.col(f"`{label}`"), "_key": key})
+    if few:
+        marked = keyed.join(F.broadcast(cuts), "_label", "left")  # one row per class
+    else:
+        large = F.col("_n") * F.lit(big_classes) > F.lit(cuts.agg(F.sum("_n")).first()[0])
+        many = F.broadcast(cuts.where(large))  # fewer than ``big_classes`` rows
+        rest = keyed.join(many.select("_label"), "_label", "left_anti")
+        marked = keyed.join(many, "_label").unionByName(rest.join(cuts.where(~large), "_label", "left"))
     # A label without a cut cannot occur unless the input changed meanwhile.
     known = F.when(F.col("_test").isNull(), F.raise_error(F.lit("A class was not counted")))
     return marked.withColumn(
@@ -123,21 +164,6 @@ def assign_split(df: DataFrame, label: str, id_col, *, test_size: float = 0.2,
     ).select(*[f"`{c}`" for c in df.columns if c != SPLIT], SPLIT)
 
 
-def _cut_schema(df: DataFrame, label: str) -> T.StructType:
-    return T.StructType([T.StructField("_label", df.schema[label].dataType),
-                         T.StructField("_test", T.StringType()), T.StructField("_valid", T.StringType())])
-
-
-def _cuts(df: DataFrame, label: str, key, counts: dict, plan: dict) -> list[tuple]:
-    """Per class the last key of the test part and the last key held out."""
-    wanted = list(dict.fromkeys(
-        (k, rank, counts[k]) for k, (test, valid) in plan.items()
-        for rank in (test, test + valid) if rank))
-    keys = dict(zip(wanted, keys_at_ranks(df, label, key, wanted)))
-    return [(k, keys.get((k, test, counts[k]), ""), keys.get((k, test + valid, counts[k]), ""))
-            for k, (test, valid) in plan.items()]
-
-
 def _quota_table(classes: DataFrame, size: int, total: int, out: str) -> DataFrame:
     """``quotas`` for a table of classes (label, n): one more column, stored."""
     big = "decimal(38,0)"
@@ -151,45 +177,19 @@ def _quota_table(classes: DataFrame, size: int, total: int, out: str) -> DataFra
         out, F.col("_floor") + F.when(F.col("_place") < left, 1).otherwise(0)).select(*classes.columns, out), "quotas")
 
 
-def _assign_many(df: DataFrame, label: str, classes: DataFrame, key, test_size: float,
-                 valid_size: float, big_classes: int) -> DataFrame:
-    """``assign_split`` for any number of classes: quotas and places in tables.
-
-    Classes with more than 1 / ``big_classes`` of the rows, fewer than that many, are cut by
-    keys as usual; the rows of a smaller class fit one task and are numbered there.
-    """
-    _check_sizes(test_size, valid_size)
-    row = classes.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).first()
+def _plan_table(classes: DataFrame, test_size: float, valid_size: float) -> DataFrame:
+    """Quotas for any number of classes, as a stored table: label, n, held, test."""
     share = test_size + valid_size
+    row = classes.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).first()
     size = _held_size(row["n"], row["k"], row["least"], share)
     held = _quota_table(classes, size, row["n"], "held")
-    if valid_size:
-        inner = held.select("label", F.col("held").alias("n"))
-        row = inner.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).first()
-        size = _held_size(row["n"], row["k"], row["least"], test_size / share)
-        tested = _quota_table(inner, size, row["n"], "test").select("label", "test")
-        plan = materialize(held.join(tested, "label"), "plan")
-    else:
-        plan = held.withColumn("test", F.col("held"))
-    total = plan.agg(F.sum("n")).first()[0]
-    is_big = F.col("n") * F.lit(big_classes) > F.lit(total)
-    large = {r["label"]: r for r in plan.where(is_big).collect()}
-    cuts = _cuts(df, label, key, {k: r["n"] for k, r in large.items()},
-                 {k: (r["test"], r["held"] - r["test"]) for k, r in large.items()})
-    names = [c for c in df.columns if c != SPLIT]
-    keyed = df.withColumns({"_label": F.col(f"`{label}`"), "_key": key})
-    table = F.broadcast(small_table(df.sparkSession, cuts, _cut_schema(df, label)))
-    few = keyed.join(table, "_label").withColumn(
-        SPLIT, F.when(F.col("_key") <= F.col("_test"), "test")
-        .when(F.col("_key") <= F.col("_valid"), "valid").otherwise("train"))
-    place = F.row_number().over(Window.partitionBy("_label").orderBy("_key"))
-    small = keyed.join(table.select("_label"), "_label", "left_anti").withColumn("_place", place).join(
-        plan.where(~is_big).select(F.col("label").alias("_label"), "test", "held"), "_label")
-    small = small.withColumn(
-        SPLIT, F.when(F.col("_place") <= F.col("test"), "test")
-        .when(F.col("_place") <= F.col("held"), "valid").otherwise("train"))
-    shown = [F.col(f"`{c}`") for c in names]
-    return few.select(*shown, SPLIT).unionByName(small.select(*shown, SPLIT))
+    if not valid_size:
+        return held.withColumn("test", F.col("held"))
+    inner = held.select("label", F.col("held").alias("n"))
+    row = inner.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).first()
+    size = _held_size(row["n"], row["k"], row["least"], test_size / share)
+    tested = _quota_table(inner, size, row["n"], "test").select("label", "test")
+    return materialize(held.join(tested, "label"), "plan")
 
 
 def split_tables(df: DataFrame, label: str, id_col, *, test_size: float = 0.2,

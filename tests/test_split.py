@@ -100,3 +100,48 @@ def test_a_class_that_is_not_there_raises(spark):
 def test_ids_are_told_apart(spark):
     df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), (None, ""), ("", None)], "p string, q string")
     assert df.select(ordered.hash_key(1, ["p", "q"])).distinct().count() == 4
+
+
+@pytest.mark.parametrize("n", [3_000, 300_000])
+def test_cells_bracket_a_rank_closely(spark, n):
+    """Cells ascend with the keys, and the one at the wanted share holds few rows however many there are."""
+    rows = spark.range(n).select(ordered.hash_key(4, ["id"]).alias("key"))
+    rows = rows.withColumn("c", ordered.cell(F.col("key"), 0.3))
+    cells = rows.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi")).orderBy("c").collect()
+    assert len(cells) < 1_600 and all(a.hi < b.lo for a, b in zip(cells, cells[1:]))
+    before = 0
+    for c in cells:
+        if before < 0.3 * n <= before + c.n:
+            assert c.n <= 4 + n**0.5
+        before += c.n
+    assert before == n
+
+
+def test_two_passes_before_the_rows_are_cut(spark, tmp_path, skewed):
+    """One over label and id for the counters, one for the keys; cells and keys are small tables."""
+    path = str(tmp_path / "t")
+    skewed.withColumn("wide", F.lit("x" * 50)).write.parquet(path)
+    from ledgerspark.sources import scratch
+    written = []
+    real = scratch.materialize
+
+    def watched(df, label="table"):
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        out = real(df, label)
+        written.append((label, path in df._jdf.queryExecution().executedPlan().toString() or path in text, out.count()))
+        return out
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(split, "materialize", watched)
+        marked = split.assign_split(spark.read.parquet(path), "y", "id")
+    assert [w[:2] for w in written] == [("cells", True), ("classes", False), ("cells", False), ("cuts", True)]
+    assert [w[2] for w in written][1:] == [2, 4, 2] and written[0][2] < 2 * 3_200
+    assert marked.count() == 5000
+
+
+def test_a_large_share_of_rows_in_small_classes(spark):
+    """Classes beyond the planned number are cut by keys as well, wherever their rows are."""
+    df = spark.range(6_000).selectExpr("id", "if(id % 2 = 0, -1, id % 1500) AS y")
+    got = split.assign_split(df, "y", "id", test_size=0.5, valid_size=0.0, local_classes=3)
+    n = {(r.y, r["split"]): r["count"] for r in got.groupBy("y", "split").count().collect()}
+    assert n[(-1, "test")] == 1500 and all(n[(y, "test")] == 2 for y in range(1, 1500, 2))
