@@ -39,7 +39,7 @@ from ledgerspark.plans import stages
 from ledgerspark.plans import train as training
 from ledgerspark.schema import RECORD_SCHEMA
 from ledgerspark.sources import artifacts, datasets, exports, records, tables
-from ledgerspark.sources.scratch import scratch_path
+from ledgerspark.sources.scratch import materialize, scratch_path
 from ledgerspark.sources.small import small_table
 from ledgerspark.streaming import scoring as streaming
 
@@ -633,6 +633,25 @@ def csv_line_breaks(spark, d):
     return tables.read_dataset(spark, conf)
 
 
+@query
+def fingerprint_changes(spark, d):
+    """A table whose partitions change: one goes, one is replaced.  Only the parts of these are
+    subtracted and added; the result is the fingerprint of the new table."""
+    code = F.concat(F.lit("00"), F.col("cc_num") % 9)
+    t = testbed.txn(spark, d).select("row_id", "job", code.alias("code"))
+    old = materialize(profile.fingerprint_parts(t, ["code"]), "parts")
+    gone = old.where(F.col("code").isin("003", "004"))
+    new = profile.fingerprint_parts(t.where("code = '004'").withColumn("job", F.concat("job", F.lit("!"))), ["code"])
+    parts = profile.merged_parts(old.unionByName(new), gone)
+    return profile.fingerprint_of_parts(parts, len(t.columns))
+
+
+@query
+def scoring_columns(spark, d):
+    """The columns that scoring needs: which are there, and how many values they miss."""
+    return project.column_report(testbed.txn(spark, d), ["category", "job", "nickname", "amt", "street"])
+
+
 @query
 def versioned_dataset(spark, d):
     """Two versions; the latest is partitioned by a text that looks like a number, or is missing."""

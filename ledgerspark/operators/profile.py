@@ -39,14 +39,18 @@ def _as_text(df: DataFrame, name: str) -> Column:
     return c.cast("string")
 
 
-def row_digest(df: DataFrame, cols: list[str] | None = None) -> Column:
-    """SHA-256 of a row, with lengths and gaps marked so that no two rows mix."""
+def _digest_text(df: DataFrame, cols: list[str] | None = None) -> Column:
+    """SHA-256 of a row as hex text, with lengths and gaps marked so that no two rows mix."""
     parts = []
     for name in cols or df.columns:
         text = _as_text(df, name)
         parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text),
                                 F.lit("-")))
-    return F.unhex(F.sha2(F.concat(*parts), 256))
+    return F.sha2(F.concat(*parts), 256)
+
+
+def row_digest(df: DataFrame, cols: list[str] | None = None) -> Column:
+    return F.unhex(_digest_text(df, cols))
 
 
 def duplicates(df: DataFrame) -> DataFrame:
@@ -63,27 +67,50 @@ def duplicates(df: DataFrame) -> DataFrame:
     )
 
 
+_WORDS, _DIGITS, _HALF = 4, 11, 22  # words of a digest, their hex digits, bits of half a word
+_SUMS = [f"s{i}" for i in range(2 * _WORDS)]
+
+
+def fingerprint_parts(df: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """by, n_rows, s0 to s7: what a fingerprint is made of, per group of rows.
+
+    Each row gives its SHA-256, with lengths and gaps marked.  Four 44-bit words of it are
+    added up in halves of 22 bits, so a sum of whole numbers holds 2 ** 41 rows.  Parts of
+    separate rows add up, and what a removed group gave can be subtracted.
+    """
+    by = by or []
+    rows = df.select(*[f"`{c}`" for c in by], _digest_text(df).alias("_digest"))
+    words = [F.conv(F.substring("_digest", 1 + _DIGITS * i, _DIGITS), 16, 10).cast("long").alias(f"_w{i}")
+             for i in range(_WORDS)]
+    rows = rows.select(*[f"`{c}`" for c in by], *words)
+    low = (1 << _HALF) - 1
+    halves = [h for i in range(_WORDS) for h in (
+        F.col(f"_w{i}").bitwiseAND(F.lit(low)), F.shiftright(f"_w{i}", _HALF))]
+    return rows.groupBy(*[f"`{c}`" for c in by]).agg(
+        F.count(F.lit(1)).alias("n_rows"), *[F.coalesce(F.sum(h), F.lit(0)).alias(s) for h, s in zip(halves, _SUMS)])
+
+
+def merged_parts(added: DataFrame, removed: DataFrame | None = None) -> DataFrame:
+    """The parts of all rows together: those added, less those removed."""
+    names = ["n_rows", *_SUMS]
+    every = added.select(*names)
+    if removed is not None:
+        every = every.unionByName(removed.select(*[(-F.col(c)).alias(c) for c in names]))
+    return every.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
+
+
+def fingerprint_of_parts(parts: DataFrame, columns: int) -> DataFrame:
+    """n_rows and the hash of parts that were merged."""
+    text = [F.col(c).cast("string") for c in ("n_rows", *_SUMS)]
+    return parts.select("n_rows", F.sha2(F.concat_ws("|", F.lit(str(columns)), *text), 256).alias("fingerprint"))
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """One row: n_rows and a hash that is equal for equal data in any row order.
 
-    Each row gives its SHA-256, with lengths and gaps marked.  The digest is read as
-    five whole numbers; the count of rows and each number's sum and exclusive-or are
-    hashed.
+    The count of rows and the sums of ``fingerprint_parts`` are hashed.
     """
-    digits = F.lower(F.hex(row_digest(df)))
-    words = df.select(*[
-        F.conv(F.substring(digits, 1 + 13 * i, 13), 16, 10).cast("long").alias(f"w{i}")
-        for i in range(5)])
-    totals = [F.count(F.lit(1)).alias("n_rows")]
-    for i in range(5):
-        # Decimal, since a sum of 52-bit numbers passes a bigint from 2,048 rows on.
-        totals += [F.coalesce(F.sum(F.col(f"w{i}").cast("decimal(38,0)")), F.lit(0)).alias(f"s{i}"),
-                   F.coalesce(F.bit_xor(f"w{i}"), F.lit(0)).alias(f"x{i}")]
-    parts = [f"{k}{i}" for i in range(5) for k in "sx"]
-    return words.agg(*totals).select(
-        "n_rows",
-        F.sha2(F.concat_ws("|", F.lit(str(len(df.columns))), F.col("n_rows").cast("string"),
-                           *[F.col(c).cast("string") for c in parts]), 256).alias("fingerprint"))
+    return fingerprint_of_parts(fingerprint_parts(df), len(df.columns))
 
 
 # ----------------------------------------------------------------- describe

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerspark.functions.missing import present
+
 
 def drop_target(df: DataFrame, target: str) -> DataFrame:
     """Features without the label; a table without one is left as it is."""
@@ -23,6 +25,17 @@ def require_columns(df: DataFrame, names: list[str]) -> None:
         raise ValueError(f"Columns that are required but absent: {missing}")
 
 
+def column_report(df: DataFrame, names: list[str]) -> DataFrame:
+    """One row per required column, in their order: position, column, present, n_missing.
+
+    All columns are counted in one pass; an absent one has no count.
+    """
+    counts = [F.count_if(present(df, c).isNull()) if c in df.columns else F.lit(None) for c in names]
+    rows = [F.struct(F.lit(i).cast("long").alias("position"), F.lit(c).alias("column"), F.lit(c in df.columns).alias("present"),
+                     n.cast("long").alias("n_missing")) for i, (c, n) in enumerate(zip(names, counts))]
+    return df.agg(F.array(*rows).alias("rows")).select(F.explode("rows").alias("r")).select("r.*")
+
+
 def select_raw_features(df: DataFrame, conf: dict, strict: bool = True) -> DataFrame:
     """The configured raw columns without the target.
 

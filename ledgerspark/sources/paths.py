@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -27,3 +28,23 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 def require(spark: SparkSession, path: str, label: str) -> None:
     if not exists(spark, path):
         raise FileNotFoundError(f"There is no {label} at {path}")
+
+
+def publish(spark: SparkSession, folder: str, target: str) -> bool:
+    """Give a finished folder its final name in one step; false if the name is taken.
+
+    Renaming a folder is atomic on HDFS-like file systems; on stores without it the files
+    are copied one by one.
+    """
+    jvm = spark.sparkContext._jvm
+    hadoop = jvm.org.apache.hadoop
+    old, new = hadoop.fs.Path(folder), hadoop.fs.Path(target)
+    context = hadoop.fs.FileContext.getFileContext(new.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    how = spark.sparkContext._gateway.new_array(getattr(jvm, "org.apache.hadoop.fs.Options$Rename"), 0)
+    try:
+        context.rename(old, new, how)
+    except Py4JJavaError as e:
+        if exists(spark, target) and exists(spark, folder):
+            return False
+        raise e
+    return True

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerspark.config import RECORD_FIELDS, default_conf, rules_of
 from ledgerspark.operators.validate import DataValidationError
@@ -228,6 +229,32 @@ def test_versions_keep_types(spark, tmp_path):
     assert back.schema == t.schema and sorted(back.collect(), key=str) == sorted(t.collect(), key=str)
 
 
+def test_two_writers_of_one_version(spark, tmp_path, monkeypatch):
+    """Both chose version 1; each table comes back whole, with its own types."""
+    root = str(tmp_path / "d")
+    one, two = spark.createDataFrame([("007", 1)], "code string, n int"), spark.range(5).selectExpr("id", "id * 0.5D AS x")
+    real = datasets._taken
+    seen = real(spark, f"{root}/x")
+    monkeypatch.setattr(datasets, "_taken", lambda spark, folder: seen)
+    first, second = (datasets.write_dataset(t, root, "x") for t in (one, two))
+    monkeypatch.setattr(datasets, "_taken", real)
+    assert (first, second) == (f"{root}/x/v=1", f"{root}/x/v=2") and datasets.versions(spark, root, "x") == [1, 2]
+    for t, v in ((one, 1), (two, 2)):
+        back = datasets.read_version(spark, root, "x", v)
+        assert back.dtypes == t.dtypes and sorted(back.collect()) == sorted(t.collect())
+        assert datasets.manifest(spark, root, "x", v)["rows"] == t.count()
+
+
+def test_a_writer_that_fails_leaves_no_version(spark, tmp_path):
+    root = str(tmp_path / "d")
+    broken = spark.range(5).select(F.raise_error(F.lit("stop")).cast("long").alias("n"))
+    with pytest.raises(Exception, match="stop"):
+        datasets.write_dataset(broken, root, "x")
+    assert datasets.versions(spark, root, "x") == []
+    datasets.write_dataset(spark.range(2), root, "x")
+    assert datasets.read_version(spark, root, "x").count() == 2
+
+
 def test_profile_parses_text_once(spark, job_conf):
     data = stages.load_and_profile(spark, job_conf)["data"]
     plan = data._jdf.queryExecution().optimizedPlan().toString()
