@@ -309,7 +309,7 @@ def oracle_sql() -> dict[str, str]:
         _fingerprint("c", ["row_id", "job", "code"]))
     o["scoring_columns"] = _with() + _union([
         f"""SELECT CAST({i} AS BIGINT) AS position, '{n}' AS "column", {str(there).lower()} AS present,
-  CAST({f'count(*) FILTER (WHERE "{n}" IS NULL)' if there else 'NULL'} AS BIGINT) AS n_missing FROM txn"""
+  CAST({f'count(*) FILTER (WHERE "{n}" IS NULL)' if there else 'CASE WHEN count(*) < 0 THEN 0 END'} AS BIGINT) AS n_missing FROM txn"""
         for i, (n, there) in enumerate([("category", True), ("job", True), ("nickname", False), ("amt", True), ("street", False)])])
     mark = "CASE WHEN row_id % 5 = 0 THEN '<null>' ELSE job END"
     cuts = [("concat_ws('|', category, gender)", mark), ("category", f"concat_ws('|', gender, {mark})")]
