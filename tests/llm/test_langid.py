@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import pytest
 
@@ -55,3 +57,32 @@ def test_many_languages(names):
     codes = langid.trigrams(["hello world"])[0]
     f = langid.Filters({f"l{i:02d}": codes for i in range(names)})
     assert f.predict(["hello"])[0] == ["l00"]
+
+
+def test_equals_exact_sets_of_grams(spark, sf_dir):
+    """Against plain sets of the frequent trigrams: the same languages, and like scores."""
+    from collections import Counter
+
+    def grams(text):
+        low = "".join(c if c.isalpha() else " " for c in f" {(text or '').lower()} ")
+        return [low[i - 1:i + 2] for i in range(1, len(low) - 1) if low[i] != " "]
+
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    docs += [(-1, None, "de"), (-2, "12 34", "en"), (-3, "the and of", None)]
+    held = {d: zlib.crc32(str(d).encode()) % 4 == 2 for d, _, _ in docs}
+    counts = {}
+    for d, text, lang in docs:
+        if lang is not None and not held[d]:
+            counts.setdefault(lang, Counter()).update(grams(text))
+    sets = {g: {x for x, n in c.items() if n >= langid.SHARE * sum(c.values())} for g, c in counts.items()}
+    got = langid.predicted(spark.createDataFrame(docs, "doc_id long, text string, lang string")).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        own = grams(next(t for d, t, _ in docs if d == r.doc_id))
+        hits = {g: sum(x in s for x in own) for g, s in sets.items()}
+        best = max(sorted(hits), key=hits.get)
+        assert r.held_out == held[r.doc_id]
+        if not own:
+            assert (r.lang_pred, r.score) == ("und", 0)
+        else:
+            assert r.lang_pred == best and abs(r.score - hits[best] / sum(hits.values())) < 0.02

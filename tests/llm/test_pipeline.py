@@ -71,3 +71,27 @@ def test_run_and_registration(spark, sf_dir):
     for name, sql in queries.ORACLES.items():
         assert sorted(con.execute(sql).fetchall()) == sorted(map(tuple, registered[name](spark, sf_dir).collect()))
     assert langid.UNKNOWN == "und"
+
+
+def test_repeated_rows_and_clashing_columns(spark):
+    """Rows that repeat are one document; columns named like results are carried along until the ids."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    odd = docs.union(docs).withColumn("score", F.lit("mine")).withColumn("name", F.lit(1)).withColumn("ids", F.lit(2.5))
+    now = odd
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, "").cache()
+        assert now.columns == odd.columns
+        assert {tuple(r) for r in now.select("score", "name", "ids").distinct().collect()} == {("mine", 1, 2.5)}
+    plain = docs
+    for _, stage in corpus_pipeline.STAGES[:2]:
+        plain = stage(spark, plain, "")
+    twice = corpus_pipeline.STAGES[1][1](spark, corpus_pipeline.STAGES[0][1](spark, odd, ""), "")
+    assert sorted(r[0] for r in twice.select("doc_id").collect()) == sorted(r[0] for r in plain.select("doc_id").collect())
+    assert corpus_pipeline.STAGES[-1][1](spark, now, "").where("not round_trip").count() == 0
+
+
+def test_empty_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, "")
+        assert docs.count() == 0
