@@ -10,6 +10,11 @@ and read back, so a lost executor repeats at most one of them.
 3. ``secrets``: found secrets are replaced in the texts; every document stays.
 4. ``mix_sources``: each document as often as its source's rate says.
 5. ``byte_bpe``: the ids of every text, checked by decoding them.
+
+Defined cases: null and empty texts have no letter and go in the first stage; texts of any
+length are read whole; rows that repeat are copies, of which one stays; of linked documents the
+smallest doc_id stays, and of rows that share it the smallest text; extra columns are carried
+along whatever their names, up to the last stage; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -22,14 +27,17 @@ from ledgerspark.llm.common import keep, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with a letter; learned from the documents themselves."""
     return langid.with_language(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of exact and near copies; rows without an id or words all stay."""
     return ngram_join.representatives(docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, found secrets replaced; ``n_chars`` follows where there is one."""
     clean = secrets.redact(docs)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -37,6 +45,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's rate and its draw say; a null source is a source."""
     return mixing.mixture(docs)
 
 
