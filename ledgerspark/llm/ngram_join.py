@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.common import blobs, join_small, keep, mixed, ranges, released, whole_groups
-from ledgerspark.llm.components import connected, forest
+from ledgerspark.llm.components import forest, joined
 from ledgerspark.operators.ordered import with_rank
 
 WORDS = 5
@@ -410,7 +410,7 @@ def links(docs: DataFrame, classes: DataFrame, total: int, rounds: int = ROUNDS,
     alone = lists.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     lists = keep(lists.join(alone, "key"), "lists")
 
-    compared = found = roots = None
+    compared = roots = None
     for turn in range(rounds + 1):
         here, ends = _still_open(lists, roots)
         other = F.when(F.col("root") == F.col("lo.root"), F.col("hi")).otherwise(F.col("lo"))
@@ -429,13 +429,10 @@ def links(docs: DataFrame, classes: DataFrame, total: int, rounds: int = ROUNDS,
         if not pairs.isEmpty():
             compared = pairs if compared is None else compared.union(pairs)
             good = keep(_verified(pairs, sets), "verified")
-            found = good if found is None else found.union(good)
-            roots = connected(found)
+            roots = joined(roots, good)
     here, ends = _still_open(lists, roots)
     rest = _in_chunks(here.join(ends.select("key", F.col("lo.name").alias("near")), "key"), sets)
-    if rest is not None:
-        found = rest if found is None else found.union(rest)
-    return None if found is None else connected(found)
+    return roots if rest is None else joined(roots, rest)
 
 
 def _still_open(lists: DataFrame, roots: DataFrame | None) -> tuple[DataFrame, DataFrame]:

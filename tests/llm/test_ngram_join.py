@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerspark.llm import components, ngram_join
 
@@ -94,10 +95,16 @@ def test_boundary_is_between_cheap_and_dear_subsets():
 
 
 @pytest.mark.parametrize("pairs", [[], [(1, 1)], [(i, i + 1) for i in range(200)], [(0, i) for i in range(1, 100)] + [(500, 501)]])
-def test_components(spark, pairs):
+@pytest.mark.parametrize("how", ["one task", "rounds", "carried"])
+def test_components(spark, pairs, how):
     t = spark.createDataFrame(pairs, "a long, b long").repartition(7)
     got = {}
-    for r in components.connected(t).collect():
+    if how == "carried":
+        half = F.col("a") % 2 == 0
+        roots = components.joined(components.joined(None, t.where(half)), t.where(~half))
+    else:
+        roots = components.connected(t, 200_000 if how == "one task" else 5)
+    for r in roots.collect():
         got.setdefault(r.root, set()).add(r.id)
     want = {}
     for x, t in components.forest(p for p in pairs if p[0] != p[1]).items():
