@@ -862,9 +862,8 @@ def score_stream(spark, d):
     running = streaming.start_scoring(
         spark, source, f"{out}/scored", f"{out}/checkpoint", conf, model,
         rejected=f"{out}/rejected")
-    for q in running:
-        q.awaitTermination()
-    streamed = spark.read.parquet(f"{out}/scored").drop("source_file")
+    running.awaitTermination()
+    streamed = spark.read.parquet(f"{out}/scored").drop("source_file", "batch")
     batch = scoring.score(records.read_records(spark, source), conf, model)
     side = F.lit(1).cast("long")
     both = (
@@ -928,22 +927,20 @@ def lineitem_describe(spark, d):
 
 @query
 def lineitem_quartiles_narrowed(spark, d):
-    """Quartiles of a column with too many values to hold or count (here above 1000)."""
+    """Quartiles of a column with too many values to sort in a task (here above 1000)."""
     t = lineitem(spark, d).select(F.col("l_extendedprice").alias("c0"))
     n = t.count()
-    q = profile.percentiles(t, profile.QUARTILES, {"c0": n}, {}, buffered_rows=1000,
-                            counted_values=1000, sampled_rows=5000)["c0"]
+    q = profile.percentiles(t, profile.QUARTILES, {"c0": n}, fetched=1000)["c0"]
     return small_table(spark, [(n, *q)], "n long, p25 double, p50 double, p75 double").select(
         "n", r("p25"), r("p50"), r("p75"))
 
 
 @query
 def lineitem_quartiles_counted(spark, d):
-    """Quartiles of columns with few distinct values, counted by value."""
+    """Quartiles of columns with few distinct values, found by counting."""
     t = lineitem(spark, d).select(F.col("l_quantity").alias("c0"), F.col("l_tax").alias("c1"))
     n = t.count()
-    q = profile.percentiles(t, profile.QUARTILES, {"c0": n, "c1": n}, {"c0": 50, "c1": 9},
-                            buffered_rows=1000)
+    q = profile.percentiles(t, profile.QUARTILES, {"c0": n, "c1": n}, fetched=1000)
     return small_table(spark, [("l_quantity", *q["c0"]), ("l_tax", *q["c1"])],
                        "column string, p25 double, p50 double, p75 double").select(
         "column", r("p25"), r("p50"), r("p75"))

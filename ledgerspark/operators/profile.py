@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import bisect
 import itertools
 import math
 
@@ -12,12 +11,14 @@ from pyspark.sql import types as T
 
 from ledgerspark.functions.missing import nan_to_null, present
 from ledgerspark.schema import is_float
+from ledgerspark.sources.scratch import materialize
 from ledgerspark.sources.small import small_table
 
-BUFFERED_ROWS = 1_000_000  # rows whose values one task may hold
-COUNTED_VALUES = 20_000  # distinct values the driver may hold, per column
-FETCHED_VALUES = 20_000  # values of one bracket that a task may sort
-SAMPLED_ROWS = 1_000_000  # rows that bracket a rank
+SKETCH = 4_096  # entries of a rank sketch
+# A sketch of k entries is off by 2.296 / k ** 0.9723 of the rows, 99 times of 100.
+RANK_ERROR, RANK_POWER = 2.296, 0.9723
+SKETCH_GROUPS = 64  # groups of tasks whose sketches are merged apart
+FETCHED_VALUES = 100_000  # values of one column or bracket that a task may sort
 QUARTILES = (0.25, 0.5, 0.75)
 
 
@@ -192,177 +193,170 @@ def describe_text(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def _number_rows(df: DataFrame, cols: list[str], exact: bool) -> list[tuple]:
+    """Moments and a rank sketch of all columns from one pass, merged in ``SKETCH_GROUPS`` groups."""
     if not cols:
         return []
     df = df.select(*[_number(df, c).alias(f"c{i}") for i, c in enumerate(cols)])
-    aggs = []
-    for i in range(len(cols)):
-        v = F.col(f"c{i}")
-        aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"avg{i}"),
-                 F.stddev_samp(v).alias(f"sd{i}"), F.min(v).alias(f"lo{i}"),
-                 F.max(v).alias(f"hi{i}")]
-        if exact:
-            aggs.append(F.approx_count_distinct(v).alias(f"d{i}"))
-        else:
-            aggs.append(F.percentile_approx(v, list(QUARTILES), 1_000).alias(f"q{i}"))
-    row = df.agg(*aggs).first()
+    names, aggs = df.columns, []
+    for c in names:
+        aggs += [F.count(c).alias(f"n_{c}"), F.sum(c).alias(f"sum_{c}"), F.var_pop(c).alias(f"var_{c}"),
+                 F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"),
+                 F.kll_sketch_agg_double(c, F.lit(SKETCH)).alias(c)]
+    parts = materialize(df.groupBy(_task_group()).agg(*aggs), "stats")
+    groups = parts.drop("_group", *names).collect()  # at most SKETCH_GROUPS rows
+    stats = {c: _merged_moments(groups, c) for c in names}
+    sketches = _merged_sketches(parts, names)
     if exact:
-        counts = {f"c{i}": row[f"n{i}"] for i in range(len(cols))}
-        distinct = {f"c{i}": row[f"d{i}"] for i in range(len(cols))}
-        got = percentiles(df, QUARTILES, counts, distinct)
-        quartiles = [got[f"c{i}"] for i in range(len(cols))]
+        got = percentiles(df, QUARTILES, {c: s[0] for c, s in stats.items()}, sketches=sketches)
     else:
-        quartiles = [row[f"q{i}"] or [None] * 3 for i in range(len(cols))]
-    return [
-        (c, row[f"n{i}"], None, None, None, row[f"avg{i}"], row[f"sd{i}"], row[f"lo{i}"],
-         *quartiles[i], row[f"hi{i}"])
-        for i, c in enumerate(cols)
-    ]
+        got = {c: [None] * len(QUARTILES) for c in names}
+        filled = [c for c in names if stats[c][0]]
+        if filled:
+            row = sketches.select(*[_at_shares(c, QUARTILES).alias(c) for c in filled]).first()
+            got.update({c: list(row[c]) for c in filled})
+    out = []
+    for name, c in zip(cols, names):
+        n, mean, sd, low, high = stats[c]
+        out.append((name, n, None, None, None, mean, sd, low, *got[c], high))
+    return out
+
+
+def _task_group() -> Column:
+    return (F.spark_partition_id() % SKETCH_GROUPS).alias("_group")
+
+
+def _merged_moments(groups: list, c: str) -> tuple:
+    """n, mean, sample deviation, min and max of a column from those of its groups."""
+    held = [g for g in groups if g[f"n_{c}"]]
+    n = sum(g[f"n_{c}"] for g in held)
+    if not n:
+        return 0, None, None, None, None
+    mean = sum(g[f"sum_{c}"] for g in held) / n
+    squares = sum(g[f"n_{c}"] * (g[f"var_{c}"] + (g[f"sum_{c}"] / g[f"n_{c}"] - mean) ** 2) for g in held)
+    sd = math.sqrt(squares / (n - 1)) if n > 1 else None
+    return n, mean, sd, min(g[f"lo_{c}"] for g in held), max(g[f"hi_{c}"] for g in held)
+
+
+def _merged_sketches(parts: DataFrame, cols: list[str]) -> DataFrame:
+    return parts.agg(*[F.kll_merge_agg_double(c).alias(c) for c in cols])
+
+
+def _at_shares(sketch: str, shares) -> Column:
+    """The values that a sketch has at shares of its rows."""
+    return F.kll_sketch_get_quantile_double(F.col(sketch), F.array(*[F.lit(float(s)) for s in shares]))
 
 
-def percentiles(df: DataFrame, probs, counts: dict[str, int], distinct: dict[str, int],
-                buffered_rows: int = BUFFERED_ROWS, counted_values: int = COUNTED_VALUES,
-                sampled_rows: int = SAMPLED_ROWS) -> dict[str, list]:
-    """Exact percentiles (linear interpolation) of double columns.
+def percentiles(df: DataFrame, probs, counts: dict[str, int], *, sketches: DataFrame | None = None,
+                fetched: int = FETCHED_VALUES, entries: int = SKETCH) -> dict[str, list]:
+    """Exact percentiles (linear interpolation) of double columns; ``counts``: their values.
 
-    Spark's own ``percentile`` sends every task's distinct values to one task, so
-    it serves small tables only.  A column with few distinct values is counted by
-    value.  Any other is narrowed down: a sample brackets the wanted rank, exact
-    counts tell which side of the bracket it is on, and the search goes on there.
-    Those passes shuffle counters only, and few values are fetched at the end.
+    One way for all columns and sizes.  A mergeable rank sketch brackets each wanted rank by
+    twice its error (99 of 100 times it keeps to it once), one pass counts what lies below, on
+    and between the ends, and one pass stores what lies between: with 4,096 entries some 0.3 %
+    of the rows a rank.  Of up to ``fetched`` values the wanted one is taken in a task of its
+    own; of more, the same is done again with the stored values.  The counts are exact, so a
+    bracket that misses its rank costs one more turn and no error.  Frequent values end on an
+    end of the bracket and are never stored.
     """
+    ranks = {c: sorted({f(p * (n - 1)) for p in probs for f in (math.floor, math.ceil)}) for c, n in counts.items() if n}
+    at = _at_ranks(df, {c: (counts[c], {(c, k): k for k in ks}) for c, ks in ranks.items()}, sketches, fetched, entries)
     out: dict[str, list] = {c: [None] * len(probs) for c, n in counts.items() if n == 0}
-    held = [c for c, n in counts.items() if 0 < n <= buffered_rows]
-    if held:
-        row = df.agg(*[F.percentile(c, list(probs)).alias(c) for c in held]).first()
-        out.update({c: list(row[c]) for c in held})
-    left = [c for c in counts if c not in out]
-    if not left:
-        return out
-    ranks = sorted({(c, f(p * (counts[c] - 1))) for c in left for p in probs
-                    for f in (math.floor, math.ceil)})
-    by_value = [c for c in left if distinct.get(c, counts[c]) <= counted_values]
-    at = _ranks_by_value(df, [t for t in ranks if t[0] in by_value])
-    at.update(_ranks_by_narrowing(
-        df, [t for t in ranks if t[0] not in by_value], counts, buffered_rows, sampled_rows))
-    for c in left:
+    for c in ranks:
         places = [p * (counts[c] - 1) for p in probs]
         ends = [(at[c, math.floor(x)], at[c, math.ceil(x)]) for x in places]
         out[c] = [lo + (hi - lo) * (x - math.floor(x)) for x, (lo, hi) in zip(places, ends)]
     return out
 
 
-def _ranks_by_value(df: DataFrame, wanted: list[tuple[str, int]]) -> dict:
-    """The value at each (column, rank from 0) of columns with few distinct values."""
-    cols = sorted({c for c, _ in wanted})
-    if not cols:
+def _at_ranks(df: DataFrame, wanted: dict[str, tuple[int, dict]], sketches: DataFrame | None,
+              fetched: int, entries: int) -> dict:
+    """The value at each rank (from 0) of a column.
+
+    ``wanted``: per column how many values it has, and ranks by the name they are asked for.
+    """
+    found: dict = {}
+    while wanted:
+        few = {c: w for c, w in wanted.items() if w[0] <= fetched}
+        found.update(_fetched(df, few))
+        many = {c: w for c, w in wanted.items() if c not in few}
+        if not many:
+            break
+        if sketches is None:
+            sketch = [F.kll_sketch_agg_double(c, F.lit(entries)).alias(c) for c in many]
+            sketches = _merged_sketches(df.groupBy(_task_group()).agg(*sketch), list(many))
+        hit, open_ = _bracketed(df, many, sketches, entries)
+        found.update(hit)
+        inside = F.array_compact(F.array(*[
+            F.when(_between(*span), F.struct(F.lit(j).alias("slot"), F.col(span[0]).alias("v")))
+            for j, span in enumerate(open_)]))
+        if not open_:
+            break
+        stored = materialize(df.select(F.explode(inside).alias("p")).select("p.*"), "bracket")
+        df = stored.select(*[F.when(F.col("slot") == j, F.col("v")).alias(f"c{j}") for j in range(len(open_))])
+        wanted = {f"c{j}": w for j, w in enumerate(open_.values())}
+        sketches = None
+    return found
+
+
+def _between(c: str, low: float | None, high: float | None) -> Column:
+    test = F.col(c).isNotNull()
+    if low is not None:
+        test = test & (F.col(c) > F.lit(low))
+    return test if high is None else test & (F.col(c) < F.lit(high))
+
+
+def _fetched(df: DataFrame, wanted: dict[str, tuple[int, dict]]) -> dict:
+    """Values at ranks of columns with few values, each column sorted in a task of its own."""
+    if not wanted:
         return {}
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v"))
-                                for c in cols]))
+    values = F.array_compact(F.array(*[
+        F.when(F.col(c).isNotNull(), F.struct(
+            F.lit(i).alias("i"), F.array(*[F.lit(k) for k in ranks.values()]).alias("ranks"), F.col(c).alias("v")))
+        for i, (c, (_, ranks)) in enumerate(wanted.items())]))
     rows = (
-        df.select(pairs.alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull())
-        .groupBy("c", "v").count().collect()
+        df.select(F.explode(values).alias("p")).select("p.*").groupBy("i", "ranks")
+        .agg(F.array_sort(F.collect_list("v")).alias("vs"))
+        .select("i", F.transform("ranks", lambda k: F.get("vs", k)).alias("at")).collect()
     )
-    out = {}
-    for c in cols:
-        mine = sorted((r["v"], r["count"]) for r in rows if r["c"] == c)
-        ends = list(itertools.accumulate(n for _, n in mine))
-        for name, rank in wanted:
-            if name == c:
-                out[c, rank] = mine[bisect.bisect_right(ends, rank)][0]
-    return out
+    columns = list(wanted.values())
+    return {tag: v for r in rows for tag, v in zip(columns[r["i"]][1], r["at"])}
 
 
-class _Bracket:
-    """Where the value of one rank (from 0) must lie: strictly between the ends."""
-
-    def __init__(self, col: str, rank: int, size: int):
-        self.col, self.rank, self.size = col, rank, size
-        self.low = self.high = None
-        self.unseen = False  # the last sample held nothing of it
-
-    def inside(self) -> Column:
-        c = F.col(self.col)
-        test = c.isNotNull()
-        if self.low is not None:
-            test = test & (c > F.lit(self.low))
-        if self.high is not None:
-            test = test & (c < F.lit(self.high))
-        return test
-
-
-def _ranks_by_narrowing(df: DataFrame, wanted, counts, fetched: int, sampled: int) -> dict:
-    """The value at each (column, rank from 0); see ``percentiles``."""
-    found: dict[tuple[str, int], float] = {}
-    todo = {(c, r): _Bracket(c, r, counts[c]) for c, r in wanted}
-    while todo:
-        small = {k: b for k, b in todo.items() if b.size <= min(fetched, FETCHED_VALUES)}
-        large = {k: b for k, b in todo.items() if k not in small}
-        if small:
-            # The values of one rank are sorted in one task, those of another elsewhere.
-            inside = F.array_compact(F.array(*[
-                F.when(b.inside(), F.struct(F.lit(i).alias("i"), F.lit(b.rank).alias("rank"),
-                                            F.col(b.col).alias("v")))
-                for i, b in enumerate(small.values())]))
-            rows = (
-                df.select(F.explode(inside).alias("p")).select("p.*").groupBy("i", "rank")
-                .agg(F.array_sort(F.collect_list("v")).alias("vs"))
-                .select("i", F.col("vs")[F.col("rank")].alias("v")).collect()
-            )
-            keys = list(small)
-            found.update({keys[r["i"]]: r["v"] for r in rows})
-        if large:
-            most = max(b.size for b in large.values())
-            near = {k: b for k, b in large.items() if b.size * 100 >= most}
-            found.update(_narrow(df, near, sampled))
-        todo = {k: b for k, b in large.items() if k not in found}
-    return found
-
+def _bracketed(df: DataFrame, wanted: dict[str, tuple[int, dict]], sketches: DataFrame,
+               entries: int) -> tuple[dict, dict]:
+    """Ranks that fell on an end of their bracket, and the open intervals that hold the others.
 
-def _narrow(df: DataFrame, brackets: dict, sampled: int) -> dict:
-    """Tighten every bracket; returns the ranks that fell on an end."""
-    share = min(1.0, sampled / min(b.size for b in brackets.values()))
-    if any(b.unseen for b in brackets.values()):
-        share = 1.0
-    looked_at = df.sample(fraction=share, seed=29) if share < 1 else df
-    aims = []
-    for b in brackets.values():
-        p, m = (b.rank + 0.5) / b.size, b.size * share
-        slack = max(6 * math.sqrt(p * (1 - p) / m) + 3 / m, 2e-4)
-        aims.append([max(0.0, p - slack), min(1.0, p + slack)])
-    guess = looked_at.agg(*[
-        F.percentile_approx(F.when(b.inside(), F.col(b.col)), aim, 10_000).alias(f"g{i}")
-        for i, (b, aim) in enumerate(zip(brackets.values(), aims))]).first()
-    seen = {}
-    for i, (key, b) in enumerate(brackets.items()):
-        b.unseen = guess[f"g{i}"] is None
-        if not b.unseen:
-            seen[key] = (b, *guess[f"g{i}"])
+    An interval is (column, low, high) with the number of its values and the ranks within it.
+    """
+    slack = 2 * RANK_ERROR / entries**RANK_POWER
+    spans = []  # column, its number of values, ranks that lie side by side
+    for c, (n, ranks) in wanted.items():
+        last = None
+        for tag, k in sorted(ranks.items(), key=lambda t: t[1]):
+            if last is None or k > last + 1:
+                spans.append((c, n, {}))
+            spans[-1][2][tag] = last = k
+    guess = sketches.select(*[
+        _at_shares(c, (max(0.0, min(ks.values()) / n - slack), min(1.0, (max(ks.values()) + 1) / n + slack))).alias(f"g{i}")
+        for i, (c, n, ks) in enumerate(spans)]).first()
     aggs = []
-    for i, (b, lo, hi) in enumerate(seen.values()):
-        c, within = F.col(b.col), b.inside()
-        aggs += [
-            F.count_if(within & (c < lo)).alias(f"below{i}"),
-            F.count_if(within & (c == lo)).alias(f"lo{i}"),
-            F.count_if(within & (c > lo) & (c < hi)).alias(f"mid{i}"),
-            F.count_if(within & (c == hi) & F.lit(hi > lo)).alias(f"hi{i}"),
-        ]
-    row = df.agg(*aggs).first() if aggs else None
-    found = {}
-    for i, (key, (b, lo, hi)) in enumerate(seen.items()):
-        steps = list(itertools.accumulate(row[f"{k}{i}"] for k in ("below", "lo", "mid", "hi")))
-        if b.rank < steps[0]:
-            b.high, b.size = lo, steps[0]
-        elif b.rank < steps[1]:
-            found[key] = lo
-        elif b.rank < steps[2]:
-            b.low, b.high, b.size = lo, hi, steps[2] - steps[1]
-            b.rank -= steps[1]
-        elif b.rank < steps[3]:
-            found[key] = hi
-        else:
-            b.low, b.size, b.rank = hi, b.size - steps[3], b.rank - steps[3]
-    return found
+    for i, (name, _, _) in enumerate(spans):
+        c, (lo, hi) = F.col(name), guess[f"g{i}"]
+        aggs += [F.count_if(c < lo).alias(f"below{i}"), F.count_if(c == lo).alias(f"lo{i}"),
+                 F.count_if((c > lo) & (c < hi)).alias(f"mid{i}"), F.count_if((c == hi) & F.lit(hi > lo)).alias(f"hi{i}")]
+    row = df.agg(*aggs).first()
+    hit, open_ = {}, {}
+    for i, (c, n, ks) in enumerate(spans):
+        lo, hi = guess[f"g{i}"]
+        below, on, mid, top = itertools.accumulate(row[f"{k}{i}"] for k in ("below", "lo", "mid", "hi"))
+        for tag, k in ks.items():
+            if below <= k < on or mid <= k < top:
+                hit[tag] = lo if k < on else hi
+                continue
+            span, start, end = (((c, None, lo), 0, below) if k < below else
+                                ((c, lo, hi), on, mid) if k < mid else ((c, hi, None), top, n))
+            open_.setdefault(span, (end - start, {}))[1][tag] = k - start
+    return hit, open_
 
 
 def _text_rows(df: DataFrame, cols: list[str]) -> list[tuple]:

@@ -1,7 +1,8 @@
 """Scoring records as they arrive, with the same code as a table.
 
 The stream keeps no state: each record is parsed, scored and written on its own,
-so there is no watermark, and a restart goes on from the checkpoint.
+so there is no watermark, and a restart goes on from the checkpoint.  A batch is read and
+parsed once for both of its outputs.
 """
 
 from __future__ import annotations
@@ -30,26 +31,38 @@ def scored_records(lines: DataFrame, conf: dict[str, Any], model: ScoringModel)
     return score(good_records(parse_records(lines)), conf, model)
 
 
+def write_batch(lines: DataFrame, number: int, output: str, conf: dict[str, Any], model: ScoringModel,
+                rejected: str | None = None) -> None:
+    """Parse a batch once and write what is good, scored, and what is not.
+
+    Each goes to the folder ``batch=<number>`` of its table and takes the place of what an
+    earlier try of this batch left there, so a replay changes nothing.
+    """
+    parsed = parse_records(lines).persist()
+    try:
+        _put(score(good_records(parsed), conf, model), output, number)
+        if rejected:
+            _put(rejected_records(parsed), rejected, number)
+    finally:
+        parsed.unpersist()
+
+
+def _put(df: DataFrame, table: str, number: int) -> None:
+    df.write.mode("overwrite").parquet(f"{table}/batch={number}")
+
+
 def start_scoring(spark: SparkSession, folder: str, output: str, checkpoint: str,
                   conf: dict[str, Any], model: ScoringModel, *, rejected: str | None = None,
-                  once: bool = True) -> list[StreamingQuery]:
+                  once: bool = True) -> StreamingQuery:
     """Score what is in the folder (``once``) or keep scoring what arrives.
 
-    ``rejected`` names a table for records that cannot be used; without it they
-    are left out.  Output files are added exactly once per record.
+    ``rejected`` names a table for records that cannot be used; without it they are left
+    out.  Both tables are partitioned by the number of the batch and hold each record exactly
+    once; they belong to one checkpoint, whose numbers they carry.
     """
     trigger = {"availableNow": True} if once else {"processingTime": "10 seconds"}
-
-    def start(df: DataFrame, path: str, name: str) -> StreamingQuery:
-        return (
-            df.writeStream.format("parquet").outputMode("append")
-            .option("path", path).option("checkpointLocation", f"{checkpoint}/{name}")
-            .trigger(**trigger).start()
-        )
-
-    queries = [start(scored_records(record_stream(spark, folder), conf, model),
-                     output, "scored")]
-    if rejected:
-        bad = rejected_records(parse_records(record_stream(spark, folder)))
-        queries.append(start(bad, rejected, "rejected"))
-    return queries
+    return (
+        record_stream(spark, folder).writeStream
+        .foreachBatch(lambda lines, number: write_batch(lines, number, output, conf, model, rejected))
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    )

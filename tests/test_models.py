@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ledgerspark import testbed
@@ -8,6 +9,7 @@ from ledgerspark.plans import train as training
 from ledgerspark.plans.score import score, score_path
 from ledgerspark.sources import artifacts, datasets, records, tables
 from ledgerspark.sources.scratch import scratch_path
+from ledgerspark.streaming import scoring as streaming
 from ledgerspark.streaming.scoring import start_scoring
 
 
@@ -194,15 +196,27 @@ def test_score_file(spark, trained, table):
     assert back.count() == 1000
 
 
-def test_stream_equals_table(spark, sf_dir, trained):
+def test_stream_equals_table(spark, sf_dir, trained, monkeypatch):
     lines = testbed.json_lines(spark, sf_dir).select("value")
     folder, out = scratch_path(spark, "json"), scratch_path(spark, "out")
-    lines.write.text(folder)
-    for _ in range(2):  # the second start finds nothing new
-        for q in start_scoring(spark, folder, out + "/scored", out + "/checkpoint", tree_conf(),
-                               trained.model, rejected=out + "/rejected"):
-            q.awaitTermination()
-    streamed = spark.read.parquet(out + "/scored").drop("source_file")
+    lines.repartition(3).write.text(folder)
+
+    def run():
+        start_scoring(spark, folder, out + "/scored", out + "/checkpoint", tree_conf(),
+                      trained.model, rejected=out + "/rejected").awaitTermination()
+
+    def fail(*_):
+        raise OSError("no space")
+
+    with monkeypatch.context() as m:
+        m.setattr(streaming, "rejected_records", fail)  # after the scored half was written
+        with pytest.raises(StreamingQueryException):
+            run()
+    run()  # replays that batch
+    run()  # finds nothing new
+    streamed = spark.read.parquet(out + "/scored")
+    assert [r.batch for r in streamed.select("batch").distinct().collect()] == [0]
+    streamed = streamed.drop("source_file", "batch")
     batch = score(records.read_records(spark, folder), tree_conf(), trained.model)
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
     assert spark.read.parquet(out + "/rejected").count() == 1000 - batch.count()

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerspark.operators import profile
+from ledgerspark.sources.scratch import materialize
 
 
 def test_shape_and_empty(spark):
@@ -66,13 +67,25 @@ def test_narrowed_percentiles_are_exact(spark, shape):
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(7)
     probs = (0.0, 0.1, 0.25, 0.3333, 0.5, 0.75, 0.999, 1.0)
     expected = df.agg(F.percentile("x", list(probs))).first()[0]
-    for sampled in (100, 10_000):
-        got = profile.percentiles(df, probs, {"x": 3001}, {}, buffered_rows=20,
-                                  counted_values=0, sampled_rows=sampled)["x"]
+    for entries, fetched in ((200, 20), (1000, 20), (200, 5000)):
+        got = profile.percentiles(df, probs, {"x": 3001}, fetched=fetched, entries=entries)["x"]
         assert got == pytest.approx(expected, rel=1e-12)
-    by_value = profile.percentiles(df, probs, {"x": 3001}, {}, buffered_rows=20,
-                                   counted_values=5000)["x"]
-    assert by_value == pytest.approx(expected, rel=1e-12)
+
+
+def test_description_takes_few_passes(spark, monkeypatch):
+    """One pass for moments and sketch, one that counts, one that stores, for all columns at once."""
+    df = spark.range(0, 4000, 1, 5).selectExpr(
+        "cast(id as double) AS a", "pmod(xxhash64(id), 100003) / 7 AS b", "if(id % 3 = 0, 1.5D, cast(id % 50 as double)) AS c")
+    stored = []
+    monkeypatch.setattr(profile, "materialize", lambda t, name: stored.append(name) or materialize(t, name))
+    monkeypatch.setattr(profile.percentiles, "__kwdefaults__", {**profile.percentiles.__kwdefaults__, "fetched": 500})
+    rows = {r["column"]: r for r in profile.describe(df).collect()}
+    assert stored == ["stats", "bracket"]
+    for c in df.columns:
+        want = df.agg(F.percentile(c, [0.25, 0.5, 0.75]), F.avg(c), F.stddev(c), F.min(c), F.max(c)).first()
+        got = rows[c]
+        assert [got.p25, got.p50, got.p75] == pytest.approx(want[0], rel=1e-12)
+        assert [got["mean"], got["std"], got["min"], got["max"]] == pytest.approx(list(want[1:]), rel=1e-12)
 
 
 def test_fingerprint_ignores_order_only(spark):
