@@ -806,6 +806,30 @@ def _by_hour(spark, d) -> DataFrame:
     return t.withColumn("is_fraud", (F.substring("trans_date_trans_time", 12, 2).cast("int") >= 12).cast("int"))
 
 
+@query
+def tune_halving_search(spark, d):
+    """The random search's trials in three turns on growing rows, beside the random search itself."""
+    t = features.add_features(testbed.records(spark, d))
+    parts = split.assign_split(t, "is_fraud", "row_id", test_size=0.2, valid_size=0.2)
+    model = prep.TabularPrep.from_conf(default_conf()).fit(parts.where("split = 'train'"))
+    vectors = model.append_vector(parts, "features").select("row_id", "features", "is_fraud", "split").cache()
+    train, valid = vectors.where("split = 'train'"), vectors.where("split = 'valid'")
+    search = {"init_points": 5, "n_iter": 20, "random_state": 42,
+              "search_space": {"max_depth": [2, 5], "min_samples_leaf": [1, 5]}}
+    base = {"class_weight": "balanced", "random_state": 42}
+    halved = tune.halving_search(train, valid, "decision_tree", base, search, label="is_fraud", id_col="row_id")
+    blind = tune.random_search(train, valid, "decision_tree", base, search, label="is_fraud")
+    turns = halved.trials.agg(
+        F.count_if(F.col("rung") == 0).alias("n_first"), F.count_if(F.col("rung") == 1).alias("n_second"),
+        F.count_if(F.col("rung") == 2).alias("n_last"), (F.sum("share") * 3 <= 25).alias("third_of_rows"),
+        F.max(F.when(F.col("rung") == 2, F.col("recall"))).alias("reached")).first()
+    most = blind.trials.agg(F.max("recall")).first()[0]
+    n_valid = valid.count()
+    vectors.unpersist()
+    return small_table(spark, [(n_valid, *turns[:4], turns["reached"] >= most)],
+                       "n_valid long, n_first long, n_second long, n_last long, third_of_rows boolean, not_below boolean")
+
+
 @query
 def score_table(spark, d):
     """Scored by a model that was saved and loaded again."""

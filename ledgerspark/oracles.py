@@ -509,6 +509,8 @@ def oracle_sql() -> dict[str, str]:
   true AS adds_up, true AS follows, true AS repeats FROM parts WHERE split <> 'train' GROUP BY split"""
     o["tune_random_search"] = held + """SELECT count(*) AS n_valid, CAST(sum(is_fraud) AS BIGINT) AS n_frauds,
   CAST(25 AS BIGINT) AS n_trials, true AS in_range, true AS best_is_highest FROM parts WHERE split = 'valid'"""
+    o["tune_halving_search"] = held + """SELECT count(*) AS n_valid, CAST(25 AS BIGINT) AS n_first, CAST(8 AS BIGINT) AS n_second,
+  CAST(2 AS BIGINT) AS n_last, true AS third_of_rows, true AS not_below FROM parts WHERE split = 'valid'"""
     late = "CAST(substr(trans_date_trans_time, 12, 2) AS INT) >= 12"
     o["score_table"] = _with(RECORDS) + f"""SELECT row_id, amt, CASE WHEN {late} THEN 1 ELSE 0 END AS prediction,
   CASE WHEN {late} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction_proba FROM records"""

@@ -166,6 +166,24 @@ def test_search(spark, table):
     assert tune.draw_trials(search["search_space"], 3, 3)[first] == found.best
 
 
+def test_halving_goes_on_with_the_best(spark, table):
+    rows = prep.TabularPrep(["amt", "lat"]).fit(table).append_vector(table, "features")
+    rows = rows.select("features", "is_fraud", F.col("row_id").alias("row")).cache()
+    search = {"init_points": 3, "n_iter": 6, "random_state": 3, "search_space": {"max_depth": [1, 5]}}
+    found = tune.halving_search(rows, rows, "random_forest", {"n_estimators": 9, "random_state": 1}, search,
+                                label="is_fraud", id_col="row")
+    turns = {}
+    for r in found.trials.orderBy("rung", "trial").collect():
+        turns.setdefault(r.rung, []).append(r)
+    assert [len(t) for t in turns.values()] == [9, 3, 1]
+    assert [t[0].share for t in turns.values()] == pytest.approx([1 / 9, 1 / 3, 1])
+    for rung in (0, 1):
+        best = sorted(turns[rung], key=lambda r: (-r.recall, r.trial))[:len(turns[rung + 1])]
+        assert sorted(r.trial for r in best) == [r.trial for r in turns[rung + 1]]
+    assert tune.draw_trials(search["search_space"], 9, 3)[turns[2][0].trial] == found.best
+    assert [tune._with_trees({"n_estimators": 9}, s)["n_estimators"] for s in (1 / 9, 0.5, 1)] == [1, 5, 9]
+
+
 def test_search_runs_only_with_validation_rows(toy):
     search = {"enabled": True, "init_points": 1, "n_iter": 0, "random_state": 1,
               "search_space": {"max_depth": [2, 3]}}
