@@ -78,3 +78,44 @@ def test_recall_with_uneven_lengths_and_groups(spark):
 
 def test_empty_table(spark):
     assert ann.searched(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+@pytest.mark.parametrize("length", [64, 128, 256])
+def test_recall_on_vectors_of_any_length(spark, length):
+    x = np.random.default_rng(4).normal(size=(6000, length))
+    codes = ann.fitted(x[:ann.TRAIN_ROWS], np.sqrt((x * x).sum(1)).max(), len(x))
+    ids, q = np.arange(len(x)), x[::60]
+    place, found, _ = ann.search_block(codes, ids, x, ids[::60], q, ann.NEAREST)
+    score = q @ x.T
+    score[np.arange(len(q)), ids[::60]] = -np.inf
+    want = np.argsort(-score, 1)[:, :ann.NEAREST]
+    assert np.mean([len(set(want[i]) & set(found[place == i])) / ann.NEAREST for i in range(len(q))]) >= 0.9
+
+
+def test_few_rows_are_touched_among_clusters():
+    rng = np.random.default_rng(5)
+    x = (rng.normal(size=(24, 64))[:, None] + rng.normal(size=(24, 600, 64)) * 0.1).reshape(-1, 64)
+    codes = ann.fitted(x[::4], np.sqrt((x * x).sum(1)).max(), len(x))
+    index = ann.SubstringIndex(codes.rows(x))
+    for code in codes.queries(x[::300]):
+        index.within(code, codes.wanted + ann.NEAREST)
+    assert index.touched / (len(x[::300]) * len(x)) < 0.25
+
+
+def test_rows_with_the_query_s_own_id_hide_no_others(spark):
+    rng = np.random.default_rng(6)
+    rows = [(20, (v + 5).tolist()) for v in rng.normal(size=(1500, 8))] + [(21 + i, v.tolist()) for i, v in enumerate(rng.normal(size=(30, 8)))]
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.nearest(t, t.where("vec_id = 40")).collect()
+    assert [r.rank for r in got] == list(range(1, 21))
+    own = ann.nearest(t, t.where("vec_id = 20").limit(3)).collect()
+    assert len(own) == 60 and all(r.vec_id != 20 for r in own)
+
+
+def test_dealing_does_not_depend_on_the_order_of_rows(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(900, 8)))]
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    a, b = (sorted(map(tuple, ann.nearest(f, f.where("vec_id % 20 = 0"), index_block=200, query_block=20).collect()))
+            for f in (t, t.repartition(7, "vec_id")))
+    assert a == b
