@@ -23,6 +23,7 @@ from ledgerspark import oracles, testbed
 from ledgerspark.config import default_conf
 from ledgerspark.functions.calendar import parse_time
 from ledgerspark.operators import (
+    dictionary,
     evaluate,
     features,
     fill,
@@ -356,6 +357,47 @@ def label_encode_wide(spark, d):
     return prep.label_encode(t, ["cc_num", "amt", "city_pop"], local_limit=20)
 
 
+def _dictionary(spark, d, cols):
+    """Codes fitted on two thirds of the rows and saved, and the other rows."""
+    t = testbed.txn(spark, d).select("row_id", *cols)
+    path = scratch_path(spark, "dictionary")
+    dictionary.LabelDictionary.fit(t.where("row_id % 3 <> 0"), cols, path)
+    return dictionary.LabelDictionary.load(spark, path), t.where("row_id % 3 = 0")
+
+
+@query
+def label_dictionary(spark, d):
+    """A saved dictionary on rows it was not fitted on; values it lacks are -1."""
+    saved, rest = _dictionary(spark, d, ["category", "job", "cc_num", "amt"])
+    return saved.encode(rest)
+
+
+@query
+def label_dictionary_wide(spark, d):
+    """The way for more values than are broadcast, here above 20."""
+    saved, rest = _dictionary(spark, d, ["cc_num", "city_pop"])
+    return saved.encode(rest, local_limit=20)
+
+
+@query
+def label_dictionary_stream(spark, d):
+    """Rows that arrive as a stream, encoded by a saved dictionary."""
+    saved, rest = _dictionary(spark, d, ["cc_num", "amt"])
+    folder = scratch_path(spark, "arrived")
+    rest.write.parquet(folder)
+    arriving = spark.readStream.schema(rest.schema).option("maxFilesPerTrigger", 1000).parquet(folder)
+    saved.encode(arriving).writeStream.option("checkpointLocation", f"{folder}-checkpoint").trigger(
+        availableNow=True).start(f"{folder}-coded", format="parquet").awaitTermination()
+    return spark.read.parquet(f"{folder}-coded")
+
+
+@query
+def label_dictionary_decoded(spark, d):
+    """Codes back to values: what the dictionary lacks is NULL."""
+    saved, rest = _dictionary(spark, d, ["job", "cc_num"])
+    return saved.decode(saved.encode(rest))
+
+
 @query
 def impute_mean(spark, d):
     t = prep.impute_mean(testbed.txn(spark, d).select("row_id", "city_pop"), ["city_pop"])

@@ -177,6 +177,15 @@ def _fill(parts: str, order: str, cols=("job", "city_pop"), how: str = "both") -
     return ", ".join(out)
 
 
+def _dictionary(*cols: str) -> str:
+    """Codes of two thirds of the rows, given to the other third."""
+    codes = [f"""c_{c} AS (SELECT {c}, row_number() OVER (ORDER BY {c}) - 1 AS code
+  FROM (SELECT DISTINCT {c} FROM txn WHERE row_id % 3 <> 0 AND {c} IS NOT NULL))""" for c in cols]
+    made = ", ".join(f"CASE WHEN t.{c} IS NOT NULL THEN coalesce(c_{c}.code, -1) END AS {c}" for c in cols)
+    joins = " ".join(f"LEFT JOIN c_{c} ON c_{c}.{c} = t.{c}" for c in cols)
+    return _with(*codes) + f"SELECT t.row_id, {made} FROM txn t {joins} WHERE t.row_id % 3 = 0"
+
+
 def _scaled(col: str, source: str) -> str:
     """Standard-scaled with gaps at the mean, from the statistics of ``source``."""
     mean = f"(SELECT avg({col}) FROM {source})"
@@ -383,6 +392,12 @@ def oracle_sql() -> dict[str, str]:
         code.format(c=c) for c in ("category", "job", "gender")) + " FROM txn"
     o["label_encode_wide"] = _with() + "SELECT row_id, " + ", ".join(
         code.format(c=c) for c in ("cc_num", "amt", "city_pop")) + " FROM txn"
+    o["label_dictionary"] = _dictionary("category", "job", "cc_num", "amt")
+    o["label_dictionary_wide"] = _dictionary("cc_num", "city_pop")
+    o["label_dictionary_stream"] = _dictionary("cc_num", "amt")
+    held = "CASE WHEN {c} IN (SELECT {c} FROM txn WHERE row_id % 3 <> 0) THEN {c} END AS {c}"
+    o["label_dictionary_decoded"] = _with() + "SELECT row_id, " + ", ".join(
+        held.format(c=c) for c in ("job", "cc_num")) + " FROM txn WHERE row_id % 3 = 0"
     lines = """o AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
   CASE WHEN l_linenumber <> 2 THEN concat('o', CAST(l_orderkey AS VARCHAR)) END AS "order" FROM lineitem)"""
     o["impute_mode_wide"] = f"""WITH {lines} SELECT * REPLACE (coalesce("order", {_mode('"order"', 'o')}) AS "order") FROM o"""
