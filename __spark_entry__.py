@@ -418,6 +418,17 @@ def scale_minmax(spark, d):
     return t.select("row_id", r("amt"), r("city_pop"))
 
 
+@query
+def scale_per_column(spark, d):
+    """Numbers scaled as their own settings say, the others as usual."""
+    t = testbed.txn(spark, d)
+    conf = default_conf(preprocessing={
+        "numeric": ["amt", "city_pop", "lat"], "categorical": [],
+        "amt": {"normalization": "minmax"}, "city_pop": {"normalization": "none"}})
+    model = prep.TabularPrepModel.from_json(prep.TabularPrep.from_conf(conf).fit(t).to_json())
+    return _rounded(model.transform(t, ["row_id"]), ["row_id"])
+
+
 @query
 def impute_mode(spark, d):
     return prep.impute_mode(testbed.txn(spark, d).select("row_id", "job"), ["job"])
@@ -480,6 +491,15 @@ def preprocess_table(spark, d):
 
 # ------------------------------------------------------------------- columns
 
+@query
+def rename_columns(spark, d):
+    """Old names to new ones; a name given to itself or not there changes nothing."""
+    t = testbed.txn(spark, d).select("row_id", "trans_date_trans_time", "dob", "amt")
+    conf = default_conf(preprocessing={"rename_columns": {
+        "trans_date_trans_time": "happened", "dob": "dob", "amt": "amount", "absent": "other"}})
+    return project.rename_columns(t, conf)
+
+
 @query
 def select_engineered(spark, d):
     t = features.add_time_features(testbed.txn(spark, d)).drop("dob")
@@ -604,6 +624,14 @@ def eval_by_category(spark, d):
     return m.select("category", "n", *[r(c) for c in _METRICS])
 
 
+@query
+def eval_listed_metrics(spark, d):
+    """Only the measures that the settings list."""
+    m = evaluate.metrics(_guessed(spark, d), "is_fraud", by="category")
+    m = evaluate.configured_metrics(m, {"metrics": ["F1 Score", "Recall", "ROC AUC"]})
+    return m.select("category", "n", *[r(c) for c in ("f1_score", "recall", "auc_roc")])
+
+
 @query
 def eval_auc_probability(spark, d):
     t = testbed.txn(spark, d).withColumn("p", F.round(F.col("amt") / 600, 3))

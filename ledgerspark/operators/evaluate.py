@@ -57,6 +57,24 @@ def metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
     )
 
 
+def configured_metrics(table: DataFrame, conf: dict) -> DataFrame:
+    """The measures that the ``metrics`` setting lists, in its order, beside groups and counts.
+
+    Names are taken without regard to case, blanks and underscores ("F1 Score", "ROC AUC");
+    one that is not known is refused.  Without the setting the table stays as it is.
+    """
+    listed = conf.get("metrics")
+    if not listed:
+        return table
+    known = {m.replace("_", ""): m for m in METRICS} | {"f1": "f1_score", "rocauc": "auc_roc"}
+    short = [(name, "".join(ch for ch in str(name).lower() if ch.isalnum())) for name in listed]
+    strange = [name for name, key in short if key not in known]
+    if strange:
+        raise ValueError(f"Unknown metrics {strange}; there are {list(METRICS)}")
+    chosen = list(dict.fromkeys(known[key] for _, key in short))
+    return table.select(*[c for c in table.columns if c not in METRICS], *chosen)
+
+
 def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction") -> dict:
     """The metrics of one table as a dictionary; ``ValueError`` if not classes."""
     counts = confusion(df, label, prediction).first()

@@ -145,6 +145,7 @@ class TabularPrepModel:
     numeric: dict[str, NumericStats]
     categorical: dict[str, CategoryStats]
     scaling: str = "standard"
+    scalings: dict[str, str] = field(default_factory=dict)  # of columns that have their own
 
     @property
     def output_names(self) -> list[str]:
@@ -175,11 +176,12 @@ class TabularPrepModel:
     def _scaled(self, df: DataFrame, c: str) -> Column:
         s = self.numeric[c]
         value = F.coalesce(present(df, c).cast("double"), F.lit(s.mean))
-        if self.scaling == "none":
+        how = self.scalings.get(c, self.scaling)
+        if how == "none":
             return value
         if s.low == s.high:  # also decides a constant whose sum was rounded
             return value - F.lit(s.low)
-        if self.scaling == "minmax":
+        if how == "minmax":
             return (value - F.lit(s.low)) / F.lit(s.high - s.low)
         return (value - F.lit(s.mean)) / F.lit(s.sd)
 
@@ -214,6 +216,7 @@ class TabularPrepModel:
             {c: NumericStats(**s) for c, s in raw["numeric"].items()},
             {c: CategoryStats(**s) for c, s in raw["categorical"].items()},
             raw["scaling"],
+            raw.get("scalings", {}),
         )
 
 
@@ -221,26 +224,33 @@ class TabularPrepModel:
 class TabularPrep:
     """Mean-impute and scale numbers; mode-impute and one-hot categories.
 
-    Columns listed nowhere are dropped; an empty list leaves its branch out.
+    Columns listed nowhere are dropped; an empty list leaves its branch out.  ``scalings``
+    names columns that are scaled in a way of their own; in the settings it is the entry
+    ``normalization`` under the column's name.
     """
 
     numeric: list[str] = field(default_factory=list)
     categorical: list[str] = field(default_factory=list)
     scaling: str = "standard"
+    scalings: dict[str, str] = field(default_factory=dict)
 
     @classmethod
     def from_conf(cls, conf: dict) -> TabularPrep:
         cfg = conf.get("preprocessing", {})
-        return cls(list(cfg.get("numeric") or []), list(cfg.get("categorical") or []))
+        numeric = list(cfg.get("numeric") or [])
+        own = {c: cfg[c]["normalization"] for c in numeric
+               if isinstance(cfg.get(c), dict) and cfg[c].get("normalization")}
+        return cls(numeric, list(cfg.get("categorical") or []), cfg.get("scaling") or "standard", own)
 
     def fit(self, df: DataFrame) -> TabularPrepModel:
-        if self.scaling not in ("standard", "minmax", "none"):
-            raise ValueError(f"Unknown scaling: {self.scaling}")
+        for how in (self.scaling, *self.scalings.values()):
+            if how not in ("standard", "minmax", "none"):
+                raise ValueError(f"Unknown scaling: {how}")
         absent = [c for c in (*self.numeric, *self.categorical) if c not in df.columns]
         if absent:
             raise ValueError(f"Missing columns to fit: {absent}")
         return TabularPrepModel(
-            self._fit_numeric(df), self._fit_categorical(df), self.scaling)
+            self._fit_numeric(df), self._fit_categorical(df), self.scaling, dict(self.scalings))
 
     def _fit_numeric(self, df: DataFrame) -> dict[str, NumericStats]:
         if not self.numeric:
@@ -344,9 +354,9 @@ def impute_mode(df: DataFrame, cols: list[str]) -> DataFrame:
         c: F.coalesce(F.col(f"`{c}`"), F.lit(v).cast(df.schema[c].dataType)) for c, v in found.items()})
 
 
-def scale(df: DataFrame, cols: list[str], how: str = "standard") -> DataFrame:
-    """Standard (population) or min-max scaling, gaps at the mean."""
-    model = TabularPrep(numeric=cols, scaling=how).fit(df)
+def scale(df: DataFrame, cols: list[str], how: str = "standard", own: dict[str, str] | None = None) -> DataFrame:
+    """Standard (population) or min-max scaling, gaps at the mean; ``own`` names it per column."""
+    model = TabularPrep(numeric=cols, scaling=how, scalings=own or {}).fit(df)
     return df.withColumns({c: model._scaled(df, c) for c in cols})
 
 

@@ -413,6 +413,8 @@ def oracle_sql() -> dict[str, str]:
     mm = f"round((coalesce({{c}}, (SELECT avg({{c}}) FROM txn)) - {low}) / {span}, 4) AS {{c}}"
     o["scale_minmax"] = _with() + \
         f"SELECT row_id, {mm.format(c='amt')}, {mm.format(c='city_pop')} FROM txn"
+    o["scale_per_column"] = _with() + f"""SELECT row_id, {mm.format(c='amt')},
+  round(coalesce(city_pop, (SELECT avg(city_pop) FROM txn)), 4) AS city_pop, {_scaled('lat', 'txn')} AS lat FROM txn"""
     o["impute_mode"] = _with() + \
         f"SELECT row_id, coalesce(job, {_mode('job', 'txn')}) AS job FROM txn"
 
@@ -443,6 +445,8 @@ def oracle_sql() -> dict[str, str]:
     o["select_engineered"] = _with() + f"""SELECT * EXCLUDE (is_weekend) FROM (
   SELECT amt, city_pop, {_TIME}, category, gender FROM txn)"""
     o["select_raw"] = _with(RECORDS) + f"SELECT {_FIELDS} FROM records"
+    o["rename_columns"] = _with() + \
+        "SELECT row_id, trans_date_trans_time AS happened, dob, amt AS amount FROM txn"
     o["attach_target"] = _with() + "SELECT row_id, amt, is_fraud FROM txn"
     o["response_columns"] = _with() + \
         "SELECT is_fraud AS prediction, CAST(is_fraud AS DOUBLE) / 2 AS probability FROM txn"
@@ -479,6 +483,8 @@ def oracle_sql() -> dict[str, str]:
     o["eval_by_split"] = _with(
         _GUESS, _split("guess", "is_fraud", _ROW_KEY, 42, 0.2, 0.2), _metrics("parts", "split"))
     o["eval_by_category"] = _with(_GUESS, _metrics("guess", "category"))
+    o["eval_listed_metrics"] = f"""SELECT category, n, f1_score, recall, auc_roc
+FROM ({_with(_GUESS, _metrics("guess", "category"))})"""
     o["eval_auc_probability"] = _with(
         "p AS (SELECT round(amt / 600, 3) AS p, is_fraud FROM txn)",
         """ranked AS (SELECT is_fraud, rank() OVER (ORDER BY p)

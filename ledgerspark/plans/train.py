@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ledgerspark.operators.evaluate import auc_from_probability, metrics
+from ledgerspark.operators.evaluate import auc_from_probability, configured_metrics, metrics
 from ledgerspark.operators.features import add_features
 from ledgerspark.operators.models import predict, train_model
 from ledgerspark.operators.prep import TabularPrep
@@ -46,7 +46,7 @@ def train(df: DataFrame, conf: dict[str, Any], id_col, featurised: bool = False,
     The features of a row depend on that row only, so they are computed once and
     stored by split; every later pass reads the one partition it needs.
     """
-    target, model_conf = conf["target"], conf["model"]
+    target, model_conf = conf["target"], model_settings(conf)
     kind, params = model_conf["name"], dict(model_conf.get("params", {}))
     marked = split_by_conf(df, conf, id_col)
     marked = marked if featurised else add_features(marked)
@@ -80,10 +80,23 @@ def train(df: DataFrame, conf: dict[str, Any], id_col, featurised: bool = False,
         write_dataset(
             prep.transform(splits, [*_ids(id_col), target, SPLIT]),
             cfg["root"], "preprocessed_data", [SPLIT])
-    if cfg.get("model_path") or cfg.get("root"):
-        model.save(df.sparkSession, cfg.get("model_path") or f"{cfg['root'].rstrip('/')}/model")
+    path = cfg.get("model_path") or model_conf.get("save_path")
+    if path or cfg.get("root"):
+        model.save(df.sparkSession, path or f"{cfg['root'].rstrip('/')}/model")
     held_out = predict(vectors.where(F.col(SPLIT) != "train"), classifier, "features")
-    return TrainResult(model, splits, metrics(held_out, target, "prediction", by=SPLIT), trials)
+    measured = configured_metrics(metrics(held_out, target, "prediction", by=SPLIT), conf)
+    return TrainResult(model, splits, measured, trials)
+
+
+def model_settings(conf: dict[str, Any]) -> dict[str, Any]:
+    """The settings of the model that is named.
+
+    Where ``model`` holds a block under that name, what the block says (``params``,
+    ``bayesian_optimization``, ``save_path``) goes before what stands beside the name.
+    """
+    shared = conf["model"]
+    own = shared.get(shared["name"])
+    return {**shared, **own} if isinstance(own, dict) else shared
 
 
 def _ids(id_col) -> list[str]:
@@ -100,7 +113,7 @@ def evaluate_saved(table: DataFrame, model: ScoringModel, conf: dict[str, Any],
     target = conf["target"]
     rows = table if featurised else add_features(table)
     scored = score_features(rows, model)
-    hard = metrics(scored, target, "prediction")
+    hard = configured_metrics(metrics(scored, target, "prediction"), conf)
     if "prediction_proba" not in scored.columns:
         return hard.withColumn("auc_roc_proba", F.lit(None).cast("double"))
     soft = auc_from_probability(scored, target, "prediction_proba").first()

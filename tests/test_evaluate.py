@@ -55,3 +55,13 @@ def test_auc_of_probabilities(spark):
     assert evaluate.auc_from_probability(tied, "y", "p").first()[0] == pytest.approx(0.5)
     single = df.where("y = 1")
     assert evaluate.auc_from_probability(single, "y", "p").first()[0] is None
+
+
+def test_listed_metrics(spark):
+    table = evaluate.metrics(pairs(spark, [0, 1, 1, 0], [0, 1, 0, 0]))
+    assert evaluate.configured_metrics(table, {}) is table
+    got = evaluate.configured_metrics(table, {"metrics": ["ROC AUC", "F1 Score", "accuracy", "Accuracy", "f1"]})
+    assert got.columns == ["n", "tn", "fp", "fn", "tp", "auc_roc", "f1_score", "accuracy"]
+    assert got.first()["accuracy"] == 0.75
+    with pytest.raises(ValueError, match="log loss"):
+        evaluate.configured_metrics(table, {"metrics": ["log loss"]})

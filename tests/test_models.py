@@ -238,3 +238,24 @@ def test_stream_equals_table(spark, sf_dir, trained, monkeypatch):
     batch = score(records.read_records(spark, folder), tree_conf(), trained.model)
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
     assert spark.read.parquet(out + "/rejected").count() == 1000 - batch.count()
+
+
+def test_the_block_of_the_named_model_goes_first():
+    shared = {"name": "decision_tree", "params": {"max_depth": 6}, "bayesian_optimization": {"enabled": False}}
+    assert training.model_settings({"model": shared}) == shared
+    own = {**shared, "decision_tree": {"params": {"max_depth": 2}, "save_path": "there"}, "xgboost": {"params": {"gamma": 1}}}
+    got = training.model_settings({"model": own})
+    assert (got["params"], got["save_path"], got["bayesian_optimization"]) == ({"max_depth": 2}, "there", {"enabled": False})
+
+
+def test_training_by_the_block_of_a_model(toy, spark):
+    path = scratch_path(spark, "own-model")
+    conf = default_conf(
+        metrics=["Recall"], data_split={"test_size": 0.4, "valid_size": 0.0, "random_state": 1},
+        preprocessing={"numeric": ["amt"], "categorical": [], "label_encode": []},
+        model={"name": "decision_tree", "params": {"max_depth": 9},
+               "decision_tree": {"params": {"max_depth": 1, "random_state": 3}, "save_path": path}})
+    result = training.train(toy, conf, "id")
+    assert result.metrics.columns == ["split", "n", "tn", "fp", "fn", "tp", "recall"]
+    assert result.model.params == {"max_depth": 1, "random_state": 3}
+    assert artifacts.load_model(spark, path).classifier.depth <= 1

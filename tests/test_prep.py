@@ -33,6 +33,23 @@ def test_label_encode_many_values_with_a_hot_one(spark):
     assert {(r.id, r.v) for r in got.collect()} == expected
 
 
+def test_scaling_of_its_own_per_column(spark):
+    df = frame(spark)
+    conf = {"preprocessing": {"numeric": ["num1", "num2"], "num1": {"normalization": "minmax"}, "num2": {"other": 1}}}
+    model = prep.TabularPrep.from_conf(conf).fit(df)
+    assert (model.scaling, model.scalings) == ("standard", {"num1": "minmax"})
+    again = prep.TabularPrepModel.from_json(model.to_json())
+    assert [tuple(r) for r in again.transform(df).collect()] == [(0.0, 0.0), (0.25, 0.0), (0.5, 0.0), (0.75, 0.0), (1.0, 0.0)]
+    assert [r.num1 for r in prep.scale(df, ["num1"], own={"num1": "none"}).collect()] == [1.0, 2.0, 3.0, 4.0, 5.0]
+    with pytest.raises(ValueError, match="Unknown scaling: log"):
+        prep.TabularPrep(["num1"], scalings={"num1": "log"}).fit(df)
+
+
+def test_a_model_saved_without_scalings_still_loads():
+    old = '{"numeric": {}, "categorical": {}, "scaling": "minmax"}'
+    assert prep.TabularPrepModel.from_json(old).scalings == {}
+
+
 def test_mean_impute_and_population_scale(spark):
     df = frame(spark)
     got = [r.num1 for r in prep.impute_mean(df, ["num1"]).collect()]
