@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import ranges
+from ledgerspark.llm.common import keep, ranges
 from ledgerspark.llm.vectors import by_length, usable
 
 NEAREST = 20
@@ -103,12 +103,10 @@ def _words(codes: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(np.ascontiguousarray(codes).view(np.uint64).T)
 
 
-def _distances(words: np.ndarray, code: np.ndarray) -> np.ndarray:
-    """Bits in which each code differs from one."""
-    distance = np.zeros(words.shape[1], np.int32)
-    for own, w in zip(words, np.ascontiguousarray(code).view(np.uint64)):
-        distance += np.bitwise_count(own ^ w)
-    return distance
+def _distances(words: np.ndarray, code: np.ndarray, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """Bits in which each of the rows' codes differs from one."""
+    return sum(np.bitwise_count(own[rows] ^ w).astype(np.int16)
+               for own, w in zip(words, np.ascontiguousarray(code).view(np.uint64)))
 
 
 def measured_recall(codes: RotatedCodes, sample: np.ndarray, block: int, wanted: int, k: int) -> float:
@@ -198,7 +196,7 @@ class SubstringIndex:
             rows = self._near_rows(code, s, fewest)
             if len(rows) < wanted:
                 continue
-            distance = _distances(self.words[:, rows], code)
+            distance = _distances(self.words, code, rows)
             covered = self.parts * (s + 1) - 1  # every code as near as this has been found
             bits = self.parts * SUBSTRING
             reached = np.cumsum(np.bincount(distance, minlength=bits + 1))
@@ -247,7 +245,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = NEAREST, wanted: int =
     use = usable("embedding") & F.col("vec_id").isNotNull()
     parts = [F.col("vec_id").cast("long").alias("vec_id"), "embedding"]
     rows, queries = rows.where(use).select(*parts), queries.where(use).select(*parts).distinct()
-    rows = rows.groupBy(*parts).agg(F.count("*").alias("copies"))
+    rows = keep(rows.groupBy(*parts).agg(F.count("*").alias("copies")), "distinct")  # read several times
     counts = {r[0]: r[1] for r in rows.groupBy(F.size("embedding")).count().collect()}  # one row per length
     asked = queries.count()
     codes = spark.sparkContext.broadcast(
