@@ -706,7 +706,7 @@ def csv_line_breaks(spark, d):
 @query
 def fingerprint_changes(spark, d):
     """A table whose partitions change: one goes, one is replaced.  Only the parts of these are
-    subtracted and added; the result is the fingerprint of the new table."""
+    subtracted and added; the result is the fingerprint that the new table's parts give."""
     code = F.concat(F.lit("00"), F.col("cc_num") % 9)
     t = testbed.txn(spark, d).select("row_id", "job", code.alias("code"))
     old = materialize(profile.fingerprint_parts(t, ["code"]), "parts")

@@ -73,7 +73,7 @@ _SUMS = [f"s{i}" for i in range(2 * _WORDS)]
 
 
 def fingerprint_parts(df: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """by, n_rows, s0 to s7: what a fingerprint is made of, per group of rows.
+    """by, n_rows, s0 to s7: what the fingerprint of a table that changes is made of, per group of rows.
 
     Each row gives its SHA-256, with lengths and gaps marked.  Four 44-bit words of it are
     added up in halves of 22 bits, so a sum of whole numbers holds 2 ** 41 rows.  Parts of
@@ -101,7 +101,7 @@ def merged_parts(added: DataFrame, removed: DataFrame | None = None) -> DataFram
 
 
 def fingerprint_of_parts(parts: DataFrame, columns: int) -> DataFrame:
-    """n_rows and the hash of parts that were merged."""
+    """n_rows and the hash of parts that were merged; compares with others made of parts only."""
     text = [F.col(c).cast("string") for c in ("n_rows", *_SUMS)]
     return parts.select("n_rows", F.sha2(F.concat_ws("|", F.lit(str(columns)), *text), 256).alias("fingerprint"))
 
@@ -109,9 +109,22 @@ def fingerprint_of_parts(parts: DataFrame, columns: int) -> DataFrame:
 def fingerprint(df: DataFrame) -> DataFrame:
     """One row: n_rows and a hash that is equal for equal data in any row order.
 
-    The count of rows and the sums of ``fingerprint_parts`` are hashed.
+    Each row gives its SHA-256, with lengths and gaps marked.  The whole digest is read as
+    five numbers; the count of rows and each number's sum and exclusive-or are hashed.
     """
-    return fingerprint_of_parts(fingerprint_parts(df), len(df.columns))
+    digest = df.select(_digest_text(df).alias("_digest"))
+    words = digest.select(*[
+        F.conv(F.substring("_digest", 1 + 13 * i, 13), 16, 10).cast("long").alias(f"_w{i}") for i in range(5)])
+    # A sum of 52-bit numbers passes a bigint from 2,048 rows on, so their halves are added up.
+    low, totals, text = (1 << 26) - 1, [F.count(F.lit(1)).alias("n_rows")], [F.col("n_rows").cast("string")]
+    for i in range(5):
+        w = F.col(f"_w{i}")
+        totals += [F.coalesce(c, F.lit(0)).alias(f"_{k}{i}") for k, c in (
+            ("l", F.sum(w.bitwiseAND(F.lit(low)))), ("h", F.sum(F.shiftright(w, 26))), ("x", F.bit_xor(w)))]
+        added = F.col(f"_h{i}").cast("decimal(20,0)") * F.lit(low + 1).cast("decimal(10,0)") + F.col(f"_l{i}")
+        text += [added.cast("string"), F.col(f"_x{i}").cast("string")]
+    return words.agg(*totals).select(
+        "n_rows", F.sha2(F.concat_ws("|", F.lit(str(len(df.columns))), *text), 256).alias("fingerprint"))
 
 
 # ----------------------------------------------------------------- describe

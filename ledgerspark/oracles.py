@@ -113,6 +113,15 @@ def _marked(cols: list[str]) -> str:
 
 
 def _fingerprint(source: str, cols: list[str]) -> str:
+    words = ", ".join(f"CAST('0x' || substr(d, {1 + 13 * i}, 13) AS BIGINT) AS w{i}" for i in range(5))
+    parts = ", ".join(f"CAST(sum(w{i}) AS VARCHAR), CAST(bit_xor(w{i}) AS VARCHAR)" for i in range(5))
+    return f"""d AS (SELECT sha256({_marked(cols)}) AS d FROM {source}),
+h AS (SELECT {words} FROM d)
+SELECT count(*) AS n_rows, sha256(concat_ws('|', '{len(cols)}', CAST(count(*) AS VARCHAR),
+  {parts})) AS fingerprint FROM h"""
+
+
+def _fingerprint_of_parts(source: str, cols: list[str]) -> str:
     words = ", ".join(f"CAST('0x' || substr(d, {1 + 11 * i}, 11) AS BIGINT) AS w{i}" for i in range(4))
     parts = ", ".join(f"CAST(sum(w{i} & 4194303) AS VARCHAR), CAST(sum(w{i} >> 22) AS VARCHAR)" for i in range(4))
     return f"""d AS (SELECT sha256({_marked(cols)}) AS d FROM {source}),
@@ -315,7 +324,7 @@ def oracle_sql() -> dict[str, str]:
     o["fingerprint_changes"] = _with("""c AS (
   SELECT row_id, job, concat('00', cc_num % 9) AS code FROM txn WHERE cc_num % 9 NOT IN (3, 4)
   UNION ALL SELECT row_id, job || '!', concat('00', cc_num % 9) FROM txn WHERE cc_num % 9 = 4)""",
-        _fingerprint("c", ["row_id", "job", "code"]))
+        _fingerprint_of_parts("c", ["row_id", "job", "code"]))
     o["scoring_columns"] = _with() + _union([
         f"""SELECT CAST({i} AS BIGINT) AS position, '{n}' AS "column", {str(there).lower()} AS present,
   CAST({f'count(*) FILTER (WHERE "{n}" IS NULL)' if there else 'CASE WHEN count(*) < 0 THEN 0 END'} AS BIGINT) AS n_missing FROM txn"""

@@ -1,8 +1,12 @@
+import functools
+import hashlib
+import operator
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerspark import oracles
 from ledgerspark.operators import profile
 from ledgerspark.sources.scratch import materialize
 
@@ -111,6 +115,27 @@ def test_fingerprint_tells_separators_apart(spark):
     assert profile.fingerprint(a).first() == profile.fingerprint(a.orderBy("y")).first()
 
 
+def test_fingerprint_takes_in_the_whole_digest(spark):
+    """Sums and exclusive-ors of all 64 hex digits of every row's digest."""
+    rows = [(i, None if i % 4 == 0 else f"v{i}") for i in range(3000)]
+    got = profile.fingerprint(spark.createDataFrame(rows, "a int, b string")).first()
+
+    def digest(a, b):
+        text = f"{len(str(a))}:{a}" + ("-" if b is None else f"{len(b)}:{b}")
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    words = [[int(d[at:at + 13], 16) for d in (digest(*r) for r in rows)] for at in range(0, 64, 13)]
+    parts = [str(x) for w in words for x in (sum(w), functools.reduce(operator.xor, w))]
+    assert len(words) == 5 and got.n_rows == 3000
+    assert got.fingerprint == hashlib.sha256("|".join(["2", "3000", *parts]).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("name", ["fingerprint_separators", "profile_fingerprint", "lineitem_fingerprint"])
+def test_fingerprint_sql_takes_in_the_whole_digest(name):
+    sql = oracles.oracle_sql()[name]
+    assert all(f"substr(d, {1 + 13 * i}, 13)" in sql and f"bit_xor(w{i})" in sql for i in range(5))
+
+
 def test_every_kind_of_column_is_described(spark):
     t = spark.sql("SELECT true AS b, date'1970-01-03' AS d, timestamp_ntz'1970-01-01 00:00:05' AS t, array(1) AS a, X'00' AS x, 1.5 AS n")
     rows = {r["column"]: r for r in profile.describe(t).collect()}
