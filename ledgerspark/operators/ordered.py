@@ -175,6 +175,9 @@ def cell(key: Column, share: float | Column) -> Column:
     Of n uniform keys the one at rank ``share * n`` lies about ``n**-0.5`` from there, where an
     interval has some ``n**0.5 / 16`` keys.  So the counts of one pass, which merge by adding,
     bracket this key closely whatever n is.  Cells ascend with the keys.
+
+    A cell is never NULL, so a join on it need not test for that: Spark would put the test,
+    with a copy of the key's hash for each time a step reads it, in front of the join.
     """
     place = F.conv(F.substring(key, 1, PLACE_DIGITS), 16, 10).cast("long")
     middle = F.floor(share * F.lit(float(_TOP))) if isinstance(share, Column) else F.lit(int(share * _TOP))
@@ -182,7 +185,7 @@ def cell(key: Column, share: float | Column) -> Column:
     size = F.when(off < 0, -1 - off).otherwise(off)
     drop = F.greatest(F.lit(0), F.length(F.bin(size)) - 5)
     step = (16 * drop + F.call_function("shiftright", size, drop)).cast("int")
-    return F.when(off < 0, -1 - step).otherwise(step)
+    return F.coalesce(F.when(off < 0, -1 - step).otherwise(step), F.lit(0))
 
 
 def cells_of_ranks(counts: DataFrame, ranks: DataFrame, by: list[str], cells: list[str]) -> DataFrame:

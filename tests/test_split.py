@@ -145,3 +145,15 @@ def test_a_large_share_of_rows_in_small_classes(spark):
     got = split.assign_split(df, "y", "id", test_size=0.5, valid_size=0.0, local_classes=3)
     n = {(r.y, r["split"]): r["count"] for r in got.groupBy("y", "split").count().collect()}
     assert n[(-1, "test")] == 1500 and all(n[(y, "test")] == 2 for y in range(1, 1500, 2))
+
+
+def test_a_key_is_hashed_once_for_its_cells(spark):
+    """No test for missing cells, which would hash the key anew for each step, stands before the join."""
+    df = spark.range(200).select("id", (F.col("id") % 2).alias("label"))
+    keyed = df.select("label", ordered.hash_key(1, ["id"]).alias("key"))
+    keyed = keyed.select("label", "key", ordered.cell(F.col("key"), 0.3).alias("c0"))
+    assert not keyed.schema["c0"].nullable
+    wanted = keyed.groupBy("label", "c0").agg(F.lit(0).alias("slot"), F.lit(1).alias("rest"))
+    plan = ordered.keys_in_cells(keyed, F.broadcast(wanted), ["label", "c0"])._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter " in line]
+    assert filters and not any("md5(" in line for line in filters)
