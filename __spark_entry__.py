@@ -15,7 +15,6 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import pyarrow as pa
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -448,7 +447,7 @@ def onehot_sparse(spark, d):
     t = testbed.txn(spark, d).select("row_id", "job", F.col("cc_num").cast("string").alias("card"))
     t = prep.onehot_sparse(t, ["job", "card"])
     for c in ("job", "card"):
-        t = t.withColumn(f"{c}_at", F.array_position(vector_to_array(f"{c}_onehot"), 1.0) - 1)
+        t = t.withColumn(f"{c}_at", F.get(F.unwrap_udt(f"{c}_onehot").getField("indices"), 0).cast("long"))
     return t.select("row_id", "job_at", "card_at")
 
 

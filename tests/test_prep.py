@@ -1,3 +1,4 @@
+import datetime
 import math
 
 import pytest
@@ -180,3 +181,18 @@ def test_names_that_differ_by_case(spark):
     table, model = prep.preprocess(t, conf)
     assert model.output_names == ["g_X", "g_x_2"]
     assert sorted(map(tuple, table.collect())) == [(0, 0.0, 1.0), (1, 0.0, 1.0), (1, 1.0, 0.0)]
+
+
+def test_places_of_ones_are_read_from_sparse_vectors(spark, tmp_path):
+    """onehot_sparse on many cards: the place of a value is found without a vector of all places."""
+    import __spark_entry__ as entry
+
+    users = [(7 * i) % 400 for i in range(600)]
+    rows = [(i, datetime.datetime(2024, 1, 1), u, "view", 1.0, "{}") for i, u in enumerate(users)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+                          ).write.parquet(f"{tmp_path}/events.parquet")
+    out = entry.onehot_sparse(spark, str(tmp_path))
+    places = {u: i for i, u in enumerate(sorted({str(u) for u in users}))}
+    assert {r.row_id: r.card_at for r in out.collect()} == {i: places[str(u)] for i, u in enumerate(users)}
+    assert dict(out.dtypes)["card_at"] == "bigint"
+    assert "array_position" not in out._jdf.queryExecution().optimizedPlan().toString()
