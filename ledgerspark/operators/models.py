@@ -22,6 +22,8 @@ logger = logging.getLogger(__name__)
 WEIGHT = "_weight"
 MAX_BINS = 128
 CHECKPOINT_ROUNDS = 10
+# Boosting passes over its rows some 1,000 times; a task of a pass should have about so many.
+TASK_ROWS = 20_000
 
 MODEL_REGISTRY = {
     "decision_tree": DecisionTreeClassifier,
@@ -121,14 +123,22 @@ def train_model(df: DataFrame, kind: str, params: dict[str, Any], *, label: str,
     if weight is not None:
         columns.append(weight.alias(WEIGHT))
         settings["weightCol"] = WEIGHT
-    # Boosting adds a tree per round: node ids are kept per row and written to the checkpoint
-    # folder every few rounds, so the lineage of a late tree does not reach back to the first.
+    # Boosting adds a tree per round: errors per row are written to the checkpoint folder every
+    # few rounds, so the lineage of a late tree does not reach back to the first.  Node ids kept
+    # per row would add a stored table per level, to save a walk of a few steps down the tree.
     learner = MODEL_REGISTRY[kind](
-        featuresCol=features, labelCol="_label", maxBins=MAX_BINS, cacheNodeIds=True,
+        featuresCol=features, labelCol="_label", maxBins=MAX_BINS, cacheNodeIds=kind != "xgboost",
         checkpointInterval=CHECKPOINT_ROUNDS, **settings)
     if threshold is not None and threshold != 0.5:
         learner = learner.setThresholds([1 - threshold, threshold])
-    return learner.fit(df.select(*columns))
+    rows = df.select(*columns)
+    return learner.fit(_spread(rows) if kind == "xgboost" else rows)
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores, where fewer tasks would hold more than ``TASK_ROWS`` of them each."""
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS))
+    return df.repartition(wanted) if wanted > df.rdd.getNumPartitions() else df
 
 
 def predict(df: DataFrame, model: Model, features: str = "features") -> DataFrame:

@@ -259,3 +259,22 @@ def test_training_by_the_block_of_a_model(toy, spark):
     assert result.metrics.columns == ["split", "n", "tn", "fp", "fn", "tp", "recall"]
     assert result.model.params == {"max_depth": 1, "random_state": 3}
     assert artifacts.load_model(spark, path).classifier.depth <= 1
+
+
+def test_boosting_spreads_its_rows_and_keeps_no_node_ids(spark, monkeypatch):
+    seen = {}
+
+    class Recorder:
+        def __init__(self, **settings):
+            seen.update(settings)
+
+        def fit(self, df):
+            seen.update(parts=df.rdd.getNumPartitions(), rows=df.count())
+
+    monkeypatch.setitem(models.MODEL_REGISTRY, "xgboost", Recorder)
+    monkeypatch.setattr(models, "TASK_ROWS", 100)
+    df = spark.range(0, 350, numPartitions=1).selectExpr("id % 2 AS label", "id AS features")
+    models.train_model(df, "xgboost", {"n_estimators": 2}, label="label")
+    assert seen["parts"] == 4 and seen["rows"] == 350 and seen["cacheNodeIds"] is False
+    models.train_model(df.limit(90), "xgboost", {"n_estimators": 2}, label="label")
+    assert seen["parts"] == 1 and seen["rows"] == 90
