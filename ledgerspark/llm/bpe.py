@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame
@@ -41,7 +42,12 @@ PIECE_ROWS = 600  # of a batch, handled at a time
 
 # Fixed value: the characters of the White_Space property, as the pattern's \s means them.
 _BLANK = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_SPLIT_LATER = regex.compile(rf"\x20[{_BLANK}]")
+_SPLIT_LATER = f" [{_BLANK.encode().decode('unicode_escape')}]"
+
+
+def split_later(texts: list[str]) -> list[bool]:
+    """Whether a text has a run of blanks in which a pre-token does not begin at the first space."""
+    return pc.match_substring_regex(pa.array(texts, pa.string()), _SPLIT_LATER).to_pylist()
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -204,8 +210,7 @@ class Codec:
         Where a space stands before a non-blank a pre-token begins, so words are looked up
         one by one; a text with a longer run of blanks is cut by the pattern as a whole.
         """
-        whole = [_SPLIT_LATER.search(t) is not None for t in texts]
-        return self.words.of_texts(texts, whole, lambda own: map(self._word, own))
+        return self.words.of_texts(texts, split_later(texts), lambda own: map(self._word, own))
 
     def decode(self, ids: np.ndarray) -> bytes:
         lengths = self.lengths[ids]

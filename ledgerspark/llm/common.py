@@ -99,36 +99,42 @@ class WordPool:
         lengths = np.fromiter(map(len, rows), np.int64, len(rows))
         return self._append(np.fromiter(itertools.chain.from_iterable(rows), np.int32, int(lengths.sum())), lengths)
 
-    def _meet(self, words: list[str]) -> None:
+    def _meet(self, words: list[str]) -> np.ndarray:
+        """The numbers of distinct words that are not known, which become known."""
         known, marks = self.known, self.marks
-        marked = [w for w in words if w[-1:] in marks and w[-2:-1].isalnum()]
-        plain = {w for w in words if not (w[-1:] in marks and w[-2:-1].isalnum())}
-        plain.update(w[:-1] for w in marked if w[:-1] not in known)
-        unseen = list(plain)
-        first = self._add(self.encode(unseen))
-        known.update(zip(unseen, range(first, self.n)))
-        if marked:
-            stem = np.fromiter((known[w[:-1]] for w in marked), np.int64, len(marked))
+        marked = np.array([w[-1:] in marks and w[-2:-1].isalnum() for w in words], bool)
+        ends = [words[i] for i in np.flatnonzero(marked).tolist()]
+        plain = [words[i] for i in np.flatnonzero(~marked).tolist()]
+        met = len(plain)
+        plain += {w[:-1] for w in ends if w[:-1] not in known}.difference(plain)
+        first = self._add(self.encode(plain))
+        known.update(zip(plain, range(first, self.n)))
+        out = np.empty(len(words), np.int64)
+        out[~marked] = first + np.arange(met)
+        if ends:
+            stem = np.fromiter((known[w[:-1]] for w in ends), np.int64, len(ends))
             size = self.lengths[stem]
             begin = np.cumsum(size + 1) - (size + 1)
             flat = np.empty(int((size + 1).sum()), np.int32)
             flat[ranges(begin, size)] = self.flat[ranges(self.starts[stem], size)]
-            flat[begin + size] = [marks[w[-1]] for w in marked]
+            flat[begin + size] = [marks[w[-1]] for w in ends]
             first = self._append(flat, size + 1)
-            known.update(zip(marked, range(first, self.n)))
+            known.update(zip(ends, range(first, self.n)))
+            out[marked] = first + np.arange(len(ends))
+        return out
 
     def places(self, words: list[str]) -> np.ndarray:
         found = np.fromiter(map(self.known.get, words, itertools.repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(found < 0)
         if len(missing):
-            size = sum(len(words[i]) for i in missing) + WORD_BYTES * len(missing)
+            unseen = [words[i] for i in missing.tolist()]
+            size = sum(map(len, unseen)) + WORD_BYTES * len(unseen)
             if self.held + size > self.most:
                 self.clear()
-                missing = range(len(words))
+                missing, unseen = np.arange(len(words)), words
                 size = sum(map(len, words)) + WORD_BYTES * len(words)
             self.held += size
-            self._meet([words[i] for i in missing])
-            found = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            found[missing] = self._meet(unseen)
         return found
 
     def of_texts(self, texts: list[str], whole: list[bool], firsts: Callable) -> tuple[np.ndarray, np.ndarray]:
@@ -142,15 +148,19 @@ class WordPool:
         coded = rows.flatten().dictionary_encode()
         index = coded.indices.to_numpy()
         begins = np.cumsum(sizes) - sizes
-        distinct = coded.dictionary.to_pylist()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         own = [t if w else distinct[i] for t, w, i in zip(texts, whole, index[begins].tolist())]
-        place = self.places(distinct)[index]
+        place = self.places(distinct)
         n, end = self.n, self.end
-        place[begins] = self._add(list(firsts(own))) + np.arange(len(texts))
+        place = np.concatenate([place, self._add(list(firsts(own))) + np.arange(len(texts))])
+        index = index.copy()
+        index[begins] = len(distinct) + np.arange(len(texts))
         counts = self.lengths[place]
-        out = self.flat[ranges(self.starts[place], counts)]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        held = pa.LargeListArray.from_arrays(ends, pa.array(self.flat[ranges(self.starts[place], counts)]))
+        out = held.take(pa.array(index)).flatten().to_numpy()
         self.n, self.end = n, end  # beginnings are not remembered
-        return out, np.add.reduceat(counts, begins)
+        return out, np.add.reduceat(counts[index], begins)
 
 
 def in_groups(texts: list[str], size: int) -> Iterator[list[str]]:

@@ -28,17 +28,19 @@ table has no segments.  A null doc_id comes first.
 from __future__ import annotations
 
 import itertools
+import json
 import os
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.bpe import _SPLIT_LATER, REMEMBERED
+from ledgerspark.llm.bpe import REMEMBERED, split_later
 from ledgerspark.llm.common import WordPool, in_groups, join_small, keep, released
 from ledgerspark.sources.scratch import scratch_path
 
@@ -69,7 +71,8 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> bytes:
         k = -(-len(diff) * PERCENTILE // 100) - 1
         width = int(bit_lengths(np.partition(diff, k)[k:k + 1])[0])
         over = np.flatnonzero(diff >> np.uint32(width)) if width < 32 else np.zeros(0, np.int64)
-        bits = (diff[:, None] >> np.arange(width, dtype=np.uint32)).astype(np.uint8) & 1
+        whole = diff.astype("<u2" if width <= 16 else "<u4")  # bits above the width go to the exceptions
+        bits = np.unpackbits(whole.view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little")[:, :width]
         high = diff[over] >> np.uint32(width) if len(over) else np.zeros(0, np.uint32)
         bodies.append(low.astype("<u4").tobytes() + bytes([width]) + len(over).to_bytes(2, "little")
                       + np.packbits(bits, bitorder="little").tobytes()
@@ -103,6 +106,25 @@ def unpack(data: bytes, first: int = 0, last: int | None = None, block: int = BL
     return whole[first - first // block * block:][:last - first]
 
 
+# Characters whose kind (letter, digit, blank) is the same in every version of Unicode in use, and the byte-level cut.
+_COMMON_UP_TO = "\u0250"
+_COMMON = regex.compile("[\n!-~\u00a1-\u024f]+")
+_CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+# The byte-level alphabet: a printable byte stands for itself, each other byte for the next code point from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*_PRINTABLE}))}
+_ALPHABET = {c: "".join(_BYTES[b] for b in chr(c).encode()) for c in range(0x250)}
+_SPACE = _ALPHABET[32]
+
+
+def _byte_level(file: dict) -> bool:
+    """Whether a tokenizer file cuts texts by the byte-level rule and does nothing else before its merges."""
+    cut = file.get("pre_tokenizer") or {}
+    return (file.get("normalizer") is None and file.get("truncation") is None and file.get("padding") is None
+            and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
+            and not any(t["content"].strip().isalpha() for t in file.get("added_tokens") or []))
+
+
 _held: dict[str, Encoder] = {}
 
 
@@ -135,8 +157,10 @@ class Encoder:
 
             self.tokenizer = Tokenizer.from_str(self.content)
             self.tokenizer.encode_special_tokens = self.as_text
-            self.words = WordPool(lambda words: self._ids([" " + w for w in words]),
-                                  {m: i for m, (i,) in zip(",.", self._ids([",", "."]))}, self.remembered)
+            file = json.loads(self.content)
+            self.added = regex.compile("|".join(regex.escape(t["content"].strip()) for t in file.get("added_tokens") or []) or "(?!)")
+            self.merged = self.tokenizer.model.tokenize if _byte_level(file) else None
+            self.words = WordPool(self._words, {m: i for m, (i,) in zip(",.", self._ids([",", "."]))}, self.remembered)
         return self
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -145,8 +169,28 @@ class Encoder:
         The byte-level cut begins a piece at every space before a non-blank, so distinct words
         are encoded once each; texts with longer runs of blanks are encoded whole.
         """
-        whole = [_SPLIT_LATER.search(t) is not None for t in texts]
-        return self.words.of_texts(texts, whole, self._ids)
+        return self.words.of_texts(texts, split_later(texts), self._ids)
+
+    def _words(self, words: list[str]) -> list[list[int]]:
+        """The ids of words, each after a space.
+
+        Words of common characters are cut here, by the file's own rule, and the library's model is
+        given piece by piece, which spares it the bookkeeping of a whole text around each word.
+        """
+        if self.merged is None:
+            return self._ids([" " + w for w in words])
+        merged, out, others = self.merged, [], []
+        for w in words:
+            if w.isalpha() and (w.isascii() or max(w) < _COMMON_UP_TO):  # one piece with its space
+                out.append([t.id for t in merged(_SPACE + (w if w.isascii() else w.translate(_ALPHABET)))])
+            elif _COMMON.fullmatch(w) and not self.added.search(w):
+                out.append([t.id for p in _CUT.findall(" " + w) for t in merged(p.translate(_ALPHABET))])
+            else:
+                others.append(len(out))
+                out.append([])
+        for i, ids in zip(others, self._ids([" " + words[i] for i in others])):
+            out[i] = ids
+        return out
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         out: list[list[int]] = []

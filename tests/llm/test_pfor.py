@@ -72,3 +72,21 @@ def test_registered_query_equals_the_plain_library(spark, tmp_path):
         want.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert sorted(tuple(r) for r in op3_token_blocks(spark, str(tmp_path)).collect()) == want
+
+
+def test_common_words_skip_the_bookkeeping_of_whole_texts():
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        content = f.read()
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}é'll" + end for i in range(500) for end in ("", ".\nNext", "$$$", "2,x²")]
+    words += ["naïve", "ªº", "×÷", "a\u00adb", "it's", "'s", "I'LL", "ab\n\n", "\n\nab", "a\u0085b", "a\u00a0b", "ɐb", "日本", "a\x1cb", "<|endoftext|>"]
+    tok = Tokenizer.from_str(content)
+    for as_text in (True, False):
+        own = pfor.Encoder(content, as_text=as_text)._set_up()
+        whole, plain = [], own._ids
+        own._ids = lambda texts: whole.extend(texts) or plain(texts)
+        texts = ["first " + " ".join(words[i:i + 50]) for i in range(0, len(words), 50)]
+        ids, counts = own.encode(texts)
+        tok.encode_special_tokens = as_text
+        want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == sum(want, []) and counts.tolist() == [len(w) for w in want]
+        assert len(whole) < len(texts) + 10  # beginnings of texts, and a few uncommon words
