@@ -22,7 +22,7 @@ logger = logging.getLogger(__name__)
 WEIGHT = "_weight"
 MAX_BINS = 128
 CHECKPOINT_ROUNDS = 10
-# Boosting passes over its rows some 1,000 times; a task of a pass should have about so many.
+# Boosting passes over its rows some 1,000 times, a search some 200; a task of a pass should have about so many.
 TASK_ROWS = 20_000
 
 MODEL_REGISTRY = {
@@ -127,18 +127,23 @@ def train_model(df: DataFrame, kind: str, params: dict[str, Any], *, label: str,
     # few rounds, so the lineage of a late tree does not reach back to the first.  Node ids kept
     # per row would add a stored table per level, to save a walk of a few steps down the tree.
     learner = MODEL_REGISTRY[kind](
-        featuresCol=features, labelCol="_label", maxBins=MAX_BINS, cacheNodeIds=kind != "xgboost",
+        featuresCol=features, labelCol="_label", maxBins=MAX_BINS, cacheNodeIds=kind == "random_forest",
         checkpointInterval=CHECKPOINT_ROUNDS, **settings)
     if threshold is not None and threshold != 0.5:
         learner = learner.setThresholds([1 - threshold, threshold])
     rows = df.select(*columns)
-    return learner.fit(_spread(rows) if kind == "xgboost" else rows)
+    return learner.fit(spread(rows) if kind == "xgboost" else rows)
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """The rows over all cores, where fewer tasks would hold more than ``TASK_ROWS`` of them each."""
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS))
-    return df.repartition(wanted) if wanted > df.rdd.getNumPartitions() else df
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores, where the fullest task would hold much more than its share of them.
+
+    A task's share is ``TASK_ROWS`` rows at least.  Of a file the rows lie in few tasks if it has few
+    row groups, however many splits it has, so the rows are counted and not the tasks.
+    """
+    sizes = [n for _, n in df.groupBy(F.spark_partition_id()).count().collect()]  # a row per task
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, -(-sum(sizes) // TASK_ROWS))
+    return df.repartition(wanted) if 2 * max(sizes, default=0) * wanted > 3 * sum(sizes) else df
 
 
 def predict(df: DataFrame, model: Model, features: str = "features") -> DataFrame:

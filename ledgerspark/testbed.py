@@ -8,18 +8,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerspark.operators.models import spread
+from ledgerspark.sources.scratch import materialize
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
+def txn(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
     def off(n: int) -> str:
         return f"CAST((event_id * {n}) % 200 - 100 AS DOUBLE) / 100D"
 
     lat = "25 + CAST((user_id * 37) % 2400 AS DOUBLE) / 100D"
     lon = "-120 + CAST((user_id * 53) % 5000 AS DOUBLE) / 100D"
-    return table(spark, sf_dir, "events").selectExpr(
+    events = table(spark, sf_dir, "events")
+    if spread_out:
+        few = events.select("event_id", "user_id", "event_type", "value", "ts")
+        many = spread(few)
+        events = few if many is few else materialize(many, "events")
+    return events.selectExpr(
         "event_id AS row_id",
         "user_id AS cc_num",
         "event_type AS category",
@@ -38,8 +46,11 @@ def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The transactions with all 14 fields of a scoring record, as text where due."""
-    return txn(spark, sf_dir).selectExpr(
+    """The transactions with all 14 fields of a scoring record, as text where due.
+
+    Their rows lie over all cores, whatever the row groups of the file.
+    """
+    return txn(spark, sf_dir, spread_out=True).selectExpr(
         "row_id",
         "left(CAST(trans_date_trans_time AS STRING), 19) AS trans_date_trans_time",
         "category", "amt", "gender",

@@ -278,3 +278,16 @@ def test_boosting_spreads_its_rows_and_keeps_no_node_ids(spark, monkeypatch):
     assert seen["parts"] == 4 and seen["rows"] == 350 and seen["cacheNodeIds"] is False
     models.train_model(df.limit(90), "xgboost", {"n_estimators": 2}, label="label")
     assert seen["parts"] == 1 and seen["rows"] == 90
+
+
+def test_records_lie_over_all_cores(spark, tmp_path):
+    """One row group in a file of several splits is one task's work, however many tasks there are."""
+    n = 3 * models.TASK_ROWS
+    spark.range(n, numPartitions=1).selectExpr(
+        "id AS event_id", "id % 1500 AS user_id", "if(id % 3 = 0, 'view', 'error') AS event_type", "CAST(id % 400 AS DOUBLE) AS value",
+        "timestamp_seconds(1700000000 + id) AS ts", "'x' AS props").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    got = testbed.records(spark, str(tmp_path))
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == n and max(sizes) < n * 0.6
+    plain = testbed.txn(spark, str(tmp_path)).select("row_id", "amt", "dob")
+    assert plain.exceptAll(got.select("row_id", "amt", "dob")).count() == 0 and got.select("row_id").distinct().count() == n
