@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.operators.evaluate import evaluate
-from ledgerspark.operators.models import has_effect, predict, train_model
+from ledgerspark.operators.models import balanced_weights, has_effect, predict, train_model
+from ledgerspark.operators.split import class_counts
 from ledgerspark.sources.small import small_table
 
 # Parameters that are whole numbers.
@@ -105,7 +106,14 @@ def _trials(kind: str, search: dict[str, Any]) -> list[dict[str, Any]]:
 
 def _recalls(train: DataFrame, valid: DataFrame, kind: str, asked: list[dict[str, Any]], label: str,
              features: str, parallelism: int) -> list[float]:
-    """The recall that a fit with each of the parameter sets reaches on the validation rows."""
+    """The recall that a fit with each of the parameter sets reaches on the validation rows.
+
+    The classes are counted once for all balanced fits.
+    """
+    if any(params.get("class_weight") == "balanced" for params in asked):
+        balanced = balanced_weights(class_counts(train, label))
+        asked = [{**p, "class_weight": balanced} if p.get("class_weight") == "balanced" else p for p in asked]
+
     @inheritable_thread_target(train.sparkSession)
     def run(params: dict[str, Any]) -> float:
         model = train_model(train, kind, params, label=label, features=features)

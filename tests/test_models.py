@@ -1,5 +1,6 @@
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from ledgerspark import testbed
@@ -291,3 +292,14 @@ def test_records_lie_over_all_cores(spark, tmp_path):
     assert sum(sizes) == n and max(sizes) < n * 0.6
     plain = testbed.txn(spark, str(tmp_path)).select("row_id", "amt", "dob")
     assert plain.exceptAll(got.select("row_id", "amt", "dob")).count() == 0 and got.select("row_id").distinct().count() == n
+
+
+def test_a_search_counts_the_classes_once(spark, monkeypatch):
+    counted, plain = [], tune.class_counts
+    monkeypatch.setattr(tune, "class_counts", lambda *a: counted.append(1) or plain(*a))
+    monkeypatch.setattr(models, "class_counts", lambda *a: counted.append(1) or plain(*a))
+    rows = [(Vectors.dense([float(i % 17), float(i % 5)]), int(i % 17 > 12)) for i in range(400)]
+    df = spark.createDataFrame(rows, ["features", "y"])
+    search = {"init_points": 2, "n_iter": 2, "random_state": 1, "search_space": {"max_depth": [2, 5]}}
+    found = tune.random_search(df, df, "decision_tree", {"class_weight": "balanced", "random_state": 1}, search, label="y")
+    assert len(counted) == 1 and found.trials.agg(F.max("recall")).first()[0] == 1.0
