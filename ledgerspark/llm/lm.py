@@ -48,6 +48,9 @@ ROWS, ROWS_TOKENS = 1 << 13, 4_000_000  # rows a table for so many training toke
 ROUNDS = 3
 BATCH = 16_384
 RATE = 0.08
+SLICE = 2048  # tokens whose sums are taken at a time
+LARGE, SMALL = 60.0, 1e-25  # of a sum, and of a sum of exponentials, in 32 bits
+LONG_RUN = 48  # rows that are added by themselves
 GROUP_CHARACTERS = 1 << 20
 CHUNK_ROWS = 1024
 SUMMED_TASKS = 64
@@ -145,10 +148,27 @@ class Vocabulary:
         leaf = -1 - h.view(np.int64) % len(self.others)
         if not len(self.h):
             return np.zeros(len(h), np.int64), leaf
-        own, back = np.unique(h, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.h, own), len(self.h) - 1)
-        known = self.h[at] == own
-        return np.where(known, self.c[at], 0)[back], np.where(known[back], at[back], leaf)
+        at = self._at_or_after(h)
+        known = self.guarded[at] == h
+        known &= at < len(self.h)
+        return np.where(known, self.c.take(at, mode="clip"), 0), np.where(known, at, leaf)
+
+    def _at_or_after(self, h: np.ndarray) -> np.ndarray:
+        """The place of the first frequent word whose hash is not smaller: that of the leading bits, and a few on."""
+        if not hasattr(self, "begins"):  # made where it is used
+            bits = len(self.h).bit_length()
+            self.shift = np.uint64(64 - bits)
+            self.begins = np.searchsorted(self.h, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+            self.guarded = np.append(self.h, ~np.uint64(0))
+        at = self.begins[(h >> self.shift).astype(np.int64)].astype(np.int64)
+        behind = np.flatnonzero(self.guarded[at] < h)
+        for _ in range(16):
+            if not len(behind):
+                return at
+            at[behind] += 1
+            behind = behind[self.guarded[at[behind]] < h[behind]]
+        at[behind] = np.searchsorted(self.h, h[behind])
+        return at
 
 
 def features(h: np.ndarray, sizes: np.ndarray, rows: int = ROWS) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -174,15 +194,40 @@ def _row(x: np.ndarray, table: int, rows: int) -> np.ndarray:
     return (mixed(x) & np.uint64(rows - 1)).astype(np.int64) + table * rows
 
 
-def softmax(weights: np.ndarray, bias: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    z = weights.take(rows[0], 0)
-    z += bias
-    for r in rows[1:]:
-        z += weights.take(r, 0)
-    z -= z.max(1, keepdims=True)
-    np.exp(z, out=z)
-    z /= z.sum(1, keepdims=True)
-    return z
+def _exponentials(weights: np.ndarray, bias: np.ndarray, node: np.ndarray, rows: list[np.ndarray]) -> Iterator[tuple]:
+    """A slice of the tokens at a time, which fits a core's cache: it, its sums, their exponentials, the sums of these.
+
+    Sums are taken less the largest of their token only where an exponential could leave the range of numbers.
+    """
+    ones, held = np.ones(WIDTH, np.float32), np.empty((SLICE, WIDTH), np.float32)
+    for at in range(0, len(node), SLICE):
+        part = slice(at, at + SLICE)
+        z = bias.take(node[part], 0)
+        e = held[:len(z)]
+        for r in rows:
+            z += weights.take(r[part], 0, out=e, mode="clip")
+        safe = z.max() < LARGE
+        total = np.exp(z, out=e) @ ones if safe else None
+        if not safe or total.min() < SMALL:
+            z -= z.max(1, keepdims=True)
+            total = np.exp(z, out=e) @ ones
+        yield part, z, e, total
+
+
+def softmax(weights: np.ndarray, bias: np.ndarray, node: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    """The probabilities of all children of each token's node."""
+    p = np.empty((len(node), WIDTH), np.float32)
+    for part, _, e, total in _exponentials(weights, bias, node, rows):
+        np.divide(e, total[:, None], out=p[part])
+    return p
+
+
+def log_softmax(weights: np.ndarray, bias: np.ndarray, node: np.ndarray, rows: list[np.ndarray], child: np.ndarray) -> np.ndarray:
+    """The log10 of the probability of one child of each token's node."""
+    out = np.empty(len(child))
+    for part, z, _, total in _exponentials(weights, bias, node, rows):
+        out[part] = z[np.arange(len(z)), child[part]] - np.log(total)
+    return out / np.log(10)
 
 
 def log_probabilities(weights: np.ndarray, words: Vocabulary, h: np.ndarray, sizes: np.ndarray,
@@ -194,13 +239,24 @@ def log_probabilities(weights: np.ndarray, words: Vocabulary, h: np.ndarray, siz
     for at in range(0, len(h), BATCH):
         b = slice(at, at + BATCH)
         top, token, node, child = words.way(place[b])
-        p = softmax(weights, words.bias[words.root], [r[b] for r in rows])[np.arange(len(top)), top]
-        out[b] = np.log10(np.maximum(p, 1e-300))
-        p = softmax(weights, words.bias[node], member_features(one[b][token], two[b][token], node, size))[np.arange(len(node)), child]
-        out[b] += np.bincount(token, np.log10(np.maximum(p, 1e-300)), len(top))
+        out[b] = log_softmax(weights, words.bias, np.full(len(top), words.root), [r[b] for r in rows], top)
+        below = log_softmax(weights, words.bias, node, member_features(one[b][token], two[b][token], node, size), child)
+        out[b] += np.bincount(token, below, len(top))
     return out
 
 
+def run_sums(p: np.ndarray, order: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of the rows ``order[first]`` to ``order[first + n - 1]`` of ``p`` for each run; the longest runs come first."""
+    g = p.take(order[first], 0)
+    long = int(np.searchsorted(-n, -LONG_RUN))
+    for i, (a, k) in enumerate(zip(first[:long].tolist(), n[:long].tolist())):
+        g[i] = p.take(order[a:a + k], 0).sum(0)
+    for k in range(1, int(n[long]) if long < len(n) else 0):
+        more = int(np.searchsorted(-n, -k))  # runs of more than k rows
+        g[long:more] += p.take(order[first[long:more] + k], 0)
+    return g
+
+
 class Climber:
     """Weights of one task, changed by AdaGrad steps."""
 
@@ -212,10 +268,10 @@ class Climber:
 
     def step(self, words: Vocabulary, rows: list[np.ndarray], one: np.ndarray, two: np.ndarray, place: np.ndarray) -> None:
         top, token, node, child = words.way(place)
-        self._move(rows, softmax(self.weights, words.bias[words.root], rows), top)
+        self._move(rows, softmax(self.weights, words.bias, np.full(len(top), words.root), rows), top)
         if len(node):
             rows = member_features(one[token], two[token], node, self.rows)
-            self._move(rows, softmax(self.weights, words.bias[node], rows), child)
+            self._move(rows, softmax(self.weights, words.bias, node, rows), child)
 
     def _move(self, rows: list[np.ndarray], p: np.ndarray, truth: np.ndarray) -> None:
         p[np.arange(len(truth)), truth] -= 1
@@ -224,12 +280,20 @@ class Climber:
             order = np.argsort((r - base).astype(np.uint16 if self.rows <= 1 << 16 else np.uint32), kind="stable")
             s = r[order]
             first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+            n = np.diff(np.append(first, len(s)))
+            falling = np.argsort(-n, kind="stable")
+            first, n = first[falling], n[falling]
             at = s[first]
-            g = np.add.reduceat(p.take(order, 0), first, axis=0)
-            squares = self.squares[at] + g * g
+            g = run_sums(p, order, first, n)
+            squares = self.squares.take(at, 0)
+            squares += g * g
             self.squares[at] = squares
-            self.weights[at] -= RATE * g / np.sqrt(squares)
-            self.touched[at] += np.diff(np.append(first, len(s)))
+            g *= RATE
+            g /= np.sqrt(squares, out=squares)
+            moved = self.weights.take(at, 0)
+            moved -= g
+            self.weights[at] = moved
+            self.touched[at] += n
 
     def learn(self, words: Vocabulary, h: np.ndarray, sizes: np.ndarray) -> None:
         _, place = words.look_up(h)

@@ -128,3 +128,40 @@ def test_long_words_are_counted_apart(spark):
     rows = [(d, f"{texts[d % 6]} word {texts[d * 7 % 6]}") for d in range(40)]
     got = lm.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert short(got) == brute(rows)
+
+
+def test_words_are_found_by_their_leading_bits():
+    edge = np.array([0, 1, 2**64 - 1], np.uint64)
+    h = np.concatenate([lm.mixed(np.arange(1, 2000, dtype=np.uint64)), np.arange(40, 90, dtype=np.uint64), edge[:1]])
+    words = lm.Vocabulary(h, np.arange(1, len(h) + 1), 10**7, 10**4, np.full(7, 30))
+    asked = np.concatenate([h[::3], lm.mixed(np.arange(5000, 6000, dtype=np.uint64)), np.arange(30, 100, dtype=np.uint64), edge, h[:5], h[:5]])
+    c, place = words.look_up(asked)
+    counts = dict(zip(h.tolist(), range(1, len(h) + 1)))
+    assert c.tolist() == [counts.get(x, 0) for x in asked.tolist()]
+    assert [(words.h[p] == x) if p >= 0 else x not in counts and -7 <= p for p, x in zip(place, asked)] == [True] * len(asked)
+    for few in (h[:1], h[:2]):
+        assert (lm.Vocabulary(few, np.ones(len(few), int), 9, 9).look_up(asked)[0] > 0).tolist() == np.isin(asked, few).tolist()
+
+
+def test_run_sums_and_softmax_of_any_size():
+    rng = np.random.default_rng(3)
+    p = rng.normal(size=(5000, lm.WIDTH)).astype(np.float32)
+    key = np.minimum(rng.geometric(0.01, 5000), 400) * (rng.random(5000) < 0.9)  # one long run, many short ones
+    order = np.argsort(key, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) > 0]))
+    n = np.diff(np.append(first, len(key)))
+    falling = np.argsort(-n, kind="stable")
+    want = np.add.reduceat(p[order].astype(np.float64), first, axis=0)[falling]
+    assert np.allclose(lm.run_sums(p, order, first[falling], n[falling]), want, atol=1e-3)
+    bias = np.zeros((3, lm.WIDTH), np.float32)
+    bias[1, 5:] = -1e4  # no such children
+    node, rows = rng.integers(0, 2, 5000), [rng.integers(0, 50, 5000)]
+    for scale in (1, 300):  # exponentials of 300 and of -300 are beyond 32 bits
+        weights = (scale * rng.normal(size=(50, lm.WIDTH))).astype(np.float32)
+        weights[7] -= 5 * scale
+        z = bias[node].astype(np.float64) + weights[rows[0]]
+        z -= z.max(1, keepdims=True)
+        want = z - np.log(np.exp(z).sum(1, keepdims=True))
+        child = rng.integers(0, 5, 5000)
+        assert np.allclose(lm.log_softmax(weights, bias, node, rows, child), want[np.arange(5000), child] / np.log(10), rtol=1e-5, atol=1e-4)
+        assert np.allclose(lm.softmax(weights, bias, node, rows), np.exp(want), atol=1e-4)
